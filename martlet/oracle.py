@@ -147,7 +147,7 @@ FEEDS = {
                      CAST({AS_OF} - CAST(60 - (r_regionkey * 11 + p) % 50 AS INTEGER) AS DATE) AS start_date,
                      CASE WHEN r_regionkey = 4 AND p = 15 THEN 0
                           ELSE 100 * (1000 * CASE r_regionkey WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 16 WHEN 3 THEN 64
-                                      ELSE 256 END + p * 10) END AS budget_c
+                                      ELSE 256 END + p * 10)::BIGINT END AS budget_c
               FROM region, (VALUES ('Flash Friday Sale', 'FLASH20', 20), ('Weekend Special', 'WEEK15', 15),
                                    ('New Customer Offer', 'NEW50', 50), ('Festive Bonanza', 'FEST30', 30),
                                    ('Summer Clearance', 'SUMMER25', 25), ('Monsoon Sale', 'RAIN10', 10)) AS t(name, code, p))""",

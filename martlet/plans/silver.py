@@ -110,17 +110,16 @@ def order_rules() -> dict:
     }
 
 
-def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> Split:
+def clean_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Orders whose customer and product are in bronze and whose amounts are positive.
 
     Both existence tests are semi joins; the gate runs below them, at the scan.
     """
-    orders = schemas.with_defaults(orders, "silver_orders")
-    sound, _ = gate(orders, order_rules())
+    sound, _ = gate(schemas.with_defaults(orders, "silver_orders"), order_rules())
     known = sound.join(customers.select("customer_id"), "customer_id", "left_semi").join(
         products.select("product_id"), "product_id", "left_semi"
     )
-    clean = known.select(
+    return known.select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "discount_amount",
         "final_amount",
         *[c.alias(n) for n, c in order_time_parts(F.col("order_timestamp")).items()],
@@ -128,6 +127,9 @@ def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame)
         (F.col("discount_amount") > 0).alias("is_discounted"),
     ).select(*schemas.column_names("silver_orders"))
 
+
+def rejected_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    orders = schemas.with_defaults(orders, "silver_orders")
     flagged = with_known_flag(
         with_known_flag(orders, customers, "customer_id", "known_customer"), products, "product_id", "known_product"
     )
@@ -135,7 +137,11 @@ def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame)
         "customer_known": F.col("known_customer"), "product_known": F.col("known_product"), **order_rules(),
     }
     broken = flagged.withColumn("reasons", failed_rules(rules)).filter(F.size("reasons") > 0)
-    return clean, _rejects(broken, "order_id")
+    return _rejects(broken, "order_id")
+
+
+def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> Split:
+    return clean_orders(orders, customers, products), rejected_orders(orders, customers, products)
 
 
 def latest_inventory(bronze: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +93,7 @@ class Lake:
 
     @cached_property
     def clean_orders(self) -> DataFrame:
-        return silver.silver_orders(self.orders, self.customers, self.products)[0]
+        return silver.clean_orders(self.orders, self.customers, self.products)
 
     @cached_property
     def clean_inventory(self) -> DataFrame:
@@ -319,7 +319,7 @@ def orders_status_upsert(x: Lake) -> DataFrame:
     returned = bronze.new_orders(None, x.order_feed.filter("l_returnflag = 'R'"), star.order_arrival()).withColumns(
         {"status": F.lit("refunded"), "final_amount": F.lit(0).cast("decimal(10,2)")}
     )
-    batch = silver.silver_orders(returned, x.customers, x.products)[0]
+    batch = silver.clean_orders(returned, x.customers, x.products)
     return silver.merge("silver_orders", x.clean_orders, batch).select(
         "order_id", "status", "quantity", "total_amount", "final_amount"
     )
@@ -392,7 +392,7 @@ def dq_customers_duplicate_email(x: Lake) -> DataFrame:
 
 @query
 def dq_order_rejects(x: Lake) -> DataFrame:
-    return silver.silver_orders(x.orders, x.customers, x.products)[1]
+    return silver.rejected_orders(x.orders, x.customers, x.products)
 
 
 @query
@@ -757,9 +757,15 @@ def stream_daily_revenue(x: Lake) -> DataFrame:
     return revenue.run_daily_revenue(x.spark, stream, root).drop("approx_customers")
 
 
+@lru_cache(maxsize=8)
+def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """One set of (unevaluated) table plans per session and folder."""
+    return Lake(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: publish(fn(Lake(spark, sf_dir)))
+        return lambda spark, sf_dir: publish(fn(lake(spark, sf_dir)))
 
     return {name: bind(fn) for name, fn in QUERIES.items()}
 

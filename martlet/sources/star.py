@@ -36,8 +36,36 @@ CAMPAIGN_TEMPLATES = (
 )
 
 
+# Layout of the source tables. Readers never infer.
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Distribute an input that reads as fewer tasks than there are cores.
+
+    One small file is one task, and so is everything up to the first exchange. A
+    table with enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(key)
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:
@@ -194,7 +222,7 @@ def order_feed(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
     ``lines`` replaces the whole line table, for instance by one micro-batch of it.
     """
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
-    line = table(spark, sf_dir, "lineitem") if lines is None else lines
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey") if lines is None else lines
     ck, pk = F.col("o_custkey"), F.col("l_partkey")
     rate = F.col("l_discount").cast("decimal(4,2)")
     promo = (

@@ -57,9 +57,10 @@ def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
 
 def ingest_order_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Stream the order lines of ``sf_dir`` into an order table under ``root`` and read it back."""
-    schema = star.table(spark, sf_dir, "lineitem").schema
     lines = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "lineitem*.parquet").parquet(sf_dir)
+        spark.readStream.schema(star.SOURCES["lineitem"])
+        .option("pathGlobFilter", "lineitem*.parquet")
+        .parquet(sf_dir)
     )
     ingest_stream(
         lines,

@@ -710,6 +710,20 @@ STATEMENTS: dict[str, str] = {
         SELECT isodow(order_date) >= 6 AS is_weekend, {big("count(*)")} AS completed_orders,
                {cents("sum(final_c)")} AS total_revenue, {cents(div_round("sum(final_c)", "count(*)"))} AS average_order_value,
                {big("count(DISTINCT order_date)")} AS n_days FROM done GROUP BY 1""",
+    "mart_row_counts": f"""
+        SELECT 'gold_daily_revenue' AS mart, {big("count(*)")} AS n, {big("count(*)")} AS n_known FROM daily
+        UNION ALL SELECT 'gold_product_performance', {big("count(*)")},
+          {big("count(CASE WHEN product_id IN (SELECT product_id FROM done) THEN 1 END)")} FROM clean_products
+        UNION ALL SELECT 'gold_customer_segments', {big("count(*)")},
+          {big("count(CASE WHEN last_date > first_date THEN 1 END)")} FROM customer_totals
+        UNION ALL SELECT 'gold_inventory_health', {big("count(*)")},
+          {big("count(CASE WHEN old.product_id IS NOT NULL THEN 1 END)")}
+          FROM clean_inventory i JOIN clean_products p ON p.product_id = i.product_id
+          LEFT JOIN bronze_inventory old ON old.product_id = i.product_id AND old.stock_quantity >= 0
+            AND old.inventory_date <= CAST(i.inventory_date - 30 AS DATE)
+        UNION ALL SELECT 'gold_campaign_roi', {big("count(*)")},
+          {big("count(CASE WHEN campaign_id IN (SELECT campaign_id FROM campaign_match) THEN 1 END)")}
+          FROM bronze_campaigns""",
     "orders_incremental": f"SELECT {BRONZE_ORDER_COLUMNS} FROM bronze_orders",
     "stream_daily_revenue": f"""
         SELECT d AS revenue_date, {cents("revenue_c")} AS total_revenue, {big("n")} AS total_orders,

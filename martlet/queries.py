@@ -17,34 +17,13 @@ from martlet.operators.joins import interval_join
 from martlet.operators.quality import failed_rules, gate, require_keys, ri_coverage, unique_on
 from martlet.operators.ranking import global_rank, rank_within
 from martlet.plans import bronze, extended, gold, silver
+from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, tier_reason
 from martlet.session import scratch_path, tune
 from martlet.sources import feeds, star
 from martlet.sources.star import AS_OF, FIRST_DAY
 from martlet.sources.tables import Tables
 from martlet.streaming import ingest, revenue
 
-PRODUCT_HISTORY = {
-    "key": "product_id",
-    "tracked": ["price", "price_tier"],
-    "carried": ["product_name", "category", "price", "price_tier"],
-}
-CUSTOMER_HISTORY = {
-    "key": "customer_id",
-    "tracked": ["loyalty_tier"],
-    "carried": ["full_name", "email", "loyalty_tier", "total_lifetime_spend"],
-}
-
-
-def price_reason(old: str, new: str):
-    pairs = [F.col(f"{side}.{c}") for c in ("price", "price_tier") for side in (old, new)]
-    return labels.price_change_reason(*pairs)
-
-
-def tier_reason(old: str, new: str):
-    pairs = [F.col(f"{side}.{c}") for c in ("loyalty_tier", "total_lifetime_spend") for side in (old, new)]
-    return labels.tier_change_reason(*pairs)
-
-
 class Lake:
     """The bronze and clean tables of one scale factor, all lazy."""
 
@@ -736,6 +715,38 @@ def weekend_pattern(x: Lake) -> DataFrame:
     return extended.weekend_pattern(x.clean_orders)
 
 
+# ---------------------------------------------------------------- stored marts
+
+
+def _stored(x: Lake, name: str) -> Tables:
+    """The clean tables written out, as a daily run would find them."""
+    tables = Tables(x.spark, scratch_path(x.spark, name))
+    for table, clean in {
+        "silver_products": x.clean_products, "silver_customers": x.clean_customers, "silver_orders": x.clean_orders,
+        "silver_inventory": x.clean_inventory, "silver_campaigns": x.clean_campaigns,
+    }.items():
+        tables.overwrite(table, clean)
+    tables.append("bronze_inventory", x.inventory, "load-1", ("inventory_date",))
+    return tables
+
+
+@query
+def mart_row_counts(x: Lake) -> DataFrame:
+    """All five marts with every declared column, built from stored clean tables and stored in turn."""
+    tables = _stored(x, "marts")
+    measured = {
+        "gold_daily_revenue": "returning_customers", "gold_product_performance": "repeat_purchase_rate",
+        "gold_customer_segments": "predicted_next_purchase_days", "gold_inventory_health": "stock_change_30days",
+        "gold_campaign_roi": "conversion_rate",
+    }
+    together = None
+    for table, mart in full_marts(tables, AS_OF).items():
+        tables.overwrite(table, mart)
+        part = tables.read(table).select(F.lit(table).alias("mart"), F.col(measured[table]).isNotNull().alias("known"))
+        together = part if together is None else together.unionAll(part)
+    return together.groupBy("mart").agg(F.count("*").alias("n"), F.count(F.when(F.col("known"), 1)).alias("n_known"))
+
+
 # ---------------------------------------------------------------- streams
 
 

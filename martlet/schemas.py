@@ -110,6 +110,8 @@ TABLES: dict[str, Table] = {
         cost_per_order decimal(15,2), cost_per_acquisition decimal(15,2), new_customers_acquired bigint,
         promo_code_usage_count bigint, conversion_rate decimal(15,2), campaign_rank int, campaign_status string(20),
         performance_rating string(20)"""),
+    "rejected_records": Table("quarantine", ("table_name", "record_key"), """
+        table_name string!, record_key string, reasons array<string>"""),
     "product_price_history": Table("history", ("product_id", "valid_from"), """
         price_history_id bigint!, product_id int!, product_name string(500), category string(100),
         price decimal(10,2)!, price_tier string(20), valid_from date!, valid_to date!, is_current boolean,
@@ -130,7 +132,7 @@ USER_FEED = (
     "address struct<city: string, street: string, number: int, zipcode: string>"
 )
 
-_COLUMN = re.compile(r"(\w+)\s+(\w+(?:\([\d,]+\))?)(!?)\s*(?:,\s*|$)")
+_COLUMN = re.compile(r"(\w+)\s+(\w+(?:\([\d,]+\)|<\w+>)?)(!?)\s*(?:,\s*|$)")
 
 
 class ColumnSpec(NamedTuple):

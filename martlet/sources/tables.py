@@ -8,7 +8,7 @@ Appends go to one folder per load, overwritten when the load is repeated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlet import schemas
@@ -24,8 +24,11 @@ class Tables:
 
     def versions(self, table: str) -> list[str]:
         """Complete version folders, oldest first."""
+        return self._complete(table, "version")
+
+    def _complete(self, table: str, kind: str) -> list[str]:
         jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/version=*/_SUCCESS")
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{kind}=*/_SUCCESS")
         fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return sorted(str(s.getPath().getParent().toString()) for s in fs.globStatus(pattern) or [])
 
@@ -40,24 +43,33 @@ class Tables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(found[-1])
 
-    def overwrite(self, table: str, df: DataFrame) -> str:
-        """Full refresh: a new version that becomes current once it is complete."""
+    def overwrite(self, table: str, df: DataFrame) -> int:
+        """Full refresh: a new version that becomes current once it is complete. Returns its rows."""
         found = self.versions(table)
         number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 1
-        target = f"{self.path(table)}/version={number:08d}"
-        conform(df, table).write.mode("overwrite").parquet(target)
-        return target
+        return self._write(table, df, f"{self.path(table)}/version={number:08d}", ())
 
-    def append(self, table: str, df: DataFrame, load_id: str, partition_by: tuple[str, ...] = ()) -> str:
+    def append(self, table: str, df: DataFrame, load_id: str, partition_by: tuple[str, ...] = ()) -> int:
         """Add one load. Repeating a ``load_id`` replaces that load, so retries add nothing twice."""
-        target = f"{self.path(table)}/load_id={load_id}"
-        conform(df, table).write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        return target
+        return self._write(table, df, f"{self.path(table)}/load_id={load_id}", partition_by)
+
+    def _write(self, table: str, df: DataFrame, target: str, partition_by: tuple[str, ...]) -> int:
+        """Write and count in the same job."""
+        rows = Observation()
+        counted = conform(df, table).observe(rows, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        return rows.get["n"]
 
-    def read_appended(self, table: str) -> DataFrame:
-        """All complete loads; ``partition_by`` columns of the loads prune folders."""
+    def read_appended(self, table: str, without_load: str | None = None) -> DataFrame:
+        """All complete loads; ``partition_by`` columns of the loads prune folders.
+
+        ``without_load`` leaves one load out, as a repeated load must not see itself.
+        """
+        paths = [p for p in self._complete(table, "load_id") if not p.endswith(f"/load_id={without_load}")]
         schema = schemas.struct_type(table).add("load_id", "string")
-        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(f"{self.path(table)}/load_id=*")
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

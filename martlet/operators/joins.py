@@ -22,23 +22,41 @@ def interval_join(
     point: str,
     start: str,
     end: str,
-    how: str = "left",
+    how: str = "inner",
+    step: str = "day",
+    key: str | None = None,
 ) -> DataFrame:
     """``dim`` joined to the ``fact`` rows whose date lies in its closed interval.
 
-    Every interval is spelled out as its days, so the match is an equi-join on
-    (``eq``, day): no range predicate, no broadcast to size, and a popular ``eq``
-    value spreads over its days. The fact should be aggregated to (``eq``,
-    ``point``) first, which leaves one fact row per join key.
-    ``how='left'`` keeps dim rows without a match (also those with empty or open
-    intervals, which match nothing).
+    Every interval is spelled out as its days (or the months it touches), so the
+    match is an equi-join on (``eq``, day or month) and a popular ``eq`` value
+    spreads over the calendar; no range join and no broadcast to size.
+
+    ``step='day'`` keeps the join keys small for single fact rows. ``'month'`` suits
+    a fact aggregated to (``eq``, ``point``) and intervals that may be very long: an
+    open end in 9999 is 96,000 months instead of 2.9 million days.
+    ``how='left'`` also keeps each dim row without a match, once; it needs the dim's
+    unique ``key``. Empty intervals and those with a NULL bound match nothing.
     """
+    if step not in ("day", "month"):
+        raise ValueError(f"unknown step {step!r}")
+    if how not in ("inner", "left") or (how == "left" and key is None):
+        raise ValueError("how must be 'inner', or 'left' with the key of the dim")
     facts = fact.withColumnRenamed(eq, "_eq")
-    valid = F.col(start) <= F.col(end)
-    days = F.when(valid, F.sequence(F.col(start), F.col(end)))
-    spelled = dim.withColumn("_in_day", F.explode_outer(days))
-    on = (F.col(eq) == F.col("_eq")) & (F.col("_in_day") == F.col(point))
-    return spelled.join(facts, on, how).drop("_eq", "_in_day")
+    slots = {
+        "day": F.sequence(F.col(start), F.col(end)),
+        "month": F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH")),
+    }[step]
+    slot = F.col(point) if step == "day" else F.trunc(point, "month")
+    spelled = dim.withColumn("_slot", F.explode(F.when(F.col(start) <= F.col(end), slots)))
+    on = (F.col(eq) == F.col("_eq")) & (F.col("_slot") == F.col("_at"))
+    if step == "month":
+        on = on & F.col(point).between(F.col(start), F.col(end))
+    matched = spelled.join(facts.withColumn("_at", slot), on).drop("_eq", "_slot", "_at")
+    if how == "inner":
+        return matched
+    found = matched.select(key, *[c for c in fact.columns if c != eq])
+    return dim.join(found, key, "left")
 
 
 def vs_previous_day(df: DataFrame, date_col: str, value_col: str) -> DataFrame:

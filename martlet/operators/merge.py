@@ -7,16 +7,29 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlet.operators.joins import broadcast_if_small
 from martlet.operators.latest import latest_per_key
 
 
-def insert_ignore(target: DataFrame | None, batch: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+def insert_ignore(
+    target: DataFrame | None, batch: DataFrame, key: list[str], order: list[Column], small_batch_rows: int = 0
+) -> DataFrame:
     """Rows of ``batch`` to append: the first per key that ``target`` does not hold yet.
 
-    Only the key columns of the target are read.
+    Only the key columns of the target are read. A batch of at most
+    ``small_batch_rows`` rows, counted first, sends its keys to the target, so that
+    only the matching keys are exchanged and not those of the whole table; a larger
+    one meets the target in a plain anti join. The default skips the count.
     """
     first = latest_per_key(batch, key, order)
-    return first if target is None else first.join(target.select(*key), key, "left_anti")
+    if target is None:
+        return first
+    held = target.select(*key)
+    if small_batch_rows:
+        keys, small = broadcast_if_small(batch.select(*key), small_batch_rows)
+        if small:
+            held = held.join(keys, key, "left_semi")
+    return first.join(held, key, "left_anti")
 
 
 def fold_batch(batch: DataFrame, key: list[str], update_cols: list[str], order: list[str]) -> DataFrame:

@@ -13,9 +13,11 @@ CUSTOMER_UPDATES = ["total_lifetime_spend", "loyalty_tier", "is_active"]
 CAMPAIGN_UPDATES = ["actual_spend", "ingestion_timestamp"]
 
 
-def new_orders(target: DataFrame | None, batch: DataFrame, arrival: list[Column]) -> DataFrame:
+def new_orders(
+    target: DataFrame | None, batch: DataFrame, arrival: list[Column], small_batch_rows: int = 0
+) -> DataFrame:
     """Order rows to append; the first record of an order id wins, for ever."""
-    return insert_ignore(target, batch, ["order_id"], arrival)
+    return insert_ignore(target, batch, ["order_id"], arrival, small_batch_rows)
 
 
 def new_product_versions(target: DataFrame | None, batch: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martlet.functions.dates import day, in_last_days
 from martlet.functions.numeric import exact_avg, guarded, money, pct
 from martlet.operators.joins import interval_join
-from martlet.plans.gold import completed
+from martlet.plans.gold import completed, completed_since
 
 SEGMENT_ADVICE = [
     ("Champions", "High in all three scores", "Offer early access and referral rewards"),
@@ -39,8 +39,7 @@ def daily_new_returning(orders: DataFrame) -> DataFrame:
 
 
 def units_sold(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
-    recent = completed(orders).filter(in_last_days(F.col("order_date"), as_of, days))
-    return recent.groupBy("product_id").agg(F.sum("quantity").alias("units"))
+    return completed_since(orders, as_of, days).groupBy("product_id").agg(F.sum("quantity").alias("units"))
 
 
 def product_stock_stats(snapshots: DataFrame, orders: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -75,7 +74,7 @@ def product_period_growth(orders: DataFrame, as_of: dt.date, days: int = 30) ->
     """Revenue of the period against the period before it."""
     recent = in_last_days(F.col("order_date"), as_of, days)
     sums = (
-        completed(orders).filter(in_last_days(F.col("order_date"), as_of, 2 * days))
+        completed_since(orders, as_of, 2 * days)
         .groupBy("product_id")
         .agg(
             F.sum(F.when(recent, F.col("final_amount")).otherwise(0)).alias("current"),
@@ -191,7 +190,7 @@ def campaign_acquisition(campaigns: DataFrame, orders: DataFrame, inventory: Dat
     )
     frame = campaigns.select("campaign_id", "promo_code", "start_date", "end_date")
     totals = (
-        interval_join(measures, frame, "promo_code", "order_date", "start_date", "end_date", how="inner")
+        interval_join(measures, frame, "promo_code", "order_date", "start_date", "end_date", step="month")
         .groupBy("campaign_id")
         .agg(*[F.sum(c).alias(c) for c in ("matched", "completed", "profit", "acquired")])
     )

@@ -28,6 +28,15 @@ def completed(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("status") == "completed")
 
 
+def completed_since(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+    """Completed orders of the last days; on stored orders this also selects month folders."""
+    recent = completed(orders).filter(in_last_days(F.col("order_date"), as_of, days))
+    if "order_month" not in orders.columns:
+        return recent
+    first = as_of - dt.timedelta(days=days)
+    return recent.filter(F.col("order_month") >= day(first.replace(day=1)))
+
+
 # ---------------------------------------------------------------- daily revenue
 
 
@@ -92,8 +101,7 @@ def daily_revenue(orders: DataFrame) -> DataFrame:
 
 def product_sales(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
     """Completed sales per product since ``as_of - days``."""
-    recent = completed(orders).filter(in_last_days(F.col("order_date"), as_of, days))
-    return recent.groupBy("product_id").agg(
+    return completed_since(orders, as_of, days).groupBy("product_id").agg(
         F.sum("quantity").alias("units"),
         F.sum("final_amount").alias("revenue"),
         F.sum(F.col("unit_price") * F.col("quantity")).alias("listed_value"),
@@ -240,7 +248,7 @@ def customer_rfm(customers: DataFrame, orders: DataFrame, as_of: dt.date, k: int
 
 
 def sold_products(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
-    return completed(orders).filter(in_last_days(F.col("order_date"), as_of, days)).select("product_id").distinct()
+    return completed_since(orders, as_of, days).select("product_id").distinct()
 
 
 def dead_stock(inventory: DataFrame, orders: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -287,10 +295,12 @@ def promo_days(orders: DataFrame) -> DataFrame:
     )
 
 
-def campaign_days(campaigns: DataFrame, orders: DataFrame) -> DataFrame:
+def campaign_days(campaigns: DataFrame, orders: DataFrame, how: str = "inner") -> DataFrame:
     """Each campaign with the days its code was used while it ran; overlaps count for each campaign."""
     frame = campaigns.select("campaign_id", "promo_code", "start_date", "end_date")
-    return interval_join(promo_days(orders), frame, "promo_code", "order_date", "start_date", "end_date", how="inner")
+    return interval_join(
+        promo_days(orders), frame, "promo_code", "order_date", "start_date", "end_date", how, "month", "campaign_id"
+    )
 
 
 def campaign_totals(campaigns: DataFrame, orders: DataFrame) -> DataFrame:

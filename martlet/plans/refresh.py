@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from martlet.functions import labels
 from martlet.operators.history import scd2_apply
+from martlet.operators.joins import BROADCAST_ROWS
 from martlet.plans import bronze, extended, gold, silver
+from martlet.session import pin
 from martlet.sources.tables import Tables
 
 # What the two histories record.
@@ -48,13 +50,31 @@ def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arriva
     customers = bronze.merge_customers(tables.read("bronze_customers"), feeds["customers"], None, at)
     counts["bronze_customers"] = tables.overwrite("bronze_customers", customers)
     seen = tables.read_appended("bronze_orders", without_load=run_id)
-    counts["bronze_orders"] = tables.append("bronze_orders", bronze.new_orders(seen, feeds["orders"], arrival), run_id)
+    unseen = bronze.new_orders(seen, feeds["orders"], arrival, small_batch_rows=BROADCAST_ROWS)
+    counts["bronze_orders"] = tables.append("bronze_orders", unseen, run_id)
     counts["bronze_inventory"] = tables.append("bronze_inventory", feeds["inventory"], run_id, ("inventory_date",))
     campaigns = bronze.merge_campaigns(tables.read("bronze_campaigns"), feeds["campaigns"])
     counts["bronze_campaigns"] = tables.overwrite("bronze_campaigns", campaigns)
     return counts
 
 
+def merge_orders(tables: Tables, clean: DataFrame) -> int:
+    """Merge clean orders into the stored ones; returns the rows stored afterwards.
+
+    Only months with a new order or another status are read in full and rewritten.
+    The months are listed on the driver: one value per calendar month.
+    """
+    target = tables.read("silver_orders")
+    if not tables.exists("silver_orders"):
+        return tables.overwrite("silver_orders", silver.with_month(clean))
+    changed = pin(silver.changed_orders(target, clean))
+    months = [r[0] for r in changed.select("order_month").distinct().collect()]
+    if months:
+        touched = target.filter(F.col("order_month").isin(months))
+        tables.overwrite("silver_orders", silver.merge("silver_orders", touched, changed))
+    return tables.read("silver_orders").count()
+
+
 def build_silver(tables: Tables, as_of: dt.date, run_id: str) -> dict:
     """Clean tables merge into what exists, except inventory, which is replaced."""
     products = tables.read_appended("bronze_products")
@@ -68,9 +88,12 @@ def build_silver(tables: Tables, as_of: dt.date, run_id: str) -> dict:
     }
     counts = {}
     for table, (clean, rejected) in splits.items():
-        if table != "silver_inventory":
-            clean = silver.merge(table, tables.read(table), clean)
-        counts[table] = tables.overwrite(table, clean)
+        if table == "silver_orders":
+            counts[table] = merge_orders(tables, clean)
+        elif table == "silver_inventory":
+            counts[table] = tables.overwrite(table, clean)
+        else:
+            counts[table] = tables.overwrite(table, silver.merge(table, tables.read(table), clean))
         named = rejected.withColumn("table_name", F.lit(table))
         counts[f"{table}_rejected"] = tables.append("rejected_records", named, f"{run_id}-{table}")
     return counts

@@ -44,6 +44,22 @@ def merge(table: str, target: DataFrame, clean: DataFrame) -> DataFrame:
     return merge_subset(target, clean, list(schemas.TABLES[table].key), UPDATES[table])
 
 
+def with_month(orders: DataFrame) -> DataFrame:
+    """The partition column of the stored orders."""
+    return orders.withColumn("order_month", F.trunc("order_date", "month"))
+
+
+def changed_orders(target: DataFrame, clean: DataFrame) -> DataFrame:
+    """Clean orders that are new or have another status, with the month of the stored row."""
+    held = target.select("order_id", F.col("status").alias("_held"), F.col("order_month").alias("_held_month"))
+    differs = F.col("_held").isNull() | (F.col("_held") != F.col("status"))
+    return (
+        with_month(clean).join(held, "order_id", "left").filter(differs)
+        .withColumn("order_month", F.coalesce("_held_month", "order_month"))
+        .drop("_held", "_held_month")
+    )
+
+
 def latest_products(bronze: DataFrame) -> DataFrame:
     """Newest version with a valid price; a bad newest version exposes the one before."""
     return latest_per_key(bronze.filter("price > 0"), ["product_id"], [largest_first("ingestion_timestamp")])

@@ -38,6 +38,10 @@ class Lake:
     def customers(self) -> DataFrame:
         return star.bronze_customers(self.spark, self.sf)
 
+    @cached_property
+    def customer_keys(self) -> DataFrame:
+        return star.customer_keys(self.spark, self.sf)
+
     @cached_property
     def order_feed(self) -> DataFrame:
         return star.order_feed(self.spark, self.sf)
@@ -72,7 +76,7 @@ class Lake:
 
     @cached_property
     def clean_orders(self) -> DataFrame:
-        return silver.clean_orders(self.orders, self.customers, self.products)
+        return silver.clean_orders(self.orders, self.customer_keys, self.products)
 
     @cached_property
     def clean_inventory(self) -> DataFrame:
@@ -222,7 +226,7 @@ def load_counts(x: Lake) -> DataFrame:
     splits = {
         "silver_products": silver.silver_products(x.products),
         "silver_customers": silver.silver_customers(x.customers, AS_OF),
-        "silver_orders": silver.silver_orders(x.orders, x.customers, x.products),
+        "silver_orders": silver.silver_orders(x.orders, x.customer_keys, x.products),
         "silver_inventory": silver.silver_inventory(x.inventory),
         "silver_campaigns": silver.silver_campaigns(x.campaigns, AS_OF),
     }
@@ -298,7 +302,7 @@ def orders_status_upsert(x: Lake) -> DataFrame:
     returned = bronze.new_orders(None, x.order_feed.filter("l_returnflag = 'R'"), star.order_arrival()).withColumns(
         {"status": F.lit("refunded"), "final_amount": F.lit(0).cast("decimal(10,2)")}
     )
-    batch = silver.clean_orders(returned, x.customers, x.products)
+    batch = silver.clean_orders(returned, x.customer_keys, x.products)
     return silver.merge("silver_orders", x.clean_orders, batch).select(
         "order_id", "status", "quantity", "total_amount", "final_amount"
     )
@@ -328,7 +332,7 @@ def dq_orders_positive(x: Lake) -> DataFrame:
 
 @query
 def dq_orders_referential(x: Lake) -> DataFrame:
-    known, orphans = require_keys(x.orders, x.customers, "customer_id")
+    known, orphans = require_keys(x.orders, x.customer_keys, "customer_id")
     both, without_product = require_keys(known, x.products, "product_id")
     parts = {"customer_unknown": orphans, "product_unknown": without_product, "known": both}
     together = None
@@ -371,7 +375,7 @@ def dq_customers_duplicate_email(x: Lake) -> DataFrame:
 
 @query
 def dq_order_rejects(x: Lake) -> DataFrame:
-    return silver.rejected_orders(x.orders, x.customers, x.products)
+    return silver.rejected_orders(x.orders, x.customer_keys, x.products)
 
 
 @query
@@ -381,7 +385,7 @@ def dq_customer_rejects(x: Lake) -> DataFrame:
 
 @query
 def customer_coverage(x: Lake) -> DataFrame:
-    return ri_coverage(x.orders, x.customers, "customer_id")
+    return ri_coverage(x.orders, x.customer_keys, "customer_id")
 
 
 # ---------------------------------------------------------------- clean tables
@@ -573,11 +577,8 @@ def dead_stock(x: Lake) -> DataFrame:
 @query
 def campaign_order_match(x: Lake) -> DataFrame:
     """Campaigns with the days their code was used; campaigns without a match keep one row."""
-    frame = x.clean_campaigns.select("campaign_id", "promo_code", "start_date", "end_date")
-    used = gold.campaign_days(x.clean_campaigns, x.clean_orders)
-    return frame.select("campaign_id").join(
-        used.select("campaign_id", "order_date", "n_orders", "revenue"), "campaign_id", "left"
-    )
+    matched = gold.campaign_days(x.clean_campaigns, x.clean_orders, how="left")
+    return matched.select("campaign_id", "order_date", "n_orders", "revenue")
 
 
 @query
@@ -585,7 +586,7 @@ def campaign_interval_join(x: Lake) -> DataFrame:
     """The interval join on single orders, not aggregated ones."""
     frame = x.clean_campaigns.select("campaign_id", F.col("promo_code").alias("code"), "start_date", "end_date")
     facts = x.clean_orders.select("order_id", F.col("promo_code").alias("code"), "order_date", "status")
-    return interval_join(facts, frame, "code", "order_date", "start_date", "end_date", how="inner").select(
+    return interval_join(facts, frame, "code", "order_date", "start_date", "end_date").select(
         "campaign_id", "order_id", "order_date", "status"
     )
 
@@ -722,7 +723,8 @@ def _stored(x: Lake, name: str) -> Tables:
     """The clean tables written out, as a daily run would find them."""
     tables = Tables(x.spark, scratch_path(x.spark, name))
     for table, clean in {
-        "silver_products": x.clean_products, "silver_customers": x.clean_customers, "silver_orders": x.clean_orders,
+        "silver_products": x.clean_products, "silver_customers": x.clean_customers,
+        "silver_orders": silver.with_month(x.clean_orders),
         "silver_inventory": x.clean_inventory, "silver_campaigns": x.clean_campaigns,
     }.items():
         tables.overwrite(table, clean)

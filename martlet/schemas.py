@@ -24,6 +24,7 @@ class Table(NamedTuple):
     columns: str
     defaults: dict = {}
     unique: tuple[str, ...] = ()
+    partition: str | None = None
 
 
 # Column names, types, limits and defaults of the data model.
@@ -62,7 +63,7 @@ TABLES: dict[str, Table] = {
         total_amount decimal(10,2)!, discount_amount decimal(10,2), final_amount decimal(10,2), order_date date!,
         order_time string!, order_timestamp timestamp_ntz!, status string(20)!, payment_method string(50),
         promo_code string(20), order_hour int, order_day_of_week string(10), is_weekend boolean,
-        is_discounted boolean""", {"discount_amount": 0}),
+        is_discounted boolean""", {"discount_amount": 0}, partition="order_month"),
     "silver_customers": Table("silver", ("customer_id",), """
         customer_id string(50)!, full_name string(255)!, email string(255)!, phone string(20), city string(100),
         state string(100), country string(50), signup_date date!, loyalty_tier string(20),

@@ -158,6 +158,11 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of ``bronze_customers``, without the place lookup behind its other columns."""
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("CUST"), "c_custkey").alias("customer_id"))
+
+
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = with_lineage(customer_feed(spark, sf_dir), "customer_feed", "load-1", midnight(FIRST_DAY))
     return stamped.withColumn("last_modified_date", F.lit(None).cast("timestamp_ntz"))

@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 from martlet import schemas
 
 
+def complete_folders(spark: SparkSession, base: str, kind: str, below: str = "") -> list[str]:
+    """Folders ``base/kind=*`` that carry Spark's success marker, sorted; or those ``below`` them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    marker = path(f"{base}/{kind}=*/_SUCCESS")
+    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = sorted(s.getPath().getParent().toString() for s in fs.globStatus(marker) or [])
+    if not below:
+        return done
+    inner = [s.getPath().toString() for s in fs.globStatus(path(f"{base}/{kind}=*/{below}=*")) or []]
+    return sorted(f for f in inner if f.rsplit("/", 1)[0] in set(done))
+
+
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -24,30 +36,42 @@ class Tables:
 
     def versions(self, table: str) -> list[str]:
         """Complete version folders, oldest first."""
-        return self._complete(table, "version")
-
-    def _complete(self, table: str, kind: str) -> list[str]:
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{kind}=*/_SUCCESS")
-        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(str(s.getPath().getParent().toString()) for s in fs.globStatus(pattern) or [])
+        return complete_folders(self.spark, self.path(table), "version")
 
     def exists(self, table: str) -> bool:
         return bool(self.versions(table))
 
     def read(self, table: str) -> DataFrame:
-        """Newest version under the declared schema; an unwritten table is empty."""
-        found = self.versions(table)
+        """Newest version under the declared schema; an unwritten table is empty.
+
+        A partitioned table is the newest version of each of its partitions and has
+        the partition column last, so a filter on it selects folders.
+        """
+        partition = schemas.TABLES[table].partition
         schema = schemas.struct_type(table)
+        if partition:
+            schema = schema.add(partition, "date")
+            newest = {f.rsplit("/", 1)[1]: f for f in complete_folders(self.spark, self.path(table), "version", partition)}
+            found = sorted(newest.values())
+        else:
+            found = self.versions(table)[-1:]
         if not found:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(found[-1])
+        reader = self.spark.read.schema(schema)
+        if partition:
+            reader = reader.option("basePath", self.path(table))
+        return reader.parquet(*found).select(*schema.fieldNames())
 
     def overwrite(self, table: str, df: DataFrame) -> int:
-        """Full refresh: a new version that becomes current once it is complete. Returns its rows."""
+        """A new version that becomes current once it is complete. Returns its rows.
+
+        Of a partitioned table it replaces the partitions that occur in ``df``; the
+        others stay as they are and are not rewritten.
+        """
         found = self.versions(table)
         number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 1
-        return self._write(table, df, f"{self.path(table)}/version={number:08d}", ())
+        partition = schemas.TABLES[table].partition
+        return self._write(table, df, f"{self.path(table)}/version={number:08d}", (partition,) if partition else ())
 
     def append(self, table: str, df: DataFrame, load_id: str, partition_by: tuple[str, ...] = ()) -> int:
         """Add one load. Repeating a ``load_id`` replaces that load, so retries add nothing twice."""
@@ -55,8 +79,11 @@ class Tables:
 
     def _write(self, table: str, df: DataFrame, target: str, partition_by: tuple[str, ...]) -> int:
         """Write and count in the same job."""
+        shaped = conform(df, table, partition_by)
+        if partition_by:  # AQE packs small partitions into one task and splits large ones
+            shaped = shaped.hint("rebalance", *partition_by)
         rows = Observation()
-        counted = conform(df, table).observe(rows, F.count(F.lit(1)).alias("n"))
+        counted = shaped.observe(rows, F.count(F.lit(1)).alias("n"))
         counted.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
         return rows.get["n"]
 
@@ -65,19 +92,26 @@ class Tables:
 
         ``without_load`` leaves one load out, as a repeated load must not see itself.
         """
-        paths = [p for p in self._complete(table, "load_id") if not p.endswith(f"/load_id={without_load}")]
+        loads = complete_folders(self.spark, self.path(table), "load_id")
+        paths = [p for p in loads if not p.endswith(f"/load_id={without_load}")]
         schema = schemas.struct_type(table).add("load_id", "string")
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Declared column order and types; columns the plan does not compute are NULL."""
+def conform(df: DataFrame, table: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Declared column order and types; columns the plan does not compute are NULL.
+
+    ``extra`` columns follow as they are unless the table declares them.
+    """
     present = set(df.columns)
+    declared = schemas.column_specs(table)
+    names = {c.name for c in declared}
     return df.select(
         *[
             (F.col(c.name) if c.name in present else F.lit(None)).cast(c.type).alias(c.name)
-            for c in schemas.column_specs(table)
-        ]
+            for c in declared
+        ],
+        *[c for c in extra if c not in names],
     )

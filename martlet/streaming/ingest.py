@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from martlet.operators.joins import BROADCAST_ROWS
 from martlet.operators.merge import insert_ignore
 from martlet.sources import star
+from martlet.sources.tables import complete_folders
 
 
 def stream_feed(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -34,10 +36,10 @@ def ingest_stream(
     spark = feed.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        before = [f"{target}/batch_id={n}" for n in range(batch_id)]
-        seen = _existing(spark, before)
+        done = complete_folders(spark, target, "batch_id")
+        seen = [f for f in done if int(f.rsplit("=", 1)[1]) < batch_id]
         known = spark.read.parquet(*seen) if seen else None
-        rows = insert_ignore(known, shape(batch), key, order)
+        rows = insert_ignore(known, shape(batch), key, order, small_batch_rows=BROADCAST_ROWS)
         rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return (
@@ -48,13 +50,6 @@ def ingest_stream(
     )
 
 
-def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    found = [(p, hadoop(f"{p}/_SUCCESS")) for p in paths]
-    return [p for p, marker in found if marker.getFileSystem(conf).exists(marker)]
-
-
 def ingest_order_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Stream the order lines of ``sf_dir`` into an order table under ``root`` and read it back."""
     lines = (

@@ -188,10 +188,20 @@ def test_interval_join_is_closed_and_counts_overlaps(spark):
         "id string, promo string, s date, e date",
     )
     used = spark.createDataFrame([("X", DAY + dt.timedelta(i), i) for i in range(5)], "promo string, d date, n int")
-    matched = interval_join(used, campaigns, "promo", "d", "s", "e", how="inner")
-    assert rows(matched, "id", "n") == [("c1", 0), ("c1", 1), ("c1", 2), ("c2", 2), ("c2", 3)]
-    everyone = interval_join(used, campaigns, "promo", "d", "s", "e").groupBy("id").agg(F.count("n").alias("n"))
-    assert rows(everyone) == [("c1", 3), ("c2", 2), ("c3", 0), ("c4", 0), ("c5", 0)]
+    for step in ("day", "month"):
+        args = (used, campaigns, "promo", "d", "s", "e")
+        matched = interval_join(*args, step=step)
+        assert rows(matched, "id", "n") == [("c1", 0), ("c1", 1), ("c1", 2), ("c2", 2), ("c2", 3)]
+        everyone = interval_join(*args, how="left", step=step, key="id")
+        assert sorted((r["id"], -1 if r["n"] is None else r["n"]) for r in everyone.collect()) == [
+            ("c1", 0), ("c1", 1), ("c1", 2), ("c2", 2), ("c2", 3), ("c3", -1), ("c4", -1), ("c5", -1),
+        ]
+
+
+def test_open_ended_interval(spark):
+    dim = spark.createDataFrame([("c", "X", DAY, dt.date(9999, 12, 31))], "id string, promo string, s date, e date")
+    used = spark.createDataFrame([("X", DAY - dt.timedelta(1), 0), ("X", dt.date(2030, 2, 3), 1)], "promo string, d date, n int")
+    assert rows(interval_join(used, dim, "promo", "d", "s", "e", step="month"), "n") == [(1,)]
 
 
 def test_gap_in_the_calendar_has_no_previous_day(spark):

@@ -8,7 +8,8 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from martlet import schemas
-from martlet.plans.refresh import refresh
+from martlet.plans import bronze, gold
+from martlet.plans.refresh import merge_orders, refresh
 from martlet.queries import Lake
 from martlet.sources import feeds, star
 from martlet.sources.tables import Tables
@@ -102,6 +103,41 @@ def test_two_day_run(spark, tmp_path):
         assert tables.read(mart).schema.fieldNames() == schemas.column_names(mart)
 
 
+def test_only_touched_months_are_rewritten(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    x = Lake(spark, SMALL)
+    assert merge_orders(tables, x.clean_orders) == 4400
+    stored = tables.read("silver_orders")
+    n_months = stored.select("order_month").distinct().count()
+    victim = stored.filter("status = 'pending'").orderBy("order_id").first()
+    refund = stored.drop("order_month").filter(F.col("order_id") == victim["order_id"]).withColumns(
+        {"status": F.lit("refunded"), "final_amount": F.lit(0).cast("decimal(10,2)"),
+         "order_date": F.date_add("order_date", 400)}
+    )
+    assert merge_orders(tables, refund) == 4400
+    folders = list((tmp_path / "silver" / "silver_orders").glob("version=00000002/order_month=*"))
+    assert [f.name for f in folders] == [f"order_month={victim['order_month']}"]
+    after = tables.read("silver_orders")
+    assert after.select("order_month").distinct().count() == n_months
+    changed = after.exceptAll(stored).collect()
+    assert [(r["order_id"], r["status"], r["final_amount"], r["order_date"]) for r in changed] == [
+        (victim["order_id"], "refunded", victim["final_amount"], victim["order_date"])
+    ]
+    assert merge_orders(tables, refund) == 4400  # nothing to do, nothing written
+    assert len(tables.versions("silver_orders")) == 2
+    plan = gold.product_sales(after, star.AS_OF, 30)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
+
+
+def test_small_batch_probes_the_same_rows(spark):
+    feed = Lake(spark, SMALL).order_feed
+    held = bronze.new_orders(None, feed.filter("l_returnflag = 'A'"), star.order_arrival()).select("order_id")
+    plain = bronze.new_orders(held, feed, star.order_arrival()).select("order_id", "final_amount")
+    probed = bronze.new_orders(held, feed, star.order_arrival(), small_batch_rows=10_000)
+    assert sorted(probed.select("order_id", "final_amount").collect()) == sorted(plain.collect())
+    assert plain.count() > 0
+
+
 def test_history_ids_are_stable(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     refresh(tables, lake_feeds(spark, 1), star.FIRST_DAY, "day-1", star.order_arrival())

@@ -226,16 +226,14 @@ def order_feed(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
 
     ``lines`` replaces the whole line table, for instance by one micro-batch of it.
     """
-    orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders")
+    part = table(spark, sf_dir, "part").select("p_partkey", list_price(F.col("p_retailprice")).alias("unit_price"))
     line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey") if lines is None else lines
     ck, pk = F.col("o_custkey"), F.col("l_partkey")
-    rate = F.col("l_discount").cast("decimal(4,2)")
+    points = F.round(F.col("l_discount") * 100).cast("int")
     promo = (
-        F.when(rate < F.lit("0.05").cast("decimal(4,2)"), F.lit(None))
-        .when(rate < F.lit("0.07").cast("decimal(4,2)"), "SAVE10")
-        .when(rate == F.lit("0.07").cast("decimal(4,2)"), "FLASH20")
-        .when(rate == F.lit("0.08").cast("decimal(4,2)"), "NEW50")
-        .otherwise("WEEK15")
+        F.when(points < 5, F.lit(None)).when(points < 7, "SAVE10").when(points == 7, "FLASH20")
+        .when(points == 8, "NEW50").otherwise("WEEK15")
     )
     status = (
         F.when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("l_linenumber") == 7), "on_hold")
@@ -255,7 +253,7 @@ def order_feed(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
             F.concat(F.when(ck % 97 == 96, "GUEST").otherwise("CUST"), ck).alias("customer_id"),
             F.when(F.col("l_suppkey") % 89 == 88, -pk - 1).otherwise(pk).cast("int").alias("product_id"),
             F.when(pk % 101 == 100, 0).otherwise(F.col("l_quantity")).cast("int").alias("quantity"),
-            list_price(F.col("p_retailprice")).alias("unit_price"),
+            "unit_price",
             placed.alias("order_timestamp"),
             status.alias("status"),
             pick(PAYMENT_METHODS, F.col("l_orderkey") % 5).alias("payment_method"),

@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Names, thresholds and codes that results must reproduce.
+# Names, limits, codes and texts that results must reproduce.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 ORDER_STATUSES = ("completed", "pending", "cancelled", "refunded")
 LOYALTY_TIERS = ("Bronze", "Silver", "Gold", "Platinum")
 PROMO_PERCENT = {"SAVE10": 10, "FLASH20": 20, "NEW50": 50, "WEEK15": 15}
+PRICE_TIERS = ("Budget", "Mid-range", "Premium")
+BUDGET_BELOW, MID_RANGE_UP_TO = 50, 200
+FULL_QUALITY = 100
 QUALITY_PENALTIES = {"title": 20, "description": 20, "image_url": 10, "rating_rate": 10}
+NEW_BELOW_DAYS, VIP_ABOVE_SPEND, LOYAL_ABOVE_DAYS, CHURNED_ABOVE_DAYS = 30, 50000, 365, 180
+STOCK_STATUSES = ("Out of Stock", "Low Stock", "Overstock", "In Stock")
+OVERSTOCK_TIMES_REORDER = 5
 NEVER_ORDERED_DAYS = 9999
+CHURN_ABOVE_DAYS = {"High": 180, "Medium": 90}
+RATING_ABOVE_ROI = {"Excellent": 200, "Good": 100, "Average": 0}
+INITIAL_RECORD = "Initial record"
 
 
 def _blank(c: Column) -> Column:
@@ -19,11 +28,9 @@ def _blank(c: Column) -> Column:
 
 
 def price_tier(price: Column) -> Column:
-    return (
-        F.when(price < 50, "Budget")
-        .when(price <= 200, "Mid-range")
-        .when(price.isNotNull(), "Premium")
-    )
+    budget, middle, premium = PRICE_TIERS
+    known = F.when(price < BUDGET_BELOW, budget).when(price <= MID_RANGE_UP_TO, middle)
+    return known.when(price.isNotNull(), premium)
 
 
 def quality_score(title: Column, description: Column, image: Column, rating: Column) -> Column:
@@ -34,7 +41,7 @@ def quality_score(title: Column, description: Column, image: Column, rating: Col
         "image_url": _blank(image),
         "rating_rate": rating.isNull() | (rating == 0),
     }
-    score = F.lit(100)
+    score = F.lit(FULL_QUALITY)
     for field, absent in missing.items():
         score = score - F.when(absent, QUALITY_PENALTIES[field]).otherwise(0)
     return score.cast("int")
@@ -53,30 +60,31 @@ def lifecycle_segment(age_days: Column, spend: Column, is_active: Column) -> Col
     """A NULL activity flag counts as inactive."""
     inactive = ~F.coalesce(is_active, F.lit(False))
     return (
-        F.when(inactive & (age_days > 180), "Churned")
-        .when(age_days < 30, "New")
-        .when(spend > 50000, "VIP")
-        .when(age_days > 365, "Loyal")
+        F.when(inactive & (age_days > CHURNED_ABOVE_DAYS), "Churned")
+        .when(age_days < NEW_BELOW_DAYS, "New")
+        .when(spend > VIP_ABOVE_SPEND, "VIP")
+        .when(age_days > LOYAL_ABOVE_DAYS, "Loyal")
         .otherwise("Regular")
     )
 
 
 def stock_status(stock: Column, reorder_point: Column) -> Column:
-    return (
-        F.when(stock == 0, "Out of Stock")
-        .when(stock < reorder_point, "Low Stock")
-        .when(stock > reorder_point * 5, "Overstock")
-        .otherwise("In Stock")
-    )
+    empty, low, over, normal = STOCK_STATUSES
+    plenty = stock > reorder_point * OVERSTOCK_TIMES_REORDER
+    return F.when(stock == 0, empty).when(stock < reorder_point, low).when(plenty, over).otherwise(normal)
+
+
+def _first_above(value: Column, limits: dict[str, int], otherwise: str) -> Column:
+    """Label of the first limit the value exceeds; NULL exceeds none."""
+    return F.coalesce(*[F.when(value > limit, name) for name, limit in limits.items()], F.lit(otherwise))
 
 
 def churn_risk(days_since_last: Column) -> Column:
-    return F.when(days_since_last > 180, "High").when(days_since_last > 90, "Medium").otherwise("Low")
+    return _first_above(days_since_last, CHURN_ABOVE_DAYS, "Low")
 
 
 def performance_rating(roi: Column) -> Column:
-    """A NULL return falls through to the last label."""
-    return F.when(roi > 200, "Excellent").when(roi > 100, "Good").when(roi > 0, "Average").otherwise("Poor")
+    return _first_above(roi, RATING_ABOVE_ROI, "Poor")
 
 
 def campaign_status(end_date: Column, as_of: Column) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import OPEN_END, day
+from martlet.functions.labels import INITIAL_RECORD
 
-INITIAL = "Initial record"
 PERIOD = ["valid_from", "valid_to", "is_current", "change_reason"]
 
 
@@ -62,7 +62,7 @@ def scd2_apply(
 
     action = F.col("_action")
     opened = row(
-        "new", day(as_of), day(OPEN_END), True, F.when(action == "new", INITIAL).otherwise(reason("old", "new"))
+        "new", day(as_of), day(OPEN_END), True, F.when(action == "new", INITIAL_RECORD).otherwise(reason("old", "new"))
     )
     kept = row("old", F.col("old.valid_from"), F.col("old.valid_to"), True, F.col("old.change_reason"))
     closed = row(

@@ -400,6 +400,25 @@ STATEMENTS: dict[str, str] = {
         SELECT {big("b.product_id")} AS product_id, b.title, {cents("b.price_c")} AS price,
                {cents("a.rating_c")} AS rating_rate, {big("a.rating_count")} AS rating_count
         FROM products_1 b JOIN product_attrs a ON a.product_id = b.product_id""",
+    "product_feed_json": f"""
+        SELECT {big("b.product_id")} AS product_id, b.title, {cents("b.price_c")} AS price, a.description, a.category,
+               a.image_url, {cents("a.rating_c")} AS rating_rate, {big("a.rating_count")} AS rating_count
+        FROM products_1 b JOIN product_attrs a ON a.product_id = b.product_id""",
+    "customer_feed_csv": f"""
+        SELECT customer_id, last_name, email, city, signup_date, loyalty_tier,
+               {cents("spend_c")} AS total_lifetime_spend, is_active FROM bronze_customers""",
+    "order_feed_json": f"""
+        SELECT order_id, customer_id, {big("product_id")} AS product_id, {big("quantity")} AS quantity,
+               {cents("final_c")} AS final_amount, {stamp("order_ts")} AS order_timestamp, status, promo_code
+        FROM bronze_orders""",
+    "inventory_feed_csv": f"""
+        SELECT {big("product_id")} AS product_id, {big("stock_quantity")} AS stock_quantity, warehouse_location,
+               {big("reorder_point")} AS reorder_point, {big("reorder_point * 2")} AS reorder_quantity,
+               {cents("cost_c")} AS cost_price, inventory_date FROM bronze_inventory""",
+    "campaign_feed_orc": f"SELECT {CAMPAIGN_COLUMNS} FROM bronze_campaigns",
+    "surrogate_keys": f"""
+        SELECT valid_from, {big("count(*)")} AS n, {big("count(DISTINCT product_id)")} AS n_ids
+        FROM price_history GROUP BY valid_from""",
     "order_text_parse": f"""
         SELECT order_id, CASE WHEN status <> 'on_hold' THEN {stamp("order_ts")} END AS order_timestamp
         FROM bronze_orders""",
@@ -725,6 +744,9 @@ STATEMENTS: dict[str, str] = {
           {big("count(CASE WHEN campaign_id IN (SELECT campaign_id FROM campaign_match) THEN 1 END)")}
           FROM bronze_campaigns""",
     "orders_incremental": f"SELECT {BRONZE_ORDER_COLUMNS} FROM bronze_orders",
+    "customers_incremental": f"""
+        SELECT customer_id, first_name, last_name, email, signup_date, loyalty_tier,
+               {cents("spend_c")} AS total_lifetime_spend, is_active FROM customers_merged""",
     "stream_daily_revenue": f"""
         SELECT d AS revenue_date, {cents("revenue_c")} AS total_revenue, {big("n")} AS total_orders,
                {big("n_done")} AS completed_orders, {big("items")} AS total_items_sold

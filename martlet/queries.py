@@ -177,6 +177,57 @@ def raw_json_extract(x: Lake) -> DataFrame:
     )
 
 
+def _delivered(x: Lake, name: str, feed: DataFrame, fmt: str) -> DataFrame:
+    """A feed written as files and read back through the typed reader."""
+    path = scratch_path(x.spark, f"{name}-{fmt}")
+    feed.write.format(fmt).option("header", "true").save(path)
+    return feeds.read_feed(x.spark, name, path, fmt)
+
+
+@query
+def product_feed_json(x: Lake) -> DataFrame:
+    read = _delivered(x, "products", star.product_feed(x.spark, x.sf, 1), "json")
+    return feeds.flatten_products(read).select(
+        "product_id", "title", "price", "description", "category", "image_url", "rating_rate", "rating_count"
+    )
+
+
+@query
+def customer_feed_csv(x: Lake) -> DataFrame:
+    read = _delivered(x, "customers", star.customer_feed(x.spark, x.sf), "csv")
+    return read.select("customer_id", "last_name", "email", "city", "signup_date", "loyalty_tier",
+                       "total_lifetime_spend", "is_active")
+
+
+@query
+def order_feed_json(x: Lake) -> DataFrame:
+    """Order times travel as ISO text and arrive as timestamps."""
+    read = _delivered(x, "orders", x.orders.drop("l_returnflag", *star.ORDER_ARRIVAL), "json")
+    return read.select("order_id", "customer_id", "product_id", "quantity", "final_amount", "order_timestamp", "status",
+                       "promo_code")
+
+
+@query
+def inventory_feed_csv(x: Lake) -> DataFrame:
+    columns = feeds.feed_schema("inventory").fieldNames()
+    return _delivered(x, "inventory", x.inventory.select(*columns), "csv").select(
+        "product_id", "stock_quantity", "warehouse_location", "reorder_point", "reorder_quantity", "cost_price",
+        "inventory_date",
+    )
+
+
+@query
+def campaign_feed_orc(x: Lake) -> DataFrame:
+    return _delivered(x, "campaigns", star.campaign_feed(x.spark, x.sf), "orc")
+
+
+@query
+def surrogate_keys(x: Lake) -> DataFrame:
+    """Row ids of the price history: hashes of the natural key, equal in every run."""
+    ids = x.price_history.select("product_id", "valid_from", F.xxhash64("product_id", "valid_from").alias("id"))
+    return ids.groupBy("valid_from").agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"))
+
+
 @query
 def order_text_parse(x: Lake) -> DataFrame:
     """Dates that arrive as ISO text; the unparsable ones become NULL."""
@@ -761,6 +812,26 @@ def orders_incremental(x: Lake) -> DataFrame:
     )
 
 
+@query
+def customers_incremental(x: Lake) -> DataFrame:
+    """A later customer delivery streamed into the stored customers."""
+    root = scratch_path(x.spark, "customers")
+    tables = Tables(x.spark, root)
+    tables.overwrite("bronze_customers", x.customers)
+    batch = star.customer_batch(x.spark, x.sf)
+    batch.write.parquet(f"{root}/inbox")
+    stream = ingest.stream_feed(x.spark, f"{root}/inbox", batch.schema)
+
+    def merge(stored: DataFrame, delivered: DataFrame) -> DataFrame:
+        return bronze.merge_customers(stored, delivered, ["arrival"], star.midnight(AS_OF))
+
+    ingest.merge_stream(stream, tables, "bronze_customers", f"{root}/checkpoint", merge).awaitTermination()
+    return tables.read("bronze_customers").select(
+        "customer_id", "first_name", "last_name", "email", "signup_date", "loyalty_tier", "total_lifetime_spend",
+        "is_active",
+    )
+
+
 @query
 def stream_daily_revenue(x: Lake) -> DataFrame:
     """Daily revenue from a stream of clean orders; days behind the watermark are final."""

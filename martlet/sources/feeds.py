@@ -26,9 +26,13 @@ def feed_schema(name: str) -> T.StructType:
 def read_feed(
     spark: SparkSession, name: str, path: str, fmt: str = "parquet", filename_col: str | None = None, **options
 ) -> DataFrame:
-    """Read a feed with its declared schema; a missing or empty feed is an error."""
+    """Read a feed with its declared schema; a missing or empty feed is an error.
+
+    JSON is one record per line, which splits over tasks; pass ``multiLine=True`` for
+    a feed that arrives as one array. CSV has a header.
+    """
+    defaults = {"header": "true"} if fmt == "csv" else {}
     reader = spark.read.schema(feed_schema(name)).format(fmt)
-    defaults = {"json": {"multiLine": "true"}, "csv": {"header": "true"}}.get(fmt, {})
     df = reader.options(**{**defaults, **options}).load(path)
     if df.isEmpty():
         raise ValueError(f"feed {name!r} at {path} has no records")

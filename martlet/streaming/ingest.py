@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martlet.operators.joins import BROADCAST_ROWS
 from martlet.operators.merge import insert_ignore
 from martlet.sources import star
-from martlet.sources.tables import complete_folders
+from martlet.sources.tables import Tables, complete_folders
 
 
 def stream_feed(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -50,6 +50,29 @@ def ingest_stream(
     )
 
 
+def merge_stream(
+    feed: DataFrame,
+    tables: Tables,
+    table: str,
+    checkpoint: str,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> StreamingQuery:
+    """Upsert each batch into a versioned table with ``merge(stored, batch)``.
+
+    The merges of this package give the same rows when a batch is replayed: updated
+    columns hold the last record of the batch again, all others stay.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        tables.overwrite(table, merge(tables.read(table), batch))
+
+    return (
+        feed.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_order_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Stream the order lines of ``sf_dir`` into an order table under ``root`` and read it back."""
     lines = (

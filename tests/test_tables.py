@@ -154,7 +154,7 @@ def test_product_feed_as_json(spark, tmp_path):
         '[{"id": 1, "title": "t", "price": 9.99, "category": "c", "rating": {"rate": 4.5, "count": 3}},'
         ' {"id": 2, "title": "u", "price": 1, "category": "c", "image": "i"}]'
     )
-    flat = feeds.flatten_products(feeds.read_feed(spark, "products", str(path), "json"))
+    flat = feeds.flatten_products(feeds.read_feed(spark, "products", str(path), "json", multiLine=True))
     got = {r["product_id"]: r for r in flat.collect()}
     assert str(got[1]["rating_rate"]) == "4.50" and got[1]["image_url"] is None
     assert got[2]["rating_count"] is None and str(got[2]["price"]) == "1.00"
@@ -164,7 +164,13 @@ def test_empty_feed_is_an_error(spark, tmp_path):
     path = tmp_path / "products.json"
     path.write_text("[]")
     with pytest.raises(ValueError, match="no records"):
-        feeds.read_feed(spark, "products", str(path), "json")
+        feeds.read_feed(spark, "products", str(path), "json", multiLine=True)
+
+
+def test_one_record_per_line(spark, tmp_path):
+    path = tmp_path / "users.json"
+    path.write_text('{"id": 1, "email": "a@b.cd"}\n{"id": 2}\n')
+    assert feeds.read_feed(spark, "users", str(path), "json").count() == 2
 
 
 def test_csv_feed_and_lineage(spark, tmp_path):
@@ -182,7 +188,7 @@ def test_csv_feed_and_lineage(spark, tmp_path):
 def test_user_feed(spark, tmp_path):
     path = tmp_path / "users.json"
     path.write_text('[{"id": 1, "email": "a@b.cd", "name": {"firstname": "x"}, "address": {"city": "y"}}]')
-    assert feeds.read_feed(spark, "users", str(path), "json").select("name.firstname").first()[0] == "x"
+    assert feeds.read_feed(spark, "users", str(path), "json", multiLine=True).select("name.firstname").first()[0] == "x"
 
 
 def test_unparsable_dates_become_null(spark):

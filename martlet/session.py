@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,9 +38,12 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="martlet-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _own_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="martlet-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.merge import insert_ignore, merge_subset
-from martlet.sources.feeds import with_raw_json
+from martlet.sources.feeds import flatten_products, with_lineage, with_raw_json
 
 # Columns a second delivery of a known key may change.
 CUSTOMER_UPDATES = ["total_lifetime_spend", "loyalty_tier", "is_active"]
@@ -35,6 +37,21 @@ def merge_campaigns(target: DataFrame, batch: DataFrame, arrival: list[str] | No
     return merge_subset(target, batch, ["campaign_id"], CAMPAIGN_UPDATES, arrival)
 
 
-def with_payload(feed: DataFrame) -> DataFrame:
-    """Products and orders keep the record as received."""
-    return with_raw_json(feed)
+def stamped(name: str, feed: DataFrame, run_id: str, at: dt.datetime) -> DataFrame:
+    """Feed records with what the bronze table adds: payload, lineage and a row id.
+
+    Columns a feed brings along stay as they are. Products and orders keep the record
+    as received.
+    """
+    df = feed
+    if name in ("products", "orders") and "raw_json" not in df.columns:
+        df = with_raw_json(df)
+    if name == "products" and "product_id" not in df.columns:
+        df = flatten_products(df)
+    if "pipeline_run_id" not in df.columns:
+        df = with_lineage(df, f"{name}_feed", run_id, at)
+    if name == "inventory" and "inventory_id" not in df.columns:
+        df = df.withColumn(
+            "inventory_id", F.xxhash64("product_id", "warehouse_location", "inventory_date", "pipeline_run_id")
+        )
+    return df

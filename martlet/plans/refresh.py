@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import labels
+from martlet.functions.dates import OPEN_END
 from martlet.operators.history import scd2_apply
 from martlet.operators.joins import BROADCAST_ROWS
 from martlet.plans import bronze, extended, gold, silver
@@ -42,6 +43,7 @@ def tier_reason(old: str, new: str) -> Column:
 
 def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arrival: list[Column], at: dt.datetime) -> dict:
     """Products, orders and inventory are appended as one load per run; customers and campaigns merge."""
+    feeds = {name: bronze.stamped(name, feed, run_id, at) for name, feed in feeds.items()}
     counts = {}
     seen = tables.read_appended("bronze_products", without_load=run_id)
     counts["bronze_products"] = tables.append(
@@ -144,18 +146,32 @@ def build_gold(tables: Tables, as_of: dt.date) -> dict:
     return {table: tables.overwrite(table, mart) for table, mart in full_marts(tables, as_of).items()}
 
 
+def apply_snapshot(tables: Tables, table: str, snapshot: DataFrame, as_of: dt.date, surrogate: str, **spec) -> int:
+    """Bring a snapshot into a stored history; returns the rows stored afterwards.
+
+    Histories are stored by the month in which a period ends. A run reads and rewrites
+    the open periods and the month it closes periods in; older months stay untouched.
+    """
+    closing = (as_of - dt.timedelta(days=1)).replace(day=1)
+    in_reach = F.col("closed_month").isin(closing, OPEN_END.replace(day=1))
+    history = scd2_apply(
+        tables.read(table).filter(in_reach), snapshot, as_of=as_of, surrogate=surrogate, **spec
+    )
+    tables.overwrite(table, history.withColumn("closed_month", F.trunc("valid_to", "month")))
+    return tables.read(table).count()
+
+
 def update_history(tables: Tables, as_of: dt.date) -> dict:
-    updated = {
-        "product_price_history": scd2_apply(
-            tables.read("product_price_history"), tables.read("silver_products").filter("is_active"),
-            as_of=as_of, reason=price_reason, surrogate="price_history_id", **PRODUCT_HISTORY,
+    products = tables.read("silver_products").filter("is_active")
+    customers = tables.read("silver_customers").filter("is_active")
+    return {
+        "product_price_history": apply_snapshot(
+            tables, "product_price_history", products, as_of, "price_history_id", reason=price_reason, **PRODUCT_HISTORY
         ),
-        "customer_tier_history": scd2_apply(
-            tables.read("customer_tier_history"), tables.read("silver_customers").filter("is_active"),
-            as_of=as_of, reason=tier_reason, surrogate="tier_history_id", **CUSTOMER_HISTORY,
+        "customer_tier_history": apply_snapshot(
+            tables, "customer_tier_history", customers, as_of, "tier_history_id", reason=tier_reason, **CUSTOMER_HISTORY
         ),
     }
-    return {table: tables.overwrite(table, history) for table, history in updated.items()}
 
 
 def refresh(

@@ -116,11 +116,11 @@ TABLES: dict[str, Table] = {
     "product_price_history": Table("history", ("product_id", "valid_from"), """
         price_history_id bigint!, product_id int!, product_name string(500), category string(100),
         price decimal(10,2)!, price_tier string(20), valid_from date!, valid_to date!, is_current boolean,
-        change_reason string(255)"""),
+        change_reason string(255)""", partition="closed_month"),
     "customer_tier_history": Table("history", ("customer_id", "valid_from"), """
         tier_history_id bigint!, customer_id string(50)!, full_name string(255), email string(255),
         loyalty_tier string(20)!, total_lifetime_spend decimal(12,2), valid_from date!, valid_to date!,
-        is_current boolean, change_reason string(255)"""),
+        is_current boolean, change_reason string(255)""", partition="closed_month"),
 }
 
 # Feed records before lineage columns are added.

@@ -1,7 +1,9 @@
 """Versioned tables, the layered run and the streaming jobs."""
 
 import datetime as dt
+import json
 import os
+from decimal import Decimal
 
 import pytest
 from conftest import SMALL
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martlet import schemas
 from martlet.plans import bronze, gold
-from martlet.plans.refresh import merge_orders, refresh
+from martlet.plans.refresh import PRODUCT_HISTORY, apply_snapshot, merge_orders, price_reason, refresh
 from martlet.queries import Lake
 from martlet.sources import feeds, star
 from martlet.sources.tables import Tables
@@ -86,6 +88,10 @@ def test_two_day_run(spark, tmp_path):
     stored = {t: content(tables, t) for t in schemas.TABLES if t.startswith(("silver", "gold")) or "history" in t}
     assert all(stored[t] for t in stored)
 
+    order = tables.read_appended("bronze_orders").first()
+    assert (order["source"], order["pipeline_run_id"]) == ("orders_feed", "day-1")
+    assert json.loads(order["raw_json"])["order_id"] == order["order_id"]
+
     again = refresh(tables, lake_feeds(spark, 1), star.FIRST_DAY, "day-1", star.order_arrival())
     assert again == first
     assert {t: content(tables, t) for t in stored} == stored
@@ -129,6 +135,33 @@ def test_only_touched_months_are_rewritten(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(order_month" in plan
 
 
+def test_closed_periods_are_written_once(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    spec = {"reason": price_reason, **PRODUCT_HISTORY}
+
+    def run(as_of, *priced):
+        rows = [(i, f"p{i}", "c", Decimal(p), "t") for i, p in priced]
+        snap = spark.createDataFrame(
+            rows, "product_id int, product_name string, category string, price decimal(10,2), price_tier string"
+        )
+        return apply_snapshot(tables, "product_price_history", snap, as_of, "price_history_id", **spec)
+
+    assert run(dt.date(2001, 1, 10), (1, 1), (2, 1)) == 2
+    assert run(dt.date(2001, 1, 20), (1, 2), (2, 1)) == 3
+    assert run(dt.date(2001, 1, 25), (1, 3), (2, 1)) == 4
+    assert run(dt.date(2001, 3, 5), (1, 4), (2, 2)) == 6
+    folders = sorted(f.parent.name + "/" + f.name for f in (tmp_path / "history").glob("*/*/closed_month=*"))
+    assert [f for f in folders if f.startswith("version=00000004")] == [
+        "version=00000004/closed_month=2001-03-01", "version=00000004/closed_month=9999-12-01",
+    ]
+    periods = tables.read("product_price_history").orderBy("product_id", "valid_from").collect()
+    assert [(r["product_id"], int(r["price"]), r["valid_from"].isoformat(), r["is_current"]) for r in periods] == [
+        (1, 1, "2001-01-10", False), (1, 2, "2001-01-20", False), (1, 3, "2001-01-25", False),
+        (1, 4, "2001-03-05", True), (2, 1, "2001-01-10", False), (2, 2, "2001-03-05", True),
+    ]
+    assert run(dt.date(2001, 3, 5), (1, 4), (2, 2)) == 6
+
+
 def test_small_batch_probes_the_same_rows(spark):
     feed = Lake(spark, SMALL).order_feed
     held = bronze.new_orders(None, feed.filter("l_returnflag = 'A'"), star.order_arrival()).select("order_id")
@@ -138,6 +171,17 @@ def test_small_batch_probes_the_same_rows(spark):
     assert plain.count() > 0
 
 
+def test_stamping_a_raw_feed(spark):
+    at = dt.datetime(2001, 8, 1, 6)
+    product = bronze.stamped("products", star.product_feed(spark, SMALL, 1), "r1", at).filter("product_id = 4").first()
+    payload = json.loads(product["raw_json"])
+    assert payload["id"] == 4 and payload["title"] == product["title"] == ""
+    assert (product["source"], product["ingestion_timestamp"], product["pipeline_run_id"]) == ("products_feed", at, "r1")
+    raw = star.bronze_inventory(spark, SMALL).drop("inventory_id", "source", "ingestion_timestamp", "pipeline_run_id")
+    stamped = bronze.stamped("inventory", raw, "r1", at)
+    assert stamped.select("inventory_id").distinct().count() == stamped.count() == 600
+
+
 def test_history_ids_are_stable(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     refresh(tables, lake_feeds(spark, 1), star.FIRST_DAY, "day-1", star.order_arrival())

@@ -48,12 +48,13 @@ def quality_score(title: Column, description: Column, image: Column, rating: Col
 
 
 def valid_email(email: Column) -> Column:
-    return email.rlike(EMAIL_PATTERN)
+    """``(?d)``: as a line end, ``$`` accepts a newline and nothing else."""
+    return email.rlike(f"(?d){EMAIL_PATTERN}")
 
 
 def full_name(first: Column, last: Column) -> Column:
-    """First and last name joined; a missing part is left out."""
-    return F.trim(F.concat_ws(" ", first, last))
+    """First and last name joined without outer white space; a missing part is left out."""
+    return F.btrim(F.concat_ws(" ", first, last), F.lit(" \t\n\r\x0b\x0c"))
 
 
 def lifecycle_segment(age_days: Column, spend: Column, is_active: Column) -> Column:

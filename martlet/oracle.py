@@ -504,7 +504,7 @@ STATEMENTS: dict[str, str] = {
         SELECT customer_id AS record_key,
                CASE WHEN email IS NULL THEN 'email_required,email_valid' ELSE 'email_valid' END AS reasons
         FROM bronze_customers WHERE email IS NULL OR NOT regexp_matches(email, {EMAIL})""",
-    "customer_coverage": f"""
+    "ri_coverage": f"""
         SELECT {big("count(CASE WHEN c.customer_id IS NULL THEN 1 END)")} AS orphans,
                {big("count(CASE WHEN c.customer_id IS NOT NULL AND o.customer_id IS NOT NULL THEN 1 END)")} AS referenced,
                {big("count(c.customer_id)")} AS total

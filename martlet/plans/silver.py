@@ -175,10 +175,15 @@ def silver_inventory(bronze: DataFrame) -> Split:
         "reorder_point",
         "cost_price",
         labels.stock_status(F.col("stock_quantity"), F.col("reorder_point")).alias("stock_status"),
-        F.coalesce(F.col("stock_quantity") * F.col("cost_price"), F.lit(0)).cast("decimal(12,2)").alias("inventory_value"),
+        F.coalesce(F.col("stock_quantity") * F.col("cost_price"), F.lit(0)).try_cast("decimal(12,2)").alias(
+            "inventory_value"
+        ),
         "inventory_date",
     )
-    rules = schemas.schema_rules("silver_inventory", [c for c in shaped.columns])
+    rules = {
+        "inventory_value_fits": F.col("inventory_value").isNotNull(),
+        **schemas.schema_rules("silver_inventory", shaped.columns),
+    }
     clean, broken = gate(shaped, rules)
     return clean, _rejects(negative, "product_id").unionByName(_rejects(broken, "product_id"))
 

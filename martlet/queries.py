@@ -14,7 +14,8 @@ from martlet.functions import labels
 from martlet.functions.ordering import SortKey
 from martlet.operators.history import scd2_apply, scd2_as_of, scd2_changes
 from martlet.operators.joins import interval_join
-from martlet.operators.quality import failed_rules, gate, require_keys, ri_coverage, unique_on
+from martlet.operators.quality import failed_rules, gate, require_keys, unique_on
+from martlet.operators.quality import ri_coverage as coverage
 from martlet.operators.ranking import global_rank, rank_within
 from martlet.plans import bronze, extended, gold, silver
 from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, tier_reason
@@ -24,6 +25,7 @@ from martlet.sources.star import AS_OF, FIRST_DAY
 from martlet.sources.tables import Tables
 from martlet.streaming import ingest, revenue
 
+
 class Lake:
     """The bronze and clean tables of one scale factor, all lazy."""
 
@@ -435,8 +437,8 @@ def dq_customer_rejects(x: Lake) -> DataFrame:
 
 
 @query
-def customer_coverage(x: Lake) -> DataFrame:
-    return ri_coverage(x.orders, x.customer_keys, "customer_id")
+def ri_coverage(x: Lake) -> DataFrame:
+    return coverage(x.orders, x.customer_keys, "customer_id")
 
 
 # ---------------------------------------------------------------- clean tables

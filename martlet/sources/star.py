@@ -210,7 +210,7 @@ def customer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         feed.join(records, "customer_id")
-        .withColumn("customer_id", F.when(F.col("_new") == "N", F.expr("replace(customer_id, 'CUST', 'CUSTN')")).otherwise(F.col("customer_id")))
+        .withColumn("customer_id", F.concat(F.lit("CUST"), "_new", F.substring("customer_id", 5, 50)))
         .drop("_new")
     )
 

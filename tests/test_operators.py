@@ -88,6 +88,24 @@ def test_change_reasons(spark):
     ]
 
 
+def test_email_and_name_text(spark):
+    df = spark.createDataFrame(
+        [("a@b.cd",), ("a@b.cd\n",), ("a@b.cd\r",), ("a@b.c",), ("@b.cd",), ("a b@c.de",), ("A.b+c%d@x-y.Example",), (None,)],
+        "e string",
+    )
+    assert [r[0] for r in df.select(labels.valid_email(F.col("e"))).collect()] == [
+        True, True, False, False, False, False, True, None,
+    ]
+    names = spark.createDataFrame([("A", "B"), (" \tA", "B\n"), (None, "B"), ("A", None), (None, None)], "f string, l string")
+    assert [r[0] for r in names.select(labels.full_name(F.col("f"), F.col("l"))).collect()] == ["A B", "A B", "B", "A", ""]
+
+
+def test_amount_too_large_is_rejected_not_fatal(spark):
+    df = spark.createDataFrame([(D("99999999.99"), 2, "NEW50")], "price decimal(10,2), qty int, promo string")
+    done = order_amounts(df, "price", "qty", "promo", labels.PROMO_PERCENT)
+    assert rows(done, "total_amount", "discount_amount", "final_amount") == [(None, None, None)]
+
+
 def test_amounts(spark):
     df = spark.createDataFrame([(D("0.33"), 1, "NEW50"), (D("10.05"), 3, "SAVE10"), (D("5"), 2, None), (D("5"), 1, "X")],
                                "price decimal(10,2), qty int, promo string")

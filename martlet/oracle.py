@@ -72,7 +72,8 @@ FEEDS = {
         FROM part_c""",
     "products_2": """
         SELECT pk AS product_id, CASE WHEN pk % 34 = 4 THEN '' ELSE p_name END AS title,
-               CASE WHEN pk % 13 = 0 THEN (list_c * 110 + 50) // 100 WHEN pk % 31 = 7 THEN 0 ELSE list_c END AS price_c,
+               CASE WHEN pk % 13 = 0 THEN (list_c * 110 + 50) // 100 WHEN pk % 31 = 7 THEN 0
+                    ELSE list_c END AS price_c,
                CAST(DATE '2001-08-01' AS TIMESTAMP) AS ingested, 'load-2' AS run_id, p_name, p_type, p_size
         FROM part_c""",
     "bronze_products": "SELECT * FROM products_1 UNION ALL SELECT * FROM products_2",

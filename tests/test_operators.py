@@ -183,7 +183,8 @@ def test_first_writer_wins(spark):
 
 
 def test_partial_update_with_repeated_keys(spark):
-    target = spark.createDataFrame([("a", "A", 1, None), ("z", "Z", 9, None)], "id string, name string, n int, t timestamp_ntz")
+    schema = "id string, name string, n int, t timestamp_ntz"
+    target = spark.createDataFrame([("a", "A", 1, None), ("z", "Z", 9, None)], schema)
     batch = spark.createDataFrame(
         [("a", "ignored", 2, 1), ("a", "ignored", None, 2), ("b", "first", 5, 1), ("b", "second", 6, 2)],
         "id string, name string, n int, at int",

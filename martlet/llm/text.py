@@ -22,7 +22,9 @@ SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.RandomState(20240229)
 _BYTE = _RANDOM.randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE[65:91] = _BYTE[97:123]
+#: The same values with A-Z read as a-z.
+FOLDED = _BYTE.copy()
+FOLDED[65:91] = FOLDED[97:123]
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -109,13 +111,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets, "left")
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, and the n + 1 word offsets of the texts."""
-    starts, ends, bounds = word_spans(data, offsets)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span."""
     power, inverse = _powers_to(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts]), bounds
+    np.cumsum(values[data] * power[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word with A-Z lower-cased, and the n + 1 word offsets of the texts."""
+    starts, ends, bounds = word_spans(data, offsets)
+    return span_hashes(data, starts, ends, FOLDED), bounds
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,6 +22,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +32,51 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm.text import SLICE_BYTES, prepare
+from martlet.llm.text import FOLDED, SLICE_BYTES, mix, prepare, slices, span_hashes, word_spans
 
-#: Words kept between batches by one worker, and ids kept for them; beyond either the memory starts anew.
-MEMO_WORDS = 250_000
-MEMO_IDS = 2_500_000
+#: Words, and ids of them, that a worker remembers; beyond either it starts anew.
+MEMO_WORDS = 1_500_000
+MEMO_IDS = 10_000_000
+
+
+_CLOSING = np.zeros(256, dtype=bool)
+_CLOSING[list(b".,!?;:%$&*#")] = True
+_ALPHANUMERIC = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
+
+
+def encoded_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the spans that are encoded on their own, and the n + 1 span offsets of the texts.
+
+    A word is cut before closing punctuation that follows an ASCII letter or digit, where the splitter
+    cuts as well, and known by its lower-cased bytes, as the normalizer lower-cases; only words
+    that might spell a special token, which is looked for before that, are known by their own bytes.
+    """
+    starts, ends, bounds = word_spans(data, offsets)
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64), bounds
+    last_open = np.maximum.accumulate(np.where(_CLOSING[data], -1, np.arange(len(data))))
+    core = np.maximum(last_open[ends - 1] + 1, starts)
+    cut = (core > starts) & (core < ends) & _ALPHANUMERIC[data[core - 1]]
+    second = np.flatnonzero(cut) + np.arange(1, cut.sum() + 1)
+    span_starts = np.repeat(starts, 1 + cut)
+    span_starts[second] = core[cut]
+    span_ends = np.repeat(ends, 1 + cut)
+    span_ends[second - 1] = core[cut]
+    bounds = bounds + np.concatenate([[0], np.cumsum(cut)])[bounds]
+    hashes = span_hashes(data, span_starts, span_ends, FOLDED)
+    angle = np.concatenate([[0], np.cumsum(data == ord("<"))])
+    special = np.flatnonzero(angle[span_ends] > angle[span_starts])
+    if len(special):
+        hashes[special] = mix(span_hashes(data, span_starts[special], span_ends[special]))
+    return span_starts, span_ends, hashes, bounds
 
 
 class WordEncoder:
-    """Encodes texts with a ``tokenizers`` file whose splitting never crosses white space.
+    """Encodes texts with a ``tokenizers`` file that lower-cases and whose splitting never crosses white space.
 
-    The normalizer and splitter of such a file treat every run between ASCII white space on
-    its own, so each distinct run of a batch is encoded once by the library and its ids are
-    copied to every place it occurs in.
+    The normalizer and splitter of such a file treat each span of ``encoded_spans`` on its own,
+    so each distinct one is encoded once by the library, and its ids are copied to
+    every place it occurs in. Spans are known by a 64-bit hash.
     """
 
     def __init__(self, path: str):
@@ -54,39 +87,52 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._slot: dict[str, int] = {}
+        self._keys = np.zeros(0, np.uint64)  # sorted; _slots has the number of each
+        self._slots = np.zeros(0, np.int64)
+        self._starts = np.zeros(1, np.int64)  # of the ids of each slot
         self._ids = np.zeros(1 << 16, np.int32)
-        self._starts = np.zeros(1, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        slots = np.arange(len(self._keys), len(self._keys) + len(keys))
         for at in range(0, len(words), 10_000):
-            part = words[at : at + 10_000]
-            found = [e.ids for e in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(words[at : at + 10_000], add_special_tokens=False)]
             ends = self._starts[-1] + np.cumsum([len(ids) for ids in found])
             while ends[-1] > len(self._ids):
                 self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-            self._ids[self._starts[-1] : ends[-1]] = np.fromiter((i for ids in found for i in ids), np.int32)
-            n = len(self._slot)
-            self._slot.update(zip(part, range(n, n + len(part))))
+            self._ids[self._starts[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32)
             self._starts = np.concatenate([self._starts, ends])
+        order = np.argsort(np.concatenate([self._keys, keys]), kind="stable")
+        self._slots = np.concatenate([self._slots, slots])[order]
+        self._keys = np.concatenate([self._keys, keys])[order]
+
+    def _slots_of(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self._keys, keys)
+        new = np.ones(len(keys), bool)
+        if len(self._keys):
+            new = self._keys[np.minimum(at, len(self._keys) - 1)] != keys
+        if new.any():
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn(keys[new], [raw[a:b].decode() for a, b in spans])
+            at = np.searchsorted(self._keys, keys)
+        return self._slots[at][inverse]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each closed by ``end_id``, and the n + 1 offsets of the texts."""
-        if len(self._slot) > MEMO_WORDS or self._starts[-1] > MEMO_IDS:
+        if len(self._keys) > MEMO_WORDS or self._starts[-1] > MEMO_IDS:
             self._forget()
-        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        per_text = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self._learn([w for w in distinct if w not in self._slot])
-        slots = np.fromiter((self._slot[w] for w in distinct), np.int64, len(distinct))
-        slots = slots[coded.indices.to_numpy(zero_copy_only=False)]
-        sizes = (self._starts[1:] - self._starts[:-1])[slots]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        text_ends = ends[np.cumsum(per_text)] if len(per_text) else ends[:0]
-        source = np.repeat(self._starts[:-1][slots] - ends[:-1], sizes) + np.arange(ends[-1])
-        ids = np.insert(self._ids[source], text_ends, end_id)
-        return ids.astype(np.int32), np.concatenate([[0], text_ends + np.arange(1, len(per_text) + 1)])
+        parts, counts = [], []
+        for _, _, data, offsets in slices(texts):
+            starts, ends, hashes, bounds = encoded_spans(data, offsets)
+            slots = self._slots_of(hashes, data, starts, ends)
+            sizes = (self._starts[1:] - self._starts[:-1])[slots]
+            before = np.concatenate([[0], np.cumsum(sizes)])
+            source = np.repeat(self._starts[:-1][slots] - before[:-1], sizes) + np.arange(before[-1])
+            parts.append(np.insert(self._ids[source], before[bounds[1:]], end_id))
+            counts.append(np.diff(before[bounds]) + 1)
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        return ids, np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
 
 
 @lru_cache(maxsize=2)

@@ -268,3 +268,25 @@ def near_duplicates(
     return rows.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     )
+
+
+def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; columns as they are.
+
+    Rows that share an id are one document, so of repeated rows one stays, and of different texts under
+    the smallest id of a component the one with the smallest hash. Rows without an id all stay.
+    """
+    found = near_duplicates(docs, size, percent, id_col, text_col)
+    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
+    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
+        F.count("*").alias("_n"), F.min(F.xxhash64(F.col(text_col))).alias("_first")
+    ).filter("_n > 1")
+    path = scratch_path(docs.sparkSession, "repeated-ids")
+    repeated.write.parquet(path)
+    repeated = docs.sparkSession.read.parquet(path)
+    if repeated.limit(1).count():
+        again = rows.join(repeated, F.col(id_col) == F.col("_id"), "left")
+        first = again.filter(F.col("_first").isNull() | (F.xxhash64(F.col(text_col)) == F.col("_first")))
+        rows = first.select(*docs.columns).dropDuplicates([id_col])
+    return rows.unionByName(docs.filter(F.col(id_col).isNull()))

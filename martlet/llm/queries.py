@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import tokens
+from martlet.llm import contamination, mixing, neardup, quality, tokens, toxicity, urls
 from martlet.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,9 +27,103 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.id_digest(tokens.read_tokens(spark, path))
 
 
+#: The rules that op2 applies.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allows or blocks every page by rule, or else by a regression on n-grams of host and path."""
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, urls.labelled_urls())
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds at least 80 % of the five-word shingles of a benchmark item, with the item."""
+    return contamination.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from its labelled rows."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, replicated so that sources weigh the square root of their size, in random order."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 80 % of their four-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from its labelled rows."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output,)}
+    found = (
+        op1_token_output,
+        op2_url_filter,
+        op3_decontamination,
+        op4_quality,
+        op7_mixing,
+        op8_near_duplicates,
+        op9_toxicity,
+    )
+    return {f.__name__: f for f in found}
+
+
+#: Five-word shingles of both sides and their exact containment; only A-Z are lower-cased.
+CONTAINMENT_SQL = r"""
+WITH words AS (
+    SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), split AS (
+    SELECT side, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM words
+), shingles AS (
+    SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+    FROM split
+), items AS (
+    SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS item_shingles FROM shingles WHERE side = 'i'
+)
+SELECT d.id AS doc_id, item_id, count(*) AS shared, item_shingles, count(*) / item_shingles AS containment
+FROM shingles d JOIN items i ON d.side = 'd' AND d.s = i.s
+GROUP BY d.id, item_id, item_shingles
+HAVING 100 * count(*) >= 80 * item_shingles
+"""
+
+MIXING_SQL = """
+WITH counts AS (
+    SELECT coalesce(source, '') AS source, count(*) AS n, sqrt(count(*)) AS weight FROM documents GROUP BY 1
+), rates AS (
+    SELECT source, weight / sum(weight) OVER () * sum(n) OVER () / n AS rate FROM counts
+), steps AS (
+    SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1)) AS k FROM rates
+), cdf AS (
+    SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p FROM steps
+), tables AS (
+    SELECT source, list(p ORDER BY k) AS cdf FROM cdf GROUP BY source
+), drawn AS (
+    SELECT d.*, CAST(CAST('0x' || substr(md5('mix-1:' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS u, cdf
+    FROM documents d JOIN tables t ON coalesce(d.source, '') = t.source
+), counted AS (
+    SELECT *, CAST(len(list_filter(cdf, lambda c: c <= u)) AS INTEGER) AS copies FROM drawn
+), copied AS (
+    SELECT *, unnest(range(1, copies + 1)) AS r FROM counted
+)
+SELECT doc_id, text, lang, source, n_chars, CAST(r AS INTEGER) AS replica, copies,
+       CAST('0x' || substr(md5('mix-1:' || doc_id || ':' || r), 1, 15) AS BIGINT) AS shuffle_key
+FROM copied
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": CONTAINMENT_SQL, "op7_mixing": MIXING_SQL}

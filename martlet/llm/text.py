@@ -95,12 +95,14 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         first = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the n + 1 word offsets of the texts."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = ~_IS_SPACE[data]
+    inside = ~separator[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     starts = inside & edge[:-1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import contamination, mixing, neardup, quality, tokens, toxicity, urls
+from martlet.llm import contamination, mixing, neardup, quality, rules, tokens, toxicity, urls
 from martlet.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,6 +52,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures, failed rules and verdict under the production policy."""
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, replicated so that sources weigh the square root of their size, in random order."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_url_filter,
         op3_decontamination,
         op4_quality,
+        op6_quality_rules,
         op7_mixing,
         op8_near_duplicates,
         op9_toxicity,
@@ -100,6 +106,33 @@ GROUP BY d.id, item_id, item_shingles
 HAVING 100 * count(*) >= 80 * item_shingles
 """
 
+RULES_SQL = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS solid,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 1)) AS pos, w FROM split WHERE len(w) > 2
+), named AS (
+    SELECT doc_id, pos, w[pos] || ' ' || w[pos + 1] || ' ' || w[pos + 2] AS s FROM windows
+), twice AS (
+    SELECT doc_id, pos FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, s) AS n FROM named) WHERE n > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT pos + o) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS o) GROUP BY doc_id
+), measured AS (
+    SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, length(solid) AS word_chars,
+           length(regexp_replace(solid, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+           CAST(len(lines) AS BIGINT) AS n_lines, length(regexp_replace(solid, '[^\p{Lu}]+', '', 'g')) AS n_upper,
+           CAST(len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS BIGINT) AS n_letter_words
+    FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id
+), judged AS (
+    SELECT *, CAST(@bits@ AS BIGINT) AS fail_bits FROM measured
+)
+SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 'production-1' AS policy FROM judged
+""".replace("@bits@", " + ".join(f"CASE WHEN {c} THEN {rules.BITS[r]} ELSE 0 END" for r, c in rules.RULES.items()))
+
 MIXING_SQL = """
 WITH counts AS (
     SELECT coalesce(source, '') AS source, count(*) AS n, sqrt(count(*)) AS weight FROM documents GROUP BY 1
@@ -126,4 +159,4 @@ FROM copied
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": CONTAINMENT_SQL, "op7_mixing": MIXING_SQL}
+    return {"op3_decontamination": CONTAINMENT_SQL, "op6_quality_rules": RULES_SQL, "op7_mixing": MIXING_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import contamination, mixing, neardup, quality, rules, tokens, toxicity, urls
+from martlet.llm import contamination, lines, mixing, neardup, quality, rules, tokens, toxicity, urls
 from martlet.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that at least eight sites share."""
+    return lines.cut_shared_lines(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_token_output,
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_mixing,
         op8_near_duplicates,
         op9_toxicity,
+        op10_line_dedup,
     )
     return {f.__name__: f for f in found}
 
@@ -158,5 +164,22 @@ FROM copied
 """
 
 
+LINES_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(source, '') AS site, pos, line
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+          FROM documents)
+), shared AS (
+    SELECT trim(line, ' ') AS bare FROM lines WHERE length(trim(line, ' ')) >= 20
+    GROUP BY 1 HAVING count(DISTINCT site) >= 8
+), marked AS (
+    SELECT l.*, s.bare IS NOT NULL AS cut FROM lines l LEFT JOIN shared s ON trim(l.line, ' ') = s.bare
+)
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (cut) AS INTEGER) AS n_cut,
+       coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT cut), '') AS text
+FROM marked GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": CONTAINMENT_SQL, "op6_quality_rules": RULES_SQL, "op7_mixing": MIXING_SQL}
+    return {"op3_decontamination": CONTAINMENT_SQL, "op6_quality_rules": RULES_SQL, "op7_mixing": MIXING_SQL, "op10_line_dedup": LINES_SQL}

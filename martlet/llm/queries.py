@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import contamination, lines, mixing, neardup, quality, rules, tokens, toxicity, urls
+from martlet.llm import contamination, licenses, lines, mixing, neardup, quality, rules, tokens, toxicity, urls
 from martlet.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,6 +52,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document that is a licence notice, with its family."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's measures, failed rules and verdict under the production policy."""
     return rules.judge(table(spark, sf_dir, "documents"))
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_url_filter,
         op3_decontamination,
         op4_quality,
+        op5_license_scan,
         op6_quality_rules,
         op7_mixing,
         op8_near_duplicates,

@@ -14,9 +14,14 @@ from martlet.functions.labels import INITIAL_RECORD
 PERIOD = ["valid_from", "valid_to", "is_current", "change_reason"]
 
 
+def _open() -> Column:
+    """A row whose flag is unknown is a closed one."""
+    return F.coalesce(F.col("is_current"), F.lit(False))
+
+
 def _compare(history: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]) -> DataFrame:
     """Current history rows beside the snapshot, with the action each key needs."""
-    old = history.filter("is_current").withColumn("_was", F.lit(True)).alias("old")
+    old = history.filter(_open()).withColumn("_was", F.lit(True)).alias("old")
     new = snapshot.withColumn("_is", F.lit(True)).alias("new")
     differs = F.lit(False)
     for c in tracked:
@@ -75,7 +80,7 @@ def scd2_apply(
     )
     columns = [*attributes, *PERIOD]
     result = (
-        history.filter(~F.col("is_current")).select(*columns).unionByName(compared.select(F.inline(rows)))
+        history.filter(~_open()).select(*columns).unionByName(compared.select(F.inline(rows)))
     )
     if surrogate:
         result = result.withColumn(surrogate, F.xxhash64(key, "valid_from"))

@@ -5,16 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest side that may be sent to every executor.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, counted now."""
-    small = df.count() <= max_rows
-    return (F.broadcast(df) if small else df), small
-
-
 def interval_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -23,18 +13,17 @@ def interval_join(
     start: str,
     end: str,
     how: str = "inner",
-    step: str = "day",
+    step: str = "month",
     key: str | None = None,
 ) -> DataFrame:
     """``dim`` joined to the ``fact`` rows whose date lies in its closed interval.
 
-    Every interval is spelled out as its days (or the months it touches), so the
-    match is an equi-join on (``eq``, day or month) and a popular ``eq`` value
+    Every interval is spelled out as the months it touches (or as its days), so the
+    match is an equi-join on (``eq``, month or day) and a popular ``eq`` value
     spreads over the calendar; no range join and no broadcast to size.
 
-    ``step='day'`` keeps the join keys small for single fact rows. ``'month'`` suits
-    a fact aggregated to (``eq``, ``point``) and intervals that may be very long: an
-    open end in 9999 is 96,000 months instead of 2.9 million days.
+    ``step='day'`` is for intervals known to be short: an open end in 9999 is 96,000
+    months, but 2.9 million days.
     ``how='left'`` also keeps each dim row without a match, once; it needs the dim's
     unique ``key``. Empty intervals and those with a NULL bound match nothing.
     """

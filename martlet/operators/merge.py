@@ -7,29 +7,21 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.operators.joins import broadcast_if_small
 from martlet.operators.latest import latest_per_key
 
 
 def insert_ignore(
-    target: DataFrame | None, batch: DataFrame, key: list[str], order: list[Column], small_batch_rows: int = 0
+    target: DataFrame | None, batch: DataFrame, key: list[str], order: list[Column]
 ) -> DataFrame:
     """Rows of ``batch`` to append: the first per key that ``target`` does not hold yet.
 
-    Only the key columns of the target are read. A batch of at most
-    ``small_batch_rows`` rows, counted first, sends its keys to the target, so that
-    only the matching keys are exchanged and not those of the whole table; a larger
-    one meets the target in a plain anti join. The default skips the count.
+    Only the key columns of the target are read; whether the batch or the target moves
+    is Spark's choice by the sizes it finds at run time.
     """
     first = latest_per_key(batch, key, order)
     if target is None:
         return first
-    held = target.select(*key)
-    if small_batch_rows:
-        keys, small = broadcast_if_small(batch.select(*key), small_batch_rows)
-        if small:
-            held = held.join(keys, key, "left_semi")
-    return first.join(held, key, "left_anti")
+    return first.join(target.select(*key), key, "left_anti")
 
 
 def fold_batch(batch: DataFrame, key: list[str], update_cols: list[str], order: list[str]) -> DataFrame:
@@ -38,7 +30,7 @@ def fold_batch(batch: DataFrame, key: list[str], update_cols: list[str], order:
     Updated columns take the last row, all others the first. The aggregates
     combine on the map side, so a key repeated many times stays cheap.
     """
-    kept = [c for c in batch.columns if c not in key and c not in update_cols and c not in order]
+    kept = [c for c in batch.columns if c not in key and c not in update_cols]
     at = F.struct(*order)
     folded = batch.groupBy(*key).agg(
         F.min_by(F.struct(*(kept or key)), at).alias("_first"),
@@ -54,17 +46,16 @@ def merge_subset(
     batch: DataFrame,
     key: list[str],
     update_cols: list[str],
-    order: list[str] | None = None,
+    order: list[str],
     touch_col: str | None = None,
     touched_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Upsert that overwrites only ``update_cols`` of a matched row.
 
-    ``order`` names the arrival order columns of a batch that may repeat keys;
-    without it the batch must already be unique per key. Unmatched target rows
-    stay, unmatched batch rows are added whole, nothing is deleted.
+    The batch is folded to one row per key in the arrival order of the columns ``order``
+    first. Unmatched target rows stay, unmatched batch rows are added whole, nothing is deleted.
     """
-    source = fold_batch(batch, key, update_cols, order) if order else batch
+    source = fold_batch(batch, key, update_cols, order)
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_batch", F.lit(True)).alias("s")
     matched = F.col("t._in_target") & F.col("s._in_batch")

@@ -1,158 +1,96 @@
-"""Whole-table and per-group ranks that do not move all rows into one task.
+"""Whole-table and per-group ranks that never move all rows of a group into one task.
 
 A window without a partition (or with a partition that may hold a third of all
-rows) sorts in a single task. Up to ``single_task_rows`` rows, counted first,
-that is the cheapest plan and is used as it is. Beyond it:
-
-1. range-partition on (group, order, key); the key splits frequent values,
-2. number the rows inside each range and pin the result by a checkpoint,
-3. read one summary row per range, and add up offsets over these summaries,
-4. shift the local numbers by the offset of their range (a broadcast of one row
-   per range, so its size is the shuffle partition count).
+rows) sorts in a single task. Here, whatever the size:
+
+1. only the sort columns and the key are range-partitioned and sorted; the key splits
+   frequent values, and the place of a row in its range needs no window,
+2. that order is pinned by a checkpoint, and one count per range gives the offsets (a
+   broadcast of one row per range, so its size is the shuffle partition count),
+3. the rank of a value is the smallest place that holds it less the smallest place of its
+   group: two aggregations with map-side minima,
+4. the rows meet these minima in a join whose row side can be split where a value is frequent.
 """
 
 from __future__ import annotations
 
-from typing import Any
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.ordering import SortKey
 from martlet.session import pin
 
-#: Largest input a one-task window may sort.
-SINGLE_TASK_ROWS = 200_000
+#: ``monotonically_increasing_id`` keeps the place in a partition below this bit.
+_RANGE_BIT = 33
 
 
-def _ranges(df: DataFrame, *order: Column) -> DataFrame:
+def _sorted_ranges(df: DataFrame, sort: list[Column]) -> DataFrame:
+    """``df`` in sorted ranges, pinned, with ``_id``: the range number above the place in it."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order)
+    ranges = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    return pin(ranges.withColumn("_id", F.monotonically_increasing_id()))
 
 
-def fits_one_task(df: DataFrame, limit: int) -> bool:
-    """Whether ``df`` has at most ``limit`` rows. On a stored table this reads footers only."""
-    return df.count() <= limit
+def _range_sizes(pinned: DataFrame) -> list[tuple[int, int]]:
+    """(range, rows) in order: one row per range."""
+    return sorted(tuple(r) for r in pinned.groupBy(F.shiftright("_id", _RANGE_BIT)).count().collect())
 
 
-def rank_within(
-    df: DataFrame,
-    by: list[str],
-    order: SortKey,
-    key: str,
-    out: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    small: bool | None = None,
-) -> DataFrame:
-    """SQL ``RANK()`` per ``by`` group (whole table if empty): ties equal, gaps kept."""
-    if small is None:
-        small = fits_one_task(df.select(key), single_task_rows)
-    if small:
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(order.column())).cast("int"))
-    return _ranged_rank(df, by, order, key, out)
+def _placed(pinned: DataFrame) -> DataFrame:
+    """``_place``: the number of rows before a row in the whole order."""
+    offsets, before = [], 0
+    for number, n in _range_sizes(pinned):
+        offsets.append((number, before))
+        before += n
+    ranges = pinned.sparkSession.createDataFrame(offsets, "_range long, _before long")
+    within = F.col("_id").bitwiseAND(F.lit((1 << _RANGE_BIT) - 1))
+    joined = pinned.withColumn("_range", F.shiftright("_id", _RANGE_BIT)).join(F.broadcast(ranges), "_range")
+    return joined.withColumn("_place", F.col("_before") + within).drop("_range", "_before", "_id")
 
 
-def global_rank(df: DataFrame, order: SortKey, key: str, out: str, **size: Any) -> DataFrame:
-    return rank_within(df, [], order, key, out, **size)
+def rank_within(df: DataFrame, by: list[str], order: SortKey, key: str, out: str) -> DataFrame:
+    """SQL ``RANK()`` per ``by`` group (whole table if empty): ties equal, gaps kept."""
+    sort = [*[F.col(b).asc_nulls_last() for b in by], order.column(), F.col(key).asc_nulls_last()]
+    names = [*by, order.name]
+    placed = _placed(_sorted_ranges(df.select(*dict.fromkeys([*names, key])), sort))
+    values = placed.groupBy(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(names)]).agg(F.min("_place").alias("_first"))
+    if by:
+        groups = values.groupBy(*[F.col(f"_v{i}").alias(f"_g{i}") for i in range(len(by))]).agg(F.min("_first").alias("_start"))
+        same_group = [F.col(f"_v{i}").eqNullSafe(F.col(f"_g{i}")) for i in range(len(by))]
+        values = values.join(groups, same_group)
+    else:
+        values = values.withColumn("_start", F.lit(0))
+    ranks = values.select(
+        *[f"_v{i}" for i in range(len(names))], (F.col("_first") - F.col("_start") + 1).cast("int").alias(out)
+    )
+    same_value = [F.col(c).eqNullSafe(F.col(f"_v{i}")) for i, c in enumerate(names)]
+    return df.join(ranks, same_value, "left").select(*df.columns, out)
 
 
-def _ranged_rank(df: DataFrame, by: list[str], order: SortKey, key: str, out: str) -> DataFrame:
-    sort = [*[F.col(b).asc_nulls_last() for b in by], order.column(), F.col(key).asc_nulls_last()]
-    in_range = Window.partitionBy("_range").orderBy(*sort)
-    runs = {"_group_at": by, "_value_at": [*by, order.name]}
+def global_rank(df: DataFrame, order: SortKey, key: str, out: str) -> DataFrame:
+    return rank_within(df, [], order, key, out)
 
-    numbered = (
-        _ranges(df, *sort)
-        .withColumn("_range", F.spark_partition_id())
-        .withColumn("_at", F.row_number().over(in_range).cast("long"))
-    )
-    # Row number of the first row of the current group, and of the current value, in this range.
-    for name, cols in runs.items():
-        if cols:
-            previous = [F.lag(F.struct(*cols)).over(in_range), F.struct(*cols)]
-            starts = F.when(F.col("_at") == 1, 1).when(~previous[0].eqNullSafe(previous[1]), F.col("_at"))
-            numbered = numbered.withColumn(name, F.max(starts).over(in_range.rowsBetween(Window.unboundedPreceding, 0)))
-        else:
-            numbered = numbered.withColumn(name, F.lit(1).cast("long"))
-    pinned = pin(numbered)
-
-    group, value = F.struct(F.lit(0), *by), F.struct(F.lit(0), *by, order.name)
-    summary = (
-        pinned.groupBy("_range")
-        .agg(
-            F.count("*").alias("n"),
-            F.min_by(F.struct(group.alias("g"), value.alias("v")), "_at").alias("first"),
-            F.max_by(F.struct(group.alias("g"), value.alias("v"), "_group_at", "_value_at"), "_at").alias("last"),
-        )
-        .collect()  # one row per range
-    )
-    carried, offset, last = [], 0, None
-    for row in sorted(summary, key=lambda r: r["_range"]):
-        same_group = last is not None and last["g"] == row["first"]["g"]
-        same_value = last is not None and last["v"] == row["first"]["v"]
-        group_from = last["group_from"] if same_group else offset + 1
-        value_from = last["value_from"] if same_value else offset + 1
-        carried.append((row["_range"], offset, group_from, value_from))
-        end = row["last"]
-        last = {
-            "g": end["g"],
-            "v": end["v"],
-            "group_from": group_from if end["_group_at"] == 1 else offset + end["_group_at"],
-            "value_from": value_from if end["_value_at"] == 1 else offset + end["_value_at"],
-        }
-        offset += row["n"]
-
-    schema = "_range int, _offset long, _group_from long, _value_from long"
-    ranges = df.sparkSession.createDataFrame(carried, schema)
-
-    def position(local: str, crossing: str) -> Column:
-        return F.when(F.col(local) == 1, F.col(crossing)).otherwise(F.col("_offset") + F.col(local))
-
-    ranked = pinned.join(F.broadcast(ranges), "_range").withColumn(
-        out, (position("_value_at", "_value_from") - position("_group_at", "_group_from") + 1).cast("int")
-    )
-    return ranked.select(*df.columns, out)
-
-
-def global_ntile(
-    df: DataFrame,
-    k: int,
-    order: SortKey,
-    key: str,
-    out: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    small: bool | None = None,
-) -> DataFrame:
+
+def global_ntile(df: DataFrame, k: int, order: SortKey, key: str, out: str) -> DataFrame:
     """SQL ``NTILE(k)`` over the whole table, ties broken by ``key``.
 
-    The distributed form sorts only (order column, key), looks up the last row of
-    each tile - at most ``k - 1`` rows - and labels the full rows by comparing them
-    with those, which needs no exchange of the full rows at all.
+    Sorts only (order column, key), looks up the last row of each tile - at most
+    ``k - 1`` rows - and labels the full rows by comparing them with those, which needs
+    no exchange of the full rows at all.
     """
-    if small is None:
-        small = fits_one_task(df.select(key), single_task_rows)
-    if small:
-        window = Window.orderBy(order.column(), F.col(key).asc_nulls_last())
-        return df.withColumn(out, F.ntile(k).over(window).cast("int"))
     return df.withColumn(out, tile_of(order, key, tile_ends(df, k, order, key)))
 
 
 def tile_ends(df: DataFrame, k: int, order: SortKey, key: str) -> list[tuple]:
     """The (value, key) pairs of the last rows of tiles ``1 .. k-1``."""
-    sort = [order.column(), F.col(key).asc_nulls_last()]
-    # Position inside the range sits in the low 33 bits, the range number above it.
-    pinned = pin(
-        _ranges(df.select(order.name, key), *sort)
-        .sortWithinPartitions(*sort)
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
-    sizes = sorted(pinned.groupBy(F.shiftright("_id", 33).alias("range")).count().collect())
+    pinned = _sorted_ranges(df.select(order.name, key), [order.column(), F.col(key).asc_nulls_last()])
+    sizes = _range_sizes(pinned)
     total = sum(n for _, n in sizes)
     base, rest = divmod(total, k)
     wanted, seen = [], 0
     ends = [tile * base + min(tile, rest) for tile in range(1, k)]
     for number, n in sizes:
-        wanted += [(number << 33) + end - seen - 1 for end in ends if seen < end <= seen + n]
+        wanted += [(number << _RANGE_BIT) + end - seen - 1 for end in ends if seen < end <= seen + n]
         seen += n
     rows = pinned.filter(F.col("_id").isin(wanted)).collect() if wanted else []
     found = {row["_id"]: (row[order.name], row[key]) for row in rows}

@@ -417,6 +417,17 @@ STATEMENTS: dict[str, str] = {
                {big("reorder_point")} AS reorder_point, {big("reorder_point * 2")} AS reorder_quantity,
                {cents("cost_c")} AS cost_price, inventory_date FROM bronze_inventory""",
     "campaign_feed_orc": f"SELECT {CAMPAIGN_COLUMNS} FROM bronze_campaigns",
+    "user_feed_json": f"""
+        SELECT {big("c_custkey")} AS id, CASE WHEN c_custkey % 50 <> 9 THEN replace(c_name, '#', '.') || '@example.com' END AS email,
+               'user' || c_custkey AS username, c_mktsegment AS firstname, c_name AS lastname,
+               CASE WHEN c_custkey % 10 <> 3 THEN '+' || (c_custkey * 7) END AS phone, n_name AS city,
+               {big("c_custkey % 200")} AS number, CAST(c_custkey % 90000 + 10000 AS VARCHAR) AS zipcode
+        FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+    "source_filename": f"SELECT 'lineitem.parquet' AS source_filename, {big('count(*)')} AS n FROM lineitem",
+    "products_insert_ignore": f"""
+        SELECT {big("product_id")} AS product_id, title, {cents("price_c")} AS price, {stamp("ingested")} AS ingestion_timestamp,
+               {big("1")} AS load FROM products_1
+        UNION ALL SELECT {big("product_id")}, title, {cents("price_c")}, {stamp("ingested")}, {big("2")} FROM products_2""",
     "surrogate_keys": f"""
         SELECT valid_from, {big("count(*)")} AS n, {big("count(DISTINCT product_id)")} AS n_ids
         FROM price_history GROUP BY valid_from""",
@@ -748,10 +759,7 @@ STATEMENTS: dict[str, str] = {
     "customers_incremental": f"""
         SELECT customer_id, first_name, last_name, email, signup_date, loyalty_tier,
                {cents("spend_c")} AS total_lifetime_spend, is_active FROM customers_merged""",
-    "stream_daily_revenue": f"""
-        SELECT d AS revenue_date, {cents("revenue_c")} AS total_revenue, {big("n")} AS total_orders,
-               {big("n_done")} AS completed_orders, {big("items")} AS total_items_sold
-        FROM daily WHERE CAST(d + 1 AS TIMESTAMP) <= (SELECT max(order_ts) - INTERVAL 2 DAY FROM clean_orders)""",
+    "stream_daily_revenue": f"SELECT {DAILY_COLUMNS}, {GROWTH_COLUMNS} FROM growth",
 }
 
 
@@ -765,6 +773,34 @@ def _needed(sql: str, found: list[str]) -> list[str]:
     return found
 
 
+# The daily run ends where the single steps do.
+STATEMENTS |= {
+    "refresh_silver_customers": STATEMENTS["clean_customers_upsert"],
+    "refresh_silver_orders": STATEMENTS["silver_orders"],
+    "refresh_price_history": STATEMENTS["scd_product_apply"],
+    "refresh_counts": f"""
+        SELECT run_id, name, {big("n")} AS n FROM (
+          SELECT 'day-1' AS run_id, 'bronze_customers_inserted' AS name, count(*) AS n FROM bronze_customers
+          UNION ALL SELECT 'day-2', 'bronze_customers_inserted', 0
+          UNION ALL SELECT 'day-1', 'bronze_orders', count(*) FROM bronze_orders
+          UNION ALL SELECT 'day-2', 'bronze_orders', 0
+          UNION ALL SELECT d, 'silver_customers', n FROM (SELECT count(*) AS n FROM clean_customers), (SELECT unnest(['day-1', 'day-2']) AS d)
+          UNION ALL SELECT d, 'silver_customers_rejected', n FROM
+            (SELECT count(*) AS n FROM bronze_customers WHERE email IS NULL OR NOT regexp_matches(email, {EMAIL})),
+            (SELECT unnest(['day-1', 'day-2']) AS d)
+          UNION ALL SELECT d, 'silver_orders', n FROM (SELECT count(*) AS n FROM clean_orders), (SELECT unnest(['day-1', 'day-2']) AS d)
+          UNION ALL SELECT 'day-1', 'silver_orders_inserted', count(*) FROM clean_orders
+          UNION ALL SELECT 'day-2', 'silver_orders_inserted', 0
+          UNION ALL SELECT d, 'silver_orders_rejected', n FROM
+            (SELECT count(*) AS n FROM order_reasons WHERE reasons <> ''), (SELECT unnest(['day-1', 'day-2']) AS d)
+          UNION ALL SELECT 'day-1', 'product_price_history_new', count(*) FROM price_history_1
+          UNION ALL SELECT 'day-1', 'product_price_history_updated', 0
+          UNION ALL SELECT 'day-1', 'product_price_history_unchanged', 0
+          UNION ALL SELECT 'day-2', 'product_price_history_' || a, (SELECT count(*) FROM price_actions WHERE action = a)
+            FROM (SELECT unnest(['new', 'updated', 'unchanged']) AS a))""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     statements = {}
     for name, sql in STATEMENTS.items():

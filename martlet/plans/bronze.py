@@ -15,11 +15,9 @@ CUSTOMER_UPDATES = ["total_lifetime_spend", "loyalty_tier", "is_active"]
 CAMPAIGN_UPDATES = ["actual_spend", "ingestion_timestamp"]
 
 
-def new_orders(
-    target: DataFrame | None, batch: DataFrame, arrival: list[Column], small_batch_rows: int = 0
-) -> DataFrame:
+def new_orders(target: DataFrame | None, batch: DataFrame, arrival: list[Column]) -> DataFrame:
     """Order rows to append; the first record of an order id wins, for ever."""
-    return insert_ignore(target, batch, ["order_id"], arrival, small_batch_rows)
+    return insert_ignore(target, batch, ["order_id"], arrival)
 
 
 def new_product_versions(target: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -27,13 +25,13 @@ def new_product_versions(target: DataFrame | None, batch: DataFrame) -> DataFram
     return insert_ignore(target, batch, ["product_id", "ingestion_timestamp"], [F.col("price").asc_nulls_last()])
 
 
-def merge_customers(target: DataFrame, batch: DataFrame, arrival: list[str] | None, touched_at) -> DataFrame:
+def merge_customers(target: DataFrame, batch: DataFrame, arrival: list[str], touched_at) -> DataFrame:
     return merge_subset(
         target, batch, ["customer_id"], CUSTOMER_UPDATES, arrival, touch_col="last_modified_date", touched_at=touched_at
     )
 
 
-def merge_campaigns(target: DataFrame, batch: DataFrame, arrival: list[str] | None = None) -> DataFrame:
+def merge_campaigns(target: DataFrame, batch: DataFrame, arrival: list[str]) -> DataFrame:
     return merge_subset(target, batch, ["campaign_id"], CAMPAIGN_UPDATES, arrival)
 
 

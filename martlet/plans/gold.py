@@ -12,15 +12,7 @@ from martlet.functions.dates import day, in_last_days, weekday_parts
 from martlet.functions.numeric import exact_avg, guarded, money, pct
 from martlet.functions.ordering import SortKey
 from martlet.operators.joins import interval_join, vs_previous_day
-from martlet.operators.ranking import (
-    SINGLE_TASK_ROWS,
-    fits_one_task,
-    global_ntile,
-    global_rank,
-    rank_within,
-    tile_ends,
-    tile_of,
-)
+from martlet.operators.ranking import global_rank, rank_within, tile_ends, tile_of
 from martlet.session import pin
 
 
@@ -145,13 +137,11 @@ def product_performance(
     inventory: DataFrame,
     as_of: dt.date,
     days: int = 30,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     by_revenue = SortKey("total_revenue", descending=True)
-    small = fits_one_task(products, single_task_rows)
-    totals = product_totals(products, orders, inventory, as_of, days)
-    ranked = global_rank(totals, by_revenue, "product_id", "overall_rank", small=small)
-    return rank_within(ranked, ["category"], by_revenue, "product_id", "category_rank", small=small)
+    totals = pin(product_totals(products, orders, inventory, as_of, days))  # sorted twice and joined
+    ranked = global_rank(totals, by_revenue, "product_id", "overall_rank")
+    return rank_within(ranked, ["category"], by_revenue, "product_id", "category_rank")
 
 
 # ---------------------------------------------------------------- customers
@@ -189,7 +179,6 @@ def rfm_scores(
     as_of: dt.date,
     k: int = 5,
     score_direction: str = "reference",
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Customer totals with three tile scores.
 
@@ -206,16 +195,11 @@ def rfm_scores(
         "frequency_score": SortKey("total_orders", descending=True),
         "monetary_score": SortKey("total_lifetime_value", descending=True),
     }
-    if fits_one_task(customers, single_task_rows):
-        for out, order in scores.items():
-            base = global_ntile(base, k, order, "customer_id", out, small=True)
-    else:
-        base = pin(base)  # sorted three times and labelled once
-        tiles = {
-            out: tile_of(order, "customer_id", tile_ends(base, k, order, "customer_id"))
-            for out, order in scores.items()
-        }
-        base = base.withColumns(tiles)
+    base = pin(base)  # sorted three times and labelled once
+    tiles = {
+        out: tile_of(order, "customer_id", tile_ends(base, k, order, "customer_id")) for out, order in scores.items()
+    }
+    base = base.withColumns(tiles)
     if score_direction == "conventional":
         base = base.withColumns({out: (F.lit(k + 1) - F.col(out)).cast("int") for out in scores})
     return base
@@ -324,14 +308,11 @@ def campaign_totals(campaigns: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def campaign_roi(
-    campaigns: DataFrame, orders: DataFrame, as_of: dt.date, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def campaign_roi(campaigns: DataFrame, orders: DataFrame, as_of: dt.date) -> DataFrame:
     """An unknown return rates lowest, yet ranks first: NULL sorts as the largest value."""
-    totals = campaign_totals(campaigns, orders).select(
+    totals = pin(campaign_totals(campaigns, orders)).select(
         "*",
         labels.performance_rating(F.col("roi")).alias("performance_rating"),
         labels.campaign_status(F.col("end_date"), day(as_of)).alias("campaign_status"),
     )
-    small = fits_one_task(campaigns, single_task_rows)
-    return global_rank(totals, SortKey("roi", descending=True), "campaign_id", "campaign_rank", small=small)
+    return global_rank(totals, SortKey("roi", descending=True), "campaign_id", "campaign_rank")

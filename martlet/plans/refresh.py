@@ -1,7 +1,8 @@
 """One run over all layers: feeds to bronze, clean tables, marts and history.
 
 The order of the steps is the order of the calls; every table is written once and
-later steps read what was written. Rerunning a run id gives the same tables.
+later steps read what was written. Every table knows the run that wrote it, so repeating
+the newest run id starts from what that run found and gives the same tables, bronze included.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 
 from martlet.functions import labels
 from martlet.functions.dates import OPEN_END
-from martlet.operators.history import scd2_apply
-from martlet.operators.joins import BROADCAST_ROWS
+from martlet.operators.history import scd2_apply, scd2_changes
 from martlet.plans import bronze, extended, gold, silver
 from martlet.session import pin
 from martlet.sources.tables import Tables
 
+#: Order of arrival by feed: columns of the sort for orders, names of columns for merged feeds.
+Arrival = dict[str, list]
+
 # What the two histories record.
 PRODUCT_HISTORY = {
     "key": "product_id",
@@ -41,39 +44,53 @@ def tier_reason(old: str, new: str) -> Column:
     return labels.tier_change_reason(*[F.col(f"{s}.{c}") for c in columns for s in (old, new)])
 
 
-def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arrival: list[Column], at: dt.datetime) -> dict:
-    """Products, orders and inventory are appended as one load per run; customers and campaigns merge."""
+def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arrival: Arrival, at: dt.datetime) -> dict:
+    """Products, orders and inventory are appended as one load per run; customers and campaigns merge.
+
+    Orders need products and customers to refer to: loading them without either is an error.
+    """
     feeds = {name: bronze.stamped(name, feed, run_id, at) for name, feed in feeds.items()}
     counts = {}
     seen = tables.read_appended("bronze_products", without_load=run_id)
     counts["bronze_products"] = tables.append(
         "bronze_products", bronze.new_product_versions(seen, feeds["products"]), run_id
     )
-    customers = bronze.merge_customers(tables.read("bronze_customers"), feeds["customers"], None, at)
-    counts["bronze_customers"] = tables.overwrite("bronze_customers", customers)
+    stored = tables.read("bronze_customers", run_id)
+    customers = bronze.merge_customers(stored, feeds["customers"], arrival["customers"], at)
+    counts |= _merged(tables, "bronze_customers", stored, customers, run_id)
+    for needed, rows in {"products": tables.read_appended("bronze_products"), "customers": tables.read("bronze_customers")}.items():
+        if rows.limit(1).count() == 0:
+            raise ValueError(f"orders cannot be loaded without {needed}")
     seen = tables.read_appended("bronze_orders", without_load=run_id)
-    unseen = bronze.new_orders(seen, feeds["orders"], arrival, small_batch_rows=BROADCAST_ROWS)
+    unseen = bronze.new_orders(seen, feeds["orders"], arrival["orders"])
     counts["bronze_orders"] = tables.append("bronze_orders", unseen, run_id)
     counts["bronze_inventory"] = tables.append("bronze_inventory", feeds["inventory"], run_id, ("inventory_date",))
-    campaigns = bronze.merge_campaigns(tables.read("bronze_campaigns"), feeds["campaigns"])
-    counts["bronze_campaigns"] = tables.overwrite("bronze_campaigns", campaigns)
-    return counts
+    stored = tables.read("bronze_campaigns", run_id)
+    campaigns = bronze.merge_campaigns(stored, feeds["campaigns"], arrival["campaigns"])
+    return counts | _merged(tables, "bronze_campaigns", stored, campaigns, run_id)
 
 
-def merge_orders(tables: Tables, clean: DataFrame) -> int:
+def _merged(tables: Tables, table: str, before: DataFrame, after: DataFrame, run_id: str) -> dict:
+    """Store a merged table; rows stored, and of these the rows that were not there before."""
+    held = before.count()
+    rows = tables.overwrite(table, after, run_id)
+    return {table: rows, f"{table}_inserted": rows - held}
+
+
+def merge_orders(tables: Tables, clean: DataFrame, run_id: str | None = None) -> int:
     """Merge clean orders into the stored ones; returns the rows stored afterwards.
 
     Only months with a new order or another status are read in full and rewritten.
     The months are listed on the driver: one value per calendar month.
     """
-    target = tables.read("silver_orders")
-    if not tables.exists("silver_orders"):
-        return tables.overwrite("silver_orders", silver.with_month(clean))
+    target = tables.read("silver_orders", run_id)
+    if not tables.exists("silver_orders", run_id):
+        return tables.overwrite("silver_orders", silver.with_month(clean), run_id)
     changed = pin(silver.changed_orders(target, clean))
     months = [r[0] for r in changed.select("order_month").distinct().collect()]
     if months:
         touched = target.filter(F.col("order_month").isin(months))
-        tables.overwrite("silver_orders", silver.merge("silver_orders", touched, changed))
+        tables.overwrite("silver_orders", silver.merge("silver_orders", touched, changed), run_id)
     return tables.read("silver_orders").count()
 
 
@@ -83,19 +100,25 @@ def build_silver(tables: Tables, as_of: dt.date, run_id: str) -> dict:
     customers = tables.read("bronze_customers")
     splits = {
         "silver_products": silver.silver_products(products),
-        "silver_customers": silver.silver_customers(customers, as_of),
+        "silver_customers": silver.silver_customers(customers, as_of, tables.read("silver_customers", run_id)),
         "silver_campaigns": silver.silver_campaigns(tables.read("bronze_campaigns"), as_of),
-        "silver_orders": silver.silver_orders(tables.read_appended("bronze_orders"), customers, products),
+        # Judged once and pinned, as both sides are written.
+        "silver_orders": silver.split_orders(
+            pin(silver.judged_orders(tables.read_appended("bronze_orders"), customers, products))
+        ),
         "silver_inventory": silver.silver_inventory(tables.read_appended("bronze_inventory")),
     }
     counts = {}
     for table, (clean, rejected) in splits.items():
         if table == "silver_orders":
-            counts[table] = merge_orders(tables, clean)
+            held = tables.read(table, run_id).count()
+            counts[table] = merge_orders(tables, clean, run_id)
+            counts[f"{table}_inserted"] = counts[table] - held
         elif table == "silver_inventory":
-            counts[table] = tables.overwrite(table, clean)
+            counts[table] = tables.overwrite(table, clean, run_id)
         else:
-            counts[table] = tables.overwrite(table, silver.merge(table, tables.read(table), clean))
+            stored = tables.read(table, run_id)
+            counts |= _merged(tables, table, stored, silver.merge(table, stored, clean), run_id)
         named = rejected.withColumn("table_name", F.lit(table))
         counts[f"{table}_rejected"] = tables.append("rejected_records", named, f"{run_id}-{table}")
     return counts
@@ -146,7 +169,9 @@ def build_gold(tables: Tables, as_of: dt.date) -> dict:
     return {table: tables.overwrite(table, mart) for table, mart in full_marts(tables, as_of).items()}
 
 
-def apply_snapshot(tables: Tables, table: str, snapshot: DataFrame, as_of: dt.date, surrogate: str, **spec) -> int:
+def apply_snapshot(
+    tables: Tables, table: str, snapshot: DataFrame, as_of: dt.date, surrogate: str, run_id: str | None = None, **spec
+) -> int:
     """Bring a snapshot into a stored history; returns the rows stored afterwards.
 
     Histories are stored by the month in which a period ends. A run reads and rewrites
@@ -155,33 +180,38 @@ def apply_snapshot(tables: Tables, table: str, snapshot: DataFrame, as_of: dt.da
     closing = (as_of - dt.timedelta(days=1)).replace(day=1)
     in_reach = F.col("closed_month").isin(closing, OPEN_END.replace(day=1))
     history = scd2_apply(
-        tables.read(table).filter(in_reach), snapshot, as_of=as_of, surrogate=surrogate, **spec
+        tables.read(table, run_id).filter(in_reach), snapshot, as_of=as_of, surrogate=surrogate, **spec
     )
-    tables.overwrite(table, history.withColumn("closed_month", F.trunc("valid_to", "month")))
+    tables.overwrite(table, history.withColumn("closed_month", F.trunc("valid_to", "month")), run_id)
     return tables.read(table).count()
 
 
-def update_history(tables: Tables, as_of: dt.date) -> dict:
+def update_history(tables: Tables, as_of: dt.date, run_id: str | None = None) -> dict:
+    """Both histories; returns rows stored, and the new, changed and unchanged keys of each."""
     products = tables.read("silver_products").filter("is_active")
     customers = tables.read("silver_customers").filter("is_active")
-    return {
-        "product_price_history": apply_snapshot(
-            tables, "product_price_history", products, as_of, "price_history_id", reason=price_reason, **PRODUCT_HISTORY
-        ),
-        "customer_tier_history": apply_snapshot(
-            tables, "customer_tier_history", customers, as_of, "tier_history_id", reason=tier_reason, **CUSTOMER_HISTORY
-        ),
-    }
+    counts = {}
+    for table, snapshot, surrogate, reason, spec in (
+        ("product_price_history", products, "price_history_id", price_reason, PRODUCT_HISTORY),
+        ("customer_tier_history", customers, "tier_history_id", tier_reason, CUSTOMER_HISTORY),
+    ):
+        changes = scd2_changes(tables.read(table, run_id), snapshot, spec["key"], spec["tracked"])
+        counts |= {f"{table}_{r['action']}": r["n"] for r in changes.collect()}  # one row per action
+        counts[table] = apply_snapshot(tables, table, snapshot, as_of, surrogate, run_id, reason=reason, **spec)
+    return counts
 
 
 def refresh(
-    tables: Tables, feeds: dict[str, DataFrame], as_of: dt.date, run_id: str, arrival: list[Column]
+    tables: Tables, feeds: dict[str, DataFrame], as_of: dt.date, run_id: str, arrival: Arrival
 ) -> dict[str, int]:
-    """Run all layers; returns the rows written per table."""
+    """Run all layers; returns rows per table, and the inserted, rejected and changed ones.
+
+    ``arrival`` tells the order in which the records of ``orders``, ``customers`` and ``campaigns`` arrived.
+    """
     at = dt.datetime.combine(as_of, dt.time())
     return {
         **load_bronze(tables, feeds, run_id, arrival, at),
         **build_silver(tables, as_of, run_id),
         **build_gold(tables, as_of),
-        **update_history(tables, as_of),
+        **update_history(tables, as_of, run_id),
     }

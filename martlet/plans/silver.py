@@ -41,7 +41,8 @@ def _rejects(quarantined: DataFrame, key: str) -> DataFrame:
 
 def merge(table: str, target: DataFrame, clean: DataFrame) -> DataFrame:
     """Bring ``clean`` into an existing clean table; rows it lacks stay as they are."""
-    return merge_subset(target, clean, list(schemas.TABLES[table].key), UPDATES[table])
+    key = list(schemas.TABLES[table].key)
+    return merge_subset(target, clean, key, UPDATES[table], key)
 
 
 def with_month(orders: DataFrame) -> DataFrame:
@@ -87,7 +88,19 @@ def silver_products(bronze: DataFrame) -> Split:
     return clean, _rejects(unpriced, "product_id").unionByName(_rejects(broken, "product_id"))
 
 
-def silver_customers(bronze: DataFrame, as_of: dt.date) -> Split:
+def free_emails(valid: DataFrame, stored: DataFrame) -> Split:
+    """Rows whose e-mail no other stored customer holds, and those whose e-mail one does.
+
+    The stored holder of an address keeps it, until a run in which the holder has left it has passed.
+    """
+    held = stored.filter("email is not null").select(F.col("email").alias("_held"), F.col("customer_id").alias("_holder"))
+    placed = valid.join(held, F.col("email") == F.col("_held"), "left")
+    taken = F.coalesce(F.col("_holder") != F.col("customer_id"), F.lit(False))
+    return placed.filter(~taken).select(*valid.columns), placed.filter(taken).select(*valid.columns)
+
+
+def silver_customers(bronze: DataFrame, as_of: dt.date, stored: DataFrame | None = None) -> Split:
+    """Clean customers; ``stored`` are those of earlier runs, whose e-mails are taken."""
     age = F.datediff(day(as_of), "signup_date")
     shaped = schemas.with_defaults(bronze, "silver_customers").select(
         "customer_id",
@@ -110,8 +123,9 @@ def silver_customers(bronze: DataFrame, as_of: dt.date) -> Split:
         **schemas.schema_rules("silver_customers"),
     }
     valid, broken = gate(shaped, rules)
-    clean, repeated = unique_on(valid, ["email"], keep="customer_id")
-    repeated = repeated.withColumn("reasons", F.array(F.lit("duplicate_email")))
+    free, taken = (valid, valid.limit(0)) if stored is None else free_emails(valid, stored)
+    clean, repeated = unique_on(free, ["email"], keep="customer_id")
+    repeated = repeated.unionByName(taken).withColumn("reasons", F.array(F.lit("duplicate_email")))
     return clean, _rejects(broken, "customer_id").unionByName(_rejects(repeated, "customer_id"))
 
 
@@ -135,7 +149,11 @@ def clean_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -
     known = sound.join(customers.select("customer_id"), "customer_id", "left_semi").join(
         products.select("product_id"), "product_id", "left_semi"
     )
-    return known.select(
+    return _shaped_orders(known)
+
+
+def _shaped_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "discount_amount",
         "final_amount",
         *[c.alias(n) for n, c in order_time_parts(F.col("order_timestamp")).items()],
@@ -144,7 +162,8 @@ def clean_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -
     ).select(*schemas.column_names("silver_orders"))
 
 
-def rejected_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def judged_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Every order with the names of the rules it breaks, in one pass: what is clean and what is rejected are filters of it."""
     orders = schemas.with_defaults(orders, "silver_orders")
     flagged = with_known_flag(
         with_known_flag(orders, customers, "customer_id", "known_customer"), products, "product_id", "known_product"
@@ -152,12 +171,17 @@ def rejected_orders(orders: DataFrame, customers: DataFrame, products: DataFrame
     rules = {
         "customer_known": F.col("known_customer"), "product_known": F.col("known_product"), **order_rules(),
     }
-    broken = flagged.withColumn("reasons", failed_rules(rules)).filter(F.size("reasons") > 0)
-    return _rejects(broken, "order_id")
+    return flagged.withColumn("reasons", failed_rules(rules)).drop("known_customer", "known_product")
+
 
+def split_orders(judged: DataFrame) -> Split:
+    """Clean and rejected orders of ``judged_orders``, which should be stored if both are used."""
+    clean = _shaped_orders(judged.filter(F.size("reasons") == 0))
+    return clean, _rejects(judged.filter(F.size("reasons") > 0), "order_id")
 
-def silver_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> Split:
-    return clean_orders(orders, customers, products), rejected_orders(orders, customers, products)
+
+def rejected_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    return split_orders(judged_orders(orders, customers, products))[1]
 
 
 def latest_inventory(bronze: DataFrame) -> DataFrame:

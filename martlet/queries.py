@@ -14,11 +14,11 @@ from martlet.functions import labels
 from martlet.functions.ordering import SortKey
 from martlet.operators.history import scd2_apply, scd2_as_of, scd2_changes
 from martlet.operators.joins import interval_join
-from martlet.operators.quality import failed_rules, gate, require_keys, unique_on
+from martlet.operators.quality import failed_rules, gate, unique_on, with_known_flag
 from martlet.operators.quality import ri_coverage as coverage
 from martlet.operators.ranking import global_rank, rank_within
 from martlet.plans import bronze, extended, gold, silver
-from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, tier_reason
+from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, refresh, tier_reason
 from martlet.session import scratch_path, tune
 from martlet.sources import feeds, star
 from martlet.sources.star import AS_OF, FIRST_DAY
@@ -88,6 +88,24 @@ class Lake:
     def clean_campaigns(self) -> DataFrame:
         return silver.silver_campaigns(self.campaigns, AS_OF)[0]
 
+    @cached_property
+    def two_runs(self) -> tuple[Tables, dict[str, dict[str, int]]]:
+        """The daily run over two deliveries, once per session: its tables, and the counts of each run."""
+        tables = Tables(self.spark, scratch_path(self.spark, "two-runs"))
+        arrival = {"orders": star.order_arrival(), "customers": ["signup_date"], "campaigns": ["ingestion_timestamp"]}
+        deliveries = {
+            "day-1": (FIRST_DAY, 1, self.customers, self.campaigns),
+            "day-2": (AS_OF, 2, star.bronze_customers_later(self.spark, self.sf), star.campaign_batch(self.spark, self.sf)),
+        }
+        counts = {}
+        for run_id, (as_of, delivery, customers, campaigns) in deliveries.items():
+            delivered = {
+                "products": star.bronze_products(self.spark, self.sf, (delivery,)), "customers": customers,
+                "orders": self.order_feed, "inventory": self.inventory, "campaigns": campaigns,
+            }
+            counts[run_id] = refresh(tables, delivered, as_of, run_id, arrival)
+        return tables, counts
+
     # Histories: the first day, then the as-of day.
 
     def no_history(self, table: str) -> DataFrame:
@@ -223,6 +241,14 @@ def campaign_feed_orc(x: Lake) -> DataFrame:
     return _delivered(x, "campaigns", star.campaign_feed(x.spark, x.sf), "orc")
 
 
+@query
+def user_feed_json(x: Lake) -> DataFrame:
+    """Nested user records, delivered as JSON."""
+    read = _delivered(x, "users", star.user_feed(x.spark, x.sf), "json")
+    return read.select("id", "email", "username", "name.firstname", "name.lastname", "phone", "address.city", "address.number",
+                       "address.zipcode")
+
+
 @query
 def surrogate_keys(x: Lake) -> DataFrame:
     """Row ids of the price history: hashes of the natural key, equal in every run."""
@@ -243,9 +269,10 @@ def order_text_parse(x: Lake) -> DataFrame:
 
 @query
 def source_filename(x: Lake) -> DataFrame:
-    """Records per input file (the path depends on where the tables lie, so there is no SQL)."""
+    """Records per input table file, by its name: the folder depends on where the tables lie."""
     line = feeds.with_filename(star.table(x.spark, x.sf, "lineitem").select("l_orderkey", "_metadata"))
-    return line.groupBy("source_filename").agg(F.count("*").alias("n"))
+    table_file = F.regexp_extract("source_filename", r"([^/]+\.parquet)(/part-[^/]*)?$", 1)
+    return line.groupBy(table_file.alias("source_filename")).agg(F.count("*").alias("n"))
 
 
 @query
@@ -279,7 +306,6 @@ def load_counts(x: Lake) -> DataFrame:
     splits = {
         "silver_products": silver.silver_products(x.products),
         "silver_customers": silver.silver_customers(x.customers, AS_OF),
-        "silver_orders": silver.silver_orders(x.orders, x.customer_keys, x.products),
         "silver_inventory": silver.silver_inventory(x.inventory),
         "silver_campaigns": silver.silver_campaigns(x.campaigns, AS_OF),
     }
@@ -288,8 +314,10 @@ def load_counts(x: Lake) -> DataFrame:
         for table, pair in splits.items()
         for label, side in zip(("accepted", "rejected"), pair)
     ]
-    together = parts[0]
-    for part in parts[1:]:
+    judged = silver.judged_orders(x.orders, x.customer_keys, x.products)
+    outcome = F.when(F.size("reasons") > 0, "rejected").otherwise("accepted")
+    together = judged.select(F.lit("silver_orders").alias("table_name"), outcome.alias("outcome"))
+    for part in parts:
         together = together.unionAll(part)
     return together.groupBy("table_name", "outcome").agg(F.count("*").alias("n"))
 
@@ -308,6 +336,16 @@ def orders_insert_ignore(x: Lake) -> DataFrame:
     )
 
 
+@query
+def products_insert_ignore(x: Lake) -> DataFrame:
+    """The first delivery, then both again: only versions of an unseen (product, time) are added."""
+    first = bronze.new_product_versions(None, star.bronze_products(x.spark, x.sf, (1,)))
+    added = bronze.new_product_versions(first, x.products.unionByName(x.products))
+    return first.withColumn("load", F.lit(1)).unionByName(added.withColumn("load", F.lit(2))).select(
+        "product_id", "title", "price", "ingestion_timestamp", "load"
+    )
+
+
 @query
 def customers_upsert(x: Lake) -> DataFrame:
     merged = bronze.merge_customers(
@@ -321,7 +359,7 @@ def customers_upsert(x: Lake) -> DataFrame:
 
 @query
 def campaigns_upsert(x: Lake) -> DataFrame:
-    return bronze.merge_campaigns(x.campaigns, star.campaign_batch(x.spark, x.sf)).select(
+    return bronze.merge_campaigns(x.campaigns, star.campaign_batch(x.spark, x.sf), ["ingestion_timestamp"]).select(
         "campaign_id", "campaign_name", "actual_spend", "ingestion_timestamp", "pipeline_run_id"
     )
 
@@ -385,14 +423,11 @@ def dq_orders_positive(x: Lake) -> DataFrame:
 
 @query
 def dq_orders_referential(x: Lake) -> DataFrame:
-    known, orphans = require_keys(x.orders, x.customer_keys, "customer_id")
-    both, without_product = require_keys(known, x.products, "product_id")
-    parts = {"customer_unknown": orphans, "product_unknown": without_product, "known": both}
-    together = None
-    for outcome, part in parts.items():
-        part = part.select("order_id", "customer_id", "product_id", F.lit(outcome).alias("outcome"))
-        together = part if together is None else together.unionAll(part)
-    return together
+    """Every order with the outcome of both existence tests, in one pass of the orders."""
+    flagged = with_known_flag(x.orders, x.customer_keys, "customer_id", "known_customer")
+    flagged = with_known_flag(flagged, x.products, "product_id", "known_product")
+    outcome = F.when(~F.col("known_customer"), "customer_unknown").when(~F.col("known_product"), "product_unknown")
+    return flagged.select("order_id", "customer_id", "product_id", outcome.otherwise("known").alias("outcome"))
 
 
 @query
@@ -558,22 +593,22 @@ def product_performance(x: Lake) -> DataFrame:
 
 @query
 def product_overall_rank(x: Lake) -> DataFrame:
-    """The distributed rank, whatever the size."""
+    """The rank of every product by revenue."""
     totals = gold.product_totals(x.clean_products, x.clean_orders, x.clean_inventory, AS_OF)
     by_revenue = SortKey("total_revenue", descending=True)
     return global_rank(
-        totals.select("product_id", "total_revenue"), by_revenue, "product_id", "overall_rank", small=False
+        totals.select("product_id", "total_revenue"), by_revenue, "product_id", "overall_rank"
     )
 
 
 @query
 def product_category_rank(x: Lake) -> DataFrame:
-    """The distributed rank within categories, whatever their size."""
+    """The rank of every product in its category."""
     totals = gold.product_totals(x.clean_products, x.clean_orders, x.clean_inventory, AS_OF)
     by_revenue = SortKey("total_revenue", descending=True)
     return rank_within(
         totals.select("product_id", "category", "total_revenue"), ["category"], by_revenue, "product_id",
-        "category_rank", small=False,
+        "category_rank",
     )
 
 
@@ -584,8 +619,8 @@ def customer_order_totals(x: Lake) -> DataFrame:
 
 @query
 def rfm_scores(x: Lake) -> DataFrame:
-    """The distributed tiles, whatever the size."""
-    return gold.rfm_scores(x.clean_customers, x.clean_orders, AS_OF, single_task_rows=0).select(
+    """Every customer's three tiles."""
+    return gold.rfm_scores(x.clean_customers, x.clean_orders, AS_OF).select(
         "customer_id", "days_since_last_order", "total_orders", "total_lifetime_value",
         "recency_score", "frequency_score", "monetary_score",
     )
@@ -651,9 +686,9 @@ def campaign_roi(x: Lake) -> DataFrame:
 
 @query
 def campaign_rank(x: Lake) -> DataFrame:
-    """The distributed rank with NULL returns first."""
+    """The rank of every campaign, NULL returns first."""
     totals = gold.campaign_totals(x.clean_campaigns, x.clean_orders).select("campaign_id", "roi")
-    return global_rank(totals, SortKey("roi", descending=True), "campaign_id", "campaign_rank", small=False)
+    return global_rank(totals, SortKey("roi", descending=True), "campaign_id", "campaign_rank")
 
 
 # ---------------------------------------------------------------- history
@@ -802,6 +837,42 @@ def mart_row_counts(x: Lake) -> DataFrame:
     return together.groupBy("mart").agg(F.count("*").alias("n"), F.count(F.when(F.col("known"), 1)).alias("n_known"))
 
 
+# ---------------------------------------------------------------- the daily run
+
+
+@query
+def refresh_silver_customers(x: Lake) -> DataFrame:
+    """Clean customers after two daily runs."""
+    return x.two_runs[0].read("silver_customers").select(
+        "customer_id", "full_name", "loyalty_tier", "total_lifetime_spend", "is_active", "customer_age_days",
+        "customer_segment",
+    )
+
+
+@query
+def refresh_silver_orders(x: Lake) -> DataFrame:
+    """Clean orders after two daily runs."""
+    return x.two_runs[0].read("silver_orders").select(*schemas.column_names("silver_orders"))
+
+
+@query
+def refresh_price_history(x: Lake) -> DataFrame:
+    """The price history after two daily runs."""
+    return x.two_runs[0].read("product_price_history").select(*x.price_history.columns)
+
+
+@query
+def refresh_counts(x: Lake) -> DataFrame:
+    """What the two runs report: rows stored, inserted, rejected and changed."""
+    shown = [
+        "bronze_customers_inserted", "bronze_orders", "silver_customers", "silver_customers_rejected", "silver_orders",
+        "silver_orders_inserted", "silver_orders_rejected", "product_price_history_new", "product_price_history_updated",
+        "product_price_history_unchanged",
+    ]
+    rows = [(run, name, counts.get(name, 0)) for run, counts in x.two_runs[1].items() for name in shown]
+    return x.spark.createDataFrame(rows, "run_id string, name string, n long")
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -836,11 +907,11 @@ def customers_incremental(x: Lake) -> DataFrame:
 
 @query
 def stream_daily_revenue(x: Lake) -> DataFrame:
-    """Daily revenue from a stream of clean orders; days behind the watermark are final."""
+    """Daily revenue from a stream of clean orders, every day current."""
     root = scratch_path(x.spark, "revenue")
     x.clean_orders.write.parquet(f"{root}/orders")
     stream = x.spark.readStream.schema(schemas.struct_type("silver_orders")).parquet(f"{root}/orders")
-    return revenue.run_daily_revenue(x.spark, stream, root).drop("approx_customers")
+    return revenue.run_daily_revenue(x.spark, stream, root)
 
 
 @lru_cache(maxsize=8)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,23 +25,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only a single-JVM session without the setting gets a folder of its own; on
-    a cluster a missing setting is an error, since a machine-local folder would
-    be lost with its executor.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder all executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder. Having neither is an error."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _own_folder(spark.sparkContext.applicationId)
-
-
-@lru_cache(maxsize=None)
-def _own_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="martlet-")
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -58,16 +58,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute an input that reads as fewer tasks than there are cores.
-
-    One small file is one task, and so is everything up to the first exchange. A
-    table with enough splits is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(key)
-
-
 def pick(values: tuple[str, ...], index: Column) -> Column:
     """``values[index]`` for an index known to be in range."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -158,6 +148,27 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the nested user records of the service that signs them up."""
+    place = table(spark, sf_dir, "nation")
+    ck = F.col("c_custkey")
+    return (
+        table(spark, sf_dir, "customer")
+        .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            ck.cast("int").alias("id"),
+            F.when(ck % 50 != 9, F.concat(F.translate("c_name", "#", "."), F.lit("@example.com"))).alias("email"),
+            F.concat(F.lit("user"), ck).alias("username"),
+            F.struct(F.col("c_mktsegment").alias("firstname"), F.col("c_name").alias("lastname")).alias("name"),
+            F.when(ck % 10 != 3, F.concat(F.lit("+"), ck * 7)).alias("phone"),
+            F.struct(
+                F.col("n_name").alias("city"), F.lit("Main Street").alias("street"), (ck % 200).cast("int").alias("number"),
+                (ck % 90_000 + 10_000).cast("string").alias("zipcode"),
+            ).alias("address"),
+        )
+    )
+
+
 def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of ``bronze_customers``, without the place lookup behind its other columns."""
     return table(spark, sf_dir, "customer").select(F.concat(F.lit("CUST"), "c_custkey").alias("customer_id"))
@@ -228,7 +239,7 @@ def order_feed(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
     """
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part").select("p_partkey", list_price(F.col("p_retailprice")).alias("unit_price"))
-    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey") if lines is None else lines
+    line = table(spark, sf_dir, "lineitem") if lines is None else lines
     ck, pk = F.col("o_custkey"), F.col("l_partkey")
     points = F.round(F.col("l_discount") * 100).cast("int")
     promo = (

@@ -3,7 +3,10 @@
 A full refresh writes a new version folder; readers take the newest folder that
 carries Spark's ``_SUCCESS`` marker. A refresh may therefore read the very table
 it replaces, and a job that dies half-way leaves the previous version current.
-Appends go to one folder per load, overwritten when the load is repeated.
+A version may carry the id of the run that wrote it: repeating the newest run starts
+from the version before it, and so gives the same table. Appends go to one folder per
+load and one folder in it per attempt; of a load, readers take the newest complete attempt, so
+a repeated load that dies leaves the earlier one in place.
 """
 
 from __future__ import annotations
@@ -34,27 +37,36 @@ class Tables:
     def path(self, table: str) -> str:
         return f"{self.root}/{schemas.TABLES[table].layer}/{table}"
 
-    def versions(self, table: str) -> list[str]:
-        """Complete version folders, oldest first."""
-        return complete_folders(self.spark, self.path(table), "version")
+    def versions(self, table: str, before_run: str | None = None) -> list[str]:
+        """Complete version folders, oldest first; without those of ``before_run``, which must be the newest run."""
+        found = complete_folders(self.spark, self.path(table), "version")
+        if before_run is not None:
+            while found and _run_of(found[-1]) == before_run:
+                found.pop()
+            if any(_run_of(f) == before_run for f in found):
+                raise ValueError(f"run {before_run!r} of {table} was followed by others and cannot be repeated")
+        return found
 
-    def exists(self, table: str) -> bool:
-        return bool(self.versions(table))
+    def exists(self, table: str, before_run: str | None = None) -> bool:
+        return bool(self.versions(table, before_run))
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, before_run: str | None = None) -> DataFrame:
         """Newest version under the declared schema; an unwritten table is empty.
 
         A partitioned table is the newest version of each of its partitions and has
-        the partition column last, so a filter on it selects folders.
+        the partition column last, so a filter on it selects folders. ``before_run`` reads
+        the table as that run, should it be the newest, found it.
         """
+        versions = self.versions(table, before_run)
         partition = schemas.TABLES[table].partition
         schema = schemas.struct_type(table)
         if partition:
             schema = schema.add(partition, "date")
-            newest = {f.rsplit("/", 1)[1]: f for f in complete_folders(self.spark, self.path(table), "version", partition)}
+            folders = complete_folders(self.spark, self.path(table), "version", partition)
+            newest = {f.rsplit("/", 1)[1]: f for f in folders if f.rsplit("/", 1)[0] in set(versions)}
             found = sorted(newest.values())
         else:
-            found = self.versions(table)[-1:]
+            found = versions[-1:]
         if not found:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema)
@@ -62,20 +74,24 @@ class Tables:
             reader = reader.option("basePath", self.path(table))
         return reader.parquet(*found).select(*schema.fieldNames())
 
-    def overwrite(self, table: str, df: DataFrame) -> int:
+    def overwrite(self, table: str, df: DataFrame, run_id: str | None = None) -> int:
         """A new version that becomes current once it is complete. Returns its rows.
 
         Of a partitioned table it replaces the partitions that occur in ``df``; the
         others stay as they are and are not rewritten.
         """
         found = self.versions(table)
-        number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 1
+        number = _number_of(found[-1]) + 1 if found else 1
         partition = schemas.TABLES[table].partition
-        return self._write(table, df, f"{self.path(table)}/version={number:08d}", (partition,) if partition else ())
+        name = f"{number:08d}" if run_id is None else f"{number:08d}.{run_id}"
+        return self._write(table, df, f"{self.path(table)}/version={name}", (partition,) if partition else ())
 
     def append(self, table: str, df: DataFrame, load_id: str, partition_by: tuple[str, ...] = ()) -> int:
         """Add one load. Repeating a ``load_id`` replaces that load, so retries add nothing twice."""
-        return self._write(table, df, f"{self.path(table)}/load_id={load_id}", partition_by)
+        load = f"{self.path(table)}/load_id={load_id}"
+        found = complete_folders(self.spark, load, "attempt")
+        number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 1
+        return self._write(table, df, f"{load}/attempt={number:08d}", partition_by)
 
     def _write(self, table: str, df: DataFrame, target: str, partition_by: tuple[str, ...]) -> int:
         """Write and count in the same job."""
@@ -92,12 +108,22 @@ class Tables:
 
         ``without_load`` leaves one load out, as a repeated load must not see itself.
         """
-        loads = complete_folders(self.spark, self.path(table), "load_id")
-        paths = [p for p in loads if not p.endswith(f"/load_id={without_load}")]
+        attempts = complete_folders(self.spark, f"{self.path(table)}/load_id=*", "attempt")
+        newest = {p.rsplit("/", 1)[0]: p for p in attempts}
+        paths = [p for load, p in newest.items() if not load.endswith(f"/load_id={without_load}")]
         schema = schemas.struct_type(table).add("load_id", "string")
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+        found = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+        return found.drop("attempt")
+
+
+def _number_of(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1].split(".", 1)[0])
+
+
+def _run_of(folder: str) -> str | None:
+    return (folder.rsplit("=", 1)[1].split(".", 1) + [None])[1]
 
 
 def conform(df: DataFrame, table: str, extra: tuple[str, ...] = ()) -> DataFrame:

@@ -1,42 +1,52 @@
-"""Daily revenue kept fresh from a stream of clean orders."""
+"""Daily revenue kept current from a stream of clean orders."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from martlet.plans import gold
+from martlet.sources.tables import complete_folders
 
-def stream_daily_revenue(orders: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Daily totals over an order stream; a day is emitted once the watermark has passed it.
 
-    Exact distinct counts need unbounded state, so customers are counted with a sketch.
+def revenue_stream(orders: DataFrame, root: str) -> StreamingQuery:
+    """Store each batch of orders by month and rewrite the days of the months it touches, however late they are.
+
+    A batch owns the folders ``orders/batch_id=<n>`` and ``daily/batch_id=<n>`` and overwrites them when it is
+    replayed. Its days are computed from all stored orders of these months, which the month folders
+    select, so no order is ever late, counts of customers are exact, and a batch costs as much
+    as the months it touches. The months are listed on the driver: calendar months, not rows.
     """
-    done = F.col("status") == "completed"
-    timed = orders.withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp"))
-    daily = (
-        timed.withWatermark("order_timestamp", delay)
-        .groupBy(F.window("order_timestamp", "1 day"))
-        .agg(
-            F.sum(F.when(done, F.col("final_amount")).otherwise(0)).alias("total_revenue"),
-            F.count("*").alias("total_orders"),
-            F.count(F.when(done, 1)).alias("completed_orders"),
-            F.sum("quantity").alias("total_items_sold"),
-            F.approx_count_distinct("customer_id").alias("approx_customers"),
-        )
-    )
-    return daily.select(F.to_date("window.start").alias("revenue_date"), *daily.columns[1:])
+    spark = orders.sparkSession
 
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        own = f"{root}/orders/batch_id={batch_id}"
+        by_month = batch.withColumn("order_month", F.trunc("order_date", "month"))
+        by_month.hint("rebalance", "order_month").write.partitionBy("order_month").mode("overwrite").parquet(own)
+        stored = [f for f in complete_folders(spark, f"{root}/orders", "batch_id") if int(f.rsplit("=", 1)[1]) <= batch_id]
+        seen = spark.read.schema(by_month.schema).option("basePath", f"{root}/orders").parquet(*stored)
+        months = [r[0] for r in seen.filter(F.col("batch_id") == batch_id).select("order_month").distinct().collect()]
+        touched = F.col("order_month").isin([m for m in months if m]) | F.col("order_month").isNull()
+        gold.daily_totals(seen.filter(touched)).write.mode("overwrite").parquet(f"{root}/daily/batch_id={batch_id}")
 
-def run_daily_revenue(spark: SparkSession, orders: DataFrame, root: str, delay: str = "2 days") -> DataFrame:
-    """Process everything available and read the emitted days back."""
-    daily = stream_daily_revenue(orders, delay)
-    (
-        daily.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{root}/daily")
+    return (
+        orders.writeStream.foreachBatch(apply)
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
-    return spark.read.schema(daily.schema).parquet(f"{root}/daily")
+
+
+def current_daily_revenue(spark: SparkSession, root: str) -> DataFrame:
+    """All days with growth: of each day the newest batch that touched it."""
+    daily = spark.read.option("basePath", f"{root}/daily").parquet(*complete_folders(spark, f"{root}/daily", "batch_id"))
+    newest = daily.groupBy("revenue_date").agg(F.max("batch_id").alias("batch_id"))
+    same = F.col("d.revenue_date").eqNullSafe(F.col("n.revenue_date")) & (F.col("d.batch_id") == F.col("n.batch_id"))
+    return gold.with_growth(daily.alias("d").join(newest.alias("n"), same, "left_semi").drop("batch_id"))
+
+
+def run_daily_revenue(spark: SparkSession, orders: DataFrame, root: str) -> DataFrame:
+    """Process everything available and read the current days back."""
+    revenue_stream(orders, root).awaitTermination()
+    return current_daily_revenue(spark, root)

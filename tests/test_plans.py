@@ -5,8 +5,10 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from martlet import schemas
+from martlet.operators import ranking
 from martlet.plans import gold
 from martlet.queries import QUERIES, Lake
+from martlet.session import pin
 from martlet.sources.star import AS_OF
 
 
@@ -25,7 +27,8 @@ def plan(df):
 WRITERS = {
     "inventory_append", "products_full_refresh", "mart_row_counts", "orders_incremental", "stream_daily_revenue",
     "customers_incremental", "product_feed_json", "customer_feed_csv", "order_feed_json", "inventory_feed_csv",
-    "campaign_feed_orc",
+    "campaign_feed_orc", "user_feed_json", "refresh_silver_customers", "refresh_silver_orders", "refresh_price_history",
+    "refresh_counts",
 }
 
 
@@ -36,9 +39,31 @@ def test_no_python_rows_and_no_pairwise_joins(no_broadcast, name):
         assert bad not in text
 
 
-@pytest.mark.parametrize("name", ["rfm_scores", "product_overall_rank", "product_category_rank", "daily_revenue"])
-def test_no_single_task(no_broadcast, name):
-    assert "SinglePartition" not in plan(QUERIES[name](Lake(no_broadcast, SMALL)))
+@pytest.mark.parametrize(
+    "name",
+    ["daily_revenue", "product_performance", "customer_rfm", "campaign_roi", "customer_segment_counts", "churn_risk", "rfm_scores"],
+)
+def test_no_single_task(no_broadcast, monkeypatch, name):
+    """Neither in what is pinned on the way nor in what is left."""
+    plans = []
+
+    def spy(df):
+        plans.append(plan(df))
+        return pin(df)
+
+    for module in (gold, ranking):
+        monkeypatch.setattr(module, "pin", spy)
+    plans.append(plan(QUERIES[name](Lake(no_broadcast, SMALL))))
+    assert len(plans) > 1 or name == "daily_revenue"
+    for text in plans:
+        assert "SinglePartition" not in text and "rank(" not in text and "ntile(" not in text
+
+
+@pytest.mark.parametrize("name", ["dq_orders_referential", "dq_order_rejects"])
+def test_orders_are_judged_in_one_pass(no_broadcast, name):
+    assert plan(QUERIES[name](Lake(no_broadcast, SMALL))).count("l_orderkey#") > 0
+    text = QUERIES[name](Lake(no_broadcast, SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("l_orderkey#") and sum("l_partkey" in line and "Relation" in line for line in text.splitlines()) == 1
 
 
 def test_latest_rows_are_limited_before_the_exchange(no_broadcast):

@@ -8,7 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martlet.functions.ordering import SortKey
+from martlet.operators import ranking
 from martlet.operators.ranking import global_ntile, global_rank, rank_within
+from martlet.session import pin
 
 
 def table(spark, seed, n=700, spread=40):
@@ -21,27 +23,31 @@ def table(spark, seed, n=700, spread=40):
     return spark.createDataFrame(rows, "id string, grp string, v decimal(15,2)").repartition(5)
 
 
+def plain_ntile(df, k, order):
+    window = Window.orderBy(order.column(), F.col("id").asc_nulls_last())
+    return df.withColumn("tile", F.ntile(k).over(window).cast("int"))
+
+
 @pytest.mark.parametrize("descending", [True, False])
 @pytest.mark.parametrize("k", [1, 4, 5])
 def test_ntile(spark, descending, k):
     order = SortKey("v", descending)
     df = table(spark, k)
-    far = global_ntile(df, k, order, "id", "tile", small=False)
-    near = global_ntile(df, k, order, "id", "tile", small=True)
-    assert set(far.collect()) == set(near.collect())
+    far = global_ntile(df, k, order, "id", "tile")
+    assert set(far.collect()) == set(plain_ntile(df, k, order).collect())
     assert far.count() == 700
 
 
 def test_ntile_with_fewer_rows_than_tiles(spark):
     df = table(spark, 9, n=3)
     order = SortKey("v", True)
-    far = global_ntile(df, 5, order, "id", "tile", small=False)
-    assert set(far.collect()) == set(global_ntile(df, 5, order, "id", "tile", small=True).collect())
+    far = global_ntile(df, 5, order, "id", "tile")
+    assert set(far.collect()) == set(plain_ntile(df, 5, order).collect())
 
 
 def test_ntile_of_nothing(spark):
     df = table(spark, 1, n=2).filter("id = 'none'")
-    assert global_ntile(df, 5, SortKey("v"), "id", "tile", small=False).collect() == []
+    assert global_ntile(df, 5, SortKey("v"), "id", "tile").collect() == []
 
 
 @pytest.mark.parametrize("descending", [True, False])
@@ -49,7 +55,7 @@ def test_ntile_of_nothing(spark):
 def test_rank(spark, descending, spread):
     df = table(spark, spread, spread=spread)
     order = SortKey("v", descending)
-    far = global_rank(df, order, "id", "r", small=False)
+    far = global_rank(df, order, "id", "r")
     near = df.withColumn("r", F.rank().over(Window.orderBy(order.column())))
     assert set(far.collect()) == set(near.collect())
 
@@ -58,17 +64,30 @@ def test_rank(spark, descending, spread):
 def test_rank_within_groups(spark, spread):
     df = table(spark, spread + 1, spread=spread)
     order = SortKey("v", True)
-    far = rank_within(df, ["grp"], order, "id", "r", small=False)
+    far = rank_within(df, ["grp"], order, "id", "r")
     near = df.withColumn("r", F.rank().over(Window.partitionBy("grp").orderBy(order.column())))
     assert set(far.collect()) == set(near.collect())
 
 
-def test_size_decides_the_plan(spark):
-    df = table(spark, 3)
-
-    def plan(limit):
-        ranked = global_rank(df, SortKey("v", True), "id", "r", single_task_rows=limit)
-        return ranked._jdf.queryExecution().executedPlan().toString()
-
-    assert "SinglePartition" in plan(700)
-    assert "SinglePartition" not in plan(699)
+def test_rank_of_nothing(spark):
+    df = table(spark, 1, n=2).filter("id = 'none'")
+    assert rank_within(df, ["grp"], SortKey("v"), "id", "r").collect() == []
+
+
+def test_what_is_pinned_is_one_range_exchange(spark, monkeypatch):
+    """The order is made by a range exchange of the sort columns; nothing is hashed by range or gathered."""
+    plans = []
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return pin(df)
+
+    monkeypatch.setattr(ranking, "pin", spy)
+    df = table(spark, 3).withColumn("wide", F.lit("x"))
+    for run in (lambda: rank_within(df, ["grp"], SortKey("v", True), "id", "r"), lambda: global_ntile(df, 5, SortKey("v"), "id", "t")):
+        ranked = run()
+        text = plans.pop()
+        assert text.count("rangepartitioning") == 1 and "Window" not in text and "SinglePartition" not in text
+        assert "hashpartitioning" not in text and "wide" not in text
+        rest = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in rest and "SinglePartition" not in rest

@@ -9,14 +9,15 @@
    probability of 1 - (1 - 0.8^4)^24 = 0.999997. Inside a region, byte sketches of the signatures
    tell which rows may be similar, walking from row to row over those not yet reached, so
    a region of mutual near copies costs a few passes and not all pairs. A region of more than
-   ``REGION_ROWS`` rows is handled at a greater depth, and its parts are then chained to one
-   family, so that nothing is lost by it; one of more than ``HOT_ROWS`` is spread over tasks
-   by deeper prefixes and a salt, and chained likewise.
+   ``HOT_ROWS`` rows is taken at its full depth, in parts spread over tasks.
 3. Connected rows of all orders are families. The texts of families, and only they, are read again, and
    each family's links are found on the full sets, exactly, again from row to row over those
    not yet reached. A family of many shingles is cut into blocks, and every pair of blocks is a
    group of its own.
-4. Components of the confirmed links give every document the smallest id it can reach.
+4. What the greater depth may have missed: rows of a hot region that are not in its largest component by now
+   are compared with all its rows, block by block, and families of those that may be similar confirmed as before. A
+   hot region of mutual near copies is one component by now and has nothing left to compare.
+5. Components of the confirmed links give every document the smallest id it can reach.
 
 Defined cases: a text with fewer words than a shingle is its whole word sequence; a null text or one without words
 has no shingles, is linked with nothing and is its own component. Rows that share a doc_id are one document
@@ -40,8 +41,8 @@ from martlet.llm.text import mix, prepare, shingle_sets
 from martlet.session import scratch_path
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 4
-#: Rows of a region that are compared at its least depth, and beyond which a region is spread over tasks.
-REGION_ROWS, HOT_ROWS = 20_000, 200_000
+#: Rows beyond which a region is spread over tasks, and rows of a block of one.
+HOT_ROWS, BLOCK_ROWS = 50_000, 10_000
 #: Bytes of a sketch and the share of equal bytes below which a pair cannot be similar (8 deviations off 0.8 is 0.4).
 SKETCH, SKETCH_SHARE = 64, 0.5
 #: Shingles of a block of a family.
@@ -110,61 +111,51 @@ def _walk(n: int, alike) -> Iterator[tuple[int, np.ndarray]]:
         yield root, np.array(members)
 
 
-def _region_edges(ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, depth: int) -> Iterator[tuple[int, int]]:
-    """Edges from each row of a region, sorted by label, to the row that stands for its family."""
-    if len(ids) <= REGION_ROWS:
-        need = int(SKETCH_SHARE * SKETCH)
-        for root, members in _walk(len(ids), lambda i, rest: (sketches[rest] == sketches[i]).sum(axis=1) >= need):
-            hub = ids[members].min()
-            yield from ((int(i), int(hub)) for i in ids[members] if i != hub)
-        return
-    width = 4 * (depth + 1)
-    if depth < DEPTH:
-        cuts = np.flatnonzero((labels[1:, :width] != labels[:-1, :width]).any(axis=1)) + 1
-    else:
-        cuts = np.arange(REGION_ROWS, len(ids), REGION_ROWS)
-    edges = [0, *cuts, len(ids)]
-    for a, b in zip(edges[:-1], edges[1:]):
-        yield from _region_edges(ids[a:b], labels[a:b], sketches[a:b], min(depth + 1, DEPTH))
-        if a:
-            yield int(ids[a]), int(ids[0])
-
-
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect every two nodes which may be similar, directly or over others."""
+def _alike(sketches: np.ndarray, i: int, rest: np.ndarray) -> np.ndarray:
+    return (sketches[rest] == sketches[i]).sum(axis=1) >= int(SKETCH_SHARE * SKETCH)
+
+
+def _stacked(sketches) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row for each node and order, with its region; and the hot regions with their rows."""
     trees = nodes.select("node", "signature", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     label = F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})")
     forest = trees.select("node", "tree", label.alias("label"), "sketch")
     forest = forest.withColumn("region", F.expr(f"xxhash64(tree, substring(label, 1, {4 * MIN_DEPTH}))"))
-    hot = forest.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter(F.col("n") > HOT_ROWS)
-    path = scratch_path(nodes.sparkSession, "hot-regions")
-    hot.write.parquet(path)
-    hot = nodes.sparkSession.read.parquet(path)
-    chained = None
+    hot = forest.groupBy("region").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS)
+    return forest, _stored(hot, "hot-regions")
+
+
+def _candidates(forest: DataFrame, hot: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the nodes of each region, or part of a hot one, which may be similar."""
     if hot.limit(1).count():
         deep = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / HOT_ROWS)))
         spread = forest.join(hot, "region", "left")
-        forest = spread.withColumn("region", F.when(F.col("n").isNull(), F.col("region")).otherwise(deep))
-        chained = spread.filter("hub is not null").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        forest = forest.drop("n", "hub")
-
+        forest = spread.withColumn("region", F.when(F.col("n").isNull(), F.col("region")).otherwise(deep)).drop("n")
     rows = forest.repartition("region").sortWithinPartitions("region", "tree", "label", "node")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
         def settle(done: pa.Table) -> Iterator[pa.RecordBatch]:
-            region = done.column("region").to_numpy()
-            ids = done.column("node").to_numpy()
+            region, ids = done.column("region").to_numpy(), done.column("node").to_numpy()
             cuts = np.flatnonzero(region[1:] != region[:-1]) + 1
             edges, found = np.concatenate([[0], cuts, [len(region)]]), []
             for at in np.flatnonzero(np.diff(edges) > 1):
                 a, b = edges[at], edges[at + 1]
-                bytes_of = [
-                    np.frombuffer(b"".join(done.column(c).slice(a, b - a).to_pylist()), np.uint8).reshape(b - a, -1)
-                    for c in ("label", "sketch")
-                ]
-                found += _region_edges(ids[a:b], *bytes_of, MIN_DEPTH)
+                sketches = _stacked(done.column("sketch").slice(a, b - a).to_pylist())
+                for _, members in _walk(b - a, lambda i, rest: _alike(sketches, i, rest)):
+                    own = ids[a:b][members]
+                    found += [(int(i), int(own.min())) for i in own if i != own.min()]
             if found:
                 pairs = np.unique(np.array(found, np.int64), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
@@ -181,8 +172,55 @@ def _candidates(nodes: DataFrame) -> DataFrame:
         if held:
             yield from settle(pa.concat_tables(held).combine_chunks())
 
-    edges = rows.select("region", "node", "label", "sketch").mapInArrow(walk, "a long, b long")
-    return edges if chained is None else edges.unionByName(chained)
+    return rows.select("region", "node", "sketch").mapInArrow(walk, "a long, b long")
+
+
+def _rest_of_hot(forest: DataFrame, hot: DataFrame, components: DataFrame) -> DataFrame:
+    """Edges (a, b) between rows of a hot region that may be similar and are in different components so far.
+
+    One of the two is never in the largest component of the region; these rows meet all others in blocks.
+    """
+    rows = forest.join(hot.select("region"), "region").join(components, "node", "left")
+    rows = _stored(rows.select("region", "node", "sketch", F.coalesce("component", "node").alias("component")), "hot-rows")
+    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("region").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    main = main.filter(F.col("main.n") < F.col("n")).select(
+        "region",
+        F.col("main.component").alias("main"),
+        F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK_ROWS).cast("int").alias("minor_blocks"),
+    )
+    rows = rows.join(main, "region")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    minor_block = F.pmod(F.xxhash64("node"), F.col("minor_blocks")).cast("int")
+    last = {c: F.sequence(F.lit(0), F.col(c) - 1) for c in ("blocks", "minor_blocks")}
+    columns = ["region", "node", "sketch", "component"]
+    every = rows.select(*columns, F.explode(last["minor_blocks"]).alias("i"), block.alias("j"), F.lit(False).alias("minor"))
+    minors = rows.filter("component <> main").select(
+        *columns, minor_block.alias("i"), F.explode(last["blocks"]).alias("j"), F.lit(True).alias("minor")
+    )
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        sketches, ids, of = _stacked(rows["sketch"].tolist()), rows["node"].to_numpy(), rows["component"].to_numpy()
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        others, found = np.flatnonzero(~rows["minor"].to_numpy()), []
+        for i in np.flatnonzero(rows["minor"].to_numpy()):
+            apart = others[of[others] != of[i]]
+            for j in apart[_alike(sketches, i, apart)]:
+                a, b = top(int(ids[i])), top(int(ids[j]))
+                if a != b:  # families only need to hang together
+                    parent[a] = b
+                    found.append((int(ids[i]), int(ids[j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return every.unionByName(minors).groupBy("region", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def exact_components(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -208,13 +246,10 @@ def exact_components(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int
 
 def _links(docs: DataFrame, families: DataFrame, sizes: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Edges (a, b) that connect the nodes of each family whose full sets are linked."""
-    spark = docs.sparkSession
     weights = families.join(sizes, "node").groupBy("component").agg(F.sum("n_shingles").alias("weight"))
     blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
     members = families.join(weights, "component").withColumn("blocks", F.greatest(blocks, F.lit(1)))
-    path = scratch_path(spark, "families")
-    members.select("node", "component", "blocks").write.parquet(path)
-    members = spark.read.parquet(path)
+    members = _stored(members.select("node", "component", "blocks"), "families")
     if members.count() <= BROADCAST_MEMBERS:
         members = F.broadcast(members)
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
@@ -246,14 +281,19 @@ def near_duplicates(
     signed = _signatures(docs, size, id_col, text_col)
     full = signed.filter("n_shingles > 0 and doc_id is not null")
     groups = full.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"))
-    path = scratch_path(docs.sparkSession, "nodes")
-    groups.write.parquet(path)
-    groups = docs.sparkSession.read.parquet(path)
-
+    groups = _stored(groups, "nodes")
     nodes = full.join(groups.withColumn("doc_id", F.col("node")), ["fp1", "fp2", "doc_id"])
     nodes = nodes.select("node", "n_shingles", "signature", "sketch")
-    families = connected_components(_candidates(nodes))
-    links = _links(docs, families, nodes.select("node", "n_shingles"), size, percent, id_col, text_col)
+
+    def confirmed(edges: DataFrame) -> DataFrame:
+        sizes = nodes.select("node", "n_shingles")
+        return _links(docs, connected_components(edges), sizes, size, percent, id_col, text_col)
+
+    forest, hot = _forest(nodes)
+    links = confirmed(_candidates(forest, hot))
+    if hot.limit(1).count():
+        links = _stored(links, "links")
+        links = links.unionByName(confirmed(_rest_of_hot(forest, hot, connected_components(links))))
     copies = full.join(groups, ["fp1", "fp2"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     shared = copies.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).filter("low < high")
     # Only an id that several different texts carry joins their nodes.
@@ -282,9 +322,7 @@ def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
         F.count("*").alias("_n"), F.min(F.xxhash64(F.col(text_col))).alias("_first")
     ).filter("_n > 1")
-    path = scratch_path(docs.sparkSession, "repeated-ids")
-    repeated.write.parquet(path)
-    repeated = docs.sparkSession.read.parquet(path)
+    repeated = _stored(repeated, "repeated-ids")
     if repeated.limit(1).count():
         again = rows.join(repeated, F.col(id_col) == F.col("_id"), "left")
         first = again.filter(F.col("_first").isNull() | (F.xxhash64(F.col(text_col)) == F.col("_first")))

@@ -2,8 +2,8 @@ import random
 import re
 from collections import defaultdict
 
-import numpy as np
 import pytest
+from helpers import awkward, make_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from martlet.llm import components, neardup
@@ -64,31 +64,23 @@ def test_equals_brute_force(make_docs, size):
 
 
 def test_dense_hot_and_blocked_groups(make_docs, monkeypatch):
-    """The same result if regions are deepened and chained, spread over tasks, and families cut into blocks."""
+    """The same result if hot regions are taken at full depth in parts, and families and regions cut into blocks."""
     rows = mixed(11)
     monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 300)
     monkeypatch.setattr(neardup, "HOT_ROWS", 3)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
     monkeypatch.setattr(neardup, "BROADCAST_MEMBERS", 0)
     assert found(neardup.near_duplicates(make_docs(rows), 4)) == brute(rows, 4)
 
 
-def test_region_edges_keep_a_region_together(monkeypatch):
-    monkeypatch.setattr(neardup, "REGION_ROWS", 4)
-    rand = np.random.RandomState(0)
-    labels = rand.randint(0, 2, (40, 4 * neardup.DEPTH)).astype(np.uint8)
-    labels[:, : 4 * neardup.MIN_DEPTH] = 1
-    labels = labels[np.lexsort(labels.T[::-1])]
-    edges = list(neardup._region_edges(np.arange(40), labels, rand.randint(0, 255, (40, 64)).astype(np.uint8), neardup.MIN_DEPTH))
-    parent = list(range(40))
-
-    def top(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in edges:
-        parent[top(a)] = top(b)
-    assert len({top(i) for i in range(40)}) == 1
+def test_rest_of_hot_regions(make_docs, monkeypatch):
+    """Links that the parts of a hot region miss are found in its blocks."""
+    rows = mixed(12)
+    monkeypatch.setattr(neardup, "HOT_ROWS", 1)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
+    lost = neardup._candidates
+    monkeypatch.setattr(neardup, "_candidates", lambda forest, hot: lost(forest, hot).filter("a % 3 = 0"))
+    assert found(neardup.near_duplicates(make_docs(rows), 4)) == brute(rows, 4)
 
 
 def test_awkward_rows(make_docs, awkward):

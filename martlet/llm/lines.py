@@ -43,8 +43,11 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 def site_spread(keys: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``key`` and ``sites`` of the keys on at least ``min_sites`` sites; ``exact`` tells how it was counted."""
     frequent = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites).select("key")
+    # Stored first, so that the join has two plain sides and Spark can split the rows of a frequent line.
+    frequent = _stored(frequent, "frequent-keys")
     rows = _stored(keys.join(frequent, "key", "left_semi").select("key", "site", "salt"), "frequent-lines")
-    sketched = rows.groupBy("key", "salt").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"))
+    named = F.concat(F.lit("="), "site")  # sketches leave empty strings out
+    sketched = rows.groupBy("key", "salt").agg(F.hll_sketch_agg(named, LG_K).alias("sketch"))
     spread = sketched.groupBy("key").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("sites"))
     spread = _stored(spread, "line-spread")
     low, high = min_sites * (1 - MARGIN), min_sites * (1 + MARGIN)

@@ -2,7 +2,7 @@ import random
 import re
 
 import numpy as np
-from helpers import numbered
+from helpers import awkward, make_docs, numbered  # noqa: F401
 from pyspark.sql import functions as F
 
 from martlet.llm import contamination

@@ -62,7 +62,7 @@ EMAIL = "'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'"
 
 FEEDS = {
     "part_c": """
-        SELECT p_partkey AS pk, p_name, p_type, p_size,
+        SELECT p_partkey AS pk, p_name, p_brand, p_type, p_size,
                (CAST(round(p_retailprice * 100) AS BIGINT) - 90000) * 5 AS list_c
         FROM part""",
     "products_1": """
@@ -119,7 +119,7 @@ FEEDS = {
                         WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'cancelled'
                         WHEN o_orderstatus = 'P' AND l_returnflag = 'N' THEN 'pending'
                         ELSE 'completed' END AS status,
-                   {one_of("l_orderkey % 5", "credit_card", "debit_card", "upi", "cod", "wallet")} AS payment_method,
+                   lower(o_orderpriority) AS payment_method,
                    CASE WHEN round(l_discount * 100) < 5 THEN NULL WHEN round(l_discount * 100) < 7 THEN 'SAVE10'
                         WHEN round(l_discount * 100) = 7 THEN 'FLASH20' WHEN round(l_discount * 100) = 8 THEN 'NEW50'
                         ELSE 'WEEK15' END AS promo_code,
@@ -134,29 +134,26 @@ FEEDS = {
                     ELSE (pk * 31 + d * 17) % 500 END AS stock_quantity,
                CASE WHEN list_c > 10000 THEN pk % 21 + 10 ELSE pk % 51 + 30 END AS reorder_point,
                CASE WHEN pk % 43 <> 11 THEN (list_c * (pk % 21 + 60) + 50) // 100 END AS cost_c,
-               {one_of("pk % 5", "Mumbai_WH1", "Delhi_WH1", "Bangalore_WH1", "Hyderabad_WH1", "Chennai_WH1")}
-                 AS warehouse_location,
+               'Depot ' || p_brand AS warehouse_location,
                CAST({AS_OF} - CAST(d AS INTEGER) AS DATE) AS inventory_date
         FROM part_c, (VALUES (0), (7), (30)) AS days(d)""",
     "bronze_campaigns": f"""
-        SELECT 'CAMP' || (k * 100 + p) AS campaign_id, name || ' ' || r_name AS campaign_name,
-               {one_of("k", "Email", "Social Media", "Google Ads", "SMS", "Display Ads")} AS channel,
-               code AS promo_code, p AS discount_percentage, start_date,
+        SELECT 'CAMP' || k AS campaign_id, n_name || ' ' || s_name AS campaign_name, r_name AS channel,
+               coalesce(code, 'OWN' || k) AS promo_code, p AS discount_percentage, start_date,
                CAST(start_date + CAST(3 + (k * 7 + p) % 28 AS INTEGER) AS DATE) AS end_date,
                budget_c, budget_c * 9 // 10 AS spend_c
-        FROM (SELECT r_regionkey AS k, r_name, name, code, p,
-                     CAST({AS_OF} - CAST(60 - (r_regionkey * 11 + p) % 50 AS INTEGER) AS DATE) AS start_date,
-                     CASE WHEN r_regionkey = 4 AND p = 15 THEN 0
-                          ELSE 100 * (1000 * CASE r_regionkey WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 16 WHEN 3 THEN 64
-                                      ELSE 256 END + p * 10)::BIGINT END AS budget_c
-              FROM region, (VALUES ('Flash Friday Sale', 'FLASH20', 20), ('Weekend Special', 'WEEK15', 15),
-                                   ('New Customer Offer', 'NEW50', 50), ('Festive Bonanza', 'FEST30', 30),
-                                   ('Summer Clearance', 'SUMMER25', 25), ('Monsoon Sale', 'RAIN10', 10)) AS t(name, code, p))""",
+        FROM (SELECT s_suppkey AS k, s_name, n_name, r_name, code, p,
+                     CAST({AS_OF} - CAST(60 - (s_suppkey * 11 + p) % 50 AS INTEGER) AS DATE) AS start_date,
+                     CASE WHEN s_suppkey % 29 = 15 THEN 0
+                          ELSE 100 * (1000 * (4 ** (s_suppkey % 7))::BIGINT + p * 10)::BIGINT END AS budget_c
+              FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+              JOIN (VALUES (0, 'SAVE10', 10), (1, 'FLASH20', 20), (2, 'NEW50', 50), (3, 'WEEK15', 15), (4, NULL, 25))
+                AS t(slot, code, p) ON s_suppkey % 5 = slot)""",
     "campaigns_again": """
         SELECT c.* REPLACE (c.campaign_id || s.suffix AS campaign_id, c.campaign_name || ' (renamed)' AS campaign_name,
                             (c.spend_c * 110 + 50) // 100 AS spend_c)
         FROM bronze_campaigns c JOIN (VALUES ('', FALSE), ('-B', TRUE)) AS s(suffix, extra)
-          ON NOT s.extra OR c.promo_code = 'RAIN10'""",
+          ON NOT s.extra OR c.promo_code = 'WEEK15'""",
     "customer_records": f"""
         SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN customer_id ELSE 'CUSTN' || ck END AS customer_id,
                'Customer' || arrival AS first_name, last_name, email, signup_date,

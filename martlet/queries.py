@@ -879,7 +879,13 @@ def refresh_counts(x: Lake) -> DataFrame:
 @query
 def orders_incremental(x: Lake) -> DataFrame:
     """The order feed as a file stream, merged batch by batch into an order table."""
-    return ingest.ingest_order_lines(x.spark, x.sf, scratch_path(x.spark, "ingest")).select(
+    root = scratch_path(x.spark, "ingest")
+    lines = x.spark.readStream.schema(star.SOURCES["lineitem"]).option("pathGlobFilter", "lineitem*.parquet").parquet(x.sf)
+    ingest.ingest_stream(
+        lines, f"{root}/orders", f"{root}/checkpoint", ["order_id"], star.order_arrival(),
+        shape=lambda batch: star.order_feed(x.spark, x.sf, lines=batch),
+    ).awaitTermination()
+    return x.spark.read.parquet(f"{root}/orders").select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "discount_amount",
         "final_amount", "status", "promo_code",
     )

@@ -22,23 +22,14 @@ from martlet.sources.feeds import flatten_products, with_lineage
 AS_OF = dt.date(2001, 8, 1)
 FIRST_DAY = AS_OF - dt.timedelta(days=10)
 
-# Value domains of the feeds.
-WAREHOUSES = ("Mumbai_WH1", "Delhi_WH1", "Bangalore_WH1", "Hyderabad_WH1", "Chennai_WH1")
-PAYMENT_METHODS = ("credit_card", "debit_card", "upi", "cod", "wallet")
-CHANNELS = ("Email", "Social Media", "Google Ads", "SMS", "Display Ads")
-CAMPAIGN_TEMPLATES = (
-    ("Flash Friday Sale", "FLASH20", 20),
-    ("Weekend Special", "WEEK15", 15),
-    ("New Customer Offer", "NEW50", 50),
-    ("Festive Bonanza", "FEST30", 30),
-    ("Summer Clearance", "SUMMER25", 25),
-    ("Monsoon Sale", "RAIN10", 10),
-)
+#: Promotion codes of the campaigns with the percentage that is announced; ``None`` stands for a code of their own.
+CAMPAIGN_CODES = (("SAVE10", 10), ("FLASH20", 20), ("NEW50", 50), ("WEEK15", 15), (None, 25))
 
 
 # Layout of the source tables. Readers never infer.
 SOURCES = {
     "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
@@ -267,7 +258,7 @@ def order_feed(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
             "unit_price",
             placed.alias("order_timestamp"),
             status.alias("status"),
-            pick(PAYMENT_METHODS, F.col("l_orderkey") % 5).alias("payment_method"),
+            F.lower("o_orderpriority").alias("payment_method"),
             promo.cast("string").alias("promo_code"),
             F.concat(ck, F.lit(" Market Road")).alias("shipping_address"),
             "l_returnflag",
@@ -303,7 +294,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.xxhash64("p_partkey", "days_back").alias("inventory_id"),
             pk.cast("int").alias("product_id"),
             stock.cast("int").alias("stock_quantity"),
-            pick(WAREHOUSES, pk % 5).alias("warehouse_location"),
+            F.concat_ws(" ", F.lit("Depot"), "p_brand").alias("warehouse_location"),
             reorder.alias("reorder_point"),
             (reorder * 2).alias("reorder_quantity"),
             cost.alias("cost_price"),
@@ -319,24 +310,23 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six campaigns per region."""
-    k, pct = F.col("r_regionkey"), F.col("t.pct")
-    templates = F.array(
-        *[
-            F.struct(F.lit(n).alias("name"), F.lit(code).alias("code"), F.lit(p).alias("pct"))
-            for n, code, p in CAMPAIGN_TEMPLATES
-        ]
+    """One campaign per supplier, in the channel of its region."""
+    k = F.col("s_suppkey")
+    place = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
+    pct = pick(tuple(p for _, p in CAMPAIGN_CODES), k % len(CAMPAIGN_CODES))
+    code = pick(tuple(c for c, _ in CAMPAIGN_CODES), k % len(CAMPAIGN_CODES))
     start = F.date_sub(day(AS_OF), (60 - (k * 11 + pct) % 50).cast("int"))
-    budget = F.when((k == 4) & (pct == 15), 0).otherwise(F.pow(F.lit(4), k).cast("int") * 1000 + pct * 10)
+    budget = F.when(k % 29 == 15, 0).otherwise(F.pow(F.lit(4), k % 7).cast("int") * 1000 + pct * 10)
     return (
-        table(spark, sf_dir, "region")
-        .withColumn("t", F.explode(templates))
+        table(spark, sf_dir, "supplier")
+        .join(place, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            F.concat(F.lit("CAMP"), k * 100 + pct).alias("campaign_id"),
-            F.concat_ws(" ", "t.name", "r_name").alias("campaign_name"),
-            pick(CHANNELS, k).alias("channel"),
-            F.col("t.code").alias("promo_code"),
+            F.concat(F.lit("CAMP"), k).alias("campaign_id"),
+            F.concat_ws(" ", "n_name", "s_name").alias("campaign_name"),
+            F.col("r_name").alias("channel"),
+            F.coalesce(code, F.concat(F.lit("OWN"), k)).alias("promo_code"),
             pct.cast("int").alias("discount_percentage"),
             start.alias("start_date"),
             F.date_add(start, (F.lit(3) + (k * 7 + pct) % 28).cast("int")).alias("end_date"),
@@ -357,7 +347,7 @@ def campaign_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             "actual_spend": F.round(F.col("actual_spend") * F.lit(110) / 100, 2).cast("decimal(12,2)"),
             "campaign_name": F.concat("campaign_name", F.lit(" (renamed)")),
             "campaign_id": F.explode(
-                F.when(F.col("promo_code") == "RAIN10", F.array(F.col("campaign_id"), F.concat("campaign_id", F.lit("-B"))))
+                F.when(F.col("promo_code") == "WEEK15", F.array(F.col("campaign_id"), F.concat("campaign_id", F.lit("-B"))))
                 .otherwise(F.array("campaign_id"))
             ),
         }

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from martlet.operators.merge import insert_ignore
-from martlet.sources import star
 from martlet.sources.tables import Tables, complete_folders
 
 
@@ -70,21 +69,3 @@ def merge_stream(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def ingest_order_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Stream the order lines of ``sf_dir`` into an order table under ``root`` and read it back."""
-    lines = (
-        spark.readStream.schema(star.SOURCES["lineitem"])
-        .option("pathGlobFilter", "lineitem*.parquet")
-        .parquet(sf_dir)
-    )
-    ingest_stream(
-        lines,
-        f"{root}/orders",
-        f"{root}/checkpoint",
-        ["order_id"],
-        star.order_arrival(),
-        shape=lambda batch: star.order_feed(spark, sf_dir, lines=batch),
-    ).awaitTermination()
-    return spark.read.parquet(f"{root}/orders")

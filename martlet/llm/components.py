@@ -18,7 +18,8 @@ def _stored(edges: DataFrame, name: str) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node hangs its larger neighbours on the smallest node it sees."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # Stored first, so that the join has two plain sides and Spark can split the rows of a frequent node.
+    smallest = _stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "smallest")
     return both.filter("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 

@@ -44,6 +44,7 @@ def scd2_apply(
     as_of: dt.date,
     reason: Callable[[str, str], Column],
     surrogate: str | None = None,
+    at: dt.datetime | None = None,
 ) -> DataFrame:
     """The history after ``snapshot`` was seen on ``as_of``.
 
@@ -52,33 +53,42 @@ def scd2_apply(
     ``carried`` columns are recorded but trigger nothing. Keys absent from the
     snapshot stay open. ``reason(old, new)`` receives the two alias prefixes.
 
+    With ``at``, rows carry ``created_at`` and ``updated_at``: a row is created when it opens and
+    updated when it closes.
+
     Closed rows pass through untouched; the open ones and the snapshot meet in a
     single full join that emits one or two rows per key.
     """
     attributes = [key, *carried]
     compared = _compare(history, snapshot, key, tracked)
 
-    def row(side: str, valid_from, valid_to, current, why) -> Column:
+    now = F.lit(at).cast("timestamp_ntz")
+    audit = ["created_at", "updated_at"] if at else []
+
+    def row(side: str, valid_from, valid_to, current, why, changed: bool) -> Column:
+        created = now if side == "new" else F.col("old.created_at") if audit else None
+        updated = now if changed else F.col("old.updated_at") if audit else None
         return F.struct(
             *[F.col(f"{side}.{c}").alias(c) for c in attributes],
             valid_from.alias("valid_from"), valid_to.alias("valid_to"),
             F.lit(current).alias("is_current"), why.alias("change_reason"),
+            *[c.alias(n) for n, c in zip(audit, (created, updated))],
         )
 
     action = F.col("_action")
     opened = row(
-        "new", day(as_of), day(OPEN_END), True, F.when(action == "new", INITIAL_RECORD).otherwise(reason("old", "new"))
+        "new", day(as_of), day(OPEN_END), True, F.when(action == "new", INITIAL_RECORD).otherwise(reason("old", "new")), True
     )
-    kept = row("old", F.col("old.valid_from"), F.col("old.valid_to"), True, F.col("old.change_reason"))
+    kept = row("old", F.col("old.valid_from"), F.col("old.valid_to"), True, F.col("old.change_reason"), False)
     closed = row(
-        "old", F.col("old.valid_from"), day(as_of - dt.timedelta(days=1)), False, F.col("old.change_reason")
+        "old", F.col("old.valid_from"), day(as_of - dt.timedelta(days=1)), False, F.col("old.change_reason"), True
     )
     rows = (
         F.when(action == "new", F.array(opened))
         .when(action == "updated", F.array(closed, opened))
         .otherwise(F.array(kept))
     )
-    columns = [*attributes, *PERIOD]
+    columns = [*attributes, *PERIOD, *audit]
     result = (
         history.filter(~_open()).select(*columns).unionByName(compared.select(F.inline(rows)))
     )

@@ -473,7 +473,8 @@ STATEMENTS: dict[str, str] = {
           WHERE NOT EXISTS (SELECT 1 FROM clean_products_2 n WHERE n.product_id = o.product_id))""",
     "clean_customers_upsert": f"""
         SELECT customer_id, full_name, loyalty_tier, {cents("spend_c")} AS total_lifetime_spend, is_active,
-               {big("age")} AS customer_age_days, segment AS customer_segment FROM clean_customers_2""",
+               {big("age")} AS customer_age_days, segment AS customer_segment, '2001-07-22 00:00:00' AS created_at,
+               '2001-08-01 00:00:00' AS updated_at, 'bronze_customers' AS source_table FROM clean_customers_2""",
     "clean_campaigns_upsert": f"""
         SELECT {CAMPAIGN_COLUMNS}, {AS_OF} BETWEEN start_date AND end_date AS is_active FROM campaigns_again""",
     "orders_status_upsert": f"""

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlet import schemas
 from martlet.functions import labels
 from martlet.functions.dates import OPEN_END
 from martlet.operators.history import scd2_apply, scd2_changes
@@ -77,7 +78,7 @@ def _merged(tables: Tables, table: str, before: DataFrame, after: DataFrame, run
     return {table: rows, f"{table}_inserted": rows - held}
 
 
-def merge_orders(tables: Tables, clean: DataFrame, run_id: str | None = None) -> int:
+def merge_orders(tables: Tables, clean: DataFrame, run_id: str | None = None, at: dt.datetime | None = None) -> int:
     """Merge clean orders into the stored ones; returns the rows stored afterwards.
 
     Only months with a new order or another status are read in full and rewritten.
@@ -85,16 +86,16 @@ def merge_orders(tables: Tables, clean: DataFrame, run_id: str | None = None) ->
     """
     target = tables.read("silver_orders", run_id)
     if not tables.exists("silver_orders", run_id):
-        return tables.overwrite("silver_orders", silver.with_month(clean), run_id)
+        return tables.overwrite("silver_orders", schemas.stamped(silver.with_month(clean), "silver_orders", at), run_id)
     changed = pin(silver.changed_orders(target, clean))
     months = [r[0] for r in changed.select("order_month").distinct().collect()]
     if months:
         touched = target.filter(F.col("order_month").isin(months))
-        tables.overwrite("silver_orders", silver.merge("silver_orders", touched, changed), run_id)
+        tables.overwrite("silver_orders", silver.merge("silver_orders", touched, changed, at), run_id)
     return tables.read("silver_orders").count()
 
 
-def build_silver(tables: Tables, as_of: dt.date, run_id: str) -> dict:
+def build_silver(tables: Tables, as_of: dt.date, run_id: str, at: dt.datetime) -> dict:
     """Clean tables merge into what exists, except inventory, which is replaced."""
     products = tables.read_appended("bronze_products")
     customers = tables.read("bronze_customers")
@@ -112,13 +113,13 @@ def build_silver(tables: Tables, as_of: dt.date, run_id: str) -> dict:
     for table, (clean, rejected) in splits.items():
         if table == "silver_orders":
             held = tables.read(table, run_id).count()
-            counts[table] = merge_orders(tables, clean, run_id)
+            counts[table] = merge_orders(tables, clean, run_id, at)
             counts[f"{table}_inserted"] = counts[table] - held
         elif table == "silver_inventory":
-            counts[table] = tables.overwrite(table, clean, run_id)
+            counts[table] = tables.overwrite(table, schemas.stamped(clean, table, at), run_id)
         else:
             stored = tables.read(table, run_id)
-            counts |= _merged(tables, table, stored, silver.merge(table, stored, clean), run_id)
+            counts |= _merged(tables, table, stored, silver.merge(table, stored, clean, at), run_id)
         named = rejected.withColumn("table_name", F.lit(table))
         counts[f"{table}_rejected"] = tables.append("rejected_records", named, f"{run_id}-{table}")
     return counts
@@ -165,8 +166,9 @@ def full_marts(tables: Tables, as_of: dt.date) -> dict[str, DataFrame]:
     }
 
 
-def build_gold(tables: Tables, as_of: dt.date) -> dict:
-    return {table: tables.overwrite(table, mart) for table, mart in full_marts(tables, as_of).items()}
+def build_gold(tables: Tables, as_of: dt.date, at: dt.datetime) -> dict:
+    marts = full_marts(tables, as_of)
+    return {table: tables.overwrite(table, schemas.stamped(mart, table, at)) for table, mart in marts.items()}
 
 
 def apply_snapshot(
@@ -186,7 +188,7 @@ def apply_snapshot(
     return tables.read(table).count()
 
 
-def update_history(tables: Tables, as_of: dt.date, run_id: str | None = None) -> dict:
+def update_history(tables: Tables, as_of: dt.date, run_id: str, at: dt.datetime) -> dict:
     """Both histories; returns rows stored, and the new, changed and unchanged keys of each."""
     products = tables.read("silver_products").filter("is_active")
     customers = tables.read("silver_customers").filter("is_active")
@@ -197,7 +199,7 @@ def update_history(tables: Tables, as_of: dt.date, run_id: str | None = None) ->
     ):
         changes = scd2_changes(tables.read(table, run_id), snapshot, spec["key"], spec["tracked"])
         counts |= {f"{table}_{r['action']}": r["n"] for r in changes.collect()}  # one row per action
-        counts[table] = apply_snapshot(tables, table, snapshot, as_of, surrogate, run_id, reason=reason, **spec)
+        counts[table] = apply_snapshot(tables, table, snapshot, as_of, surrogate, run_id, reason=reason, at=at, **spec)
     return counts
 
 
@@ -211,7 +213,7 @@ def refresh(
     at = dt.datetime.combine(as_of, dt.time())
     return {
         **load_bronze(tables, feeds, run_id, arrival, at),
-        **build_silver(tables, as_of, run_id),
-        **build_gold(tables, as_of),
-        **update_history(tables, as_of, run_id),
+        **build_silver(tables, as_of, run_id, at),
+        **build_gold(tables, as_of, at),
+        **update_history(tables, as_of, run_id, at),
     }

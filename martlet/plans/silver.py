@@ -39,10 +39,14 @@ def _rejects(quarantined: DataFrame, key: str) -> DataFrame:
     return quarantined.select(F.col(key).cast("string").alias("record_key"), "reasons")
 
 
-def merge(table: str, target: DataFrame, clean: DataFrame) -> DataFrame:
-    """Bring ``clean`` into an existing clean table; rows it lacks stay as they are."""
+def merge(table: str, target: DataFrame, clean: DataFrame, at: dt.datetime | None = None) -> DataFrame:
+    """Bring ``clean`` into an existing clean table; rows it lacks stay as they are.
+
+    If the target has audit columns, matched rows are marked as updated at ``at`` and new ones as created.
+    """
     key = list(schemas.TABLES[table].key)
-    return merge_subset(target, clean, key, UPDATES[table], key)
+    merged = merge_subset(target, clean, key, UPDATES[table], key, touch_col="updated_at", touched_at=at)
+    return schemas.stamped(merged, table, at) if "updated_at" in target.columns else merged
 
 
 def with_month(orders: DataFrame) -> DataFrame:

@@ -374,9 +374,10 @@ def products_upsert(x: Lake) -> DataFrame:
 def clean_customers_upsert(x: Lake) -> DataFrame:
     first = silver.silver_customers(x.customers, FIRST_DAY)[0]
     later = silver.silver_customers(star.bronze_customers_later(x.spark, x.sf), AS_OF)[0]
-    return silver.merge("silver_customers", first, later).select(
+    stored = schemas.stamped(first, "silver_customers", star.midnight(FIRST_DAY))
+    return silver.merge("silver_customers", stored, later, star.midnight(AS_OF)).select(
         "customer_id", "full_name", "loyalty_tier", "total_lifetime_spend", "is_active", "customer_age_days",
-        "customer_segment",
+        "customer_segment", "created_at", "updated_at", "source_table",
     )
 
 
@@ -845,7 +846,7 @@ def refresh_silver_customers(x: Lake) -> DataFrame:
     """Clean customers after two daily runs."""
     return x.two_runs[0].read("silver_customers").select(
         "customer_id", "full_name", "loyalty_tier", "total_lifetime_spend", "is_active", "customer_age_days",
-        "customer_segment",
+        "customer_segment", "created_at", "updated_at", "source_table",
     )
 
 

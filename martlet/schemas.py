@@ -123,6 +123,13 @@ TABLES: dict[str, Table] = {
         is_current boolean, change_reason string(255)""", partition="closed_month"),
 }
 
+# Columns that tell when and from what a stored row was made. The run stamps them.
+AUDIT = {
+    "silver": {"created_at": "timestamp_ntz", "updated_at": "timestamp_ntz", "source_table": "string"},
+    "gold": {"calculated_at": "timestamp_ntz"},
+    "history": {"created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"},
+}
+
 # Feed records before lineage columns are added.
 PRODUCT_FEED = (
     "id int, title string, price decimal(10,2), description string, category string, image string, "
@@ -157,6 +164,27 @@ def struct_type(table: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"{c.name} {c.type}" for c in column_specs(table)))
 
 
+def audit_columns(table: str) -> dict[str, str]:
+    return AUDIT.get(TABLES[table].layer, {})
+
+
+def stored_type(table: str) -> T.StructType:
+    """The schema of a stored table: the declared columns, then those the run stamps."""
+    schema = struct_type(table)
+    for name, kind in audit_columns(table).items():
+        schema = schema.add(name, kind)
+    return schema
+
+
+def stamped(df, table: str, at):
+    """``df`` with the audit columns of a new row where it has none; ``at`` is the time of the run."""
+    values = {"source_table": F.lit(table.replace("silver", "bronze"))}
+    held = {n: F.col(n) if n in df.columns else F.lit(None) for n in audit_columns(table)}
+    return df.withColumns(
+        {n: F.coalesce(held[n].cast(kind), values.get(n, F.lit(at)).cast(kind)) for n, kind in audit_columns(table).items()}
+    )
+
+
 def column_names(table: str) -> list[str]:
     return [c.name for c in column_specs(table)]
 

@@ -59,7 +59,7 @@ class Tables:
         """
         versions = self.versions(table, before_run)
         partition = schemas.TABLES[table].partition
-        schema = schemas.struct_type(table)
+        schema = schemas.stored_type(table)
         if partition:
             schema = schema.add(partition, "date")
             folders = complete_folders(self.spark, self.path(table), "version", partition)
@@ -111,7 +111,7 @@ class Tables:
         attempts = complete_folders(self.spark, f"{self.path(table)}/load_id=*", "attempt")
         newest = {p.rsplit("/", 1)[0]: p for p in attempts}
         paths = [p for load, p in newest.items() if not load.endswith(f"/load_id={without_load}")]
-        schema = schemas.struct_type(table).add("load_id", "string")
+        schema = schemas.stored_type(table).add("load_id", "string")
         if not paths:
             return self.spark.createDataFrame([], schema)
         found = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
@@ -132,12 +132,11 @@ def conform(df: DataFrame, table: str, extra: tuple[str, ...] = ()) -> DataFrame
     ``extra`` columns follow as they are unless the table declares them.
     """
     present = set(df.columns)
-    declared = schemas.column_specs(table)
-    names = {c.name for c in declared}
+    declared = {c.name: c.type for c in schemas.column_specs(table)} | schemas.audit_columns(table)
     return df.select(
         *[
-            (F.col(c.name) if c.name in present else F.lit(None)).cast(c.type).alias(c.name)
-            for c in declared
+            (F.col(name) if name in present else F.lit(None)).cast(kind).alias(name)
+            for name, kind in declared.items()
         ],
-        *[c for c in extra if c not in names],
+        *[c for c in extra if c not in declared],
     )

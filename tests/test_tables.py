@@ -112,7 +112,12 @@ def test_two_day_run(spark, tmp_path):
     titles = tables.read("silver_products").filter("product_name <> '' AND data_quality_score < 100")
     assert titles.count() > 0
     for mart in ("gold_daily_revenue", "gold_campaign_roi", "gold_inventory_health"):
-        assert tables.read(mart).schema.fieldNames() == schemas.column_names(mart)
+        assert tables.read(mart).schema.fieldNames() == [*schemas.column_names(mart), "calculated_at"]
+        assert {str(r[0]) for r in tables.read(mart).select("calculated_at").collect()} == {f"{star.AS_OF} 00:00:00"}
+    periods = tables.read("product_price_history").select("is_current", "valid_from", "created_at", "updated_at").collect()
+    days = {(r["is_current"], str(r["created_at"])[:10], str(r["updated_at"])[:10]) for r in periods}
+    first_day, last_day = str(star.FIRST_DAY), str(star.AS_OF)
+    assert days == {(True, first_day, first_day), (False, first_day, last_day), (True, last_day, last_day)}
 
 
 def test_only_touched_months_are_rewritten(spark, tmp_path):

@@ -789,8 +789,9 @@ STATEMENTS |= {
           UNION ALL SELECT d, 'silver_orders', n FROM (SELECT count(*) AS n FROM clean_orders), (SELECT unnest(['day-1', 'day-2']) AS d)
           UNION ALL SELECT 'day-1', 'silver_orders_inserted', count(*) FROM clean_orders
           UNION ALL SELECT 'day-2', 'silver_orders_inserted', 0
-          UNION ALL SELECT d, 'silver_orders_rejected', n FROM
-            (SELECT count(*) AS n FROM order_reasons WHERE reasons <> ''), (SELECT unnest(['day-1', 'day-2']) AS d)
+          UNION ALL SELECT 'day-1', 'silver_orders_rejected', count(*) FROM order_reasons WHERE reasons <> ''
+          UNION ALL SELECT 'day-2', 'silver_orders_rejected', count(*) FROM order_reasons
+            WHERE reasons IN ('customer_known', 'product_known', 'customer_known,product_known')
           UNION ALL SELECT 'day-1', 'product_price_history_new', count(*) FROM price_history_1
           UNION ALL SELECT 'day-1', 'product_price_history_updated', 0
           UNION ALL SELECT 'day-1', 'product_price_history_unchanged', 0

@@ -95,21 +95,33 @@ def merge_orders(tables: Tables, clean: DataFrame, run_id: str | None = None, at
     return tables.read("silver_orders").count()
 
 
+def judged_orders(tables: Tables, customers: DataFrame, products: DataFrame, run_id: str) -> DataFrame:
+    """Orders that no earlier run has judged, and those that waited for a customer or product, with the rules they break.
+
+    Bronze orders never change, so a clean order stays clean and only these need a look. A load counts as judged
+    once the clean step of its run has stored what it rejects. Pinned, as it is written three times.
+    """
+    judged = {r.removesuffix("-silver_orders") for r in tables.loads("rejected_records") if r.endswith("-silver_orders")}
+    unseen = [load for load in tables.loads("bronze_orders") if load not in judged or load == run_id]
+    columns = schemas.column_names("pending_orders")
+    arrived = tables.read_appended("bronze_orders").filter(F.col("load_id").isin(unseen)).select(*columns)
+    waiting = tables.read("pending_orders", run_id).join(arrived.select("order_id"), "order_id", "left_anti")
+    return pin(silver.judged_orders(arrived.unionByName(waiting.select(*columns)), customers, products))
+
+
 def build_silver(tables: Tables, as_of: dt.date, run_id: str, at: dt.datetime) -> dict:
     """Clean tables merge into what exists, except inventory, which is replaced."""
     products = tables.read_appended("bronze_products")
     customers = tables.read("bronze_customers")
+    judged = judged_orders(tables, customers, products, run_id)
     splits = {
         "silver_products": silver.silver_products(products),
         "silver_customers": silver.silver_customers(customers, as_of, tables.read("silver_customers", run_id)),
         "silver_campaigns": silver.silver_campaigns(tables.read("bronze_campaigns"), as_of),
-        # Judged once and pinned, as both sides are written.
-        "silver_orders": silver.split_orders(
-            pin(silver.judged_orders(tables.read_appended("bronze_orders"), customers, products))
-        ),
+        "silver_orders": silver.split_orders(judged),
         "silver_inventory": silver.silver_inventory(tables.read_appended("bronze_inventory")),
     }
-    counts = {}
+    counts = {"pending_orders": tables.overwrite("pending_orders", silver.pending_orders(judged), run_id)}
     for table, (clean, rejected) in splits.items():
         if table == "silver_orders":
             held = tables.read(table, run_id).count()

@@ -184,6 +184,13 @@ def split_orders(judged: DataFrame) -> Split:
     return clean, _rejects(judged.filter(F.size("reasons") > 0), "order_id")
 
 
+def pending_orders(judged: DataFrame) -> DataFrame:
+    """Rejected orders that only lack a customer or product, which may still arrive."""
+    lacking = F.array(F.lit("customer_known"), F.lit("product_known"))
+    waits = (F.size("reasons") > 0) & (F.size(F.array_except("reasons", lacking)) == 0)
+    return judged.filter(waits).select(*schemas.column_names("pending_orders"))
+
+
 def rejected_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     return split_orders(judged_orders(orders, customers, products))[1]
 

@@ -111,6 +111,10 @@ TABLES: dict[str, Table] = {
         cost_per_order decimal(15,2), cost_per_acquisition decimal(15,2), new_customers_acquired bigint,
         promo_code_usage_count bigint, conversion_rate decimal(15,2), campaign_rank int, campaign_status string(20),
         performance_rating string(20)"""),
+    "pending_orders": Table("quarantine", ("order_id",), """
+        order_id string(50)!, customer_id string(50), product_id int, quantity int, unit_price decimal(10,2),
+        total_amount decimal(10,2), discount_amount decimal(10,2), final_amount decimal(10,2),
+        order_timestamp timestamp_ntz, status string(20), payment_method string(50), promo_code string(20)"""),
     "rejected_records": Table("quarantine", ("table_name", "record_key"), """
         table_name string!, record_key string, reasons array<string>"""),
     "product_price_history": Table("history", ("product_id", "valid_from"), """

@@ -103,6 +103,11 @@ class Tables:
         counted.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
         return rows.get["n"]
 
+    def loads(self, table: str) -> list[str]:
+        """Ids of the loads with a complete attempt."""
+        attempts = complete_folders(self.spark, f"{self.path(table)}/load_id=*", "attempt")
+        return sorted({p.rsplit("/", 2)[1].split("=", 1)[1] for p in attempts})
+
     def read_appended(self, table: str, without_load: str | None = None) -> DataFrame:
         """All complete loads; ``partition_by`` columns of the loads prune folders.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from martlet import schemas
 from martlet.operators.history import scd2_apply
 from martlet.plans import bronze, gold
+from martlet.plans import refresh as refresh_module
 from martlet.plans.refresh import PRODUCT_HISTORY, apply_snapshot, merge_orders, price_reason, refresh
 from martlet.queries import Lake
 from martlet.sources import feeds, star
@@ -220,6 +221,30 @@ def test_orders_need_products_and_customers(spark, tmp_path, absent):
         refresh(Tables(spark, str(tmp_path)), feeds, star.FIRST_DAY, "r1", arrival())
 
 
+def test_only_unseen_and_waiting_orders_are_judged(spark, tmp_path):
+    """An order waits for its customer; judged loads are not read again."""
+    tables, feeds = Tables(spark, str(tmp_path)), lake_feeds(spark, 1)
+    run_customers(tables, feeds, "r1", ("CUST9", "nine@x.yz", 1, 0))
+    waiting = tables.read("pending_orders")
+    of = {r["customer_id"] for r in tables.read("silver_orders").select("customer_id").distinct().collect()}
+    assert of == {"CUST9"} and waiting.filter("customer_id = 'CUST3'").count() > 0
+    n = waiting.count()
+    second = run_customers(tables, feeds, "r2", ("CUST3", "three@x.yz", 1, 0))
+    assert second["bronze_orders"] == 0 and second["silver_orders_inserted"] == n - second["pending_orders"] > 0
+    assert second["silver_orders_rejected"] == second["pending_orders"]
+    again = run_customers(tables, feeds, "r2", ("CUST3", "three@x.yz", 1, 0))
+    assert again == second
+    customers, products = tables.read("bronze_customers"), tables.read_appended("bronze_products")
+    seen = []
+    monkey = refresh_module.pin
+    try:
+        refresh_module.pin = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or df
+        refresh_module.judged_orders(tables, customers, products, "r3")
+    finally:
+        refresh_module.pin = monkey
+    assert "bronze_orders" not in seen[0] or "PartitionFilters: [load_id" in seen[0]
+
+
 def test_a_repeated_load_that_dies_leaves_the_first(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     tables.append("silver_products", products(spark, 1, 2), "a")

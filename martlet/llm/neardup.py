@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.components import connected_components
-from martlet.llm.text import mix, prepare, shingle_sets
+from martlet.llm.text import mix, prepare, shingle_sets, tidied
 from martlet.session import scratch_path
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 4
 #: Rows beyond which a region is spread over tasks, and rows of a block of one.
 HOT_ROWS, BLOCK_ROWS = 50_000, 10_000
-#: Bytes of a sketch and the share of equal bytes below which a pair cannot be similar (8 deviations off 0.8 is 0.4).
-SKETCH, SKETCH_SHARE = 64, 0.5
+#: Bytes of a sketch, and the share of equal ones below which a pair is taken not to be similar: 5 deviations under 0.8.
+SKETCH, SKETCH_SHARE = 96, 0.6
 #: Shingles of a block of a family.
 BLOCK_SHINGLES = 1_000_000
 #: Most members of families that are sent to all tasks instead of joined by shuffling the texts.
@@ -93,7 +93,7 @@ def _signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataF
     )
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     path = scratch_path(docs.sparkSession, "signatures")
-    rows.mapInArrow(sign, schema).write.parquet(path)
+    rows.mapInArrow(tidied(sign), schema).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -172,7 +172,7 @@ def _candidates(forest: DataFrame, hot: DataFrame) -> DataFrame:
         if held:
             yield from settle(pa.concat_tables(held).combine_chunks())
 
-    return rows.select("region", "node", "sketch").mapInArrow(walk, "a long, b long")
+    return rows.select("region", "node", "sketch").mapInArrow(tidied(walk), "a long, b long")
 
 
 def _rest_of_hot(forest: DataFrame, hot: DataFrame, components: DataFrame) -> DataFrame:

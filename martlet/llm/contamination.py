@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm.text import mix, prepare, shingle_hashes, slices, word_hashes
+from martlet.llm.text import mix, prepare, shingle_hashes, slices, tidied, word_hashes
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -143,7 +143,7 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str, shingles_per_bloc
             T.StructField("shingles", T.BinaryType()),
         ]
     )
-    made = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).mapInArrow(sets, schema)
+    made = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).mapInArrow(tidied(sets), schema)
     made = made.filter("n > 0")
     total = made.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // shingles_per_block)
@@ -199,7 +199,7 @@ def find_contained(
         from pyspark.sql.pandas.types import to_arrow_type
 
         pa_item = to_arrow_type(item_type)
-        result = result.unionByName(rows.mapInArrow(search, schema))
+        result = result.unionByName(rows.mapInArrow(tidied(search), schema))
     return result
 
 
@@ -221,5 +221,5 @@ def drop_contained(
                 clean = [not index.contained(s, percent) for s in _ordered_shingles(batch.column(text_col))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(keep, schema)
+        docs = docs.mapInArrow(tidied(keep), schema)
     return docs

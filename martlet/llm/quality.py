@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.labelled import id_remainder, labelled_texts
-from martlet.llm.text import FOLDED, mix, prepare, shingle_hashes, slices, span_hashes, word_spans
+from martlet.llm.text import FOLDED, mix, prepare, shingle_hashes, slices, span_hashes, tidied, word_spans
 
 PER_CLASS = 2000
 PASSAGE_WORDS, PROJECTED, HIDDEN, ATTENTION = 64, 16, 16, 8
@@ -193,4 +193,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             T.StructField("predicted", T.IntegerType()),
         ]
     )
-    return rows.select("doc_id", "held_out", "text").mapInArrow(score, schema)
+    return rows.select("doc_id", "held_out", "text").mapInArrow(tidied(score), schema)

@@ -7,9 +7,10 @@ that no Python loop runs over words. Texts are taken whole, whatever their lengt
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -50,6 +51,19 @@ def prepare(spark: SparkSession, rows: int = 2000, megabytes: int = 8) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", megabytes << 20)
 
 
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a task, after which the worker gives the memory it has freed back to the machine."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every input bit over the output."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

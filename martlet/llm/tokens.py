@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm.text import FOLDED, SLICE_BYTES, mix, prepare, slices, span_hashes, word_spans
+from martlet.llm.text import FOLDED, SLICE_BYTES, mix, prepare, slices, span_hashes, tidied, word_spans
 
 #: Words, and ids of them, that a worker remembers; beyond either it starts anew.
-MEMO_WORDS = 1_500_000
-MEMO_IDS = 10_000_000
+MEMO_WORDS = 1_000_000
+MEMO_IDS = 6_000_000
 
 
 _CLOSING = np.zeros(256, dtype=bool)
@@ -199,7 +199,7 @@ def write_tokens(
             T.StructField("meta", rows.schema["meta"].dataType),
         ]
     )
-    writer = ranged.mapInArrow(encode, schema).write.mode("overwrite").option("compression", "zstd")
+    writer = ranged.mapInArrow(tidied(encode), schema).write.mode("overwrite").option("compression", "zstd")
     settings = {
         "parquet.block.size": row_group_bytes,
         "parquet.page.size": page_bytes,
@@ -254,4 +254,4 @@ def id_digest(tokens: DataFrame) -> DataFrame:
     schema = T.StructType(
         [T.StructField("doc_id", id_type), *[T.StructField(c, T.LongType()) for c in ("start", "n_tokens", "ids_crc32")]]
     )
-    return tokens.select("doc_id", "start", "n_tokens", "token_ids").mapInArrow(digest, schema)
+    return tokens.select("doc_id", "start", "n_tokens", "token_ids").mapInArrow(tidied(digest), schema)

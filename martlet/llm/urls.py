@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm.text import mix, prepare, span_hashes, text_bytes
+from martlet.llm.text import mix, prepare, span_hashes, text_bytes, tidied
 
 SIZES, BUCKETS = (3, 4, 5), 1 << 16
 ROUNDS, RATE, PENALTY = 1500, 4.0, 0.0002
@@ -152,7 +152,7 @@ def judge_urls(
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     rows = rows.select("page_id", host.alias("host"), path.alias("path"))
     schema = T.StructType([rows.schema["page_id"], *[T.StructField(c, T.StringType()) for c in ("host", "path")], T.StructField("score", T.DoubleType())])
-    scored = rows.mapInArrow(score, schema).withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
+    scored = rows.mapInArrow(tidied(score), schema).withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("score") >= BLOCK_FROM, "block").otherwise("allow")
     return scored.select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", own).alias("verdict"), "score"

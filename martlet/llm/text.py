@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Bytes of text that are hashed at once; a longer text is hashed on its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _RANDOM = np.random.RandomState(20240229)
 _BYTE = _RANDOM.randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,7 +44,7 @@ def _ship(application_id: str, context) -> None:
     context.addPyFile(str(archive))
 
 
-def prepare(spark: SparkSession, rows: int = 2000, megabytes: int = 8) -> None:
+def prepare(spark: SparkSession, rows: int = 1000, megabytes: int = 4) -> None:
     """Ready a session for Python workers: they get the package, and small batches, as texts may be long."""
     _ship(spark.sparkContext.applicationId, spark.sparkContext)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

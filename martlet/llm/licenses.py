@@ -1,15 +1,21 @@
 """Licence scan: a trained paragraph classifier with an unknown class, confirmed by comparison with templates.
 
-A paragraph is a line of a text. Its features are the word 1- to 3-grams it holds (a word is ``[a-z0-9]+`` of the
-lower-cased paragraph), present or not. One logistic regression for each licence family, with an L1 penalty that keeps
+A paragraph is a line of a text, or neighbouring lines joined, so that a notice may be wrapped anywhere. Its features are
+the word 1- to 3-grams it holds (a word is ``[a-z0-9]+`` of the lower-cased paragraph), present or not. One logistic regression for each licence family, with an L1 penalty that keeps
 it sparse, is fitted in numpy on templates, their parts, and ordinary paragraphs; a paragraph whose best family
 stays under the calibrated threshold is of no family. A family is confirmed if one of its templates and the paragraph share
 ``CONFIRM`` of the template's distinct n-grams; a paragraph that the classifier takes for a licence, but no
 template confirms, is reported as ``unknown``.
 
-Scoring uses DataFrame functions alone: the model and the templates are tables of a size that this file sets. Paragraphs without a
+Joined lines have no line without a word between them and fewer than ``REACH`` words, twice the longest template, between the
+first and the last line; of these two, the last and the first ``REACH`` words count. Of nested paragraphs with the same outcome the
+innermost is reported, so a line that is a notice by itself stays one; overlapping ones are one notice, reported at its first
+line. What is unknown and shares a line with a confirmed notice is a piece of it and not reported.
+
+Scoring uses DataFrame functions alone: the model and the templates are tables of a size that this file sets. Texts without a
 cue, a word without which no family can reach the threshold, are left out by one regular expression before n-grams
-are made; ``cue_words`` chooses them so that this changes no result.
+are made; ``cue_words`` chooses them so that this changes no result. Of the others, only n-grams that the model or a template
+holds go on, with their places, and joined lines are scored if the positive weights in them can reach the threshold.
 
 Defined cases: null and empty texts have no licence paragraph. Repeated rows give their paragraphs each; ties between families
 go to the first by name. Rows without an id are reported with a NULL id. Empty tables give empty results. Other columns are
@@ -22,9 +28,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlet.session import scratch_path
+
 SIZES = (1, 2, 3)
 CONFIRM = 0.7
 ROUNDS, RATE, PENALTY = 1500, 1.0, 0.0008
@@ -195,10 +203,102 @@ def cue_words(model: LicenseModel) -> list[str]:
     return sorted(set(telling) - plain)
 
 
+#: Words that may lie between the first and the last of joined lines, and that count of these two.
+REACH = 2 * max(len(re.findall("[a-z0-9]+", t.lower())) for ts in TEMPLATES.values() for t in ts)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _hits(docs: DataFrame, model: LicenseModel, id_col: str, text_col: str) -> DataFrame:
+    """One row for each place of a known n-gram: its words' place in the text, and its first and last line.
+
+    ``line_end`` is the place after the first line, ``line_start`` that of the last one, and ``most`` the largest positive weight.
+    """
+    spark, cues = docs.sparkSession, "|".join(cue_words(model))
+    known = {g: 0.0 for ts in TEMPLATES.values() for t in ts for g in ngrams(t)} | {g: max(0.0, float(w.max())) for g, w in model.weights.items()}
+    firsts = F.broadcast(spark.createDataFrame([(w,) for w in sorted({g.split()[0] for g in known})], "word string"))
+    known = F.broadcast(spark.createDataFrame(sorted(known.items()), "gram string, most double"))
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.lower(text_col).alias("text"))
+    cued = rows.filter(F.col("text").rlike(rf"(?<![a-z0-9])(?:{cues})(?![a-z0-9])"))
+    # A line without a word takes as many places as keep its neighbours from being joined.
+    lines = cued.select("doc_id", "row", F.transform(F.split("text", "\n", -1), lambda t: F.regexp_extract_all(t, F.lit("[a-z0-9]+"), 0)).alias("lines"))
+    stream = F.expr(
+        f"flatten(transform(lines, (t, i) -> transform(if(size(t) = 0, array_repeat('', {REACH}), t), "
+        "(w, k) -> named_struct('word', w, 'line', i, 'at', k, 'of', size(t)))))"
+    )
+    stream = lines.select("doc_id", "row", stream.alias("a")).filter(F.size("a") > 0)
+    after = [F.expr(f"slice(a, {k}, size(a))").alias(c) for k, c in ((2, "b"), (3, "c"))]
+    places = stream.select("doc_id", "row", "a", *after).select("doc_id", "row", F.posexplode(F.arrays_zip("a", "b", "c")).alias("place", "w"))
+    places = places.withColumn("word", F.col("w.a.word")).join(firsts, "word", "left_semi")
+    runs = [
+        F.struct(F.lit(n).alias("n"), F.concat(*[x for c in "abc"[:n] for x in (F.lit(" "), F.col(f"w.{c}.word"))][1:]).alias("gram"), F.col(f"w.{c}").alias("last"))
+        for n, c in zip(SIZES, "abc")
+    ]
+    grams = places.select("doc_id", "row", "place", F.col("w.a").alias("first"), F.explode(F.array(*runs)).alias("run"))
+    grams = grams.select("doc_id", "row", "place", "first", "run.*").join(known, "gram")
+    stop = F.col("place") + F.col("n")
+    return grams.select(
+        "doc_id",
+        "row",
+        "gram",
+        "most",
+        "place",
+        stop.alias("stop"),
+        F.col("first.line").alias("first"),
+        F.col("last.line").alias("last"),
+        (F.col("place") - F.col("first.at") + F.col("first.of")).alias("line_end"),
+        (stop - 1 - F.col("last.at")).alias("line_start"),
+    )
+
+
+def _joined(hits: DataFrame, least: float) -> DataFrame:
+    """The distinct known n-grams of all joined lines whose positive weights come to ``least``.
+
+    Lines without an n-gram at either end would change nothing, so only lines with one begin or end a paragraph.
+    """
+    bucket = lambda at: F.floor(at / REACH)
+    starts = hits.select("row", F.col("first").alias("begin"), F.col("line_end").alias("edge")).distinct()
+    starts = starts.withColumn("bucket", F.explode(F.sequence(bucket(F.col("edge")) - 1, bucket(F.col("edge")) + 2)))
+    near = hits.withColumn("bucket", bucket(F.col("place"))).join(starts, ["row", "bucket"])
+    near = near.filter((F.col("first") >= F.col("begin")) & (F.col("place") >= F.col("edge") - REACH))
+    hit = F.struct("gram", "most", "last", "line_start", "stop")
+    held = near.groupBy("doc_id", "row", "begin", "edge").agg(F.collect_list(hit).alias("hits"), F.sum("most").alias("most"))
+    ends = F.expr(
+        f"array_distinct(transform(filter(hits, h -> h.last > begin and h.line_start < edge + {REACH}), "
+        "h -> named_struct('last', h.last, 'line_start', h.line_start)))"
+    )
+    held = held.filter(F.col("most") >= least).select("doc_id", "row", "begin", "hits", F.explode(ends).alias("end"))
+    own = F.expr(
+        f"array_distinct(transform(filter(hits, h -> h.last <= end.last and h.stop <= end.line_start + {REACH}), "
+        "h -> named_struct('gram', h.gram, 'most', h.most)))"
+    )
+    held = held.select("doc_id", "row", F.col("begin").alias("first"), F.col("end.last").alias("last"), own.alias("own"))
+    enough = F.aggregate("own", F.lit(0.0), lambda total, x: total + x["most"]) >= least
+    return held.filter(enough).select("doc_id", "row", "first", "last", F.explode("own.gram").alias("gram"))
+
+
+def _reported(judged: DataFrame) -> DataFrame:
+    """The innermost paragraphs of each outcome, one for a chain of overlapping ones, and nothing unknown on lines of a confirmed notice."""
+    inside = Window.partitionBy("row", "family").orderBy(F.desc("first"), "last").rowsBetween(Window.unboundedPreceding, -1)
+    inner = judged.withColumn("inner", F.min("last").over(inside))
+    inner = _stored(inner.filter("inner is null or inner > last").drop("inner"), "licence-paragraphs")
+    covered = F.explode(F.sequence("first", "last")).alias("line")
+    notices = inner.filter("confirmed").select("row", covered).distinct()
+    pieces = inner.filter("not confirmed").select("row", "first", "last", covered).join(notices, ["row", "line"], "left_semi")
+    pieces = pieces.select("row", "first", "last").distinct().withColumn("confirmed", F.lit(False))
+    left = inner.join(pieces, ["row", "first", "last", "confirmed"], "left_anti")
+    before = F.lag("last").over(Window.partitionBy("row", "family").orderBy("first"))
+    return left.withColumn("before", before).filter("before is null or before < first")
+
+
 def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``paragraph`` (line number from 0), ``family``, ``probability``, ``similarity`` and ``confirmed`` of licence paragraphs."""
+    """``doc_id``, ``paragraph`` (number of its first line from 0), ``family``, ``probability``, ``similarity`` and ``confirmed`` of licence paragraphs."""
     spark, model = docs.sparkSession, model or train()
-    cues = "|".join(cue_words(model))
     columns = [f"w{i}" for i in range(len(model.families))]
     # Model and templates are tables of as many rows as this file's texts have n-grams.
     weights = F.broadcast(
@@ -207,18 +307,12 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     templates = [(f"{family}/{k}", family, g, len(ngrams(t))) for family in model.families for k, t in enumerate(TEMPLATES[family]) for g in ngrams(t)]
     templates = F.broadcast(spark.createDataFrame(templates, "template string, family string, gram string, size int"))
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-    cued = rows.filter(F.lower("text").rlike(rf"(?<![a-z0-9])(?:{cues})(?![a-z0-9])"))
-    paragraphs = cued.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line"))
-    paragraphs = paragraphs.withColumn("line", F.lower("line")).filter(F.col("line").rlike(rf"(?<![a-z0-9])(?:{cues})(?![a-z0-9])"))
-    words = paragraphs.withColumn("words", F.regexp_extract_all("line", F.lit("[a-z0-9]+"), 0)).drop("line")
-    runs = [
-        f"CASE WHEN size(words) < {n} THEN array() ELSE transform(sequence(0, size(words) - {n}), i -> array_join(slice(words, i + 1, {n}), ' ')) END"
-        for n in SIZES
-    ]
-    grams = words.select("doc_id", "row", "paragraph", F.explode(F.array_distinct(F.concat(*map(F.expr, runs)))).alias("gram"))
+    hits = _stored(_hits(docs, model, id_col, text_col), "licence-ngrams")
+    key = ["doc_id", "row", "first", "last"]
+    lines = hits.filter("first = last").select(*key, "gram").distinct()
+    least = model.threshold - float(model.bias.max()) - 1e-6
+    grams = _stored(lines.unionByName(_joined(hits, least)), "paragraph-ngrams")
 
-    key = ["doc_id", "row", "paragraph"]
     summed = grams.join(weights, "gram").groupBy(*key).agg(*[F.sum(c).alias(c) for c in columns])
     names = [
         F.struct((F.round(F.col(c) + float(b), 9)).alias("logit"), F.lit(-i).alias("order"), F.lit(f).alias("family"))
@@ -229,15 +323,15 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
 
     shared = grams.join(templates, "gram").groupBy(*key, "family", "template").agg((F.count("*") / F.max("size")).alias("similarity"))
     alike = shared.groupBy(*key, "family").agg(F.max("similarity").alias("similarity"))
-    place = ["row", "paragraph", "family"]
+    place = ["row", "first", "last", "family"]
     judged = best.alias("b").join(alike.select(*place, "similarity").alias("a"), place, "left")
     similarity = F.coalesce(F.col("similarity"), F.lit(0.0))
     confirmed = similarity >= CONFIRM
-    return judged.select(
-        "doc_id",
-        "paragraph",
+    judged = judged.select(
+        *key,
         F.when(confirmed, F.col("family")).otherwise("unknown").alias("family"),
         "probability",
         similarity.alias("similarity"),
         confirmed.alias("confirmed"),
     )
+    return _reported(judged).select("doc_id", F.col("first").alias("paragraph"), "family", "probability", "similarity", "confirmed")

@@ -149,6 +149,66 @@ def test_licences(make_docs, awkward):
     assert licenses.scan_licenses(docs.limit(0), model).collect() == []
 
 
+WRAPPED = {
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "apache-2.0": """Licensed under the Apache
+License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.""",
+    "mit": """Permission is hereby granted, free
+of charge, to any person
+obtaining a copy
+of this software and associated documentation files""",
+}
+
+
+def spans_by_hand(model, text):
+    """(first line, family, confirmed) of the notices of a text, by scoring every line and all joined lines."""
+    own, reach = [re.findall("[a-z0-9]+", line) for line in text.lower().split("\n")], licenses.REACH
+    judged = []
+    for s in range(len(own)):
+        for e in range(s, len(own)):
+            between = own[s + 1 : e]
+            if e > s and (not all(own[s : e + 1]) or sum(map(len, between)) >= reach):
+                break
+            words = own[s] if e == s else own[s][-reach:] + sum(between, []) + own[e][:reach]
+            logits, held = model.logits(" ".join(words)), set(licenses.ngrams(" ".join(words)))
+            if round(float(logits.max()), 9) >= model.threshold:
+                family = model.families[int(logits.argmax())]
+                grams = [licenses.ngrams(t) for t in licenses.TEMPLATES[family]]
+                sure = max(len(held & set(g)) / len(g) for g in grams) >= licenses.CONFIRM
+                judged.append((s, e, family if sure else "unknown", sure))
+    inner = [a for a in judged if not any(a != b and a[2] == b[2] and a[0] <= b[0] and b[1] <= a[1] for b in judged)]
+    left = [a for a in inner if a[3] or not any(b[3] and b[0] <= a[1] and a[0] <= b[1] for b in inner)]
+    return sorted((s, f, sure) for s, e, f, sure in left if not any(b[2] == f and b[0] < s <= b[1] for b in left))
+
+
+def test_wrapped_licences(make_docs):
+    model = licenses.train()
+    texts = [f"words of a text\n{notice}\n\nmore words" for notice in WRAPPED.values()]
+    texts += ["\n".join(f" * {line}" for line in notice.split("\n")) for notice in WRAPPED.values()]
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    notices = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts]
+    texts += [wrap(t, n) for _, t in notices for n in (1, 2, 5, 8)]
+    texts += [f"{numbered(0, 200)} licensed under the\nMIT license. {numbered(300, 200)}", "Licensed under the\n\nMIT\n---\nlicense."]
+    texts += ["\n".join(wrap(t, 4) for _, t in notices), "\n".join(licenses.ORDINARY), wrap(" ".join(licenses.ORDINARY), 7)]
+    texts += ["Released under the Frobnicate Public\nLicense, version 7, licensed under\nthe MIT license."]
+    found = licenses.scan_licenses(make_docs(list(enumerate(texts))), model)
+    python_free(found)
+    got = defaultdict(list)
+    for r in found.collect():
+        got[r["doc_id"]].append((r["paragraph"], r["family"], r["confirmed"]))
+    for i, family in enumerate(WRAPPED):
+        assert (1, family, True) in got[i] and (0, family, True) in got[len(WRAPPED) + i]
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == spans_by_hand(model, text), text
+
+
 def test_cue_words_change_nothing():
     """No paragraph without a cue can reach the threshold."""
     model = licenses.train()

@@ -4,8 +4,10 @@ A paragraph is a line of a text, or neighbouring lines joined, so that a notice
 the word 1- to 3-grams it holds (a word is ``[a-z0-9]+`` of the lower-cased paragraph), present or not. One logistic regression for each licence family, with an L1 penalty that keeps
 it sparse, is fitted in numpy on templates, their parts, and ordinary paragraphs; a paragraph whose best family
 stays under the calibrated threshold is of no family. A family is confirmed if one of its templates and the paragraph share
-``CONFIRM`` of the template's distinct n-grams; a paragraph that the classifier takes for a licence, but no
-template confirms, is reported as ``unknown``.
+``CONFIRM`` of the template's distinct n-grams and the telling n-grams agree (``tellings``): those that the family needs are
+there, and none of another version or variant without one of its own. A paragraph that the classifier takes for a licence, but no
+template confirms, is reported as ``unknown``. N-grams that go on from its last line into the next tell version and variant as well, and so do
+GNU's phrases on the version in lines that may be joined with it, since a version often follows on a later line.
 
 Joined lines have no line without a word between them and fewer than ``REACH`` words, twice the longest template, between the
 first and the last line; of these two, the last and the first ``REACH`` words count. Of nested paragraphs with the same outcome the
@@ -127,6 +129,51 @@ COMMON = (
 ).split()
 
 
+#: What a family's notice must hold, one n-gram of each question. A title goes to the word that a version follows.
+def _gnu(before: str, short: str) -> dict[str, list[str]]:
+    shorts = [short, *[f"{short}{v}{n}" for v in ("", "v") for n in range(10)]]
+    return {"name": [f"{before} general", *shorts], "title": ["general public license", "general public licence", *shorts]}
+
+
+NEEDED = {
+    "agpl-3.0": _gnu("affero", "agpl"),
+    "apache-2.0": {"title": ["apache license", "apache licence", *[f"apache {v}{n}" for v in ("", "v") for n in range(10)]]},
+    "cc-by": {"name": ["cc by", "creative commons attribution"]},
+    "cc-by-nc": {"name": ["by nc", "attribution noncommercial", "attribution non commercial"]},
+    "cc-by-sa": {"name": ["by sa", "attribution sharealike", "attribution share alike"]},
+    "gpl-3.0": _gnu("gnu", "gpl"),
+    "lgpl-3.0": _gnu("lesser", "lgpl"),
+    "mpl-2.0": {"title": ["mozilla public license", "mozilla public licence", "mpl"]},
+}
+#: The version of a family's name, if it has one; endings of another variant, after one of the family's words.
+VERSIONS = {"agpl-3.0": 3, "apache-2.0": 2, "gpl-3.0": 3, "lgpl-3.0": 3, "mpl-2.0": 2}
+VARIANTS = {
+    "cc-by": (["by", "attribution"], ["nc", "noncommercial", "non commercial", "nd", "noderivatives", "noderivs", "no derivatives", "sa", "sharealike", "share alike"]),
+    "cc-by-nc": (["nc", "noncommercial", "commercial"], ["nd", "noderivatives", "noderivs", "no derivatives", "sa", "sharealike", "share alike"]),
+}
+
+
+def tellings() -> list[tuple[str, str, str, bool, bool]]:
+    """(n-gram, family, question, whether it speaks for the family, whether it may stand in later lines).
+
+    The questions are the family's name and title, its version and its variant. Versions 0 to 9 are told apart by their first number.
+    """
+    found = [(g, f, question, True, False) for f, asked in NEEDED.items() for question, grams in asked.items() for g in grams]
+    names = ["license", "licence", "gpl", "lgpl", "agpl", "mpl", "apache"]
+    for f, own in VERSIONS.items():
+        for n in range(10):
+            grams = [f"{w} {n}" for w in ("version", "v", *names)] + [f"v{n}"] + [f"{w}{v}{n}" for w in ("gpl", "lgpl", "agpl", "mpl") for v in ("", "v")]
+            # These matter where a line ends in a name.
+            grams += [f"{w} {v}{n}" for w in names for v in ("version ", "v ", "v")]
+            found += [(g, f, "version", n == own, False) for g in grams]
+            if f.endswith("gpl-3.0"):
+                found += [(g, f, "version", n == own, True) for g in (f"either version {n}", f"foundation version {n}", f"version {n} of")]
+    for f, (words, endings) in VARIANTS.items():
+        found += [(f"{w} {e}", f, "variant", False, False) for w in words for e in endings]
+        found += [(f"{w} {n}", f, "variant", True, False) for w in words for n in range(10)]
+    return found
+
+
 def ngrams(text: str) -> list[str]:
     """The distinct n-grams that hold a word which is not common."""
     words = re.findall("[a-z0-9]+", text.lower())
@@ -219,7 +266,7 @@ def _hits(docs: DataFrame, model: LicenseModel, id_col: str, text_col: str) -> D
     ``line_end`` is the place after the first line, ``line_start`` that of the last one, and ``most`` the largest positive weight.
     """
     spark, cues = docs.sparkSession, "|".join(cue_words(model))
-    known = {g: 0.0 for ts in TEMPLATES.values() for t in ts for g in ngrams(t)} | {g: max(0.0, float(w.max())) for g, w in model.weights.items()}
+    known = {g: 0.0 for ts in TEMPLATES.values() for t in ts for g in ngrams(t)} | {g: 0.0 for g, *_ in tellings()} | {g: max(0.0, float(w.max())) for g, w in model.weights.items()}
     firsts = F.broadcast(spark.createDataFrame([(w,) for w in sorted({g.split()[0] for g in known})], "word string"))
     known = F.broadcast(spark.createDataFrame(sorted(known.items()), "gram string, most double"))
 
@@ -282,6 +329,23 @@ def _joined(hits: DataFrame, least: float) -> DataFrame:
     return held.filter(enough).select("doc_id", "row", "first", "last", F.explode("own.gram").alias("gram"))
 
 
+def _denied(paragraphs: DataFrame, grams: DataFrame, hits: DataFrame) -> DataFrame:
+    """``row``, ``first``, ``last`` and ``family`` of the paragraphs whose telling n-grams do not agree with their family."""
+    place = ["row", "first", "last", "family"]
+    spark = paragraphs.sparkSession
+    telling = F.broadcast(spark.createDataFrame(tellings(), "gram string, family string, question string, own boolean, later boolean"))
+    needed = F.broadcast(spark.createDataFrame([(f, question) for f, asked in NEEDED.items() for question in asked], "family string, question string"))
+    asked = paragraphs.select(*place)
+    told = grams.select("row", "first", "last", "gram").join(telling, "gram").drop("gram")
+    inside = told.drop("later")
+    later = asked.join(told.filter("later").select("row", "first", "family", "question", "own").distinct(), ["row", "first", "family"])
+    across = hits.filter("first < last").select("row", F.col("first").alias("last"), "gram").join(telling.filter("question in ('version', 'variant')"), "gram")
+    across = asked.join(across.select("row", "last", "family", "question", "own").distinct(), ["row", "last", "family"])
+    said = inside.join(asked, place, "left_semi").unionByName(later).unionByName(across)
+    said = said.unionByName(asked.join(needed, "family").withColumn("own", F.lit(False)))
+    return said.groupBy(*place, "question").agg(F.max("own").alias("own")).filter("not own").select(*place).distinct()
+
+
 def _reported(judged: DataFrame) -> DataFrame:
     """The innermost paragraphs of each outcome, one for a chain of overlapping ones, and nothing unknown on lines of a confirmed notice."""
     inside = Window.partitionBy("row", "family").orderBy(F.desc("first"), "last").rowsBetween(Window.unboundedPreceding, -1)
@@ -324,9 +388,11 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     shared = grams.join(templates, "gram").groupBy(*key, "family", "template").agg((F.count("*") / F.max("size")).alias("similarity"))
     alike = shared.groupBy(*key, "family").agg(F.max("similarity").alias("similarity"))
     place = ["row", "first", "last", "family"]
-    judged = best.alias("b").join(alike.select(*place, "similarity").alias("a"), place, "left")
+    judged = _stored(best.alias("b").join(alike.select(*place, "similarity").alias("a"), place, "left"), "licence-likenesses")
+    denied = _denied(judged, grams, hits).withColumn("denied", F.lit(True))
+    judged = judged.join(denied, place, "left")
     similarity = F.coalesce(F.col("similarity"), F.lit(0.0))
-    confirmed = similarity >= CONFIRM
+    confirmed = (similarity >= CONFIRM) & F.col("denied").isNull()
     judged = judged.select(
         *key,
         F.when(confirmed, F.col("family")).otherwise("unknown").alias("family"),

@@ -167,21 +167,46 @@ of this software and associated documentation files""",
 }
 
 
+def runs_of(words):
+    return {" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)}
+
+
+def agrees(family, inside, across, later):
+    """Whether the telling n-grams of a paragraph and of the lines after it speak for the family."""
+    said = defaultdict(set, {question: {False} for question in licenses.NEEDED.get(family, ())})
+    for gram, f, question, own, may_follow in licenses.tellings():
+        here = inside | (across if question in ("version", "variant") else set()) | (later if may_follow else set())
+        if f == family and gram in here:
+            said[question].add(own)
+    return all(True in answers for answers in said.values())
+
+
 def spans_by_hand(model, text):
     """(first line, family, confirmed) of the notices of a text, by scoring every line and all joined lines."""
     own, reach = [re.findall("[a-z0-9]+", line) for line in text.lower().split("\n")], licenses.REACH
     judged = []
     for s in range(len(own)):
+        spans = []
         for e in range(s, len(own)):
             between = own[s + 1 : e]
             if e > s and (not all(own[s : e + 1]) or sum(map(len, between)) >= reach):
                 break
-            words = own[s] if e == s else own[s][-reach:] + sum(between, []) + own[e][:reach]
+            spans.append((e, own[s] if e == s else own[s][-reach:] + sum(between, []) + own[e][:reach]))
+        later = set().union(*(runs_of(words) for _, words in spans))
+        for e, words in spans:
             logits, held = model.logits(" ".join(words)), set(licenses.ngrams(" ".join(words)))
             if round(float(logits.max()), 9) >= model.threshold:
+                after = []
+                for line in own[e + 1 : e + 3]:
+                    if not line:
+                        break
+                    after += line
+                ends = [own[e][-k:] + after[: n - k] for n in (2, 3) for k in range(1, n) if len(own[e]) >= k and len(after) >= n - k]
+                across = {" ".join(end) for end in ends}
                 family = model.families[int(logits.argmax())]
                 grams = [licenses.ngrams(t) for t in licenses.TEMPLATES[family]]
                 sure = max(len(held & set(g)) / len(g) for g in grams) >= licenses.CONFIRM
+                sure = sure and agrees(family, runs_of(words), across, later)
                 judged.append((s, e, family if sure else "unknown", sure))
     inner = [a for a in judged if not any(a != b and a[2] == b[2] and a[0] <= b[0] and b[1] <= a[1] for b in judged)]
     left = [a for a in inner if a[3] or not any(b[3] and b[0] <= a[1] and a[0] <= b[1] for b in inner)]
@@ -209,6 +234,34 @@ def test_wrapped_licences(make_docs):
         assert sorted(got[i]) == spans_by_hand(model, text), text
 
 
+def test_neighbouring_versions_are_unknown(make_docs):
+    """Notices of another version or variant are no family's, however they are wrapped; those of the same one are."""
+    model = licenses.train()
+    other = [
+        "This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU GPL v2.",
+        "Licensed under the Apache License, Version 1.1.", "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under the GNU Affero General Public License, version 1.", "Licensed under CC BY-NC-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+        "This program is free software: you can redistribute it under the terms of the GNU Lesser General Public License.",
+        WRAPPED["gpl-3.0"].replace("version 3", "version 2"), WRAPPED["gpl-3.0"].replace("version 3", "version 2").replace("\n", " "),
+    ]
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    texts = other + [wrap(t, n) for t in other for n in (3, 5, 9, 10)]
+    same = [("gpl-3.0", f"{t}\nLicensed under the Apache License, Version 2.0.") for t in licenses.TEMPLATES["gpl-3.0"]]
+    same += [("gpl-3.0", WRAPPED["gpl-3.0"].replace("\n", " ")), ("gpl-3.0", "Licensed under the GNU GPL v3 (not the GNU GPL v2).")]
+    found = licenses.scan_licenses(make_docs(list(enumerate(texts + [t for _, t in same]))), model)
+    python_free(found)
+    got = defaultdict(list)
+    for r in found.collect():
+        got[r["doc_id"]].append((r["paragraph"], r["family"], r["confirmed"]))
+    for i, text in enumerate(texts):
+        assert not [r for r in got[i] if r[2]] and sorted(got[i]) == spans_by_hand(model, text), text
+    assert all(got[i] for i in (0, 1, 2, 3, 4, 8, 9, 10, 11))
+    for i, (family, text) in enumerate(same):
+        assert (0, family, True) in got[len(texts) + i], text
+
+
 def test_cue_words_change_nothing():
     """No paragraph without a cue can reach the threshold."""
     model = licenses.train()

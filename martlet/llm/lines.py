@@ -9,10 +9,11 @@
    exact distinct count of their sites, from (key, site) pairs that are deduplicated before they are counted.
 4. Documents with such a line get the list of its keys and lose the lines; all others pass.
 
-Only DataFrame functions. Documents are shuffled once, by id, for step 4; all else moves keys.
+Only DataFrame functions. Documents are shuffled once, by id (by a hash of the text where it is missing), for step 4; all else
+moves keys.
 
 Defined cases: null texts stay null, empty ones empty. A null site counts as the site ''. Rows that share an id lose the
-boilerplate lines of all of them, which are cut wherever they stand. Blank and short lines stay, and a
+boilerplate lines of all of them, which are cut wherever they stand. Rows without an id go by their text. Blank and short lines stay, and a
 repeated line counts once for its document. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -70,15 +71,19 @@ def cut_shared_lines(
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(site_col), F.lit("")).alias("site")
     )
-    keys = rows.select("doc_id", "site", F.explode(F.split("text", "\n", -1)).alias("line"))
-    keys = keys.select("doc_id", "site", line_key(F.col("line"), min_chars).alias("key")).filter("key is not null")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    # Rows without an id are told apart by their text, so that they neither miss the join nor meet in one group.
+    rows = rows.withColumn("instead", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)))
+    keys = rows.select("doc_id", "instead", "site", F.explode(F.split("text", "\n", -1)).alias("line"))
+    keys = keys.select("doc_id", "instead", "site", line_key(F.col("line"), min_chars).alias("key")).filter("key is not null")
+    salt = F.pmod(F.xxhash64("doc_id", "instead"), F.lit(SALTS)).cast("int")
     keys = _stored(keys.withColumn("salt", salt), "line-keys")
     spread = _stored(site_spread(keys, min_sites), "shared-lines")
 
-    shared = keys.join(spread.select("key"), "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    shared = keys.join(spread.select("key"), "key").groupBy("doc_id", "instead").agg(F.collect_set("key").alias("keys"))
     lines = F.split("text", "\n", -1)
-    placed = rows.select("doc_id", "text").join(shared, "doc_id", "left")
+    own = rows.select("doc_id", "instead", "text").alias("r")
+    same = F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("r.instead") == F.col("s.instead"))
+    placed = own.join(shared.alias("s"), same, "left").select("r.doc_id", "r.text", "s.keys")
     stays = F.filter(
         lines, lambda line: F.coalesce(~F.array_contains(F.col("keys"), line_key(line, min_chars)), F.lit(True))
     )

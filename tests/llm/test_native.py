@@ -123,6 +123,18 @@ def test_line_dedup_by_hand(make_docs, awkward, min_sites):
     assert lines.cut_shared_lines(docs.limit(0)).collect() == []
 
 
+def test_line_dedup_of_rows_without_an_id(make_docs, awkward):
+    """Rows without an id lose shared lines like any other, repeated rows and null texts among them."""
+    rows = [(r[0], r[1], "z") for r in awkward] + [(None, None, "z"), (None, "", None)]
+    for i in range(120):
+        own = [f"a line of document {i // 2} by itself", "a line that is on every single page", f"shared by some of the sites {i % 40}"]
+        rows.append((None if i % 4 < 3 else 0 if i % 8 < 4 else 1000 + i, "\n".join(own), f"s{i % 37}"))
+    cut = lines.cut_shared_lines(make_docs(rows), 2)
+    python_free(cut)
+    got = sorted(((str(r["doc_id"]), r["n_lines"], r["n_cut"], r["text"]) for r in cut.collect()), key=str)
+    assert got == cut_by_hand(rows, 2) and any(i == "None" and n for i, _, n, _ in got)
+
+
 def test_near_threshold_lines_are_counted_exactly(spark):
     keys = spark.range(4000).select(
         F.expr("id % 2").alias("key"), F.expr("concat('s', if(id % 2 = 0, id % 1000, id % 1400))").alias("site"), F.lit(0).alias("salt")

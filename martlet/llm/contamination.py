@@ -13,8 +13,10 @@ MinHash values are kept as the shingle that attains them. A window can thus only
 holds one of the shingles in the items' signatures; windows without any need no signature, which
 leaves one pass of hashing for most text. Documents never move: the work is a map over them.
 
-The items travel to the tasks, in blocks of at most ``shingles_per_block`` item shingles, one pass of the
-documents for each block.
+The items travel to the tasks, in blocks of about ``shingles_per_block`` item shingles, one pass of the
+documents for each block. Items are shingled once and their sets stored. With several blocks, what a block finds is stored before
+the next is built, so the driver and the tasks hold one block at a time; documents to drop are then told by the MD5 of their
+text, as equal texts contain the same items.
 
 Defined cases: null or empty texts, and texts with fewer than five words, hold no shingle; such items are never found and
 such documents never contain any. Repeated rows, on either side, give one result for each pair of rows. Ties do not
@@ -24,6 +26,7 @@ arise. Empty tables give empty results. Other columns are passed through or igno
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.text import mix, prepare, shingle_hashes, slices, tidied, word_hashes
+from martlet.session import scratch_path
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -124,8 +128,19 @@ class ItemIndex:
         return out
 
 
-def _item_blocks(items: DataFrame, id_col: str, text_col: str, shingles_per_block: int):
-    """(ids, index) of each block of items; a block's size is bounded, so it may pass the driver."""
+def _stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _indexed(sets: DataFrame) -> tuple[list, ItemIndex]:
+    own = sets.select("item_id", "shingles").collect()
+    return [r["item_id"] for r in own], ItemIndex([np.frombuffer(r["shingles"], np.uint64) for r in own])
+
+
+def _item_blocks(items: DataFrame, id_col: str, text_col: str, shingles_per_block: int) -> list[DataFrame]:
+    """The stored shingle sets of each block of items; a block's size is bounded, so it may pass the driver."""
     prepare(items.sparkSession)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +159,14 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str, shingles_per_bloc
         ]
     )
     made = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).mapInArrow(tidied(sets), schema)
-    made = made.filter("n > 0")
+    made = _stored(made.filter("n > 0"), "item-shingles")
     total = made.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // shingles_per_block)
-    for block in range(blocks):
-        own = made.filter(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == block).collect() if blocks > 1 else made.collect()
-        yield [r["item_id"] for r in own], ItemIndex([np.frombuffer(r["shingles"], np.uint64) for r in own])
+    if blocks <= 1:
+        return [made] * blocks
+    dealt = made.withColumn("block", F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)).cast("int"))
+    dealt = _stored(dealt.repartition(blocks, "block"), "item-blocks", "block")
+    return [dealt.filter(F.col("block") == block) for block in range(blocks)]
 
 
 def find_contained(
@@ -174,11 +191,15 @@ def find_contained(
             T.StructField("containment", T.DoubleType()),
         ]
     )
-    result = spark.createDataFrame([], schema)
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    pa_item = to_arrow_type(item_type)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    for ids, index in _item_blocks(items, item_id_col, item_text_col, shingles_per_block):
 
-        def search(batches: Iterator[pa.RecordBatch], ids=ids, index=index) -> Iterator[pa.RecordBatch]:
+    def found_in(block: DataFrame) -> DataFrame:
+        ids, index = _indexed(block)
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 at, found = [], []
                 for i, shingles in enumerate(_ordered_shingles(batch.column("text"))):
@@ -196,10 +217,14 @@ def find_contained(
                     schema.names,
                 )
 
-        from pyspark.sql.pandas.types import to_arrow_type
+        return rows.mapInArrow(tidied(search), schema)
 
-        pa_item = to_arrow_type(item_type)
-        result = result.unionByName(rows.mapInArrow(tidied(search), schema))
+    blocks = _item_blocks(items, item_id_col, item_text_col, shingles_per_block)
+    if len(blocks) == 1:
+        return found_in(blocks[0])
+    result = spark.createDataFrame([], schema)
+    for block in blocks:
+        result = result.unionByName(_stored(found_in(block), "contained"))
     return result
 
 
@@ -212,14 +237,23 @@ def drop_contained(
     item_text_col: str = "text",
     shingles_per_block: int = SHINGLES_PER_BLOCK,
 ) -> DataFrame:
-    """``docs`` without the rows that contain an item; columns as they are, no row moves."""
-    schema = docs.schema
-    for _, index in _item_blocks(items, item_id_col, item_text_col, shingles_per_block):
+    """``docs`` without the rows that contain an item; columns as they are, no row moves while items fit one block."""
 
-        def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                clean = [not index.contained(s, percent) for s in _ordered_shingles(batch.column(text_col))]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+    def holding(block: DataFrame, rows: DataFrame, column: str, wanted: bool) -> DataFrame:
+        """The rows that hold an item of the block, or the others."""
+        _, index = _indexed(block)
 
-        docs = docs.mapInArrow(tidied(keep), schema)
-    return docs
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                chosen = [bool(index.contained(s, percent)) == wanted for s in _ordered_shingles(batch.column(column))]
+                yield batch.filter(pa.array(chosen, pa.bool_()))
+
+        return rows.mapInArrow(tidied(keep), rows.schema)
+
+    blocks = _item_blocks(items, item_id_col, item_text_col, shingles_per_block)
+    if len(blocks) <= 1:
+        return holding(blocks[0], docs, text_col, False) if blocks else docs
+    texts, digest = docs.select(F.col(text_col).alias("text")), F.md5("text").alias("_digest")
+    bad = [_stored(holding(block, texts, "text", True).select(digest).distinct(), "contaminated") for block in blocks]
+    bad = reduce(DataFrame.unionByName, bad).distinct()
+    return docs.join(bad, F.md5(text_col) == F.col("_digest"), "left_anti")

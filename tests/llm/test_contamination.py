@@ -1,5 +1,7 @@
+import gc
 import random
 import re
+import weakref
 
 import numpy as np
 from helpers import awkward, make_docs, numbered  # noqa: F401
@@ -64,6 +66,31 @@ def test_drop_keeps_the_rest(spark, make_docs):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted({d for d, _ in docs} - bad)
 
 
+def test_one_block_at_a_time(spark, make_docs, monkeypatch):
+    """However many blocks the items make, one index exists when the next is built, and rows that repeat all go or stay."""
+    docs, items = planted(3)
+    docs = docs + docs[:20] + [(None, None), (None, docs[0][1]), (7, None)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    real, alive, others = contamination.ItemIndex, weakref.WeakSet(), []
+
+    def built(*given):
+        gc.collect()
+        others.append(len(alive))
+        index = real(*given)
+        alive.add(index)
+        return index
+
+    monkeypatch.setattr(contamination, "ItemIndex", built)
+    expected = brute(docs, items)
+    assert found(contamination.find_contained(make_docs(docs), table, shingles_per_block=300)) == expected
+    assert len(others) > 3 and max(others) == 0
+    others.clear()
+    left = contamination.drop_contained(make_docs(docs), table, shingles_per_block=300)
+    assert len(others) > 3 and max(others) == 0
+    clean = [d for d, t in docs if not brute([(d, t)], items)]
+    assert left.columns == make_docs(docs).columns and sorted(map(str, clean)) == sorted(str(r["doc_id"]) for r in left.collect())
+
+
 def test_awkward_rows(spark, make_docs, awkward):
     items = [(1, None), (2, ""), (3, "one"), (None, numbered(100, 40)), (5, numbered(50_000, 80)), (5, numbered(50_000, 80))]
     table = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))

@@ -314,17 +314,23 @@ def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     """``docs`` with one document of each component, the one with the smallest id; columns as they are.
 
     Rows that share an id are one document, so of repeated rows one stays, and of different texts under
-    the smallest id of a component the one with the smallest hash. Rows without an id all stay.
+    the smallest id of a component the one with the smallest hash. Rows without an id are searched under a number from their
+    text, 2 ** 62 or more, so that rows with a smaller id stay rather than they; equal ones are repeated rows. They keep their NULL.
+    Those without an id and without words are copies of nothing and all stay.
     """
-    found = near_duplicates(docs, size, percent, id_col, text_col)
+    text = F.col(text_col)
+    surrogate = F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    numbered = F.coalesce(F.col(id_col).cast("long"), F.when(text.rlike(r"[^\x20\x09-\x0D]"), surrogate))
+    named = docs.withColumn("_node", numbered)
+    found = near_duplicates(named, size, percent, "_node", text_col)
     kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
-        F.count("*").alias("_n"), F.min(F.xxhash64(F.col(text_col))).alias("_first")
+    rows = named.join(kept, F.col("_node") == F.col("_kept"), "left_semi")
+    repeated = named.filter("_node is not null").groupBy(F.col("_node").alias("_id")).agg(
+        F.count("*").alias("_n"), F.min(F.xxhash64(text)).alias("_first")
     ).filter("_n > 1")
     repeated = _stored(repeated, "repeated-ids")
     if repeated.limit(1).count():
-        again = rows.join(repeated, F.col(id_col) == F.col("_id"), "left")
-        first = again.filter(F.col("_first").isNull() | (F.xxhash64(F.col(text_col)) == F.col("_first")))
-        rows = first.select(*docs.columns).dropDuplicates([id_col])
-    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
+        again = rows.join(repeated, F.col("_node") == F.col("_id"), "left")
+        first = again.filter(F.col("_first").isNull() | (F.xxhash64(text) == F.col("_first")))
+        rows = first.select(*named.columns).dropDuplicates(["_node"])
+    return rows.unionByName(named.filter("_node is null")).select(*docs.columns)

@@ -104,6 +104,28 @@ def test_drop_duplicates(make_docs, awkward):
     assert sorted(str(r[0]) for r in left) == sorted("1 2 3 4 6 7 8 9 None".split())
 
 
+def test_drop_duplicates_of_rows_without_an_id(make_docs):
+    """Of every group one row stays, one with an id if there is any; rows without an id and words all stay."""
+    rand = random.Random(8)
+    rows = mixed(7)
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:40])]
+    known = brute(rows, 5)
+    of = {d: c for d, _, c in known}
+    hidden = {d for d, _ in rows if rand.random() < 0.5} | {d for d, c in of.items() if c % 5 == 0}
+    blank = [(None, None), (None, None), (None, ""), (None, " \n"), (None, " \n")]
+    left = neardup.drop_duplicates(make_docs([(None if d in hidden else d, t) for d, t in rows] + blank))
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    groups = defaultdict(list)
+    for d, _ in rows:
+        groups[of[d]].append(d)
+    named = [min(set(g) - hidden) for g in groups.values() if set(g) - hidden]
+    nameless = [c for c, g in groups.items() if set(g) <= hidden]
+    assert len(nameless) > 5 and sorted(d for d, _ in got if d is not None) == sorted(named)
+    text_of = {t: of[d] for d, t in rows}
+    assert sorted(text_of[t] for d, t in got if d is None and (t or "").split()) == sorted(nameless)
+    assert sorted((r for r in got if r[0] is None and not (r[1] or "").split()), key=str) == sorted(blank, key=str)
+
+
 def test_components_of_paths_and_stars(spark):
     rand = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200)]

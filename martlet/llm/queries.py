@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlet.llm import contamination, licenses, lines, mixing, neardup, quality, rules, tokens, toxicity, urls
+from martlet.llm import contamination, licenses, lines, merkle, mixing, neardup, packing, quality, rules, runs, tokens, toxicity, urls
+from martlet.llm.sequence_sql import MANIFEST_SQL, RUNS_SQL
 from martlet.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -82,6 +86,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.cut_shared_lines(table(spark, sf_dir, "documents"))
 
 
+def looped_tenth(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every tenth document, by the crc32 of its id, repeats its last words: where from, and how many."""
+    begin, lap = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+    for i, (key, n) in enumerate(zip(ids.tolist(), counts.tolist())):
+        h = zlib.crc32(str(key).encode())
+        if key is not None and h % 10 == 0 and n > 0:
+            g = h // 10
+            begin[i] = g % n
+            lap[i] = 1 + (n - begin[i]) // (3 + g % 8)
+    return begin, lap
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and a digest of its text without their repetitions."""
+    return runs.run_digest(runs.find_runs(table(spark, sf_dir, "documents"), loops=looped_tenth))
+
+
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 4096 tokens that mix the sources by their shares."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in a Merkle tree, and the root of its version with the text of every fifth in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    leaf = merkle.leaf_digest([F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.leaf_digest([*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], lowered])
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.versions(merkle.build(docs, leaf, F.when(fifth, tampered)))
+    folded = F.coalesce(F.element_at("copied", -1), F.col("root"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", folded.alias("folded_root"), (folded == F.col("root")).alias("verified")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_token_output,
@@ -94,6 +137,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_near_duplicates,
         op9_toxicity,
         op10_line_dedup,
+        op11_periodic_runs,
+        op12_mixture_packing,
+        op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}
 
@@ -188,4 +234,11 @@ FROM marked GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": CONTAINMENT_SQL, "op6_quality_rules": RULES_SQL, "op7_mixing": MIXING_SQL, "op10_line_dedup": LINES_SQL}
+    return {
+        "op3_decontamination": CONTAINMENT_SQL,
+        "op6_quality_rules": RULES_SQL,
+        "op7_mixing": MIXING_SQL,
+        "op10_line_dedup": LINES_SQL,
+        "op11_periodic_runs": RUNS_SQL,
+        "op13_merkle_manifest": MANIFEST_SQL,
+    }

@@ -34,6 +34,8 @@ from pyspark.sql import types as T
 
 from martlet.llm.text import FOLDED, SLICE_BYTES, mix, prepare, slices, span_hashes, tidied, word_spans
 
+#: New words that are given to the library as one text, with a special token between them.
+JOINED = 64
 #: Words, and ids of them, that a worker remembers; beyond either it starts anew.
 MEMO_WORDS = 1_000_000
 MEMO_IDS = 6_000_000
@@ -84,6 +86,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        # A special token that is cut out before anything else looks at the text, with which words are joined.
+        added = self._tokenizer.get_added_tokens_decoder()
+        alters = ("normalized", "lstrip", "rstrip", "single_word")
+        joiners = [(i, t.content) for i, t in sorted(added.items()) if t.special and not any(getattr(t, x) for x in alters)]
+        self._joiner_id, self._joiner = joiners[0] if joiners else (-1, "")
+        self._marks = {t.content[0] for t in added.values()}
         self._forget()
 
     def _forget(self) -> None:
@@ -92,18 +100,34 @@ class WordEncoder:
         self._starts = np.zeros(1, np.int64)  # of the ids of each slot
         self._ids = np.zeros(1 << 16, np.int32)
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has. Joined words are encoded as fast as one text, and apart."""
+        if not self._joiner or not all(map(self._marks.isdisjoint, words)):
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            counts = np.array([len(ids) for ids in found], np.int64)
+            return np.fromiter(chain.from_iterable(found), np.int32, counts.sum()), counts
+        texts = [self._joiner.join(words[at : at + JOINED]) + self._joiner for at in range(0, len(words), JOINED)]
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in found])
+        ends = np.flatnonzero(ids == self._joiner_id)
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        slots = np.arange(len(self._keys), len(self._keys) + len(keys))
-        for at in range(0, len(words), 10_000):
-            found = [e.ids for e in self._tokenizer.encode_batch_fast(words[at : at + 10_000], add_special_tokens=False)]
-            ends = self._starts[-1] + np.cumsum([len(ids) for ids in found])
-            while ends[-1] > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-            self._ids[self._starts[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.int32)
-            self._starts = np.concatenate([self._starts, ends])
-        order = np.argsort(np.concatenate([self._keys, keys]), kind="stable")
-        self._slots = np.concatenate([self._slots, slots])[order]
-        self._keys = np.concatenate([self._keys, keys])[order]
+        """Remember the ids of new words; ``keys`` ascend."""
+        plain = np.fromiter(map(self._marks.isdisjoint, words), bool, len(words))
+        for some in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            for at in range(0, len(some), 10_000):
+                part = some[at : at + 10_000]
+                ids, counts = self._encoded([words[i] for i in part.tolist()])
+                slots = len(self._keys) + np.arange(len(part))
+                ends = self._starts[-1] + np.cumsum(counts)
+                while ends[-1] > len(self._ids):
+                    self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+                self._ids[self._starts[-1] : ends[-1]] = ids
+                self._starts = np.concatenate([self._starts, ends])
+                place = np.searchsorted(self._keys, keys[part])
+                self._slots = np.insert(self._slots, place, slots)
+                self._keys = np.insert(self._keys, place, keys[part])
 
     def _slots_of(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)

@@ -41,21 +41,33 @@ WINDOWS = 64
 PACKET = 256
 
 
-def _binary(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """``ids`` as little-endian unsigned 32-bit integers, cut at ``bounds``."""
-    return pa.Array.from_buffers(
-        pa.binary(), len(bounds) - 1, [None, pa.py_buffer((4 * bounds).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))]
-    )
+def _binary(ids: np.ndarray, bounds: np.ndarray, width: int = 4) -> pa.Array:
+    """``ids`` as little-endian unsigned integers of ``width`` bytes, cut at ``bounds``."""
+    data = np.ascontiguousarray(ids, f"<u{width}")
+    offsets = (width * bounds).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    """All ids of a binary column, one value after the other."""
+def _ids(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column, one value after the other, and the n + 1 bounds of its values."""
+    if not len(column):
+        return np.zeros(0, f"<u{width}"), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view("<u4") if len(column) else np.zeros(0, "<u4")
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(f"<u{width}"), (offsets - offsets[0]) // width
+
+
+def id_width(tokenizer: str, end_id: int) -> int:
+    """Bytes that hold every id of a tokenizer, while ids are on their way."""
+    from tokenizers import Tokenizer
 
+    largest = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
+    return 2 if largest < 1 << 16 else 4
 
-def encode_queues(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str, text_col: str, queue_col: str) -> DataFrame:
+
+def encode_queues(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int, width: int, id_col: str, text_col: str, queue_col: str
+) -> DataFrame:
     """Write ``id``, ``queue``, ``shard``, ``before`` (tokens of the queue earlier in the shard), ``n`` and ``ids``; read them back."""
     spark = docs.sparkSession
     prepare(spark)
@@ -71,8 +83,9 @@ def encode_queues(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_co
                 for queue, n in zip(part.column("queue").to_pylist(), counts.tolist()):
                     before.append(seen.get(queue, 0))
                     seen[queue] = before[-1] + n
+                numbers = [pa.array(np.full(len(counts), shard, np.int32)), pa.array(before, pa.int64()), pa.array(counts)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("queue"), pa.array(np.full(len(counts), shard, np.int32)), pa.array(before, pa.int64()), pa.array(counts, pa.int64()), _binary(ids, bounds)],
+                    [part.column("id"), part.column("queue"), *numbers, _binary(ids, bounds, width)],
                     ["id", "queue", "shard", "before", "n", "ids"],
                 )
 
@@ -134,11 +147,12 @@ class Schedule:
         return number, first, first + size
 
 
-def _cut(tokens: DataFrame, names: list, schedule: Schedule) -> DataFrame:
+def _cut(tokens: DataFrame, names: list, schedule: Schedule, width: int) -> DataFrame:
     """``tokens`` (with ``offset`` of their shard in their queue) cut where a block ends, each piece with its block."""
     numbers = {name: i for i, name in enumerate(names)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # the worker has encoded before, and will not again
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -157,7 +171,7 @@ def _cut(tokens: DataFrame, names: list, schedule: Schedule) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(block), pa.array(queue[rows]), pa.array(begin), batch.column("id").take(pa.array(rows)),
-                    pa.array(begin - place[rows]), pa.array(n[rows]), _binary(_ids(batch.column("ids")), bounds),
+                    pa.array(begin - place[rows]), pa.array(n[rows]), _binary(_ids(batch.column("ids"), width)[0], bounds, width),
                 ],
                 ["block", "queue", "place", "id", "start", "doc_tokens", "ids"],
             )
@@ -235,7 +249,8 @@ def pack(
     ids as little-endian unsigned 32-bit integers.
     """
     spark = docs.sparkSession
-    tokens = encode_queues(docs, scratch_path(spark, "packing-tokens"), tokenizer, end_id, id_col, text_col, queue_col)
+    width = id_width(tokenizer, end_id)
+    tokens = encode_queues(docs, scratch_path(spark, "packing-tokens"), tokenizer, end_id, width, id_col, text_col, queue_col)
     sums = tokens.groupBy("shard", "queue").agg(F.sum("n").alias("tokens"))
     before = Window.partitionBy("queue").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     path = scratch_path(spark, "packing-offsets")
@@ -251,14 +266,13 @@ def pack(
 
     keys = offsets.select(F.col("shard").alias("s"), F.col("queue").alias("q"), "offset")
     placed = tokens.join(keys, (F.col("shard") == F.col("s")) & F.col("queue").eqNullSafe(F.col("q")))
-    pieces = _cut(placed.select("id", "queue", "before", "n", "offset", "ids"), names, schedule)
+    pieces = _cut(placed.select("id", "queue", "before", "n", "offset", "ids"), names, schedule, width)
 
     def place(key: tuple, table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         queue, start = table["queue"].to_numpy(), table["place"].to_numpy()
-        ids = table["ids"].chunk(0)
-        bounds = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
-        length = np.diff(bounds).astype(np.int64)
+        ids, bounds = _ids(table["ids"].chunk(0), width)
+        length = np.diff(bounds)
         order = np.lexsort((start, queue))
         served = np.array(serve(schedule, key[0].as_py(), queue[order], length[order], packet), np.int64)
         served[:, 0] = order[served[:, 0]]
@@ -268,7 +282,7 @@ def pack(
         number, first = np.array(where, np.int64).T
         columns = [
             table["id"].take(pa.array(rows)), table["start"].to_numpy()[rows] + begin, n, table["doc_tokens"].to_numpy()[rows],
-            number, at - first, _binary(_ids(ids), np.concatenate([[0], np.cumsum(n)])),
+            number, at - first, _binary(ids, np.concatenate([[0], np.cumsum(n)])),
         ]
         return pa.table(columns, names=[id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 

@@ -32,14 +32,14 @@ def completed_since(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
 # ---------------------------------------------------------------- daily revenue
 
 
-def daily_totals(orders: DataFrame) -> DataFrame:
-    """One row per order date. Revenue counts completed orders, the other measures all."""
+def daily_sums(orders: DataFrame, *more: Column) -> DataFrame:
+    """What adds up over the orders of a day. Revenue counts completed orders, the other sums all."""
     done = F.col("status") == "completed"
 
     def having(test: Column) -> Column:
         return F.count(F.when(test, 1))
 
-    sums = orders.groupBy(F.col("order_date").alias("revenue_date")).agg(
+    return orders.groupBy(F.col("order_date").alias("revenue_date")).agg(
         F.sum(F.when(done, F.col("final_amount")).otherwise(0)).alias("_revenue"),
         F.sum(F.when(done, F.col("final_amount"))).alias("_completed_revenue"),
         F.count(F.when(done, F.col("final_amount"))).alias("_valued"),
@@ -48,10 +48,32 @@ def daily_totals(orders: DataFrame) -> DataFrame:
         having(done).alias("completed_orders"),
         having(F.col("status") == "pending").alias("pending_orders"),
         having(F.col("status") == "cancelled").alias("cancelled_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("discount_amount").alias("_discount"),
         having(F.col("promo_code").isNotNull()).alias("orders_with_promo"),
+        *more,
     )
+
+
+def daily_parts(orders: DataFrame, first_visits: list[DataFrame]) -> DataFrame:
+    """A part of the sums of each day; ``first_visits`` holds the pairs (day, customer) that no other part counts."""
+    sums = daily_sums(orders)
+    if not first_visits:
+        return sums.withColumn("unique_customers", F.lit(0).cast("long"))
+    new = first_visits[0].groupBy(F.col("order_date").alias("_day")).agg(F.count("*").alias("_new"))
+    joined = sums.join(new, F.col("revenue_date").eqNullSafe(F.col("_day")), "left").drop("_day")
+    return joined.withColumn("unique_customers", F.coalesce("_new", F.lit(0))).drop("_new")
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One row for each day, in the types of the parts."""
+    types = {f.name: f.dataType for f in parts.schema.fields}
+    measures = [c for c in types if c not in ("revenue_date", "key_bucket")]
+    keys = [c for c in ("revenue_date", "key_bucket") if c in types]
+    return parts.groupBy(*keys).agg(*[F.sum(c).cast(types[c]).alias(c) for c in measures])
+
+
+def daily_measures(sums: DataFrame) -> DataFrame:
+    """The columns of the mart from the sums of each day."""
     date = F.col("revenue_date")
     return sums.select(
         date,
@@ -74,6 +96,11 @@ def daily_totals(orders: DataFrame) -> DataFrame:
     )
 
 
+def daily_totals(orders: DataFrame) -> DataFrame:
+    """One row per order date."""
+    return daily_measures(daily_sums(orders, F.countDistinct("customer_id").alias("unique_customers")))
+
+
 def with_growth(daily: DataFrame) -> DataFrame:
     change = F.col("total_revenue") - F.col("previous_value")
     return (

@@ -21,6 +21,7 @@ from martlet.plans import bronze, extended, gold, silver
 from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, refresh, tier_reason
 from martlet.session import scratch_path, tune
 from martlet.sources import feeds, star
+from martlet.sources.keyed import KeyedTable
 from martlet.sources.star import AS_OF, FIRST_DAY
 from martlet.sources.tables import Tables
 from martlet.streaming import ingest, revenue
@@ -882,11 +883,12 @@ def orders_incremental(x: Lake) -> DataFrame:
     """The order feed as a file stream, merged batch by batch into an order table."""
     root = scratch_path(x.spark, "ingest")
     lines = x.spark.readStream.schema(star.SOURCES["lineitem"]).option("pathGlobFilter", "lineitem*.parquet").parquet(x.sf)
+    orders = KeyedTable(x.spark, f"{root}/orders", ["order_id"])
     ingest.ingest_stream(
-        lines, f"{root}/orders", f"{root}/checkpoint", ["order_id"], star.order_arrival(),
+        lines, orders, f"{root}/checkpoint", star.order_arrival(),
         shape=lambda batch: star.order_feed(x.spark, x.sf, lines=batch),
     ).awaitTermination()
-    return x.spark.read.parquet(f"{root}/orders").select(
+    return orders.read().select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "discount_amount",
         "final_amount", "status", "promo_code",
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from martlet.operators.merge import insert_ignore
-from martlet.sources.tables import Tables, complete_folders
+from martlet.sources.keyed import KeyedTable
+from martlet.sources.tables import Tables
 
 
 def stream_feed(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -19,26 +19,20 @@ def stream_feed(spark: SparkSession, path: str, schema, fmt: str = "parquet", ma
 
 def ingest_stream(
     feed: DataFrame,
-    target: str,
+    target: KeyedTable,
     checkpoint: str,
-    key: list[str],
-    order: list,
+    order: list[Column],
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
-    """Append the unseen keys of each batch to the Parquet table at ``target``.
+    """Append the unseen keys of each batch to ``target``, one load for each batch.
 
-    A batch owns the folder ``batch_id=<n>`` and overwrites it when it is replayed
-    after a failure. The folders before it decide what is new, so the result does
-    not depend on how often a batch ran.
+    A batch reads the key columns of the buckets that its own keys fall into, of a number of
+    folders that grows with the logarithm of the batches. It replaces its load when it is
+    replayed, and earlier loads decide what is new, so the result does not depend on how often it ran.
     """
-    spark = feed.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        done = complete_folders(spark, target, "batch_id")
-        seen = [f for f in done if int(f.rsplit("=", 1)[1]) < batch_id]
-        known = spark.read.parquet(*seen) if seen else None
-        rows = insert_ignore(known, shape(batch), key, order)
-        rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        target.insert_ignore(batch_id, shape(batch), order)
 
     return (
         feed.writeStream.foreachBatch(merge)
@@ -60,6 +54,7 @@ def merge_stream(
     The merges of this package give the same rows when a batch is replayed: updated
     columns hold the last record of the batch again, all others stay.
     """
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         tables.overwrite(table, merge(tables.read(table), batch))
 

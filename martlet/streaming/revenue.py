@@ -1,4 +1,9 @@
-"""Daily revenue kept current from a stream of clean orders."""
+"""Daily revenue kept current from a stream of clean orders, without reading an order twice.
+
+The state are two tables of mergeable parts: ``visits``, each customer once for each day, and ``days``, of each batch the
+sums of the days it touches. All measures are sums over the parts of a day; a batch adds to the customers of a day those
+that ``visits`` did not have. Orders themselves are not stored.
+"""
 
 from __future__ import annotations
 
@@ -7,28 +12,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlet.plans import gold
-from martlet.sources.tables import complete_folders
+from martlet.sources.keyed import BUCKET, KeyedTable
+
+#: Buckets of the days, so that a batch reads the visits of its own days and few others.
+DAY_BUCKETS = 32
+
+
+def visits_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, f"{root}/visits", ["order_date", "customer_id"], DAY_BUCKETS, bucket_by=["order_date"])
+
+
+def days_table(spark: SparkSession, root: str) -> KeyedTable:
+    """A row for each day and load; merged loads have one row a day."""
+    return KeyedTable(spark, f"{root}/days", ["revenue_date"], 1, fold=gold.merged_parts)
 
 
 def revenue_stream(orders: DataFrame, root: str) -> StreamingQuery:
-    """Store each batch of orders by month and rewrite the days of the months it touches, however late they are.
+    """Add each batch of orders to the days it touches, however late they are.
 
-    A batch owns the folders ``orders/batch_id=<n>`` and ``daily/batch_id=<n>`` and overwrites them when it is
-    replayed. Its days are computed from all stored orders of these months, which the month folders
-    select, so no order is ever late, counts of customers are exact, and a batch costs as much
-    as the months it touches. The months are listed on the driver: calendar months, not rows.
+    A batch replaces its two loads when it is replayed. It reads the visits of the buckets of its days and
+    nothing else of earlier batches, so no order is ever late and counts of customers are exact.
     """
     spark = orders.sparkSession
+    visits, days = visits_table(spark, root), days_table(spark, root)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        own = f"{root}/orders/batch_id={batch_id}"
-        by_month = batch.withColumn("order_month", F.trunc("order_date", "month"))
-        by_month.hint("rebalance", "order_month").write.partitionBy("order_month").mode("overwrite").parquet(own)
-        stored = [f for f in complete_folders(spark, f"{root}/orders", "batch_id") if int(f.rsplit("=", 1)[1]) <= batch_id]
-        seen = spark.read.schema(by_month.schema).option("basePath", f"{root}/orders").parquet(*stored)
-        months = [r[0] for r in seen.filter(F.col("batch_id") == batch_id).select("order_month").distinct().collect()]
-        touched = F.col("order_month").isin([m for m in months if m]) | F.col("order_month").isNull()
-        gold.daily_totals(seen.filter(touched)).write.mode("overwrite").parquet(f"{root}/daily/batch_id={batch_id}")
+        batch.persist()
+        try:
+            seen = batch.select("order_date", "customer_id").filter(F.col("customer_id").isNotNull())
+            visits.insert_ignore(batch_id, seen)
+            first = visits.read_load(batch_id)
+            days.store(batch_id, gold.daily_parts(batch, [] if first is None else [first.drop(BUCKET)]))
+        finally:
+            batch.unpersist()
 
     return (
         orders.writeStream.foreachBatch(apply)
@@ -39,11 +55,11 @@ def revenue_stream(orders: DataFrame, root: str) -> StreamingQuery:
 
 
 def current_daily_revenue(spark: SparkSession, root: str) -> DataFrame:
-    """All days with growth: of each day the newest batch that touched it."""
-    daily = spark.read.option("basePath", f"{root}/daily").parquet(*complete_folders(spark, f"{root}/daily", "batch_id"))
-    newest = daily.groupBy("revenue_date").agg(F.max("batch_id").alias("batch_id"))
-    same = F.col("d.revenue_date").eqNullSafe(F.col("n.revenue_date")) & (F.col("d.batch_id") == F.col("n.batch_id"))
-    return gold.with_growth(daily.alias("d").join(newest.alias("n"), same, "left_semi").drop("batch_id"))
+    """All days with growth: the merged parts of each."""
+    parts = days_table(spark, root).read()
+    if parts is None:
+        raise ValueError(f"no orders have arrived in {root}")
+    return gold.with_growth(gold.daily_measures(gold.merged_parts(parts.drop(BUCKET))))
 
 
 def run_daily_revenue(spark: SparkSession, orders: DataFrame, root: str) -> DataFrame:

@@ -16,6 +16,7 @@ from martlet.plans import refresh as refresh_module
 from martlet.plans.refresh import PRODUCT_HISTORY, apply_snapshot, merge_orders, price_reason, refresh
 from martlet.queries import Lake
 from martlet.sources import feeds, star
+from martlet.sources.keyed import KeyedTable
 from martlet.sources.tables import Tables
 from martlet.streaming import ingest, revenue
 
@@ -346,7 +347,7 @@ def test_incremental_batches_equal_one_load(spark, tmp_path):
     records.filter("l_quantity < 30").repartition(2).write.parquet(inbox)
     def run():
         stream = ingest.stream_feed(spark, inbox, records.schema, max_files=1)
-        ingest.ingest_stream(stream, target, checkpoint, ["order_id"], star.order_arrival()).awaitTermination()
+        ingest.ingest_stream(stream, KeyedTable(spark, target, ["order_id"]), checkpoint, star.order_arrival()).awaitTermination()
 
     run()
     n_first = spark.read.parquet(target).count()
@@ -365,7 +366,7 @@ def test_stream_revenue_equals_batch_whatever_the_order_of_files(spark, tmp_path
     orders.repartition(6, F.xxhash64("order_id")).write.parquet(str(tmp_path / "inbox"))
     stream = ingest.stream_feed(spark, str(tmp_path / "inbox"), schemas.struct_type("silver_orders"), max_files=1)
     found = revenue.run_daily_revenue(spark, stream, root)
-    assert len(list((tmp_path / "out" / "daily").glob("batch_id=*"))) >= 3
+    assert len(list((tmp_path / "out" / "days").glob("loads=*"))) >= 3
     assert found.agg(F.sum("total_orders")).first()[0] == 4400
     expected = gold.daily_revenue(orders)
     assert sorted(map(str, found.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))

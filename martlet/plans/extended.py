@@ -1,4 +1,7 @@
-"""Declared mart measures with definitions of our own, see the README."""
+"""Declared mart measures with definitions of our own, see the README.
+
+As in ``gold``, ``orders`` are clean orders or a roll-up of them that keeps the columns which the measure groups by.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,8 @@ from pyspark.sql import functions as F
 from martlet.functions.dates import day, in_last_days
 from martlet.functions.numeric import exact_avg, guarded, money, pct
 from martlet.operators.joins import interval_join
-from martlet.plans.gold import completed, completed_since
+from martlet.plans.cells import as_cells, completed, total
+from martlet.plans.gold import completed_since
 
 SEGMENT_ADVICE = [
     ("Champions", "High in all three scores", "Offer early access and referral rewards"),
@@ -39,7 +43,7 @@ def daily_new_returning(orders: DataFrame) -> DataFrame:
 
 
 def units_sold(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
-    return completed_since(orders, as_of, days).groupBy("product_id").agg(F.sum("quantity").alias("units"))
+    return completed_since(orders, as_of, days).groupBy("product_id").agg(total("units").alias("units"))
 
 
 def product_stock_stats(snapshots: DataFrame, orders: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -63,7 +67,7 @@ def product_stock_stats(snapshots: DataFrame, orders: DataFrame, as_of: dt.date,
 
 def repeat_purchase_rate(orders: DataFrame) -> DataFrame:
     """Share of the buyers of a product with two or more completed orders of it."""
-    pairs = completed(orders).groupBy("product_id", "customer_id").agg(F.count("*").alias("n"))
+    pairs = completed(orders).groupBy("product_id", "customer_id").agg(total("n_completed").alias("n"))
     return pairs.groupBy("product_id").agg(
         F.count("*").alias("buyers"),
         pct(F.count(F.when(F.col("n") >= 2, 1)), F.count("*")).alias("repeat_purchase_rate"),
@@ -77,8 +81,8 @@ def product_period_growth(orders: DataFrame, as_of: dt.date, days: int = 30) ->
         completed_since(orders, as_of, 2 * days)
         .groupBy("product_id")
         .agg(
-            F.sum(F.when(recent, F.col("final_amount")).otherwise(0)).alias("current"),
-            F.sum(F.when(~recent, F.col("final_amount")).otherwise(0)).alias("previous"),
+            F.sum(F.when(recent, F.col("revenue")).otherwise(0)).cast("decimal(20,2)").alias("current"),
+            F.sum(F.when(~recent, F.col("revenue")).otherwise(0)).cast("decimal(20,2)").alias("previous"),
         )
     )
     return sums.select(
@@ -158,15 +162,19 @@ def stock_change(snapshots: DataFrame, latest: DataFrame, days: tuple[int, ...]
     )
 
 
-def campaign_acquisition(campaigns: DataFrame, orders: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Profit, first-time customers, cost per acquisition and conversion per campaign."""
-    done = F.col("status") == "completed"
-    coded = orders.filter(F.col("promo_code").isNotNull())
+def campaign_acquisition(
+    campaigns: DataFrame, orders: DataFrame, inventory: DataFrame, visits: DataFrame | None = None
+) -> DataFrame:
+    """Profit, first-time customers, cost per acquisition and conversion per campaign.
+
+    ``visits`` are orders by customer and day, from which the first order of each is taken, if ``orders`` are a roll-up without customers.
+    """
+    coded = as_cells(orders).filter(F.col("promo_code").isNotNull())
     per_product = coded.groupBy("promo_code", "order_date", "product_id").agg(
-        F.count("*").alias("_all"),
-        F.count(F.when(done, 1)).alias("_completed"),
-        F.sum(F.when(done, F.col("final_amount"))).alias("_revenue"),
-        F.sum(F.when(done, F.col("quantity"))).alias("_units"),
+        total("n_orders").alias("_all"),
+        total("n_completed").alias("_completed"),
+        total("revenue").alias("_revenue"),
+        total("units").alias("_units"),
     )
     profit = F.col("_revenue") - F.col("cost_price") * F.col("_units")
     per_day = (
@@ -178,8 +186,8 @@ def campaign_acquisition(campaigns: DataFrame, orders: DataFrame, inventory: Dat
         )
     )
     firsts = (
-        completed(orders).groupBy("customer_id")
-        .agg(F.min_by(F.struct("promo_code", "order_date"), F.struct("order_timestamp", "order_id")).alias("f"))
+        completed(orders if visits is None else visits).groupBy("customer_id")
+        .agg(F.min_by(F.struct("promo_code", "order_date"), F.struct("first_timestamp", "first_order_id")).alias("f"))
         .filter(F.col("f.promo_code").isNotNull())
         .groupBy(F.col("f.promo_code").alias("promo_code"), F.col("f.order_date").alias("order_date"))
         .agg(F.count("*").alias("acquired"))
@@ -216,7 +224,7 @@ def revenue_yoy(daily: DataFrame) -> DataFrame:
 
 
 def weekend_pattern(orders: DataFrame) -> DataFrame:
-    done = completed(orders)
+    done = orders.filter(F.col("status") == "completed")
     return done.groupBy("is_weekend").agg(
         F.count("*").alias("completed_orders"),
         money(F.sum("final_amount")).alias("total_revenue"),

@@ -1,4 +1,7 @@
-"""The five marts. Every mart aggregates the orders before it joins them."""
+"""The five marts. Every mart aggregates the orders before it joins them.
+
+``orders`` are clean orders, or a roll-up of them (``cells``) that keeps the columns which the mart groups by.
+"""
 
 from __future__ import annotations
 
@@ -13,15 +16,12 @@ from martlet.functions.numeric import exact_avg, guarded, money, pct
 from martlet.functions.ordering import SortKey
 from martlet.operators.joins import interval_join, vs_previous_day
 from martlet.operators.ranking import global_rank, rank_within, tile_ends, tile_of
+from martlet.plans.cells import as_cells, completed, total
 from martlet.session import pin
 
 
-def completed(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("status") == "completed")
-
-
 def completed_since(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
-    """Completed orders of the last days; on stored orders this also selects month folders."""
+    """Cells of completed orders of the last days; on stored tables this also selects month folders."""
     recent = completed(orders).filter(in_last_days(F.col("order_date"), as_of, days))
     if "order_month" not in orders.columns:
         return recent
@@ -34,22 +34,19 @@ def completed_since(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
 
 def daily_sums(orders: DataFrame, *more: Column) -> DataFrame:
     """What adds up over the orders of a day. Revenue counts completed orders, the other sums all."""
-    done = F.col("status") == "completed"
-
-    def having(test: Column) -> Column:
-        return F.count(F.when(test, 1))
-
-    return orders.groupBy(F.col("order_date").alias("revenue_date")).agg(
-        F.sum(F.when(done, F.col("final_amount")).otherwise(0)).alias("_revenue"),
-        F.sum(F.when(done, F.col("final_amount"))).alias("_completed_revenue"),
-        F.count(F.when(done, F.col("final_amount"))).alias("_valued"),
-        F.count("*").alias("total_orders"),
-        F.sum("quantity").alias("total_items_sold"),
-        having(done).alias("completed_orders"),
-        having(F.col("status") == "pending").alias("pending_orders"),
-        having(F.col("status") == "cancelled").alias("cancelled_orders"),
-        F.sum("discount_amount").alias("_discount"),
-        having(F.col("promo_code").isNotNull()).alias("orders_with_promo"),
+    # An order that is not completed adds nothing, a completed one without an amount is unknown.
+    adds = (F.col("n_orders") > F.col("n_completed")) | (F.col("n_valued") > 0)
+    return as_cells(orders).groupBy(F.col("order_date").alias("revenue_date")).agg(
+        F.sum(F.when(adds, F.coalesce("revenue", F.lit(0)))).alias("_revenue"),
+        total("revenue").alias("_completed_revenue"),
+        total("n_valued").alias("_valued"),
+        total("n_orders").alias("total_orders"),
+        total("items").alias("total_items_sold"),
+        total("n_completed").alias("completed_orders"),
+        total("n_pending").alias("pending_orders"),
+        total("n_cancelled").alias("cancelled_orders"),
+        total("discount").alias("_discount"),
+        total("n_coded").alias("orders_with_promo"),
         *more,
     )
 
@@ -121,9 +118,9 @@ def daily_revenue(orders: DataFrame) -> DataFrame:
 def product_sales(orders: DataFrame, as_of: dt.date, days: int) -> DataFrame:
     """Completed sales per product since ``as_of - days``."""
     return completed_since(orders, as_of, days).groupBy("product_id").agg(
-        F.sum("quantity").alias("units"),
-        F.sum("final_amount").alias("revenue"),
-        F.sum(F.col("unit_price") * F.col("quantity")).alias("listed_value"),
+        total("units").alias("units"),
+        total("revenue").alias("revenue"),
+        total("listed").alias("listed_value"),
         F.countDistinct("customer_id").alias("buyers"),
     )
 
@@ -177,9 +174,9 @@ def product_performance(
 def customer_order_totals(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Every customer with totals over completed orders; no orders gives a zero count and NULL sums."""
     per_customer = completed(orders).groupBy("customer_id").agg(
-        F.count("order_id").alias("_orders"),
-        F.sum("final_amount").alias("_value"),
-        F.count("final_amount").alias("_valued"),
+        total("n_completed").alias("_orders"),
+        total("revenue").alias("_value"),
+        total("n_valued").alias("_valued"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
@@ -302,7 +299,7 @@ def promo_days(orders: DataFrame) -> DataFrame:
         completed(orders)
         .filter(F.col("promo_code").isNotNull())
         .groupBy("promo_code", "order_date")
-        .agg(F.count("order_id").alias("n_orders"), F.sum("final_amount").alias("revenue"))
+        .agg(total("n_completed").alias("n_orders"), total("revenue").alias("revenue"))
     )
 
 

@@ -17,6 +17,7 @@ from martlet.functions import labels
 from martlet.functions.dates import OPEN_END
 from martlet.operators.history import scd2_apply, scd2_changes
 from martlet.plans import bronze, extended, gold, silver
+from martlet.plans.cells import stored_cells, update_cells
 from martlet.session import pin
 from martlet.sources.tables import Tables
 
@@ -81,17 +82,20 @@ def _merged(tables: Tables, table: str, before: DataFrame, after: DataFrame, run
 def merge_orders(tables: Tables, clean: DataFrame, run_id: str | None = None, at: dt.datetime | None = None) -> int:
     """Merge clean orders into the stored ones; returns the rows stored afterwards.
 
-    Only months with a new order or another status are read in full and rewritten.
+    Only months with a new order or another status are read in full and rewritten, and so are their roll-ups.
     The months are listed on the driver: one value per calendar month.
     """
     target = tables.read("silver_orders", run_id)
     if not tables.exists("silver_orders", run_id):
-        return tables.overwrite("silver_orders", schemas.stamped(silver.with_month(clean), "silver_orders", at), run_id)
+        rows = tables.overwrite("silver_orders", schemas.stamped(silver.with_month(clean), "silver_orders", at), run_id)
+        update_cells(tables, None, run_id)
+        return rows
     changed = pin(silver.changed_orders(target, clean))
     months = [r[0] for r in changed.select("order_month").distinct().collect()]
     if months:
         touched = target.filter(F.col("order_month").isin(months))
         tables.overwrite("silver_orders", silver.merge("silver_orders", touched, changed, at), run_id)
+        update_cells(tables, months, run_id)
     return tables.read("silver_orders").count()
 
 
@@ -138,36 +142,37 @@ def build_silver(tables: Tables, as_of: dt.date, run_id: str, at: dt.datetime) -
 
 
 def full_marts(tables: Tables, as_of: dt.date) -> dict[str, DataFrame]:
-    """The five marts with all declared columns, from the stored clean tables."""
+    """The five marts with all declared columns, from the stored clean tables and the roll-ups of the orders."""
     products, customers = tables.read("silver_products"), tables.read("silver_customers")
-    orders, campaigns = tables.read("silver_orders"), tables.read("silver_campaigns")
-    inventory, snapshots = tables.read("silver_inventory"), tables.read_appended("bronze_inventory")
+    campaigns, inventory = tables.read("silver_campaigns"), tables.read("silver_inventory")
+    snapshots = tables.read_appended("bronze_inventory")
     newest = silver.latest_inventory(snapshots)
+    orders, visits, sales = (stored_cells(tables)[c] for c in ("order_cells", "customer_days", "product_days"))
 
-    daily = gold.daily_revenue(orders).join(
-        extended.daily_new_returning(orders).drop("unique_customers"), "revenue_date", "left"
+    daily = gold.daily_revenue(visits).join(
+        extended.daily_new_returning(visits).drop("unique_customers"), "revenue_date", "left"
     )
     performance = (
         gold.product_performance(products, orders, inventory, as_of)
-        .join(extended.product_stock_stats(snapshots, orders, as_of), "product_id", "left")
+        .join(extended.product_stock_stats(snapshots, sales, as_of), "product_id", "left")
         .join(extended.repeat_purchase_rate(orders).drop("buyers"), "product_id", "left")
         .join(
-            extended.product_period_growth(orders, as_of).select("product_id", "revenue_growth_vs_previous"),
+            extended.product_period_growth(sales, as_of).select("product_id", "revenue_growth_vs_previous"),
             "product_id",
             "left",
         )
     )
-    segments = extended.segment_advice(gold.customer_rfm(customers, orders, as_of)).join(
-        extended.next_purchase_days(orders, as_of), "customer_id", "left"
+    segments = extended.segment_advice(gold.customer_rfm(customers, visits, as_of)).join(
+        extended.next_purchase_days(visits, as_of), "customer_id", "left"
     )
     health = (
-        gold.inventory_health(inventory, products, orders, as_of)
-        .join(extended.inventory_cover(inventory, orders, as_of), "product_id", "left")
+        gold.inventory_health(inventory, products, sales, as_of)
+        .join(extended.inventory_cover(inventory, sales, as_of), "product_id", "left")
         .join(extended.reorder_advice(newest), "product_id", "left")
         .join(extended.stock_change(snapshots, newest), "product_id", "left")
     )
-    roi = gold.campaign_roi(campaigns, orders, as_of).join(
-        extended.campaign_acquisition(campaigns, orders, inventory), "campaign_id", "left"
+    roi = gold.campaign_roi(campaigns, sales, as_of).join(
+        extended.campaign_acquisition(campaigns, sales, inventory, visits), "campaign_id", "left"
     )
     return {
         "gold_daily_revenue": daily,

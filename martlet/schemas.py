@@ -111,6 +111,21 @@ TABLES: dict[str, Table] = {
         cost_per_order decimal(15,2), cost_per_acquisition decimal(15,2), new_customers_acquired bigint,
         promo_code_usage_count bigint, conversion_rate decimal(15,2), campaign_rank int, campaign_status string(20),
         performance_rating string(20)"""),
+    "order_cells": Table("lattice", ("order_date", "customer_id", "product_id", "promo_code"), """
+        order_date date, customer_id string(50), product_id int, promo_code string(20),
+        n_orders bigint, n_completed bigint, n_pending bigint, n_cancelled bigint, n_coded bigint, n_valued bigint,
+        items bigint, units bigint, revenue decimal(20,2), listed decimal(31,2), discount decimal(20,2),
+        first_timestamp timestamp_ntz, first_order_id string(50)""", partition="order_month"),
+    "customer_days": Table("lattice", ("order_date", "customer_id"), """
+        order_date date, customer_id string(50), promo_code string(20),
+        n_orders bigint, n_completed bigint, n_pending bigint, n_cancelled bigint, n_coded bigint, n_valued bigint,
+        items bigint, units bigint, revenue decimal(20,2), listed decimal(31,2), discount decimal(20,2),
+        first_timestamp timestamp_ntz, first_order_id string(50)""", partition="order_month"),
+    "product_days": Table("lattice", ("order_date", "product_id", "promo_code"), """
+        order_date date, product_id int, promo_code string(20),
+        n_orders bigint, n_completed bigint, n_pending bigint, n_cancelled bigint, n_coded bigint, n_valued bigint,
+        items bigint, units bigint, revenue decimal(20,2), listed decimal(31,2), discount decimal(20,2),
+        first_timestamp timestamp_ntz, first_order_id string(50)""", partition="order_month"),
     "pending_orders": Table("quarantine", ("order_id",), """
         order_id string(50)!, customer_id string(50), product_id int, quantity int, unit_price decimal(10,2),
         total_amount decimal(10,2), discount_amount decimal(10,2), final_amount decimal(10,2),

@@ -1,0 +1,124 @@
+"""Roll-ups of orders: marts from them equal marts from orders, and runs rewrite what changed."""
+
+import datetime as dt
+
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from martlet import schemas
+from martlet.plans import cells, extended, gold, silver
+from martlet.plans.refresh import full_marts, merge_orders
+from martlet.queries import Lake, _stored
+from martlet.sources.star import AS_OF
+from martlet.sources.tables import Tables
+
+
+@pytest.fixture(scope="module")
+def lake(spark):
+    return Lake(spark, SMALL)
+
+
+@pytest.fixture(scope="module")
+def tables(lake):
+    return _stored(lake, "cells")
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def awkward(spark):
+    """Orders without an amount, code, customer or day, of every status, several to a cell."""
+    values = [
+        (f"o{i}", [None, "c1", "c2"][i % 3], i % 2, i % 5 + 1, "2.50", ["completed", "pending", "cancelled", "refunded", None][i % 5],
+         None if i % 7 == 0 else f"{i}.10", ["1.00", None][i % 2], [None, "X", "Y"][i // 2 % 3], None if i == 11 else dt.date(2001, 7, 1 + i % 3))
+        for i in range(60)
+    ]
+    names = "order_id, customer_id, product_id, quantity, unit_price, status, final_amount, discount_amount, promo_code, order_date".split(", ")
+    given = spark.createDataFrame(values, "order_id string, customer_id string, product_id int, quantity int, unit_price string, status string, "
+                                  "final_amount string, discount_amount string, promo_code string, order_date date")
+    stamp = F.coalesce(F.col("order_date"), F.lit(dt.date(2001, 1, 1))).cast("timestamp_ntz")
+    given = given.withColumn("order_timestamp", stamp)
+    schema = schemas.struct_type("silver_orders")
+    known = [*names, "order_timestamp"]
+    return given.select(*[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+MEASURES = {
+    "daily": (["order_cells", "customer_days"], lambda x, o, v: gold.daily_revenue(o)),
+    "new": (["order_cells", "customer_days"], lambda x, o, v: extended.daily_new_returning(o)),
+    "sales": (["order_cells"], lambda x, o, v: gold.product_sales(o, AS_OF, 30)),
+    "repeat": (["order_cells"], lambda x, o, v: extended.repeat_purchase_rate(o)),
+    "growth": (["order_cells", "product_days"], lambda x, o, v: extended.product_period_growth(o, AS_OF)),
+    "customers": (["order_cells", "customer_days"], lambda x, o, v: gold.customer_order_totals(x.clean_customers, o)),
+    "next": (["order_cells", "customer_days"], lambda x, o, v: extended.next_purchase_days(o, AS_OF)),
+    "stock": (["product_days"], lambda x, o, v: extended.product_stock_stats(x.inventory, o, AS_OF)),
+    "cover": (["product_days"], lambda x, o, v: extended.inventory_cover(x.clean_inventory, o, AS_OF)),
+    "dead": (["product_days"], lambda x, o, v: gold.dead_stock(x.clean_inventory, o, AS_OF)),
+    "campaigns": (["order_cells", "product_days"], lambda x, o, v: gold.campaign_totals(x.clean_campaigns, o)),
+    "acquisition": (["order_cells", "product_days"], lambda x, o, v: extended.campaign_acquisition(x.clean_campaigns, o, x.clean_inventory, v)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(MEASURES))
+def test_measures_from_cells_equal_those_from_orders(spark, lake, tables, name):
+    levels, measure = MEASURES[name]
+    stored = cells.stored_cells(tables)
+    expected = rows(measure(lake, lake.clean_orders, None))
+    for level in levels:
+        assert rows(measure(lake, stored[level], stored["customer_days"])) == expected
+
+
+@pytest.mark.parametrize("name", ["daily", "new", "sales", "repeat", "growth", "next", "campaigns"])
+def test_awkward_orders(spark, lake, tmp_path, name):
+    orders = awkward(spark)
+    own = Tables(spark, str(tmp_path))
+    own.overwrite("silver_orders", silver.with_month(orders))
+    levels, measure = MEASURES[name]
+    stored = cells.stored_cells(own)
+    expected = rows(measure(lake, orders, None))
+    for level in levels:
+        assert rows(measure(lake, stored[level], stored["customer_days"])) == expected
+
+
+def test_daily_revenue_of_awkward_orders_by_hand(spark):
+    found = {r["revenue_date"]: r for r in gold.daily_totals(awkward(spark)).collect()}
+    for day in {o["order_date"] for o in awkward(spark).collect()}:
+        own = [o for o in awkward(spark).collect() if o["order_date"] == day]
+        done = [o for o in own if o["status"] == "completed"]
+        row = found[day]
+        assert row["total_orders"] == len(own) and row["completed_orders"] == len(done)
+        assert row["total_items_sold"] == sum(o["quantity"] for o in own)
+        assert row["unique_customers"] == len({o["customer_id"] for o in own} - {None})
+        assert row["total_revenue"] == sum(o["final_amount"] or 0 for o in done)
+        assert row["orders_with_promo"] == sum(o["promo_code"] is not None for o in own)
+
+
+def test_marts_do_not_scan_orders(spark, lake):
+    """Building the marts reads the orders once, to roll them up, and not at all when the roll-ups are stored."""
+    own = _stored(lake, "scans")
+    for expected in (1, 0):
+        before = set(own.versions("order_cells"))
+        marts = full_marts(own, AS_OF)
+        assert len(set(own.versions("order_cells")) - before) == expected
+        for mart in marts.values():
+            plan = mart._jdf.queryExecution().optimizedPlan().toString() + mart._jdf.queryExecution().executedPlan().toString()
+            assert "silver_orders" not in plan
+
+
+def test_a_run_rolls_up_the_months_it_changed(spark, lake, tmp_path):
+    own = Tables(spark, str(tmp_path))
+    merge_orders(own, lake.clean_orders)
+    before = {c: rows(t) for c, t in cells.stored_cells(own).items()}
+    victim = own.read("silver_orders").filter("status = 'pending'").orderBy("order_id").first()
+    paid = own.read("silver_orders").drop("order_month").filter(F.col("order_id") == victim["order_id"])
+    merge_orders(own, paid.withColumn("status", F.lit("completed")))
+    for table, was in before.items():
+        folders = [f.name for f in (tmp_path / "lattice" / table).glob("version=00000002/order_month=*")]
+        assert folders == [f"order_month={victim['order_month']}"]
+        assert len(set(rows(own.read(table))) - set(was)) == 1
+    own.overwrite("silver_orders", own.read("silver_orders"))
+    assert rows(own.read("order_cells")) == rows(
+        cells.rolled_up(cells.as_cells(own.read("silver_orders")), cells.LEVELS["order_cells"]).select(*own.read("order_cells").columns)
+    )

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm.text import mix, prepare, shingle_hashes, slices, tidied, word_hashes
+from martlet.llm.text import mix, prepare, shingle_hashes, slices, tidied, whole_row, word_hashes
 from martlet.session import scratch_path
 
 SHINGLE = 5
@@ -251,9 +251,13 @@ def drop_contained(
         return rows.mapInArrow(tidied(keep), rows.schema)
 
     blocks = _item_blocks(items, item_id_col, item_text_col, shingles_per_block)
-    if len(blocks) <= 1:
-        return holding(blocks[0], docs, text_col, False) if blocks else docs
-    texts, digest = docs.select(F.col(text_col).alias("text")), F.md5("text").alias("_digest")
-    bad = [_stored(holding(block, texts, "text", True).select(digest).distinct(), "contaminated") for block in blocks]
+    if not blocks:
+        return docs
+    if len(blocks) == 1:
+        rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
+        return holding(blocks[0], rows, "text", False).select("row.*")
+    texts = docs.select(F.col(text_col).alias("text"))
+    bad = [_stored(holding(block, texts, "text", True).select(F.md5("text").alias("bad")).distinct(), "contaminated") for block in blocks]
     bad = reduce(DataFrame.unionByName, bad).distinct()
-    return docs.join(bad, F.md5(text_col) == F.col("_digest"), "left_anti")
+    rows = docs.select(whole_row(docs).alias("row"), F.md5(text_col).alias("digest"))
+    return rows.join(bad, F.col("digest") == F.col("bad"), "left_anti").select("row.*")

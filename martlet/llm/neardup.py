@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.components import connected_components
-from martlet.llm.text import mix, prepare, shingle_sets, tidied
+from martlet.llm.text import mix, prepare, shingle_sets, tidied, whole_row
 from martlet.session import scratch_path
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 4
@@ -314,23 +314,23 @@ def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     """``docs`` with one document of each component, the one with the smallest id; columns as they are.
 
     Rows that share an id are one document, so of repeated rows one stays, and of different texts under
-    the smallest id of a component the one with the smallest hash. Rows without an id are searched under a number from their
+    the smallest id of a component the one with the smallest hash; of equal texts, the hash of all columns decides. Rows without an id are searched under a number from their
     text, 2 ** 62 or more, so that rows with a smaller id stay rather than they; equal ones are repeated rows. They keep their NULL.
     Those without an id and without words are copies of nothing and all stay.
     """
-    text = F.col(text_col)
+    text = F.col("text")
     surrogate = F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
-    numbered = F.coalesce(F.col(id_col).cast("long"), F.when(text.rlike(r"[^\x20\x09-\x0D]"), surrogate))
-    named = docs.withColumn("_node", numbered)
-    found = near_duplicates(named, size, percent, "_node", text_col)
-    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = named.join(kept, F.col("_node") == F.col("_kept"), "left_semi")
-    repeated = named.filter("_node is not null").groupBy(F.col("_node").alias("_id")).agg(
-        F.count("*").alias("_n"), F.min(F.xxhash64(text)).alias("_first")
-    ).filter("_n > 1")
-    repeated = _stored(repeated, "repeated-ids")
+    rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
+    numbered = F.coalesce("id", F.when(text.rlike(r"[^\x20\x09-\x0D]"), surrogate))
+    rows = rows.select("row", "text", numbered.alias("node"))
+    found = near_duplicates(rows, size, percent, "node", "text")
+    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_node")).distinct()
+    stay = rows.join(kept, F.col("node") == F.col("kept_node"), "left_semi")
+    repeated = rows.filter("node is not null").groupBy(F.col("node").alias("id")).agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = _stored(repeated.select("id"), "repeated-ids")
     if repeated.limit(1).count():
-        again = rows.join(repeated, F.col("_node") == F.col("_id"), "left")
-        first = again.filter(F.col("_first").isNull() | (F.xxhash64(text) == F.col("_first")))
-        rows = first.select(*named.columns).dropDuplicates(["_node"])
-    return rows.unionByName(named.filter("_node is null")).select(*docs.columns)
+        again = stay.join(repeated, F.col("node") == F.col("id"), "left_semi")
+        # Repeated rows may differ in other columns: all columns decide, so that a lost task chooses the same row again.
+        first = again.groupBy("node").agg(F.min_by("row", F.struct(F.xxhash64(text), F.sha2(F.to_json("row"), 256))).alias("row"))
+        stay = stay.join(repeated, F.col("node") == F.col("id"), "left_anti").select("row").unionByName(first.select("row"))
+    return stay.select("row").unionByName(rows.filter("node is null").select("row")).select("row.*")

@@ -172,7 +172,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` (1 from a score of ``CUT``) of every row."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    training: Column = id_remainder("_id", 5) != 0
+    training: Column = id_remainder("id", 5) != 0
     texts, classes, _ = labelled_texts(rows, labels, "quality", training, PER_CLASS)
     model = train(texts, classes)
 

@@ -16,7 +16,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that are hashed at once; a longer text is hashed on its own.
 SLICE_BYTES = 1 << 19
@@ -44,6 +45,12 @@ def _ship(application_id: str, context) -> None:
     context.addPyFile(str(archive))
 
 
+def whole_row(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """All columns (or those named) as one struct, so that no column added beside it can clash with them; ``row.*`` unpacks it."""
+    names = df.columns if columns is None else columns
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in names])
+
+
 def prepare(spark: SparkSession, rows: int = 1000, megabytes: int = 4) -> None:
     """Ready a session for Python workers: they get the package, and small batches, as texts may be long."""
     _ship(spark.sparkContext.applicationId, spark.sparkContext)

@@ -2,8 +2,8 @@
 
 A word is a run of letters and digits. Its embedding is the sum of a row for its hash and a row for the hash of its
 first bytes. Filters of several widths run over the words, each filter's largest value in the text is kept, and a
-linear layer makes one logit of them. Embeddings start from the log odds of a row among the labelled texts and are
-trained with all other weights by Adam; a pooled value passes its gradient to the one window it came from.
+linear layer makes one logit of them. All weights start at random and are trained by Adam; a pooled value passes its
+gradient to the one window it came from. Words that next to no training text has are zero, so that they are no evidence.
 
 Thresholds are calibrated by language on labelled texts that training has not seen: the language is the one whose
 common words are most frequent in the text (no column tells it), and the logit is shifted so that the calibrated
@@ -28,14 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.labelled import id_remainder, labelled_texts
-from martlet.llm.text import FOLDED, mix, prepare, slices, span_hashes, tidied, word_spans
+from martlet.llm.text import FOLDED, mix, prepare, slices, span_hashes, tidied, whole_row, word_spans
 
 #: Bound on labelled rows of each class that a model is fitted on.
 PER_CLASS = 4000
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 16, 16, (1, 2, 3), 12
 PREFIX_BYTES = 5
+CLEAN_DEVIATIONS = 1.5
 CUT = 0.7
-EPOCHS, BATCH, RATE = 4, 32, 0.005
+EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 150, 32, 0.005
+#: Deviation of the random weights, and training texts below which a row starts from zero.
+SCALE, LEAST_TEXTS = 0.05, 2
 
 #: Common words by which a text's language is told.
 COMMON_WORDS = {
@@ -158,65 +161,68 @@ class _Adam:
             w -= rate * m / (np.sqrt(v) + 1e-7)
 
 
-def _start(examples: list, classes: np.ndarray, random: np.random.RandomState) -> ToxicityModel:
-    """Random weights, but for one dimension of the embedding: the log odds of a row's texts."""
-    seen = np.zeros((2, BUCKETS + 1))
-    for example, label in zip(examples, classes):
+def _start(examples: list, random: np.random.RandomState) -> ToxicityModel:
+    """Random weights; rows of words that fewer than ``LEAST_TEXTS`` texts have are zero, as is that of an empty word."""
+    texts = np.zeros(BUCKETS + 1, np.int64)
+    for example in examples:
         x = encode(*example)
         for rows in (x.word, x.prefix):
-            seen[label, np.unique(rows)] += 1
-    share = (seen + 0.5) / (np.bincount(classes, minlength=2)[:, None] + 1)
-    embedding = random.normal(0, 0.05, (BUCKETS + 1, DIM)).astype(np.float32)
-    # A row seen in few texts tells little, whatever its odds.
-    embedding[:, 0] = np.log(share[1] / share[0]) * np.minimum(1, seen.sum(axis=0) / 8)
+            texts[np.unique(rows)] += 1
+    embedding = random.normal(0, SCALE, (BUCKETS + 1, DIM)).astype(np.float32)
+    embedding[texts < LEAST_TEXTS] = 0
     embedding[BUCKETS] = 0
-    filters = [random.normal(0, 0.05, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
-    for weights in filters:
-        weights[:, 0, : FILTERS // 2] += 0.3
-    out = random.normal(0, 0.1, len(WIDTHS) * FILTERS).astype(np.float32)
+    filters = [random.normal(0, SCALE, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
+    out = random.normal(0, 2 * SCALE, len(WIDTHS) * FILTERS).astype(np.float32)
     return ToxicityModel(embedding, filters, np.zeros(len(out), np.float32), out)
 
 
+def _step(model: ToxicityModel, adam: _Adam, out_bias: np.ndarray, x: Encoded, y: np.ndarray, weight: np.ndarray) -> None:
+    """One update by the gradient of the weighted log loss of a batch."""
+    vectors, maps = model._windows(x)
+    best = []
+    for one in maps:
+        spans = zip(x.starts, np.minimum(x.starts + np.maximum(x.counts, 1), len(one)))
+        best.append(np.stack([a + one[a:b].argmax(axis=0) for a, b in spans]))
+    pooled = np.concatenate([np.take_along_axis(one, b, axis=0) for one, b in zip(maps, best)], axis=1)
+    active = pooled + model.bias > 0
+    hidden = np.where(active, pooled + model.bias, 0)
+    miss = 1 / (1 + np.exp(-np.clip(hidden @ model.out + out_bias[0], -30, 30))) - y
+    miss = (miss * weight[y] / len(y)).astype(np.float32)
+    down = (miss[:, None] * model.out) * active
+    vector_down, filter_down = np.zeros_like(vectors), []
+    for k, (width, weights) in enumerate(zip(WIDTHS, model.filters)):
+        own, part = best[k], down[:, k * FILTERS : (k + 1) * FILTERS]
+        found = np.zeros_like(weights)
+        for j in range(width):
+            for f in range(FILTERS):
+                found[j, :, f] = part[:, f] @ vectors[own[:, f] + j]
+                np.add.at(vector_down, own[:, f] + j, part[:, f, None] * weights[j, :, f])
+        filter_down.append(found)
+    table_down = np.zeros_like(model.embedding)
+    touched = np.flatnonzero(vector_down.any(axis=1))
+    np.add.at(table_down, x.word[touched], vector_down[touched])
+    np.add.at(table_down, x.prefix[touched], vector_down[touched])
+    table_down[BUCKETS] = 0
+    adam.update([table_down, *filter_down, down.sum(axis=0), hidden.T @ miss, miss.sum(keepdims=True)])
+
+
 def _fit(model: ToxicityModel, examples: list, classes: np.ndarray, random: np.random.RandomState) -> None:
+    """``EPOCHS`` over the texts, or as many as make ``LEAST_STEPS`` updates."""
     out_bias = np.zeros(1, np.float32)
     adam = _Adam(model.embedding, *model.filters, model.bias, model.out, out_bias)
     weight = len(classes) / (2 * np.maximum(1, np.bincount(classes, minlength=2)))
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(examples)))):
         order = random.permutation(len(examples))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
-            x, y = _joined([examples[i] for i in chosen]), classes[chosen]
-            vectors, maps = model._windows(x)
-            best = []
-            for one in maps:
-                spans = zip(x.starts, np.minimum(x.starts + np.maximum(x.counts, 1), len(one)))
-                best.append(np.stack([a + one[a:b].argmax(axis=0) for a, b in spans]))
-            pooled = np.concatenate([np.take_along_axis(one, b, axis=0) for one, b in zip(maps, best)], axis=1)
-            active = pooled + model.bias > 0
-            hidden = np.where(active, pooled + model.bias, 0)
-            miss = 1 / (1 + np.exp(-np.clip(hidden @ model.out + out_bias[0], -30, 30))) - y
-            miss = (miss * weight[y] / len(y)).astype(np.float32)
-            down = (miss[:, None] * model.out) * active
-            vector_down, filter_down = np.zeros_like(vectors), []
-            for k, (width, weights) in enumerate(zip(WIDTHS, model.filters)):
-                own, part = best[k], down[:, k * FILTERS : (k + 1) * FILTERS]
-                found = np.zeros_like(weights)
-                for j in range(width):
-                    for f in range(FILTERS):
-                        found[j, :, f] = part[:, f] @ vectors[own[:, f] + j]
-                        np.add.at(vector_down, own[:, f] + j, part[:, f, None] * weights[j, :, f])
-                filter_down.append(found)
-            table_down = np.zeros_like(model.embedding)
-            touched = np.flatnonzero(vector_down.any(axis=1))
-            np.add.at(table_down, x.word[touched], vector_down[touched])
-            np.add.at(table_down, x.prefix[touched], vector_down[touched])
-            table_down[BUCKETS] = 0
-            adam.update([table_down, *filter_down, down.sum(axis=0), hidden.T @ miss, miss.sum(keepdims=True)])
+            _step(model, adam, out_bias, _joined([examples[i] for i in chosen]), classes[chosen], weight)
     model.out_bias = float(out_bias[0])
 
 
 def _threshold(logits: np.ndarray, classes: np.ndarray) -> float:
-    """The middle of the best cut, where rejecting a share of the clean texts weighs twice as much as missing one of the toxic."""
+    """The middle of the best cut, where rejecting a share of the clean texts weighs twice as much as missing one of the toxic;
+    not below ``CLEAN_DEVIATIONS`` over the mean of the clean texts, as a cut among few texts is a matter of chance."""
+    clean = logits[classes == 0]
     order = np.argsort(logits, kind="stable")
     logits, classes = logits[order], classes[order]
     weight = np.where(classes == 1, 1 / max(1, classes.sum()), 2 / max(1, (1 - classes).sum()))
@@ -225,7 +231,7 @@ def _threshold(logits: np.ndarray, classes: np.ndarray) -> float:
     cut = int(best[len(best) // 2])
     below = logits[cut - 1] if cut else logits[0] - 1
     above = logits[cut] if cut < len(logits) else logits[-1] + 1
-    return float((below + above) / 2)
+    return max(float((below + above) / 2), float(clean.mean() + CLEAN_DEVIATIONS * clean.std()))
 
 
 def train(texts: pa.Array, classes: list[int], seed: int = 3) -> ToxicityModel:
@@ -242,7 +248,7 @@ def train(texts: pa.Array, classes: list[int], seed: int = 3) -> ToxicityModel:
         none = np.zeros((1, 1), np.float32)
         return ToxicityModel(none, [], none[0], none[0], fitted=False)
     own = [e for e, f in zip(examples, fit) if f]
-    model = _start(own, labels[fit], random)
+    model = _start(own, random)
     _fit(model, own, labels[fit], random)
     held = [e for e, c in zip(examples, calibrate) if c] or own
     truth = labels[calibrate] if calibrate.any() else labels[fit]
@@ -274,7 +280,7 @@ def _scores(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
 
 def training_rows() -> Column:
     """Labelled rows that training may see."""
-    return id_remainder("_id", 3) != 1
+    return id_remainder("id", 3) != 1
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -312,4 +318,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(_scores(model, batch.column("text")) < CUT))
 
-    return docs.mapInArrow(tidied(keep), docs.schema)
+    rows = docs.select(whole_row(docs).alias("row"), "text")
+    return rows.mapInArrow(tidied(keep), rows.schema).select("row.*")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm.text import mix, prepare, shingle_hashes, slices, tidied, whole_row, word_hashes
+from martlet.llm.text import by_position, mix, prepare, shingle_hashes, slices, tidied, word_hashes
 from martlet.session import scratch_path
 
 SHINGLE = 5
@@ -253,11 +253,10 @@ def drop_contained(
     blocks = _item_blocks(items, item_id_col, item_text_col, shingles_per_block)
     if not blocks:
         return docs
+    own = f"c{docs.columns.index(text_col)}"
     if len(blocks) == 1:
-        rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
-        return holding(blocks[0], rows, "text", False).select("row.*")
-    texts = docs.select(F.col(text_col).alias("text"))
+        return holding(blocks[0], by_position(docs), own, False).toDF(*docs.columns)
+    texts = by_position(docs).select(F.col(own).alias("text"))
     bad = [_stored(holding(block, texts, "text", True).select(F.md5("text").alias("bad")).distinct(), "contaminated") for block in blocks]
     bad = reduce(DataFrame.unionByName, bad).distinct()
-    rows = docs.select(whole_row(docs).alias("row"), F.md5(text_col).alias("digest"))
-    return rows.join(bad, F.col("digest") == F.col("bad"), "left_anti").select("row.*")
+    return by_position(docs).join(bad, F.md5(own) == F.col("bad"), "left_anti").toDF(*docs.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.text import whole_row
+from martlet.llm.text import by_position
 from martlet.session import scratch_path
 
 SEED = "mix-1"
@@ -80,14 +80,19 @@ def mix_sources(
     poisson_tables(docs, targets, source_col).write.parquet(path)
     tables = spark.read.parquet(path).select(F.col("source").alias("name"), "cdf")
 
-    key = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    kept = [c for c in docs.columns if c not in ("replica", "copies", "shuffle_key")]
-    rows = docs.select(whole_row(docs, kept).alias("row"), _source(source_col).alias("source"), key.alias("key"))
+    kept = [i for i, c in enumerate(docs.columns) if c not in ("replica", "copies", "shuffle_key")]
+    own = [f"c{i}" for i in kept]
+    place = {name: F.col(f"c{i}") for i, name in enumerate(docs.columns)}
+    text = F.coalesce(place[text_col], F.lit(""))
+    rows = by_position(docs).select(
+        *own,
+        F.coalesce(place[source_col].cast("string"), F.lit("")).alias("source"),
+        F.coalesce(place[id_col].cast("string"), F.md5(text.cast("binary"))).alias("key"),
+    )
     uniform = hashed(13, F.lit(seed), F.col("key")) / F.lit(float(1 << 52))
     drawn = rows.join(tables, F.col("source") == F.col("name")).withColumn("uniform", uniform)
     drawn = drawn.withColumn("copies", F.expr("size(filter(cdf, c -> c <= uniform))")).filter("copies > 0")
     copied = drawn.withColumn("replica", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     copied = copied.withColumn("shuffle_key", hashed(15, F.lit(seed), F.col("key"), F.col("replica").cast("string")))
-    # The columns are unpacked last: a name such as ``key`` may be one of theirs.
-    dealt = copied.select("row", "replica", "copies", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
-    return dealt.select("row.*", "replica", "copies", "shuffle_key")
+    dealt = copied.select(*own, "replica", "copies", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return dealt.toDF(*[docs.columns[i] for i in kept], "replica", "copies", "shuffle_key")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.components import connected_components
-from martlet.llm.text import mix, prepare, shingle_sets, tidied, whole_row
+from martlet.llm.text import by_position, mix, prepare, shingle_sets, tidied
 from martlet.session import scratch_path
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 4
@@ -318,19 +318,19 @@ def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     text, 2 ** 62 or more, so that rows with a smaller id stay rather than they; equal ones are repeated rows. They keep their NULL.
     Those without an id and without words are copies of nothing and all stay.
     """
-    text = F.col("text")
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    text, key = (F.col(own[docs.columns.index(c)]) for c in (text_col, id_col))
     surrogate = F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
-    rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
-    numbered = F.coalesce("id", F.when(text.rlike(r"[^\x20\x09-\x0D]"), surrogate))
-    rows = rows.select("row", "text", numbered.alias("node"))
-    found = near_duplicates(rows, size, percent, "node", "text")
+    numbered = F.coalesce(key.cast("long"), F.when(text.rlike(r"[^\x20\x09-\x0D]"), surrogate))
+    rows = by_position(docs).withColumn("node", numbered)
+    found = near_duplicates(rows.select("node", text.alias("text")), size, percent, "node", "text")
     kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_node")).distinct()
     stay = rows.join(kept, F.col("node") == F.col("kept_node"), "left_semi")
     repeated = rows.filter("node is not null").groupBy(F.col("node").alias("id")).agg(F.count("*").alias("n")).filter("n > 1")
     repeated = _stored(repeated.select("id"), "repeated-ids")
     if repeated.limit(1).count():
-        again = stay.join(repeated, F.col("node") == F.col("id"), "left_semi")
+        again = stay.join(repeated, F.col("node") == F.col("id"), "left_semi").select("node", text.alias("text"), F.struct(*own).alias("row"))
         # Repeated rows may differ in other columns: all columns decide, so that a lost task chooses the same row again.
-        first = again.groupBy("node").agg(F.min_by("row", F.struct(F.xxhash64(text), F.sha2(F.to_json("row"), 256))).alias("row"))
-        stay = stay.join(repeated, F.col("node") == F.col("id"), "left_anti").select("row").unionByName(first.select("row"))
-    return stay.select("row").unionByName(rows.filter("node is null").select("row")).select("row.*")
+        first = again.groupBy("node").agg(F.min_by("row", F.struct(F.xxhash64("text"), F.sha2(F.to_json("row"), 256))).alias("row"))
+        stay = stay.join(repeated, F.col("node") == F.col("id"), "left_anti").select(*own).unionByName(first.select("row.*"))
+    return stay.select(*own).unionByName(rows.filter("node is null").select(*own)).toDF(*docs.columns)

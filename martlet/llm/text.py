@@ -16,8 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are hashed at once; a longer text is hashed on its own.
 SLICE_BYTES = 1 << 19
@@ -45,10 +44,9 @@ def _ship(application_id: str, context) -> None:
     context.addPyFile(str(archive))
 
 
-def whole_row(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """All columns (or those named) as one struct, so that no column added beside it can clash with them; ``row.*`` unpacks it."""
-    names = df.columns if columns is None else columns
-    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in names])
+def by_position(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..., so that no column added beside them can clash; ``toDF(*names)`` names them again."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def prepare(spark: SparkSession, rows: int = 1000, megabytes: int = 4) -> None:

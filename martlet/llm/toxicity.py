@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.llm.labelled import id_remainder, labelled_texts
-from martlet.llm.text import FOLDED, mix, prepare, slices, span_hashes, tidied, whole_row, word_spans
+from martlet.llm.text import FOLDED, by_position, mix, prepare, slices, span_hashes, tidied, word_spans
 
 #: Bound on labelled rows of each class that a model is fitted on.
 PER_CLASS = 4000
@@ -316,7 +316,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_scores(model, batch.column("text")) < CUT))
+            yield batch.filter(pa.array(_scores(model, batch.column(own)) < CUT))
 
-    rows = docs.select(whole_row(docs).alias("row"), "text")
-    return rows.mapInArrow(tidied(keep), rows.schema).select("row.*")
+    own, rows = f"c{docs.columns.index('text')}", by_position(docs)
+    return rows.mapInArrow(tidied(keep), rows.schema).toDF(*docs.columns)

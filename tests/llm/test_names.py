@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martlet.llm import contamination, mixing, neardup
 
 CLASHING = (
+    "c0 c1 c9 "
     "_source _key _cdf _node _kept _id _n _first _digest _uniform row key node id name cdf uniform copies_ digest bad kept_node component "
     "block shingles signature sketch region n shard place t index"
 ).split()

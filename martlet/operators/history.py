@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import OPEN_END, day
 from martlet.functions.labels import INITIAL_RECORD
+from martlet.session import pin
 
 PERIOD = ["valid_from", "valid_to", "is_current", "change_reason"]
 
@@ -104,11 +105,46 @@ def scd2_changes(history: DataFrame, snapshot: DataFrame, key: str, tracked: lis
 
 
 def scd2_as_of(history: DataFrame, fact: DataFrame, key: str, at: str, how: str = "left") -> DataFrame:
-    """Each fact row with the history row valid on its ``at`` date.
+    """Each fact row with the history row valid on its ``at`` date, by sorting both together.
 
-    An equi-join on the key; the period test only filters among the few versions
-    of that key. Hot keys sit on the fact side, which AQE splits.
+    Versions and facts are one table in ranges of (key, time), versions first; a fact takes the last version before it
+    in its range, or, where its range has none, the last one of the ranges before, of which there is one row for each range and key.
+    So a row is made for each fact and version and none for their pairs, however many versions a key has, and a
+    frequent key takes several ranges. Empty periods (changed twice on a day) are valid on no day; of periods that overlap
+    the one that began last counts. Facts without a key or date have no version.
     """
-    h = history.withColumnRenamed(key, "_key")
-    on = (F.col(key) == F.col("_key")) & F.col(at).between(F.col("valid_from"), F.col("valid_to"))
-    return fact.join(h, on, how).drop("_key")
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    carried = [c for c in history.columns if c != key]
+    versions = history.filter(F.col(key).isNotNull() & (F.col("valid_from") <= F.col("valid_to"))).select(
+        F.col(key).alias("_key"),
+        F.col("valid_from").alias("_at"),
+        F.struct(*carried).alias("_version"),
+        F.lit(None).cast(fact.schema).alias("_fact"),
+    )
+    facts = fact.select(
+        F.col(key).alias("_key"),
+        F.col(at).cast("date").alias("_at"),
+        F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"),
+        F.struct(*fact.columns).alias("_fact"),
+    )
+    dated = F.col("_key").isNotNull() & F.col("_at").isNotNull()
+    events = versions.unionByName(facts.filter(dated)).withColumn("_after", F.col("_fact").isNotNull())
+    ranged = pin(
+        events.repartitionByRange("_key", "_at", "_after", F.xxhash64("_fact")).withColumn("_range", F.spark_partition_id())
+    )
+    before = Window.partitionBy("_range", "_key").orderBy("_at", "_after").rowsBetween(Window.unboundedPreceding, 0)
+    own = ranged.withColumn("_own", F.last("_version", ignorenulls=True).over(before)).filter("_after")
+    last = ranged.groupBy("_range", "_key").agg(F.max_by("_version", F.when(~F.col("_after"), F.col("_at"))).alias("_last"))
+    earlier = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = last.select(
+        F.col("_range").alias("_in"), F.col("_key").alias("_of"), F.last("_last", ignorenulls=True).over(earlier).alias("_handed")
+    ).filter("_handed is not null")
+    found = own.join(handed, (F.col("_range") == F.col("_in")) & (F.col("_key") == F.col("_of")), "left")
+    version = F.coalesce("_own", "_handed")
+    valid = F.when(F.col("_at") <= version["valid_to"], version)
+    matched = found.select("_fact", valid.alias("_version")).select("_fact.*", *[F.col("_version")[c].alias(c) for c in carried])
+    if how == "inner":
+        return matched.filter(F.col("valid_from").isNotNull())
+    kinds = {f.name: f.dataType for f in history.schema.fields}
+    return matched.unionByName(fact.filter(F.col(key).isNull() | F.col(at).isNull()).withColumns({c: F.lit(None).cast(kinds[c]) for c in carried}))

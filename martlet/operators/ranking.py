@@ -9,11 +9,14 @@ rows) sorts in a single task. Here, whatever the size:
    broadcast of one row per range, so its size is the shuffle partition count),
 3. the rank of a value is the smallest place that holds it less the smallest place of its
    group: two aggregations with map-side minima,
-4. the rows meet these minima in a join whose row side can be split where a value is frequent.
+4. the rows, pinned before all this, so that they are computed once, meet these minima in a join whose row side can be
+   split where a value is frequent.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,27 +51,53 @@ def _placed(pinned: DataFrame) -> DataFrame:
     return joined.withColumn("_place", F.col("_before") + within).drop("_range", "_before", "_id")
 
 
-def rank_within(df: DataFrame, by: list[str], order: SortKey, key: str, out: str) -> DataFrame:
-    """SQL ``RANK()`` per ``by`` group (whole table if empty): ties equal, gaps kept."""
+def placed_rows(df: DataFrame, sort: list[Column]) -> DataFrame:
+    """``df`` with ``_place``, the number of rows before a row under ``sort``, from 0 without gaps; the order is pinned."""
+    return _placed(_sorted_ranges(df, sort))
+
+
+class Rank(NamedTuple):
+    """SQL ``RANK()`` of ``order`` per ``by`` group (whole table if empty), as column ``out``: ties equal, gaps kept."""
+
+    by: list[str]
+    order: SortKey
+    out: str
+
+
+def _ranks(pinned: DataFrame, rank: Rank, key: str) -> tuple[DataFrame, list[Column]]:
+    """One row for each value of a group with its rank, and how rows of ``pinned`` find it."""
+    by, order = rank.by, rank.order
     sort = [*[F.col(b).asc_nulls_last() for b in by], order.column(), F.col(key).asc_nulls_last()]
     names = [*by, order.name]
-    placed = _placed(_sorted_ranges(df.select(*dict.fromkeys([*names, key])), sort))
-    values = placed.groupBy(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(names)]).agg(F.min("_place").alias("_first"))
+    v, g = ([f"_{rank.out}_{kind}{i}" for i in range(len(names))] for kind in ("v", "g"))
+    placed = _placed(_sorted_ranges(pinned.select(*dict.fromkeys([*names, key])), sort))
+    values = placed.groupBy(*[F.col(c).alias(n) for c, n in zip(names, v)]).agg(F.min("_place").alias("_first"))
     if by:
-        groups = values.groupBy(*[F.col(f"_v{i}").alias(f"_g{i}") for i in range(len(by))]).agg(F.min("_first").alias("_start"))
-        same_group = [F.col(f"_v{i}").eqNullSafe(F.col(f"_g{i}")) for i in range(len(by))]
-        values = values.join(groups, same_group)
+        groups = values.groupBy(*[F.col(x).alias(y) for x, y in zip(v[:-1], g)]).agg(F.min("_first").alias("_start"))
+        values = values.join(groups, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(v[:-1], g)])
     else:
         values = values.withColumn("_start", F.lit(0))
-    ranks = values.select(
-        *[f"_v{i}" for i in range(len(names))], (F.col("_first") - F.col("_start") + 1).cast("int").alias(out)
-    )
-    same_value = [F.col(c).eqNullSafe(F.col(f"_v{i}")) for i, c in enumerate(names)]
-    return df.join(ranks, same_value, "left").select(*df.columns, out)
+    ranks = values.select(*v, (F.col("_first") - F.col("_start") + 1).cast("int").alias(rank.out))
+    return ranks, [F.col(c).eqNullSafe(F.col(x)) for c, x in zip(names, v)]
+
+
+def with_ranks(df: DataFrame, ranks: list[Rank], key: str) -> DataFrame:
+    """``df`` with a column for each of ``ranks``. ``df`` is computed once, whatever their number, and pinned."""
+    pinned = pin(df)
+    joined, names = pinned, list(df.columns)
+    for rank in ranks:
+        values, same = _ranks(pinned, rank, key)
+        names.append(rank.out)
+        joined = joined.join(values, same, "left").select(*names)
+    return joined
+
+
+def rank_within(df: DataFrame, by: list[str], order: SortKey, key: str, out: str) -> DataFrame:
+    return with_ranks(df, [Rank(by, order, out)], key)
 
 
 def global_rank(df: DataFrame, order: SortKey, key: str, out: str) -> DataFrame:
-    return rank_within(df, [], order, key, out)
+    return with_ranks(df, [Rank([], order, out)], key)
 
 
 def global_ntile(df: DataFrame, k: int, order: SortKey, key: str, out: str) -> DataFrame:
@@ -76,8 +105,9 @@ def global_ntile(df: DataFrame, k: int, order: SortKey, key: str, out: str) -> D
 
     Sorts only (order column, key), looks up the last row of each tile - at most
     ``k - 1`` rows - and labels the full rows by comparing them with those, which needs
-    no exchange of the full rows at all.
+    no exchange of the full rows at all. Those are computed once and pinned.
     """
+    df = pin(df)
     return df.withColumn(out, tile_of(order, key, tile_ends(df, k, order, key)))
 
 

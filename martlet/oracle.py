@@ -132,8 +132,8 @@ FEEDS = {
         SELECT pk AS product_id,
                CASE WHEN pk % 97 = 13 OR (pk % 41 = 5 AND d = 0) THEN -1 WHEN pk % 50 = 0 THEN 0
                     ELSE (pk * 31 + d * 17) % 500 END AS stock_quantity,
-               CASE WHEN list_c > 10000 THEN pk % 21 + 10 ELSE pk % 51 + 30 END AS reorder_point,
-               CASE WHEN pk % 43 <> 11 THEN (list_c * (pk % 21 + 60) + 50) // 100 END AS cost_c,
+               56 - p_size AS reorder_point, ((56 - p_size) // 6 + 1) * 6 + length(p_type) AS reorder_quantity,
+               CASE WHEN pk % 43 <> 11 THEN list_c - list_c * (15 + 2 * length(p_type) + p_size // 5) // 100 END AS cost_c,
                'Depot ' || p_brand AS warehouse_location,
                CAST({AS_OF} - CAST(d AS INTEGER) AS DATE) AS inventory_date
         FROM part_c, (VALUES (0), (7), (30)) AS days(d)""",
@@ -409,9 +409,15 @@ STATEMENTS: dict[str, str] = {
         SELECT order_id, customer_id, {big("product_id")} AS product_id, {big("quantity")} AS quantity,
                {cents("final_c")} AS final_amount, {stamp("order_ts")} AS order_timestamp, status, promo_code
         FROM bronze_orders""",
+    "feed_rescued_lines": f"""
+        SELECT {big("product_id")} AS product_id, inventory_date, {big("stock_quantity")} AS stock_quantity,
+               CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+        FROM bronze_inventory WHERE product_id % 50 <> 7
+        UNION ALL SELECT NULL, NULL, NULL, product_id || ',' || stock_quantity, 'malformed_record'
+        FROM bronze_inventory WHERE product_id % 50 = 7""",
     "inventory_feed_csv": f"""
         SELECT {big("product_id")} AS product_id, {big("stock_quantity")} AS stock_quantity, warehouse_location,
-               {big("reorder_point")} AS reorder_point, {big("reorder_point * 2")} AS reorder_quantity,
+               {big("reorder_point")} AS reorder_point, {big("reorder_quantity")} AS reorder_quantity,
                {cents("cost_c")} AS cost_price, inventory_date FROM bronze_inventory""",
     "campaign_feed_orc": f"SELECT {CAMPAIGN_COLUMNS} FROM bronze_campaigns",
     "user_feed_json": f"""
@@ -568,6 +574,12 @@ STATEMENTS: dict[str, str] = {
                {pct("n_promo", "n")} AS promo_usage_rate FROM daily""",
     "unique_customers_per_day": f"""
         SELECT d AS revenue_date, {big("customers")} AS unique_customers, {big("n")} AS total_orders FROM daily""",
+    "unique_customers_by_period": f"""
+        SELECT period, CAST(period_start AS DATE) AS period_start, {big("count(DISTINCT customer_id)")} AS unique_customers FROM (
+          SELECT 'day' AS period, order_date AS period_start, customer_id FROM clean_orders
+          UNION ALL SELECT 'month', date_trunc('month', order_date), customer_id FROM clean_orders
+          UNION ALL SELECT 'quarter', date_trunc('quarter', order_date), customer_id FROM clean_orders)
+        GROUP BY period, period_start""",
     "product_performance": f"""
         SELECT {big("product_id")} AS product_id, 'last_30_days' AS analysis_period,
                CAST({AS_OF} - 30 AS DATE) AS period_start_date, {AS_OF} AS period_end_date, product_name, category,
@@ -705,7 +717,7 @@ STATEMENTS: dict[str, str] = {
         FROM clean_inventory i LEFT JOIN sales s ON s.product_id = i.product_id""",
     "reorder_advice": f"""
         SELECT {big("product_id")} AS product_id, stock_quantity <= reorder_point AS reorder_recommended,
-               {big("CASE WHEN stock_quantity <= reorder_point THEN reorder_point * 2 ELSE 0 END")}
+               {big("CASE WHEN stock_quantity <= reorder_point THEN reorder_quantity ELSE 0 END")}
                  AS recommended_reorder_quantity FROM latest_stock""",
     "stock_change": f"""
         SELECT {big("l.product_id")} AS product_id,

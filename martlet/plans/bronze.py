@@ -15,6 +15,15 @@ CUSTOMER_UPDATES = ["total_lifetime_spend", "loyalty_tier", "is_active"]
 CAMPAIGN_UPDATES = ["actual_spend", "ingestion_timestamp"]
 
 
+#: What a product version is known by.
+PRODUCT_VERSION = ["product_id", "ingestion_timestamp"]
+
+
+def product_order() -> list[Column]:
+    """Which record of a product version counts."""
+    return [F.col("price").asc_nulls_last()]
+
+
 def new_orders(target: DataFrame | None, batch: DataFrame, arrival: list[Column]) -> DataFrame:
     """Order rows to append; the first record of an order id wins, for ever."""
     return insert_ignore(target, batch, ["order_id"], arrival)
@@ -22,7 +31,7 @@ def new_orders(target: DataFrame | None, batch: DataFrame, arrival: list[Column]
 
 def new_product_versions(target: DataFrame | None, batch: DataFrame) -> DataFrame:
     """Product versions to append, one per product and ingestion time."""
-    return insert_ignore(target, batch, ["product_id", "ingestion_timestamp"], [F.col("price").asc_nulls_last()])
+    return insert_ignore(target, batch, PRODUCT_VERSION, product_order())
 
 
 def merge_customers(target: DataFrame, batch: DataFrame, arrival: list[str], touched_at) -> DataFrame:

@@ -15,7 +15,7 @@ from martlet.functions.dates import day, in_last_days, weekday_parts
 from martlet.functions.numeric import exact_avg, guarded, money, pct
 from martlet.functions.ordering import SortKey
 from martlet.operators.joins import interval_join, vs_previous_day
-from martlet.operators.ranking import global_rank, rank_within, tile_ends, tile_of
+from martlet.operators.ranking import Rank, global_rank, tile_ends, tile_of, with_ranks
 from martlet.plans.cells import as_cells, completed, total
 from martlet.session import pin
 
@@ -163,9 +163,8 @@ def product_performance(
     days: int = 30,
 ) -> DataFrame:
     by_revenue = SortKey("total_revenue", descending=True)
-    totals = pin(product_totals(products, orders, inventory, as_of, days))  # sorted twice and joined
-    ranked = global_rank(totals, by_revenue, "product_id", "overall_rank")
-    return rank_within(ranked, ["category"], by_revenue, "product_id", "category_rank")
+    ranks = [Rank([], by_revenue, "overall_rank"), Rank(["category"], by_revenue, "category_rank")]
+    return with_ranks(product_totals(products, orders, inventory, as_of, days), ranks, "product_id")
 
 
 # ---------------------------------------------------------------- customers
@@ -334,7 +333,7 @@ def campaign_totals(campaigns: DataFrame, orders: DataFrame) -> DataFrame:
 
 def campaign_roi(campaigns: DataFrame, orders: DataFrame, as_of: dt.date) -> DataFrame:
     """An unknown return rates lowest, yet ranks first: NULL sorts as the largest value."""
-    totals = pin(campaign_totals(campaigns, orders)).select(
+    totals = campaign_totals(campaigns, orders).select(
         "*",
         labels.performance_rating(F.col("roi")).alias("performance_rating"),
         labels.campaign_status(F.col("end_date"), day(as_of)).alias("campaign_status"),

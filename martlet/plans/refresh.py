@@ -19,6 +19,7 @@ from martlet.operators.history import scd2_apply, scd2_changes
 from martlet.plans import bronze, extended, gold, silver
 from martlet.plans.cells import stored_cells, update_cells
 from martlet.session import pin
+from martlet.sources.keyed import BUCKET, KeyedTable
 from martlet.sources.tables import Tables
 
 #: Order of arrival by feed: columns of the sort for orders, names of columns for merged feeds.
@@ -46,6 +47,42 @@ def tier_reason(old: str, new: str) -> Column:
     return labels.tier_change_reason(*[F.col(f"{s}.{c}") for c in columns for s in (old, new)])
 
 
+def _insert_ignore(
+    tables: Tables, table: str, key: list[str], feed: DataFrame, order: list[Column], run_id: str
+) -> int:
+    """Append the records of ``feed`` whose key no other load has, and note their keys; returns the rows.
+
+    The keys are kept in buckets beside the table, so a run reads those buckets that its own keys fall into, and no record. An index
+    that lacks a load, as after a run that died before it had noted its keys, is built anew from the table.
+    """
+    number = sum(load != run_id for load in tables.loads(table))
+    index = KeyedTable(tables.spark, f"{tables.root}/index/{table}", key)
+    if not index.covers(number):
+        index.rebuild(number, tables.read_appended(table, without_load=run_id).select(*key))
+    first = index.first_rows(feed, order).persist()
+    try:
+        rows = tables.append(table, index.unseen(number, first).drop(BUCKET), run_id)
+        index.store(number, tables.read_appended(table).filter(F.col("load_id") == run_id).select(*key))
+    finally:
+        first.unpersist()
+    return rows
+
+
+def _unread_loads(tables: Tables, bronze: str, clean: str, run_id: str) -> list[str]:
+    """Loads that no earlier run has cleaned: one counts as cleaned once its run has stored what it rejects of them."""
+    done = {r.removesuffix(f"-{clean}") for r in tables.loads("rejected_records") if r.endswith(f"-{clean}")}
+    return [load for load in tables.loads(bronze) if load not in done or load == run_id]
+
+
+def with_winners(tables: Tables, bronze: str, clean: str, state: str, run_id: str) -> DataFrame:
+    """The new loads of a bronze table and, of all earlier ones, their winners: all that the clean step has to see."""
+    columns = schemas.column_names(state)
+    held = tables.read(state, run_id)
+    loads = _unread_loads(tables, bronze, clean, run_id) if tables.exists(state, run_id) else tables.loads(bronze)
+    new = tables.read_appended(bronze).filter(F.col("load_id").isin(loads))
+    return held.select(*columns).unionByName(new.select(*columns))
+
+
 def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arrival: Arrival, at: dt.datetime) -> dict:
     """Products, orders and inventory are appended as one load per run; customers and campaigns merge.
 
@@ -53,9 +90,8 @@ def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arriva
     """
     feeds = {name: bronze.stamped(name, feed, run_id, at) for name, feed in feeds.items()}
     counts = {}
-    seen = tables.read_appended("bronze_products", without_load=run_id)
-    counts["bronze_products"] = tables.append(
-        "bronze_products", bronze.new_product_versions(seen, feeds["products"]), run_id
+    counts["bronze_products"] = _insert_ignore(
+        tables, "bronze_products", bronze.PRODUCT_VERSION, feeds["products"], bronze.product_order(), run_id
     )
     stored = tables.read("bronze_customers", run_id)
     customers = bronze.merge_customers(stored, feeds["customers"], arrival["customers"], at)
@@ -63,9 +99,7 @@ def load_bronze(tables: Tables, feeds: dict[str, DataFrame], run_id: str, arriva
     for needed, rows in {"products": tables.read_appended("bronze_products"), "customers": tables.read("bronze_customers")}.items():
         if rows.limit(1).count() == 0:
             raise ValueError(f"orders cannot be loaded without {needed}")
-    seen = tables.read_appended("bronze_orders", without_load=run_id)
-    unseen = bronze.new_orders(seen, feeds["orders"], arrival["orders"])
-    counts["bronze_orders"] = tables.append("bronze_orders", unseen, run_id)
+    counts["bronze_orders"] = _insert_ignore(tables, "bronze_orders", ["order_id"], feeds["orders"], arrival["orders"], run_id)
     counts["bronze_inventory"] = tables.append("bronze_inventory", feeds["inventory"], run_id, ("inventory_date",))
     stored = tables.read("bronze_campaigns", run_id)
     campaigns = bronze.merge_campaigns(stored, feeds["campaigns"], arrival["campaigns"])
@@ -105,8 +139,7 @@ def judged_orders(tables: Tables, customers: DataFrame, products: DataFrame, run
     Bronze orders never change, so a clean order stays clean and only these need a look. A load counts as judged
     once the clean step of its run has stored what it rejects. Pinned, as it is written three times.
     """
-    judged = {r.removesuffix("-silver_orders") for r in tables.loads("rejected_records") if r.endswith("-silver_orders")}
-    unseen = [load for load in tables.loads("bronze_orders") if load not in judged or load == run_id]
+    unseen = _unread_loads(tables, "bronze_orders", "silver_orders", run_id)
     columns = schemas.column_names("pending_orders")
     arrived = tables.read_appended("bronze_orders").filter(F.col("load_id").isin(unseen)).select(*columns)
     waiting = tables.read("pending_orders", run_id).join(arrived.select("order_id"), "order_id", "left_anti")
@@ -115,15 +148,18 @@ def judged_orders(tables: Tables, customers: DataFrame, products: DataFrame, run
 
 def build_silver(tables: Tables, as_of: dt.date, run_id: str, at: dt.datetime) -> dict:
     """Clean tables merge into what exists, except inventory, which is replaced."""
-    products = tables.read_appended("bronze_products")
     customers = tables.read("bronze_customers")
-    judged = judged_orders(tables, customers, products, run_id)
+    versions = with_winners(tables, "bronze_products", "silver_products", "product_winners", run_id)
+    snapshots = with_winners(tables, "bronze_inventory", "silver_inventory", "inventory_winners", run_id)
+    tables.overwrite("product_winners", silver.product_winners(versions), run_id)
+    tables.overwrite("inventory_winners", silver.latest_inventory(snapshots), run_id)
+    judged = judged_orders(tables, customers, tables.read("product_winners"), run_id)
     splits = {
-        "silver_products": silver.silver_products(products),
+        "silver_products": silver.silver_products(versions),
         "silver_customers": silver.silver_customers(customers, as_of, tables.read("silver_customers", run_id)),
         "silver_campaigns": silver.silver_campaigns(tables.read("bronze_campaigns"), as_of),
         "silver_orders": silver.split_orders(judged),
-        "silver_inventory": silver.silver_inventory(tables.read_appended("bronze_inventory")),
+        "silver_inventory": silver.silver_inventory(snapshots),
     }
     counts = {"pending_orders": tables.overwrite("pending_orders", silver.pending_orders(judged), run_id)}
     for table, (clean, rejected) in splits.items():
@@ -146,7 +182,7 @@ def full_marts(tables: Tables, as_of: dt.date) -> dict[str, DataFrame]:
     products, customers = tables.read("silver_products"), tables.read("silver_customers")
     campaigns, inventory = tables.read("silver_campaigns"), tables.read("silver_inventory")
     snapshots = tables.read_appended("bronze_inventory")
-    newest = silver.latest_inventory(snapshots)
+    newest = tables.read("inventory_winners") if tables.exists("inventory_winners") else silver.latest_inventory(snapshots)
     orders, visits, sales = (stored_cells(tables)[c] for c in ("order_cells", "customer_days", "product_days"))
 
     daily = gold.daily_revenue(visits).join(

@@ -70,6 +70,15 @@ def latest_products(bronze: DataFrame) -> DataFrame:
     return latest_per_key(bronze.filter("price > 0"), ["product_id"], [largest_first("ingestion_timestamp")])
 
 
+def product_winners(versions: DataFrame) -> DataFrame:
+    """One version per product: the newest with a valid price, or the newest of all if none has one.
+
+    What a run has to know of earlier loads: the winner among winners and new versions is that of all versions.
+    """
+    valid = F.coalesce(F.col("price") > 0, F.lit(False)).desc()
+    return latest_per_key(versions, ["product_id"], [valid, largest_first("ingestion_timestamp")])
+
+
 def silver_products(bronze: DataFrame) -> Split:
     priced, unpriced = gate(bronze, {"price_positive": F.col("price") > 0})
     latest = latest_per_key(priced, ["product_id"], [largest_first("ingestion_timestamp")])

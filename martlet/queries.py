@@ -17,7 +17,7 @@ from martlet.operators.joins import interval_join
 from martlet.operators.quality import failed_rules, gate, unique_on, with_known_flag
 from martlet.operators.quality import ri_coverage as coverage
 from martlet.operators.ranking import global_rank, rank_within
-from martlet.plans import bronze, extended, gold, silver
+from martlet.plans import bronze, extended, gold, silver, visitors
 from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, refresh, tier_reason
 from martlet.session import scratch_path, tune
 from martlet.sources import feeds, star
@@ -237,6 +237,23 @@ def inventory_feed_csv(x: Lake) -> DataFrame:
     )
 
 
+@query
+def feed_rescued_lines(x: Lake) -> DataFrame:
+    """An inventory feed in which some lines are cut off: the records that were read, and the lines that were rescued."""
+    names, path = feeds.feed_schema("inventory").fieldNames(), scratch_path(x.spark, "inventory-lines")
+    whole = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+    cut = F.concat_ws(",", "product_id", "stock_quantity")
+    x.inventory.select(F.when(F.col("product_id") % 50 == 7, cut).otherwise(whole).alias("value")).write.text(path)
+    records, rescued = feeds.split_feed(x.spark, "inventory", path, "csv", header="false")
+    rejects = feeds.rescued_rejects(rescued, "inventory")
+    kept = records.select("product_id", "inventory_date", "stock_quantity", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
+    lost = rejects.select(
+        *[F.lit(None).cast(t).alias(c) for c, t in (("product_id", "int"), ("inventory_date", "date"), ("stock_quantity", "int"))],
+        F.col("record_key").alias("line"), F.col("reasons")[0].alias("reason"),
+    )
+    return kept.unionByName(lost)
+
+
 @query
 def campaign_feed_orc(x: Lake) -> DataFrame:
     return _delivered(x, "campaigns", star.campaign_feed(x.spark, x.sf), "orc")
@@ -588,6 +605,16 @@ def unique_customers_per_day(x: Lake) -> DataFrame:
     return gold.daily_totals(x.clean_orders).select("revenue_date", "unique_customers", "total_orders")
 
 
+@query
+def unique_customers_by_period(x: Lake) -> DataFrame:
+    """Customers of every day, month and quarter, counted out of stored bitmaps of the days."""
+    root = scratch_path(x.spark, "visitors")
+    orders = x.clean_orders.select("order_date", "customer_id")
+    visitors.customer_numbers(orders).write.parquet(f"{root}/numbers")
+    visitors.day_bitmaps(orders, x.spark.read.parquet(f"{root}/numbers")).write.parquet(f"{root}/days")
+    return visitors.customers_by_period(x.spark.read.parquet(f"{root}/days"))
+
+
 @query
 def product_performance(x: Lake) -> DataFrame:
     return gold.product_performance(x.clean_products, x.clean_orders, x.clean_inventory, AS_OF)

@@ -130,6 +130,12 @@ TABLES: dict[str, Table] = {
         order_id string(50)!, customer_id string(50), product_id int, quantity int, unit_price decimal(10,2),
         total_amount decimal(10,2), discount_amount decimal(10,2), final_amount decimal(10,2),
         order_timestamp timestamp_ntz, status string(20), payment_method string(50), promo_code string(20)"""),
+    "product_winners": Table("state", ("product_id",), """
+        product_id int, title string(500), price decimal(10,2), description string, category string(100),
+        image_url string, rating_rate decimal(3,2), rating_count int, ingestion_timestamp timestamp_ntz"""),
+    "inventory_winners": Table("state", ("product_id",), """
+        inventory_id bigint, product_id int, stock_quantity int, warehouse_location string(100), reorder_point int,
+        reorder_quantity int, cost_price decimal(10,2), inventory_date date, ingestion_timestamp timestamp_ntz"""),
     "rejected_records": Table("quarantine", ("table_name", "record_key"), """
         table_name string!, record_key string, reasons array<string>"""),
     "product_price_history": Table("history", ("product_id", "valid_from"), """

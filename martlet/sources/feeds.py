@@ -39,6 +39,38 @@ def read_feed(
     return with_filename(df, filename_col) if filename_col else df
 
 
+def split_feed(
+    spark: SparkSession, name: str, path: str, fmt: str = "json", **options
+) -> tuple[DataFrame, DataFrame]:
+    """The records of a text feed (JSON lines or CSV), and the lines that are none.
+
+    A line that is cut off, has too few or too many fields, or a value that is not of its type would become a record with NULLs.
+    It is rescued instead: ``source_filename``, the ``line`` as received, and ``parsed``, what could be read of it, as JSON.
+    A feed without a sound record is an error, as in ``read_feed``.
+    """
+    declared = feed_schema(name)
+    defaults = {"header": "true"} if fmt == "csv" else {}
+    reader = spark.read.schema(declared.add("_rescued", "string")).format(fmt)
+    found = reader.options(**{**defaults, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_rescued"}).load(path)
+    fields = [f.name for f in feed_schema(name).fields]
+    # A reader that needs few fields parses only those and would not see what is wrong with the others, so all are asked for.
+    parsed = F.to_json(F.struct(*fields))
+    records = found.filter(F.col("_rescued").isNull() & parsed.isNotNull()).select(*fields)
+    if records.isEmpty():
+        raise ValueError(f"feed {name!r} at {path} has no records")
+    rescued = found.filter(F.col("_rescued").isNotNull() & parsed.isNotNull()).select(
+        F.col("_metadata.file_path").alias("source_filename"), F.col("_rescued").alias("line"), parsed.alias("parsed")
+    )
+    return records, rescued
+
+
+def rescued_rejects(rescued: DataFrame, name: str) -> DataFrame:
+    """Rescued lines as rows of ``rejected_records``: the line is the key."""
+    return rescued.select(
+        F.lit(f"bronze_{name}").alias("table_name"), F.col("line").alias("record_key"), F.array(F.lit("malformed_record")).alias("reasons")
+    )
+
+
 def with_filename(df: DataFrame, out: str = "source_filename") -> DataFrame:
     return df.withColumn(out, F.col("_metadata.file_path"))
 

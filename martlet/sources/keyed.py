@@ -137,21 +137,36 @@ class KeyedTable:
         self._merge(number)
         self._write(rows.withColumn(BUCKET, self.bucket()), self._path(number, number))
 
+    def first_rows(self, batch: DataFrame, order: list[Column] | None = None) -> DataFrame:
+        """The first row per key of ``batch`` (any, without ``order``) with its bucket."""
+        first = latest_per_key(batch, self.key, order) if order else batch.dropDuplicates(self.key)
+        return first.withColumn(BUCKET, self.bucket())
+
+    def unseen(self, number: int, first: DataFrame) -> DataFrame:
+        """Those of ``first_rows`` whose key no load before ``number`` has. Evaluates ``first`` twice."""
+        known = self.keys_near(first, number)
+        if known is None:
+            return first
+        named = known.select(*[F.col(c).alias(f"known_{c}") for c in (BUCKET, *self.key)])
+        same = [F.col(c).eqNullSafe(F.col(f"known_{c}")) for c in (BUCKET, *self.key)]
+        return first.join(named, same, "left_anti")
+
     def insert_ignore(self, number: int, batch: DataFrame, order: list[Column] | None = None) -> None:
         """Store the first row per key of ``batch`` (any, without ``order``) whose key no earlier load has."""
-        first = latest_per_key(batch, self.key, order) if order else batch.dropDuplicates(self.key)
-        first = first.withColumn(BUCKET, self.bucket()).persist()
+        first = self.first_rows(batch, order).persist()
         try:
-            known = self.keys_near(first, number)
-            if known is not None:
-                named = known.select(*[F.col(c).alias(f"known_{c}") for c in (BUCKET, *self.key)])
-                same = [F.col(c).eqNullSafe(F.col(f"known_{c}")) for c in (BUCKET, *self.key)]
-                self.store(number, first.join(named, same, "left_anti"))
-            else:
-                self.store(number, first)
+            self.store(number, self.unseen(number, first))
         finally:
             first.unpersist()
 
+    def covers(self, number: int) -> bool:
+        """Whether all loads from 0 up to ``number``, without it, are there."""
+        return sum(f.last - f.first + 1 for f in self.folders(number)) == number
+
+    def rebuild(self, number: int, rows: DataFrame) -> None:
+        """Make ``rows`` the content of all loads from 0 up to ``number``, without it."""
+        self._write(rows.withColumn(BUCKET, self.bucket()), self._path(0, number - 1))
+
     def _merge(self, before: int) -> None:
         """Merge neighbouring folders of one size class until no class has ``fan`` of them."""
         while True:

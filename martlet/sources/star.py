@@ -276,17 +276,24 @@ def order_arrival() -> list[Column]:
 
 
 def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three snapshots (0, 7 and 30 days back) of every product."""
+    """Three snapshots (0, 7 and 30 days back) of every product.
+
+    The smaller a part, the more of it is kept; it is ordered in sixes, and one more for each letter of its type. The margin on
+    the list price grows with the length of the type's name and with the size, whole cents rounded down.
+    """
     pk = F.col("p_partkey")
     price = list_price(F.col("p_retailprice"))
     lag = F.col("days_back")
-    reorder = F.when(price > 100, pk % 21 + 10).otherwise(pk % 51 + 30).cast("int")
+    reorder = (F.lit(56) - F.col("p_size")).cast("int")
+    quantity = (F.expr("(56 - p_size) div 6 + 1") * 6 + F.length("p_type")).cast("int")
+    cents, margin = (price * 100).cast("long"), F.length("p_type") * 2 + F.expr("p_size div 5") + 15
     stock = (
         F.when((pk % 97 == 13) | ((pk % 41 == 5) & (lag == 0)), -1)
         .when(pk % 50 == 0, 0)
         .otherwise((pk * 31 + lag * 17) % 500)
     )
-    cost = F.when(pk % 43 != 11, F.round(price * (pk % 21 + 60) / 100, 2).cast("decimal(10,2)"))
+    paid = (cents - F.floor(cents * margin / F.lit(100))).cast("decimal(12,0)") / F.lit(100)
+    cost = F.when(pk % 43 != 11, paid.cast("decimal(10,2)"))
     records = (
         table(spark, sf_dir, "part")
         .withColumn("days_back", F.explode(F.array(*[F.lit(d) for d in (0, 7, 30)])))
@@ -296,7 +303,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
             stock.cast("int").alias("stock_quantity"),
             F.concat_ws(" ", F.lit("Depot"), "p_brand").alias("warehouse_location"),
             reorder.alias("reorder_point"),
-            (reorder * 2).alias("reorder_quantity"),
+            quantity.alias("reorder_quantity"),
             cost.alias("cost_price"),
             F.concat(F.lit("Supplier "), pk % 10).alias("supplier_name"),
             F.date_sub(day(AS_OF), (lag + pk % 15).cast("int")).alias("last_restock_date"),

@@ -28,7 +28,7 @@ WRITERS = {
     "inventory_append", "products_full_refresh", "mart_row_counts", "orders_incremental", "stream_daily_revenue",
     "customers_incremental", "product_feed_json", "customer_feed_csv", "order_feed_json", "inventory_feed_csv",
     "campaign_feed_orc", "user_feed_json", "refresh_silver_customers", "refresh_silver_orders", "refresh_price_history",
-    "refresh_counts",
+    "refresh_counts", "unique_customers_by_period", "feed_rescued_lines",
 }
 
 

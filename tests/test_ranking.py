@@ -75,7 +75,7 @@ def test_rank_of_nothing(spark):
 
 
 def test_what_is_pinned_is_one_range_exchange(spark, monkeypatch):
-    """The order is made by a range exchange of the sort columns; nothing is hashed by range or gathered."""
+    """The rows are computed once and pinned; the order is made by a range exchange of the sort columns. Nothing is gathered."""
     plans = []
 
     def spy(df):
@@ -83,11 +83,24 @@ def test_what_is_pinned_is_one_range_exchange(spark, monkeypatch):
         return pin(df)
 
     monkeypatch.setattr(ranking, "pin", spy)
-    df = table(spark, 3).withColumn("wide", F.lit("x"))
-    for run in (lambda: rank_within(df, ["grp"], SortKey("v", True), "id", "r"), lambda: global_ntile(df, 5, SortKey("v"), "id", "t")):
+    df = table(spark, 3).withColumn("wide", F.concat("id", F.lit("x")))
+    two = [ranking.Rank(["grp"], SortKey("v", True), "r"), ranking.Rank([], SortKey("v"), "s")]
+    for run, orders in ((lambda: ranking.with_ranks(df, two, "id"), 2), (lambda: global_ntile(df, 5, SortKey("v"), "id", "t"), 1)):
+        plans.clear()
         ranked = run()
-        text = plans.pop()
-        assert text.count("rangepartitioning") == 1 and "Window" not in text and "SinglePartition" not in text
-        assert "hashpartitioning" not in text and "wide" not in text
+        assert len(plans) == 1 + orders and "wide" in plans[0] and "Exchange range" not in plans[0]
+        for text in plans[1:]:
+            assert text.count("rangepartitioning") == 1 and "Window" not in text and "SinglePartition" not in text
+            assert "hashpartitioning" not in text and "wide" not in text and "concat" not in text
         rest = ranked._jdf.queryExecution().executedPlan().toString()
-        assert "Window" not in rest and "SinglePartition" not in rest
+        assert "Window" not in rest and "SinglePartition" not in rest and "concat(id" not in rest
+
+
+def test_two_ranks_at_once(spark):
+    df = table(spark, 5)
+    order = SortKey("v", True)
+    found = ranking.with_ranks(df, [ranking.Rank([], order, "all"), ranking.Rank(["grp"], order, "own")], "id")
+    plain = df.withColumn("all", F.rank().over(Window.orderBy(order.column()))).withColumn(
+        "own", F.rank().over(Window.partitionBy("grp").orderBy(order.column()))
+    )
+    assert set(found.collect()) == set(plain.collect())

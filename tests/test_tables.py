@@ -329,6 +329,23 @@ def test_user_feed(spark, tmp_path):
     assert feeds.read_feed(spark, "users", str(path), "json", multiLine=True).select("name.firstname").first()[0] == "x"
 
 
+def test_lines_that_are_no_records_are_rescued(spark, tmp_path):
+    sound = '{"id": %d, "title": "t", "price": 1.50, "rating": {"rate": 4.5, "count": 2}}'
+    cut, wrong = '{"id": 7, "title": "t", "pri', '{"id": 8, "title": "t", "price": "many"}'
+    (tmp_path / "a.json").write_text("\n".join([sound % 1, cut, "", sound % 2, wrong, "null?"]))
+    records, rescued = feeds.split_feed(spark, "products", str(tmp_path))
+    assert sorted(r["id"] for r in records.collect()) == [1, 2]
+    lines = {r["line"]: json.loads(r["parsed"]) for r in rescued.collect()}
+    assert set(lines) == {cut, wrong, "null?"} and lines[wrong] == {"id": 8, "title": "t"}
+    assert all(r["source_filename"].endswith("a.json") for r in rescued.collect())
+    rejects = feeds.rescued_rejects(rescued, "products").collect()
+    assert {(r["table_name"], r["record_key"]) for r in rejects} == {("bronze_products", line) for line in lines}
+    assert rescued.count() == 3
+    (tmp_path / "a.json").write_text(cut)
+    with pytest.raises(ValueError, match="no records"):
+        feeds.split_feed(spark, "products", str(tmp_path))
+
+
 def test_unparsable_dates_become_null(spark):
     df = spark.createDataFrame([("2001-02-03", "2001-02-03T04:05:06"), ("x", "y")], "d string, t string")
     assert [tuple(r) for r in feeds.parse_iso(df, ["d"], ["t"]).collect()] == [

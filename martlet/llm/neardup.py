@@ -3,21 +3,20 @@
 1. One pass turns every text into the set of its distinct shingles, a fingerprint of that set and a MinHash
    signature. Documents with equal sets are one *node* from here on, so copies, however many, cost
    one row each and no pair.
-2. The forest: ``TREES`` orders of the signatures, each sorted by its own ``DEPTH`` MinHash values. In each
-   order, rows whose longest common prefix with their neighbour reaches ``MIN_DEPTH`` form a
-   region. Two sets of similarity 0.8 share such a prefix in at least one order with a
-   probability of 1 - (1 - 0.8^4)^24 = 0.999997. Inside a region, byte sketches of the signatures
-   tell which rows may be similar, walking from row to row over those not yet reached, so
-   a region of mutual near copies costs a few passes and not all pairs. A region of more than
-   ``HOT_ROWS`` rows is taken at its full depth, in parts spread over tasks.
+2. The forest: ``TREES`` orders of the signatures, each sorted, in ranges, by the MinHash values from its own first one on. In
+   each order the longest common prefixes of neighbours are computed, and a region is a stretch whose neighbours share at
+   least ``MIN_DEPTH`` values. Two sets of similarity 0.8 share such a prefix in at least one order with a probability of
+   1 - (1 - 0.8^4)^24 = 0.999997. Inside a region, byte sketches of the signatures tell which rows may be similar, walking
+   from row to row over those not yet reached, so a region of mutual near copies costs a few passes and not all pairs.
+   A region of more than ``REGION_ROWS`` is cut where its neighbours share fewer values than a greater depth, each part as deep
+   as its own size asks, up to ``MAX_DEPTH``; neighbours on both sides of a cut are compared too, and so are those on both
+   sides of the border between two ranges. The work is proportional to the rows, whatever the size of a family.
+   What a deep cut separates in one order meets in others: at depth d, with a probability of 1 - (1 - s^d)^24.
 3. Connected rows of all orders are families. The texts of families, and only they, are read again, and
    each family's links are found on the full sets, exactly, again from row to row over those
    not yet reached. A family of many shingles is cut into blocks, and every pair of blocks is a
    group of its own.
-4. What the greater depth may have missed: rows of a hot region that are not in its largest component by now
-   are compared with all its rows, block by block, and families of those that may be similar confirmed as before. A
-   hot region of mutual near copies is one component by now and has nothing left to compare.
-5. Components of the confirmed links give every document the smallest id it can reach.
+4. Components of the confirmed links give every document the smallest id it can reach.
 
 Defined cases: a text with fewer words than a shingle is its whole word sequence; a null text or one without words
 has no shingles, is linked with nothing and is its own component. Rows that share a doc_id are one document
@@ -32,7 +31,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +41,10 @@ from martlet.llm.components import connected_components
 from martlet.llm.text import by_position, mix, prepare, shingle_sets, tidied
 from martlet.session import scratch_path
 
-TREES, DEPTH, MIN_DEPTH = 24, 6, 4
-#: Rows beyond which a region is spread over tasks, and rows of a block of one.
-HOT_ROWS, BLOCK_ROWS = 50_000, 10_000
+#: Orders, values from the start of one to that of the next, and the least and most values that rows of a region share.
+TREES, STEP, MIN_DEPTH, MAX_DEPTH = 24, 6, 4, 16
+#: Rows beyond which a region is taken deeper, and rows on either side of a cut that are compared.
+REGION_ROWS, NEIGHBOURS = 1_000, 16
 #: Bytes of a sketch, and the share of equal ones below which a pair is taken not to be similar: 5 deviations under 0.8.
 SKETCH, SKETCH_SHARE = 96, 0.6
 #: Shingles of a block of a family.
@@ -50,8 +52,8 @@ BLOCK_SHINGLES = 1_000_000
 #: Most members of families that are sent to all tasks instead of joined by shuffling the texts.
 BROADCAST_MEMBERS = 500_000
 
-_SEEDS = np.random.RandomState(11).randint(0, 2**32, TREES * DEPTH, dtype=np.int64).astype(np.uint32) | np.uint32(1)
-_SHIFTS = np.random.RandomState(12).randint(0, 2**32, TREES * DEPTH, dtype=np.int64).astype(np.uint32)
+_SEEDS = np.random.RandomState(11).randint(0, 2**32, TREES * STEP, dtype=np.int64).astype(np.uint32) | np.uint32(1)
+_SHIFTS = np.random.RandomState(12).randint(0, 2**32, TREES * STEP, dtype=np.int64).astype(np.uint32)
 
 
 def minhash(shingles: np.ndarray) -> np.ndarray:
@@ -125,102 +127,121 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row for each node and order, with its region; and the hot regions with their rows."""
+def _forest(nodes: DataFrame) -> DataFrame:
+    """One row for each node and order, in ranges sorted by order and label: ``MAX_DEPTH`` MinHash values from the order's first on."""
     trees = nodes.select("node", "signature", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    label = F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})")
-    forest = trees.select("node", "tree", label.alias("label"), "sketch")
-    forest = forest.withColumn("region", F.expr(f"xxhash64(tree, substring(label, 1, {4 * MIN_DEPTH}))"))
-    hot = forest.groupBy("region").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS)
-    return forest, _stored(hot, "hot-regions")
+    ring = F.expr(f"concat(signature, substring(signature, 1, {4 * MAX_DEPTH}))")
+    label = F.substring(ring, F.col("tree") * (4 * STEP) + 1, F.lit(4 * MAX_DEPTH))
+    rows = trees.select("tree", label.alias("label"), "node", "sketch")
+    return rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
 
 
-def _candidates(forest: DataFrame, hot: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the nodes of each region, or part of a hot one, which may be similar."""
-    if hot.limit(1).count():
-        deep = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / HOT_ROWS)))
-        spread = forest.join(hot, "region", "left")
-        forest = spread.withColumn("region", F.when(F.col("n").isNull(), F.col("region")).otherwise(deep)).drop("n")
-    rows = forest.repartition("region").sortWithinPartitions("region", "tree", "label", "node")
+def shared_prefixes(tree: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """For each row but the first, how many leading values of its label are those of the row before; -1 in another order."""
+    same = labels[1:] == labels[:-1]
+    return np.where(tree[1:] == tree[:-1], np.logical_and.accumulate(same, axis=1).sum(axis=1), -1)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-
-        def settle(done: pa.Table) -> Iterator[pa.RecordBatch]:
-            region, ids = done.column("region").to_numpy(), done.column("node").to_numpy()
-            cuts = np.flatnonzero(region[1:] != region[:-1]) + 1
-            edges, found = np.concatenate([[0], cuts, [len(region)]]), []
-            for at in np.flatnonzero(np.diff(edges) > 1):
-                a, b = edges[at], edges[at + 1]
-                sketches = _stacked(done.column("sketch").slice(a, b - a).to_pylist())
-                for _, members in _walk(b - a, lambda i, rest: _alike(sketches, i, rest)):
+
+def regions(shared: np.ndarray, first: int, end: int, depth: int) -> Iterator[tuple[int, int]]:
+    """Stretches of rows ``first`` to ``end``, which share ``depth`` values, that are to be compared among themselves.
+
+    A stretch of up to ``REGION_ROWS`` is one. A longer one is cut where neighbours share no more than ``depth`` values, and its parts
+    are taken at the next depth, each as deep as its own size asks; the rows on both sides of a cut are neighbours of
+    the lesser depth and compared as well. Rows that share all values of the label are taken by overlapping parts.
+    """
+    if end - first <= REGION_ROWS:
+        yield first, end
+    elif depth == MAX_DEPTH:
+        for at in range(first, end - 1, REGION_ROWS - 1):
+            yield at, min(at + REGION_ROWS, end)
+    else:
+        # shared[i] is of rows i and i + 1
+        cuts = first + 1 + np.flatnonzero(shared[first : end - 1] <= depth)
+        edges = [first, *cuts.tolist(), end]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b - a > 1:
+                yield from regions(shared, a, b, depth + 1)
+        for step in np.unique(cuts // NEIGHBOURS).tolist():
+            yield max(first, (step - 1) * NEIGHBOURS), min(end, (step + 2) * NEIGHBOURS)
+
+
+def _edges(tree: np.ndarray, labels: np.ndarray, ids: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Edges (a, b) that connect the rows of sorted stretches which may be similar."""
+    shared, found = shared_prefixes(tree, labels), []
+    ends = np.concatenate([[0], np.flatnonzero(shared < MIN_DEPTH) + 1, [len(ids)]])
+    for at in np.flatnonzero(np.diff(ends) > 1).tolist():
+        for a, b in regions(shared, int(ends[at]), int(ends[at + 1]), MIN_DEPTH):
+            for _, members in _walk(b - a, lambda i, rest, own=sketches[a:b]: _alike(own, i, rest)):
+                if len(members) > 1:
                     own = ids[a:b][members]
-                    found += [(int(i), int(own.min())) for i in own if i != own.min()]
-            if found:
-                pairs = np.unique(np.array(found, np.int64), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    low = own.min()
+                    found.append(np.stack([own[own != low], np.full((own != low).sum(), low)], axis=1))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
-        for batch in batches:
-            held.append(pa.Table.from_batches([batch]))
-            rows = pa.concat_tables(held).combine_chunks()
-            region = rows.column("region").to_numpy()
-            last = int(np.searchsorted(region, region[-1], "left"))  # the last region may go on
-            if last:
-                yield from settle(rows.slice(0, last))
-                rows = rows.slice(last)
-            held = [rows]
-        if held:
-            yield from settle(pa.concat_tables(held).combine_chunks())
 
-    return rows.select("region", "node", "sketch").mapInArrow(tidied(walk), "a long, b long")
+def _columns(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    labels = np.frombuffer(b"".join(rows["label"].to_pylist()), ">u4").reshape(len(rows), MAX_DEPTH)
+    return rows["tree"].to_numpy(), labels, rows["node"].to_numpy(), _stacked(rows["sketch"].to_pylist())
 
 
-def _rest_of_hot(forest: DataFrame, hot: DataFrame, components: DataFrame) -> DataFrame:
-    """Edges (a, b) between rows of a hot region that may be similar and are in different components so far.
+_BORDER = "tree int, label binary, node long, sketch binary"
 
-    One of the two is never in the largest component of the region; these rows meet all others in blocks.
-    """
-    rows = forest.join(hot.select("region"), "region").join(components, "node", "left")
-    rows = _stored(rows.select("region", "node", "sketch", F.coalesce("component", "node").alias("component")), "hot-rows")
-    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("region").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
-    main = main.filter(F.col("main.n") < F.col("n")).select(
-        "region",
-        F.col("main.component").alias("main"),
-        F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
-        F.ceil((F.col("n") - F.col("main.n")) / BLOCK_ROWS).cast("int").alias("minor_blocks"),
-    )
-    rows = rows.join(main, "region")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    minor_block = F.pmod(F.xxhash64("node"), F.col("minor_blocks")).cast("int")
-    last = {c: F.sequence(F.lit(0), F.col(c) - 1) for c in ("blocks", "minor_blocks")}
-    columns = ["region", "node", "sketch", "component"]
-    every = rows.select(*columns, F.explode(last["minor_blocks"]).alias("i"), block.alias("j"), F.lit(False).alias("minor"))
-    minors = rows.filter("component <> main").select(
-        *columns, minor_block.alias("i"), F.explode(last["blocks"]).alias("j"), F.lit(True).alias("minor")
-    )
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sketches, ids, of = _stacked(rows["sketch"].tolist()), rows["node"].to_numpy(), rows["component"].to_numpy()
-        parent: dict[int, int] = {}
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect nodes which may be similar: those of each range, and those over the borders between ranges."""
+    names = ["a", "b", "part", "head", "tree", "label", "node", "sketch"]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, first, last = TaskContext.get().partitionId(), None, None, None
 
-        def top(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
+        def settle(rows: pa.Table) -> pa.RecordBatch:
+            pairs = _edges(*_columns(rows))
+            none = [pa.nulls(len(pairs), t) for t in (pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.int64(), pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *none], names)
 
-        others, found = np.flatnonzero(~rows["minor"].to_numpy()), []
-        for i in np.flatnonzero(rows["minor"].to_numpy()):
-            apart = others[of[others] != of[i]]
-            for j in apart[_alike(sketches, i, apart)]:
-                a, b = top(int(ids[i])), top(int(ids[j]))
-                if a != b:  # families only need to hang together
-                    parent[a] = b
-                    found.append((int(ids[i]), int(ids[j])))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        def border(rows: pa.Table, head: bool) -> pa.RecordBatch:
+            rows, n = rows.combine_chunks(), len(rows)
+            own = [pa.nulls(n, pa.int64())] * 2 + [pa.array([part] * n, pa.int32()), pa.array([head] * n)]
+            return pa.RecordBatch.from_arrays([*own, *[rows[c].chunk(0) for c in names[4:]]], names)
 
-    return every.unionByName(minors).groupBy("region", "i", "j").applyInPandas(compare, "a long, b long")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            first = rows if first is None else pa.concat_tables([first, rows.slice(0, NEIGHBOURS)])
+            first = first.slice(0, NEIGHBOURS)
+            last = rows if last is None else pa.concat_tables([last, rows])
+            last = last.slice(max(0, len(last) - NEIGHBOURS))
+            held = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            # The last stretch may go on in the next batch.
+            tree, label = held["tree"].chunk(0), held["label"].chunk(0)
+            prefix = pc.binary_slice(label, 0, 4 * MIN_DEPTH)
+            same = pc.and_(pc.equal(prefix, prefix[-1]), pc.equal(tree, tree[-1]))
+            whole = len(held) - int(pc.sum(same).as_py())
+            if whole:
+                yield settle(held.slice(0, whole).combine_chunks())
+                held = held.slice(whole)
+        if held is not None:
+            yield settle(held.combine_chunks())
+            yield border(first, True)
+            yield border(last, False)
+
+    made = _forest(nodes).mapInArrow(tidied(walk), f"a long, b long, part int, head boolean, {_BORDER}")
+    made = _stored(made, "candidates")
+    borders = made.filter("part is not null")
+    # One row for each range; ranges without rows have none, so the next is the next number there is.
+    after = Window.orderBy("part")
+    parts = borders.groupBy("part").agg(F.count("*").alias("n")).select(F.col("part").alias("before"), F.lead("part").over(after).alias("after"))
+    tails = borders.filter("not head").select(F.col("part").alias("border"), *names[4:])
+    heads = borders.filter("head").join(parts, F.col("part") == F.col("after")).select(F.col("before").alias("border"), *names[4:])
+
+    def over(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("tree", "ascending"), ("label", "ascending"), ("node", "ascending")]).combine_chunks()
+        pairs = _edges(*_columns(rows))
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    crossing = tails.unionByName(heads).groupBy("border").applyInArrow(over, "a long, b long")
+    return made.filter("a is not null").select("a", "b").unionByName(crossing)
 
 
 def exact_components(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -285,15 +306,8 @@ def near_duplicates(
     nodes = full.join(groups.withColumn("doc_id", F.col("node")), ["fp1", "fp2", "doc_id"])
     nodes = nodes.select("node", "n_shingles", "signature", "sketch")
 
-    def confirmed(edges: DataFrame) -> DataFrame:
-        sizes = nodes.select("node", "n_shingles")
-        return _links(docs, connected_components(edges), sizes, size, percent, id_col, text_col)
-
-    forest, hot = _forest(nodes)
-    links = confirmed(_candidates(forest, hot))
-    if hot.limit(1).count():
-        links = _stored(links, "links")
-        links = links.unionByName(confirmed(_rest_of_hot(forest, hot, connected_components(links))))
+    families = connected_components(_candidates(nodes))
+    links = _links(docs, families, nodes.select("node", "n_shingles"), size, percent, id_col, text_col)
     copies = full.join(groups, ["fp1", "fp2"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     shared = copies.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).filter("low < high")
     # Only an id that several different texts carry joins their nodes.

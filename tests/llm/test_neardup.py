@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from helpers import awkward, make_docs  # noqa: F401
 from pyspark.sql import functions as F
@@ -63,24 +64,81 @@ def test_equals_brute_force(make_docs, size):
     assert found(neardup.near_duplicates(make_docs(rows), size)) == expected
 
 
-def test_dense_hot_and_blocked_groups(make_docs, monkeypatch):
-    """The same result if hot regions are taken at full depth in parts, and families and regions cut into blocks."""
+def test_blocked_families(make_docs, monkeypatch):
+    """The same result if families are cut into blocks and their texts are shuffled."""
     rows = mixed(11)
     monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 300)
-    monkeypatch.setattr(neardup, "HOT_ROWS", 3)
-    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
     monkeypatch.setattr(neardup, "BROADCAST_MEMBERS", 0)
     assert found(neardup.near_duplicates(make_docs(rows), 4)) == brute(rows, 4)
 
 
-def test_rest_of_hot_regions(make_docs, monkeypatch):
-    """Links that the parts of a hot region miss are found in its blocks."""
-    rows = mixed(12)
-    monkeypatch.setattr(neardup, "HOT_ROWS", 1)
-    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
-    lost = neardup._candidates
-    monkeypatch.setattr(neardup, "_candidates", lambda forest, hot: lost(forest, hot).filter("a % 3 = 0"))
-    assert found(neardup.near_duplicates(make_docs(rows), 4)) == brute(rows, 4)
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_ranges_of_any_number(spark, make_docs, partitions):
+    """Regions that reach over the border between ranges, and ranges without rows."""
+    rows = mixed(13)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert found(neardup.near_duplicates(make_docs(rows), 4)) == brute(rows, 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("region_rows, neighbours", [(3, 2), (8, 1)])
+def test_deep_regions(make_docs, monkeypatch, region_rows, neighbours):
+    """Where regions are cut deeper, no link is made up, and at least 0.9 of the documents stay with their component."""
+    monkeypatch.setattr(neardup, "REGION_ROWS", region_rows)
+    monkeypatch.setattr(neardup, "NEIGHBOURS", neighbours)
+    right = total = 0
+    for seed in (21, 22, 23):
+        rows = mixed(seed)
+        true = {d: c for d, _, c in brute(rows, 4)}
+        got = {d: c for d, _, c in found(neardup.near_duplicates(make_docs(rows), 4))}
+        assert all(true[d] == true[c] for d, c in got.items())
+        linked = [d for d, c in true.items() if d != c]
+        right, total = right + sum(got[d] == true[d] for d in linked), total + len(linked)
+    assert total > 100 and right >= 0.9 * total
+
+
+def test_regions_by_hand(monkeypatch):
+    """Prefixes of neighbours, and what is compared: all rows of short stretches, parts and neighbours of long ones."""
+    rand = random.Random(6)
+    labels = sorted([tuple(rand.choice([0, 1]) if k > 1 else 0 for k in range(16)) for _ in range(400)])
+    tree = np.zeros(len(labels), np.int64)
+    shared = neardup.shared_prefixes(tree, np.array(labels))
+    plain = [next((k for k in range(16) if a[k] != b[k]), 16) for a, b in zip(labels, labels[1:])]
+    assert shared.tolist() == plain
+    assert neardup.shared_prefixes(np.array([0, 1]), np.zeros((2, 16))).tolist() == [-1]
+    monkeypatch.setattr(neardup, "REGION_ROWS", 20)
+    monkeypatch.setattr(neardup, "NEIGHBOURS", 4)
+    got = list(neardup.regions(shared, 0, len(labels), 2))
+    assert all(0 <= a < b <= len(labels) and b - a <= 20 for a, b in got)
+    together = {(i, i + 1) for a, b in got for i in range(a, b - 1)}
+    assert together == {(i, i + 1) for i in range(len(labels) - 1)}
+    # Rows that share the most are together wherever their stretch is short enough.
+    for first in range(0, 380, 7):
+        end = first + next((k for k, s in enumerate(plain[first:]) if s < 12), 0) + 1
+        if end - first <= 8:
+            assert any(a <= first and end <= b for a, b in got)
+    assert sum(b - a for a, b in got) <= 16 * 4 * len(labels)
+
+
+def test_a_family_of_many_different_near_copies(make_docs, spark):
+    """One component, and edges and rows in proportion to the documents, not to their pairs."""
+    rand, base = random.Random(9), [f"w{i}" for i in range(100)]
+    edges = {}
+    for n in (5_000, 20_000):
+        rows = []
+        for i in range(n):
+            own = list(base)
+            own[rand.randrange(100)] = f"e{i}"
+            rows.append((i, " ".join(own)))
+        docs = make_docs(rows, 8)
+        neardup.prepare(spark)
+        nodes = neardup._signatures(docs, 4, "doc_id", "text").select(neardup.F.col("doc_id").alias("node"), "n_shingles", "signature", "sketch")
+        edges[n] = neardup._candidates(nodes).count()
+    assert edges[20_000] <= 4.5 * edges[5_000]
+    assert neardup.near_duplicates(docs, 4).select("component_id").distinct().count() == 1
 
 
 def test_awkward_rows(make_docs, awkward):

@@ -14,8 +14,9 @@
    What a deep cut separates in one order meets in others: at depth d, with a probability of 1 - (1 - s^d)^24.
 3. Connected rows of all orders are families. The texts of families, and only they, are read again, and
    each family's links are found on the full sets, exactly, again from row to row over those
-   not yet reached. A family of many shingles is cut into blocks, and every pair of blocks is a
-   group of its own.
+   not yet reached. A family of many shingles is cut into blocks, each of which meets the first one; the rows that are not in the
+   family's largest component by then, few in a family of near copies, meet all of its blocks. So no link is lost, and
+   a family of near copies costs its texts about twice.
 4. Components of the confirmed links give every document the smallest id it can reach.
 
 Defined cases: a text with fewer words than a shingle is its whole word sequence; a null text or one without words
@@ -33,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +49,7 @@ REGION_ROWS, NEIGHBOURS = 1_000, 16
 #: Bytes of a sketch, and the share of equal ones below which a pair is taken not to be similar: 5 deviations under 0.8.
 SKETCH, SKETCH_SHARE = 96, 0.6
 #: Shingles of a block of a family.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 250_000
 #: Most members of families that are sent to all tasks instead of joined by shuffling the texts.
 BROADCAST_MEMBERS = 500_000
 
@@ -267,20 +268,20 @@ def exact_components(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int
 
 def _links(docs: DataFrame, families: DataFrame, sizes: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Edges (a, b) that connect the nodes of each family whose full sets are linked."""
-    weights = families.join(sizes, "node").groupBy("component").agg(F.sum("n_shingles").alias("weight"))
-    blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
-    members = families.join(weights, "component").withColumn("blocks", F.greatest(blocks, F.lit(1)))
-    members = _stored(members.select("node", "component", "blocks"), "families")
-    if members.count() <= BROADCAST_MEMBERS:
-        members = F.broadcast(members)
+
+    def blocks_of(weight: Column) -> Column:
+        return F.greatest(F.ceil(weight / BLOCK_SHINGLES).cast("int"), F.lit(1))
+
+    weighed = families.join(sizes, "node")
+    weights = weighed.groupBy("component").agg(blocks_of(F.sum("n_shingles")).alias("blocks"))
+    members = _stored(weighed.join(weights, "component").select("node", "component", "blocks", "n_shingles"), "families")
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    # With b blocks, a row goes to the pairs (own, x) and (x, own): b groups, each a pair of blocks.
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    spread = texts.join(members, "node").withColumn("own", own)
-    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("node", "text", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def with_texts(rows: DataFrame) -> DataFrame:
+        return texts.join(F.broadcast(rows) if rows.count() <= BROADCAST_MEMBERS else rows, "node")
 
     def confirm(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates(["node", "text"])
         ids = rows["node"].to_numpy()
         order = np.argsort(ids, kind="stable")
         sets = list(shingle_sets(pa.array(rows["text"].to_numpy()[order], pa.large_string()), size))
@@ -291,7 +292,33 @@ def _links(docs: DataFrame, families: DataFrame, sizes: DataFrame, size: int, pe
             pairs += [(int(x), int(at.min())) for x in at if x != at.min()]
         return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
-    return spread.groupBy("component", "i", "j").applyInPandas(confirm, "a long, b long")
+    # Each block of a family meets the first one: a row goes to its own group, one of the first block to all.
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    groups = F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
+    met = with_texts(members.select("node", "component", "blocks", own.alias("own")))
+    met = met.select("node", "text", "component", F.explode(groups).alias("block"))
+    links = met.groupBy("component", "block").applyInPandas(confirm, "a long, b long")
+    large = members.filter("blocks > 1")
+    if not large.limit(1).count():
+        return links
+
+    # Rows of a large family outside its largest component by now, of which a family of near copies has few, meet all of its rows.
+    links = _stored(links, "links")
+    held = connected_components(links).withColumnRenamed("component", "part")
+    held = _stored(large.join(held, "node", "left").withColumn("part", F.coalesce("part", "node")), "large-families")
+    counts = held.groupBy("component", "part").agg(F.count("*").alias("n"))
+    main = counts.groupBy("component").agg(F.max(F.struct("n", "part"))["part"].alias("main"))
+    held = held.join(main, "component").withColumn("minor", F.col("part") != F.col("main"))
+    rest = held.filter("minor").groupBy("component").agg(blocks_of(F.sum("n_shingles")).alias("minor_blocks"))
+    rest = _stored(rest, "minor-blocks")
+    if not rest.limit(1).count():
+        return links
+    held = held.join(rest, "component")
+    all_rows = held.select("node", "component", F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("i"), own.alias("j"))
+    block = F.pmod(F.xxhash64("node"), F.col("minor_blocks")).cast("int")
+    minors = held.filter("minor").select("node", "component", block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    spread = with_texts(_stored(all_rows.unionByName(minors).distinct(), "minors"))
+    return links.unionByName(spread.groupBy("component", "i", "j").applyInPandas(confirm, "a long, b long"))
 
 
 def near_duplicates(

@@ -21,7 +21,7 @@ from martlet.plans import bronze, extended, gold, silver, visitors
 from martlet.plans.refresh import CUSTOMER_HISTORY, PRODUCT_HISTORY, full_marts, price_reason, refresh, tier_reason
 from martlet.session import scratch_path, tune
 from martlet.sources import feeds, star
-from martlet.sources.keyed import KeyedTable
+from martlet.sources.keyed import KeyedTable, MergedTable
 from martlet.sources.star import AS_OF, FIRST_DAY
 from martlet.sources.tables import Tables
 from martlet.streaming import ingest, revenue
@@ -925,17 +925,13 @@ def orders_incremental(x: Lake) -> DataFrame:
 def customers_incremental(x: Lake) -> DataFrame:
     """A later customer delivery streamed into the stored customers."""
     root = scratch_path(x.spark, "customers")
-    tables = Tables(x.spark, root)
-    tables.overwrite("bronze_customers", x.customers)
     batch = star.customer_batch(x.spark, x.sf)
     batch.write.parquet(f"{root}/inbox")
+    stored = MergedTable(x.spark, f"{root}/table", ["customer_id"], bronze.CUSTOMER_UPDATES, "last_modified_date")
+    stored.start(x.customers)
     stream = ingest.stream_feed(x.spark, f"{root}/inbox", batch.schema)
-
-    def merge(stored: DataFrame, delivered: DataFrame) -> DataFrame:
-        return bronze.merge_customers(stored, delivered, ["arrival"], star.midnight(AS_OF))
-
-    ingest.merge_stream(stream, tables, "bronze_customers", f"{root}/checkpoint", merge).awaitTermination()
-    return tables.read("bronze_customers").select(
+    ingest.upsert_stream(stream, stored, f"{root}/checkpoint", ["arrival"], star.midnight(AS_OF)).awaitTermination()
+    return stored.merged().select(
         "customer_id", "first_name", "last_name", "email", "signup_date", "loyalty_tier", "total_lifetime_spend",
         "is_active",
     )

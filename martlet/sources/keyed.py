@@ -13,6 +13,7 @@ carry Bloom filters on the key columns, so a lookup skips row groups that cannot
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -21,9 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.operators.latest import latest_per_key
+from martlet.operators.merge import fold_batch
 from martlet.sources.tables import complete_folders
 
 BUCKET = "key_bucket"
+#: When the last upsert of a row came.
+TOUCHED = "touched_at"
 
 
 @dataclass(frozen=True)
@@ -76,9 +80,19 @@ class KeyedTable:
 
     def _read(self, folders: list[Folder]) -> DataFrame | None:
         """The rows of the folders, None where all are empty."""
+        rows = self._rows(folders)
+        return None if rows is None else rows.drop("loads")
+
+    def _rows(self, folders: list[Folder]) -> DataFrame | None:
+        """The rows of the folders with ``loads``, which sorts as they were loaded."""
         filled = {p.rsplit("/", 1)[0] for p in complete_folders(self.spark, self.root, "loads", BUCKET)}
         paths = [f.path for f in folders if f.path in filled]
-        return self.spark.read.option("basePath", self.root).parquet(*paths).drop("loads") if paths else None
+        return self.spark.read.option("basePath", self.root).parquet(*paths) if paths else None
+
+    def _folded(self, folders: list[Folder]) -> DataFrame | None:
+        """The rows of several folders as those of one."""
+        rows = self._read(folders)
+        return None if rows is None else self.fold(rows)
 
     def read(self, before: int | None = None) -> DataFrame | None:
         """All rows with their bucket, or None where there is none."""
@@ -177,12 +191,12 @@ class KeyedTable:
             if at + self.fan > len(live):
                 return
             some = live[at : at + self.fan]
-            rows = self._read(some)
+            rows = self._folded(some)
             path = self._path(some[0].first, some[-1].last)
             if rows is None:  # empty loads make an empty folder
                 self.spark.createDataFrame([], f"{BUCKET} int, none int").write.mode("overwrite").partitionBy(BUCKET).parquet(path)
             else:
-                self._write(self.fold(rows), path)
+                self._write(rows, path)
 
     def _remove_merged(self, before: int) -> None:
         """Delete folders that a larger one has replaced before this load."""
@@ -191,3 +205,53 @@ class KeyedTable:
             if any(g.covers(folder) for g in found) and folder.last < before:
                 path = self.spark._jvm.org.apache.hadoop.fs.Path(folder.path)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class MergedTable(KeyedTable):
+    """Upserts of ``update_cols`` without rewriting the table: a load holds the rows of its batch, and readers merge by key.
+
+    Of the rows of a key, the first gives the columns that upserts keep and the last those that they update, which is what
+    ``merge_subset`` makes of the batches one by one. ``touch_col`` is the time of the last batch that met a stored row.
+    Merging is associative, so merged folders hold one row a key and an upsert writes its batch and, now and then, a merged folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: list[str], update_cols: list[str], touch_col: str | None = None, **layout):
+        super().__init__(spark, root, key, **layout)
+        self.update_cols, self.touch_col = update_cols, touch_col
+
+    def upsert(self, number: int, batch: DataFrame, order: list[str], touched_at: dt.datetime | None = None) -> None:
+        """Store a batch, a key repeated in it folded in ``order``, as load ``number``."""
+        rows = fold_batch(batch, self.key, self.update_cols, order)
+        if self.touch_col:
+            rows = rows.drop(self.touch_col).withColumns(
+                {self.touch_col: F.lit(None).cast("timestamp_ntz"), TOUCHED: F.lit(touched_at).cast("timestamp_ntz")}
+            )
+        stored = self.read(number)
+        if stored is not None:  # the columns of the table, whatever else a batch brings along or lacks
+            fields = [f for f in stored.schema.fields if f.name != BUCKET]
+            rows = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+        self.store(number, rows)
+
+    def start(self, rows: DataFrame) -> None:
+        """Make ``rows``, one for each key, the content of the table before all upserts: load 0."""
+        self.store(0, rows.withColumn(TOUCHED, F.lit(None).cast("timestamp_ntz")) if self.touch_col else rows)
+
+    def merged(self, before: int | None = None) -> DataFrame | None:
+        """The table as it is: one row for each key."""
+        rows = self._folded(self.folders(before))
+        return None if rows is None else rows.drop(BUCKET, TOUCHED)
+
+    def _folded(self, folders: list[Folder]) -> DataFrame | None:
+        rows = self._rows(folders)
+        if rows is None:
+            return None
+        own = [*self.update_cols, *([self.touch_col, TOUCHED] if self.touch_col else [])]
+        kept = [c for c in rows.columns if c not in (*self.key, *own, BUCKET, "loads")]
+        at = F.col("loads")
+        merges = [F.min_by(F.struct(*(kept or self.key)), at).alias("_first"), F.max_by(F.struct(*(self.update_cols or self.key)), at).alias("_last")]
+        if self.touch_col:
+            touched = F.max_by(TOUCHED, at)
+            merges += [F.when(F.count("*") == 1, F.first(self.touch_col)).otherwise(touched).alias(self.touch_col), touched.alias(TOUCHED)]
+        found = rows.groupBy(BUCKET, *self.key).agg(*merges)
+        values = {c: F.col(f"_first.{c}") for c in kept} | {c: F.col(f"_last.{c}") for c in self.update_cols}
+        return found.select(*[values.get(c, F.col(c)).alias(c) for c in rows.columns if c != "loads"])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from martlet.sources.keyed import KeyedTable
+from martlet.sources.keyed import KeyedTable, MergedTable
 from martlet.sources.tables import Tables
 
 
@@ -64,3 +65,22 @@ def merge_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_stream(
+    feed: DataFrame, target: MergedTable, checkpoint: str, order: list[str], touched_at: dt.datetime | None = None
+) -> StreamingQuery:
+    """Upsert each batch into ``target``, one load for each: what is written is the batch, not the table.
+
+    Load 0 is the table as it was before; a batch replaces its load when it is replayed.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        target.upsert(batch_id + 1, batch, order, touched_at)
+
+    return (
+        feed.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

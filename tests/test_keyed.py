@@ -1,6 +1,7 @@
 """Tables in hash buckets of a key: what a load reads, how folders are merged, and repeated loads."""
 
 import datetime as dt
+import random
 import shutil
 
 import pytest
@@ -8,10 +9,11 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from martlet import schemas
+from martlet.operators.merge import merge_subset
 from martlet.plans import gold
 from martlet.queries import Lake
-from martlet.sources.keyed import BUCKET, KeyedTable
 from martlet.sources import star
+from martlet.sources.keyed import BUCKET, KeyedTable, MergedTable
 from martlet.streaming import ingest, revenue
 
 
@@ -180,3 +182,47 @@ def test_many_batches_fold_to_the_same_days(spark, tmp_path):
     expected = gold.daily_revenue(orders)
     assert sorted(map(str, found.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
     assert not (tmp_path / "state" / "orders").exists()
+
+
+# ---------------------------------------------------------------- upserts
+
+
+CUSTOMERS = "k long, name string, tier string, spend int, changed timestamp_ntz"
+
+
+def upserts(spark, seed, n, keys):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, *range(keys)]), f"n{seed}.{i}", rng.choice([None, "a", "b"]), rng.randrange(9), i, "extra") for i in range(n)]
+    return spark.createDataFrame(rows, "k long, name string, tier string, spend int, arrival int, more string").filter("k is not null")
+
+
+def test_upserts_equal_merges_one_by_one(spark, tmp_path):
+    """Columns that are kept and updated, the time of the last change, keys repeated in a batch, new keys, merged folders, replays."""
+    base = spark.createDataFrame([(k, f"base{k}", "z", 0, None) for k in range(20)], CUSTOMERS)
+    table = MergedTable(spark, str(tmp_path), ["k"], ["tier", "spend"], "changed", buckets=4, fan=3)
+    table.start(base)
+    expected = base
+    for n in range(1, 9):
+        batch, at = upserts(spark, n, 15, 30), dt.datetime(2001, 1, n)
+        for _ in range(1 + (n == 8)):  # the newest load may be repeated
+            table.upsert(n, batch, ["arrival"], at)
+        plain = merge_subset(expected, batch, ["k"], ["tier", "spend"], ["arrival"], "changed", at)
+        expected = spark.createDataFrame(plain.collect(), CUSTOMERS)
+    assert rows_of(table.merged().select(*expected.columns)) == rows_of(expected)
+    assert len(table.folders()) <= 5 and table.merged().count() == expected.count()
+
+
+def test_an_upsert_writes_its_batch(spark, tmp_path):
+    """Bytes written by a batch are in proportion to it, not to the table."""
+    table = MergedTable(spark, str(tmp_path), ["k"], ["spend"], buckets=4)
+    table.start(spark.range(200_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit(0).alias("spend")))
+    batch = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("name"), F.lit(7).alias("spend"), F.lit(1).alias("arrival"))
+    table.upsert(1, batch, ["arrival"])
+
+    def size(folder):
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+    sizes = [size(tmp_path / f"loads={n:010d}-{n:010d}") for n in (0, 1)]
+    assert sizes[1] < sizes[0] / 20  # mostly Bloom filters
+    found = table.merged()
+    assert found.count() == 200_000 and found.filter("spend = 7").count() == 100 and found.filter("name = 'x'").count() == 0

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def interval_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -18,20 +19,27 @@ def interval_join(
 ) -> DataFrame:
     """``dim`` joined to the ``fact`` rows whose date lies in its closed interval.
 
-    Every interval is spelled out as the months it touches (or as its days), so the
-    match is an equi-join on (``eq``, month or day) and a popular ``eq`` value
-    spreads over the calendar; no range join and no broadcast to size.
+    Every interval is spelled out in pieces of the calendar, so the match is an equi-join on (``eq``, piece) and a popular
+    ``eq`` value spreads over the calendar; no range join and no broadcast to size.
 
-    ``step='day'`` is for intervals known to be short: an open end in 9999 is 96,000
-    months, but 2.9 million days.
+    ``step='dyadic'``: the interval as blocks of 1, 2, 4, ... days, at most two of each size, so some 40 rows even for an open end in
+    9999. A fact has one key for each size that occurs, which are listed on the driver (23 at most), and meets each interval once: good for
+    facts that are few, such as sums by day, and intervals of any length. ``step='month'``: the months it touches; a fact has one key, but an
+    open end in 9999 is 96,000 rows. ``step='day'``: its days, for intervals known to be short.
     ``how='left'`` also keeps each dim row without a match, once; it needs the dim's
     unique ``key``. Empty intervals and those with a NULL bound match nothing.
     """
-    if step not in ("day", "month"):
+    if step not in ("day", "month", "dyadic"):
         raise ValueError(f"unknown step {step!r}")
     if how not in ("inner", "left") or (how == "left" and key is None):
         raise ValueError("how must be 'inner', or 'left' with the key of the dim")
     facts = fact.withColumnRenamed(eq, "_eq")
+    if step == "dyadic":
+        matched = _dyadic(facts, dim, eq, point, start, end)
+        if how == "inner":
+            return matched
+        found = matched.select(key, *[c for c in fact.columns if c != eq])
+        return dim.join(found, key, "left")
     slots = {
         "day": F.sequence(F.col(start), F.col(end)),
         "month": F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH")),
@@ -48,6 +56,34 @@ def interval_join(
     return dim.join(found, key, "left")
 
 
+#: Days before 1970 that have a number, and sizes of blocks: 2 ** 22 days, some 11,000 years.
+_BEFORE, _SIZES = 1 << 21, 23
+
+
+def _day_number(c: Column) -> Column:
+    return F.datediff(c, F.lit("1970-01-01").cast("date")) + F.lit(_BEFORE)
+
+
+def dyadic_blocks(start: Column, end: Column) -> Column:
+    """The closed interval of days as an array of (size, block): days ``block * 2 ** size`` and on."""
+    first, after, blocks = _day_number(start), _day_number(end) + 1, []
+    for size in range(_SIZES):
+        low, high = F.shiftright(first + F.lit((1 << size) - 1), size), F.shiftright(after, size)
+        for odd, block in ((low, low), (high, high - 1)):
+            taken = (low < high) & (odd % 2 == 1)
+            blocks.append(F.when(taken, F.struct(F.lit(size).alias("size"), block.alias("block"))))
+    return F.when(start <= end, F.array_compact(F.array(*blocks)))
+
+
+def _dyadic(facts: DataFrame, dim: DataFrame, eq: str, point: str, start: str, end: str) -> DataFrame:
+    spelled = dim.withColumn("_piece", F.explode(dyadic_blocks(F.col(start), F.col(end))))
+    sizes = sorted(r[0] for r in spelled.select("_piece.size").distinct().collect())
+    keys = [F.struct(F.lit(s).alias("size"), F.shiftright(_day_number(F.col(point)), s).alias("block")) for s in sizes]
+    keyed = facts.withColumn("_at", F.explode(F.array(*keys) if keys else F.lit(None).cast("array<struct<size: int, block: int>>")))
+    on = (F.col(eq) == F.col("_eq")) & (F.col("_piece.size") == F.col("_at.size")) & (F.col("_piece.block") == F.col("_at.block"))
+    return spelled.join(keyed, on).drop("_eq", "_piece", "_at")
+
+
 def vs_previous_day(df: DataFrame, date_col: str, value_col: str) -> DataFrame:
     """Add ``previous_value`` from the previous *calendar* day; a gap gives NULL.
 

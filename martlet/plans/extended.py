@@ -198,7 +198,7 @@ def campaign_acquisition(
     )
     frame = campaigns.select("campaign_id", "promo_code", "start_date", "end_date")
     totals = (
-        interval_join(measures, frame, "promo_code", "order_date", "start_date", "end_date", step="month")
+        interval_join(measures, frame, "promo_code", "order_date", "start_date", "end_date", step="dyadic")
         .groupBy("campaign_id")
         .agg(*[F.sum(c).alias(c) for c in ("matched", "completed", "profit", "acquired")])
     )

@@ -306,7 +306,7 @@ def campaign_days(campaigns: DataFrame, orders: DataFrame, how: str = "inner") -
     """Each campaign with the days its code was used while it ran; overlaps count for each campaign."""
     frame = campaigns.select("campaign_id", "promo_code", "start_date", "end_date")
     return interval_join(
-        promo_days(orders), frame, "promo_code", "order_date", "start_date", "end_date", how, "month", "campaign_id"
+        promo_days(orders), frame, "promo_code", "order_date", "start_date", "end_date", how, "dyadic", "campaign_id"
     )
 
 

@@ -1,6 +1,7 @@
 """Small tables for the rules that are easy to get wrong."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from martlet.functions.numeric import exact_avg, pct
 from martlet.functions.ordering import largest_first
 from martlet.operators.amounts import order_amounts
 from martlet.operators.history import scd2_apply, scd2_as_of, scd2_changes
-from martlet.operators.joins import interval_join, vs_previous_day
+from martlet.operators.joins import dyadic_blocks, interval_join, vs_previous_day
 from martlet.operators.latest import latest_per_key
 from martlet.operators.merge import insert_ignore, merge_subset
 from martlet.operators.quality import gate, require_keys, ri_coverage, unique_on
@@ -207,7 +208,7 @@ def test_interval_join_is_closed_and_counts_overlaps(spark):
         "id string, promo string, s date, e date",
     )
     used = spark.createDataFrame([("X", DAY + dt.timedelta(i), i) for i in range(5)], "promo string, d date, n int")
-    for step in ("day", "month"):
+    for step in ("day", "month", "dyadic"):
         args = (used, campaigns, "promo", "d", "s", "e")
         matched = interval_join(*args, step=step)
         assert rows(matched, "id", "n") == [("c1", 0), ("c1", 1), ("c1", 2), ("c2", 2), ("c2", 3)]
@@ -220,7 +221,24 @@ def test_interval_join_is_closed_and_counts_overlaps(spark):
 def test_open_ended_interval(spark):
     dim = spark.createDataFrame([("c", "X", DAY, dt.date(9999, 12, 31))], "id string, promo string, s date, e date")
     used = spark.createDataFrame([("X", DAY - dt.timedelta(1), 0), ("X", dt.date(2030, 2, 3), 1)], "promo string, d date, n int")
-    assert rows(interval_join(used, dim, "promo", "d", "s", "e", step="month"), "n") == [(1,)]
+    for step in ("month", "dyadic"):
+        assert rows(interval_join(used, dim, "promo", "d", "s", "e", step=step), "n") == [(1,)]
+    blocks = dim.select(F.explode(dyadic_blocks(F.col("s"), F.col("e"))).alias("b")).select("b.*").collect()
+    assert len(blocks) < 45
+
+
+def test_dyadic_blocks_cover_each_day_once(spark):
+    rng = random.Random(2)
+    spans = [(dt.date(1969, 12, 20) + dt.timedelta(a), a, a + n) for a, n in ((rng.randrange(60), rng.randrange(-2, 70)) for _ in range(60))]
+    start = dt.date(1969, 12, 20)
+    rows_ = [(i, d, start + dt.timedelta(b)) for i, (d, _, b) in enumerate(spans)]
+    found = spark.createDataFrame(rows_, "i int, s date, e date").withColumn("b", F.explode(dyadic_blocks(F.col("s"), F.col("e"))))
+    epoch, covered = dt.date(1970, 1, 1), {i: [] for i in range(60)}
+    for r in found.collect():
+        first = (r["b"]["block"] << r["b"]["size"]) - (1 << 21)
+        covered[r["i"]] += [epoch + dt.timedelta(first + k) for k in range(1 << r["b"]["size"])]
+    for i, (_, a, b) in enumerate(spans):
+        assert sorted(covered[i]) == [start + dt.timedelta(k) for k in range(a, b + 1)]
 
 
 def test_gap_in_the_calendar_has_no_previous_day(spark):

@@ -73,7 +73,7 @@ def test_history_invariants(spark, seed):
         assert versions[-1]["valid_to"] == dt.date(9999, 12, 31)
 
 
-@pytest.mark.parametrize("step", ["day", "month"])
+@pytest.mark.parametrize("step", ["day", "month", "dyadic"])
 def test_interval_join_equals_nested_loops(spark, step):
     rng = random.Random(7)
     day = lambda: DAY + dt.timedelta(days=rng.randrange(-70, 70))

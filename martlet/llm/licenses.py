@@ -2,8 +2,9 @@
 
 A paragraph is a line of a text, or neighbouring lines joined, so that a notice may be wrapped anywhere. Its features are
 the word 1- to 3-grams it holds (a word is ``[a-z0-9]+`` of the lower-cased paragraph), present or not. One logistic regression for each licence family, with an L1 penalty that keeps
-it sparse, is fitted in numpy on templates, their parts, and ordinary paragraphs; a paragraph whose best family
-stays under the calibrated threshold is of no family. A family is confirmed if one of its templates and the paragraph share
+it sparse, is fitted in numpy on templates, notices of licences that have none, and ordinary paragraphs; one more tells notices of any
+licence from ordinary paragraphs. The threshold is calibrated on paragraphs that a fit has not seen. A paragraph is of the best family
+that reaches it, or, if none does, of an unknown licence if the last one does, or of none. A family is confirmed if one of its templates and the paragraph share
 ``CONFIRM`` of the template's distinct n-grams and the telling n-grams agree (``tellings``): those that the family needs are
 there, and none of another version or variant without one of its own. A paragraph that the classifier takes for a licence, but no
 template confirms, is reported as ``unknown``. N-grams that go on from its last line into the next tell version and variant as well, and so do
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -36,8 +38,10 @@ from pyspark.sql import functions as F
 from martlet.session import scratch_path
 
 SIZES = (1, 2, 3)
+#: The class of licences without a template, which are reported as unknown.
+UNTOLD = "untold"
 CONFIRM = 0.7
-ROUNDS, RATE, PENALTY = 1500, 1.0, 0.0008
+ROUNDS, RATE, PENALTY, FOLDS = 800, 1.0, 0.0008, 4
 
 #: Notices of licence families.
 TEMPLATES = {
@@ -86,12 +90,68 @@ TEMPLATES = {
     "mit": [
         "Released under the MIT License.",
         "Licensed under the MIT license.",
+        "This project is MIT licensed.",
+        "Distributed under the terms of the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
         "SPDX-License-Identifier: MIT",
     ],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
 }
 
+#: Notices of licences that have no template here, and other wordings of those that have one.
+OTHER = """
+This software is provided under the zlib license.
+Distributed under the Boost Software License, Version 1.0.
+Licensed under the Artistic License 2.0.
+This Font Software is licensed under the SIL Open Font License, Version 1.1.
+The contents of this file are subject to the terms of the Common Development and Distribution License.
+Licensed under the EUPL, Version 1.2 or later.
+Licensed under the Microsoft Public License (Ms-PL).
+This project is released under the PostgreSQL license.
+Use of this software is governed by the University of Illinois Open Source License.
+Distributed under the terms of the Python Software Foundation License.
+This file is licensed under the Do What The Fuck You Want To Public License.
+Proprietary software of the vendor.
+Company confidential. Do not copy.
+This file is proprietary and confidential.
+zlib License
+License: BSL-1.0
+This work has been released into the public domain by its author.
+This code is proprietary and may not be copied, distributed or modified without permission.
+This software is the confidential and proprietary information of the company.
+Use is subject to license terms.
+See the LICENSE file for license information.
+See the file COPYING for copying conditions.
+For the full copyright and license information, please view the LICENSE file that was distributed with this source code.
+You may obtain a copy of the License at the address below.
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS basis.
+The software is provided as is, without warranty of any kind, express or implied.
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the software.
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Permission to use, copy and distribute this document for any purpose and without fee is hereby granted.
+You should have received a copy of the license along with this program.
+This is free and unencumbered material placed in the public domain by its authors.
+This document is dual licensed under two licenses; choose the one you prefer.
+This library is licensed under the terms of the license in the file LICENSE.txt.
+Code licensed under a permissive open source license.
+The text of this page is available under an open licence; additional terms may apply.
+Content on this site is licensed under a Creative Commons license unless noted otherwise.
+Licensed under a Creative Commons Attribution-NoDerivatives license.
+Published under the Open Government Licence.
+Data is made available under the Open Database License.
+Made available under the Community Data License Agreement.
+SPDX-License-Identifier: Zlib
+SPDX-License-Identifier: BSL-1.0
+SPDX-License-Identifier: Artistic-2.0
+SPDX-License-Identifier: EUPL-1.2
+SPDX-License-Identifier: LicenseRef-Proprietary
+License: Artistic-2.0
+License: see LICENSE
+This package is zlib licensed.
+This project is licensed under the terms of its own license.
+Copyright 2019 the authors, licensed under the terms below.
+""".strip().splitlines()
+
 #: Paragraphs of no licence, some with words of one.
 ORDINARY = """
 The rights of the tenants were reserved by the court until the next hearing in May.
@@ -119,6 +179,39 @@ The subject of the talk is the form of the code that bees dance to each other.
 Wool is a good material for winter as it keeps its warmth when it is wet.
 My license plate was stolen, so I had to ask the office for a new one.
 The copyright lawyer explained the law to the class in under ten minutes.
+The restaurant was licensed to serve wine until midnight.
+He lost his pilot's license after the second accident.
+A new license for the mine was granted to the company in spring.
+Doctors must renew their licence every five years.
+The software was distributed to schools across the region on disks.
+The contents of the box were subject to damage in the rain.
+Files are copied to the server at night and checked in the morning.
+The museum is open source of pride for the people of the town.
+Permission to enter the park was denied to the visitors.
+The terms of the agreement were announced by both companies.
+The conditions in the camp were hard, and the winter was long.
+The notice on the door said that the shop was closed.
+The foundation gave money to the university for a new library.
+Her documents were placed in a file and sent to the ministry.
+The warranty on the car had run out a month before.
+The public domain of politics was of no interest to him.
+Data from the survey is made available to members of the team.
+The program is available on the site of the station.
+They obtained a copy of the map from a dealer in the capital.
+The authors of the study found no proof of any effect.
+Work on the bridge was carried out under the terms of the old contract.
+The company is known for its general stores in small towns.
+The gnu is an antelope that lives on the plains of the south.
+The town of Berkeley has a large university.
+Creative work by children was shown in the hall of the school.
+She shared the work alike between the two of them.
+The institute of technology in the city trains engineers.
+A permit is required by law for fires in the forest.
+The plan was modified twice and then copied by others.
+The information is confidential, said the spokesman of the bank.
+Rights of way across the fields are shown on the map.
+All copies of the newspaper were sold by noon.
+The basis of the sauce is butter, flour and milk.
 """.strip().splitlines()
 
 
@@ -188,6 +281,14 @@ class LicenseModel:
     weights: dict[str, np.ndarray]
     threshold: float
 
+    def family_of(self, logits: np.ndarray) -> str | None:
+        """The best family at the threshold; ``UNTOLD`` where none is, but the paragraph is one of a licence."""
+        logits = np.round(logits, 9)
+        named = [(-logits[i], f) for i, f in enumerate(self.families) if f != UNTOLD and logits[i] >= self.threshold]
+        if named:
+            return min(named)[1]
+        return UNTOLD if UNTOLD in self.families and logits[self.families.index(UNTOLD)] >= self.threshold else None
+
     def logits(self, text: str) -> np.ndarray:
         return self.bias + sum((self.weights[g] for g in ngrams(text) if g in self.weights), np.zeros(len(self.families)))
 
@@ -195,37 +296,46 @@ class LicenseModel:
 def _fit(texts: list[str], classes: np.ndarray, families: list[str]) -> LicenseModel:
     grams = sorted({g for t in texts for g in ngrams(t)})
     at = {g: i for i, g in enumerate(grams)}
-    x = np.zeros((len(texts), len(grams)))
-    for row, text in enumerate(texts):
-        x[row, [at[g] for g in ngrams(text)]] = 1
+    rows, columns = np.array([(row, at[g]) for row, t in enumerate(texts) for g in ngrams(t)], int).reshape(-1, 2).T
+    # The n-grams of each text, and the texts of each n-gram; every n-gram has one.
+    filled, row_starts = np.unique(rows, return_index=True)
+    by_column = np.argsort(columns, kind="stable")
+    column_starts = np.unique(columns[by_column], return_index=True)[1]
     y = (classes[:, None] == np.arange(len(families))).astype(float)
+    if UNTOLD in families:  # any notice is one of a licence
+        y[:, families.index(UNTOLD)] = classes >= 0
     scale = np.where(y == 1, 0.5 / np.maximum(1, y.sum(axis=0)), 0.5 / np.maximum(1, (1 - y).sum(axis=0)))
     weights, bias = np.zeros((len(grams), len(families))), np.full(len(families), -2.0)
-    step = RATE / np.sqrt(x.sum(axis=1).mean())
+    step, z = RATE / np.sqrt(len(rows) / len(texts)), np.zeros((len(texts), len(families)))
     for _ in range(ROUNDS):
-        miss = scale * (1 / (1 + np.exp(-(x @ weights + bias))) - y)
-        weights -= step * (x.T @ miss)
+        z[filled] = np.add.reduceat(weights[columns], row_starts, axis=0)
+        miss = scale * (1 / (1 + np.exp(-(z + bias))) - y)
+        weights -= step * np.add.reduceat(miss[rows[by_column]], column_starts, axis=0)
         # The penalty pulls every weight to zero, and small ones onto it.
         weights = np.sign(weights) * np.maximum(0, np.abs(weights) - step * PENALTY)
     used = np.flatnonzero(weights.any(axis=1))
     return LicenseModel(families, bias, {grams[i]: weights[i] for i in used}, 0.0)
 
 
+@lru_cache(maxsize=1)
 def train() -> LicenseModel:
-    """Fit on all notices, and put the threshold between them and ordinary paragraphs that the fit did not see."""
-    families = sorted(TEMPLATES)
-    texts = [(t, i) for i, f in enumerate(families) for t in TEMPLATES[f]] + [(t, -1) for t in ORDINARY]
+    """Fit on all notices, and put the threshold over ordinary paragraphs and under the notices that the fit did not see.
+
+    Both are scored by fits without them, in folds. The threshold is the middle between the highest ordinary paragraph and the median
+    notice, so that wordings of licences that no text here has are found as well.
+    """
+    families = sorted([*TEMPLATES, UNTOLD])
+    texts = [(t, i) for i, f in enumerate(families) for t in TEMPLATES.get(f, OTHER)] + [(t, -1) for t in ORDINARY]
     classes = np.array([c for _, c in texts])
     model = _fit([t for t, _ in texts], classes, families)
-    # Ordinary paragraphs are scored by fits without them, in five folds; notices by the whole fit.
-    fold = np.arange(len(texts)) % 5
-    highest = -np.inf
-    for k in range(5):
-        kept = (fold != k) | (classes >= 0)
-        part = _fit([t for (t, _), ok in zip(texts, kept) if ok], classes[kept], families)
-        highest = max([highest, *(part.logits(t).max() for (t, _), ok in zip(texts, kept) if not ok)])
-    lowest = min(model.logits(t)[c] for t, c in texts if c >= 0)
-    model.threshold = float((max(highest, model.bias.max()) + lowest) / 2)
+    fold, unseen = np.arange(len(texts)) % FOLDS, np.zeros(len(texts))
+    for k in range(FOLDS):
+        part = _fit([t for (t, _), at in zip(texts, fold) if at != k], classes[fold != k], families)
+        for i in np.flatnonzero(fold == k):
+            unseen[i] = part.logits(texts[i][0]).max()
+    highest = max(unseen[classes < 0].max(), model.bias.max())
+    lowest = min(min(model.logits(t)[c] for t, c in texts if c >= 0), np.median(unseen[classes >= 0]))
+    model.threshold = float((highest + max(lowest, highest)) / 2)
     return model
 
 
@@ -368,7 +478,7 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     weights = F.broadcast(
         spark.createDataFrame([(g, *map(float, w)) for g, w in model.weights.items()], f"gram string, {', '.join(c + ' double' for c in columns)}")
     )
-    templates = [(f"{family}/{k}", family, g, len(ngrams(t))) for family in model.families for k, t in enumerate(TEMPLATES[family]) for g in ngrams(t)]
+    templates = [(f"{family}/{k}", family, g, len(ngrams(t))) for family in model.families for k, t in enumerate(TEMPLATES.get(family, ())) for g in ngrams(t)]
     templates = F.broadcast(spark.createDataFrame(templates, "template string, family string, gram string, size int"))
 
     hits = _stored(_hits(docs, model, id_col, text_col), "licence-ngrams")
@@ -378,10 +488,12 @@ def scan_licenses(docs: DataFrame, model: LicenseModel | None = None, id_col: st
     grams = _stored(lines.unionByName(_joined(hits, least)), "paragraph-ngrams")
 
     summed = grams.join(weights, "gram").groupBy(*key).agg(*[F.sum(c).alias(c) for c in columns])
-    names = [
-        F.struct((F.round(F.col(c) + float(b), 9)).alias("logit"), F.lit(-i).alias("order"), F.lit(f).alias("family"))
-        for i, (c, b, f) in enumerate(zip(columns, model.bias, model.families))
-    ]
+    # A family at the threshold comes before the class of all licences, whatever that one's logit.
+    names = []
+    for i, (c, b, f) in enumerate(zip(columns, model.bias, model.families)):
+        logit = F.round(F.col(c) + float(b), 9)
+        named = (logit >= model.threshold) & F.lit(f != UNTOLD)
+        names.append(F.struct(named.alias("named"), logit.alias("logit"), F.lit(-i).alias("order"), F.lit(f).alias("family")))
     best = summed.select(*key, F.greatest(*names).alias("best")).filter(F.col("best.logit") >= model.threshold)
     best = best.select(*key, F.col("best.family").alias("family"), (1 / (1 + F.exp(-F.col("best.logit")))).alias("probability"))
 

@@ -161,6 +161,42 @@ def test_licences(make_docs, awkward):
     assert licenses.scan_licenses(docs.limit(0), model).collect() == []
 
 
+#: Notices of families and in wordings that no text of the model has, and ordinary paragraphs with words of licences.
+UNSEEN = [
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in it.',
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above notice appears.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "This is free and unencumbered software released into the public domain.",
+    "This work is licensed under the Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "Licensed under CC BY-SA.", "Text is available under the Creative Commons Attribution-ShareAlike License.",
+    "SPDX-License-Identifier: BSD-2-Clause", "SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: GPL-2.0-only",
+    "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements.",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2.",
+    "Released under the Frobnicate Public License, version 7.", "This library is licensed under the Vim license.",
+    "Licensed under the Educational Community License, Version 2.0.", "Copyright 2021 Foo Inc. Licensed under the Sleepycat License.",
+]
+PLAIN = [
+    "The company was licensed by the state to run trains.", "He asked for permission to use the hall free of charge.",
+    "She has a licence to teach in two states.", "The new version of the program was released in March.",
+    "All the rights of the workers were discussed.", "The general gave a public speech.", "Any use of force was prohibited.",
+    "Please note the attribution of the painting to a student.", "Copyright law was changed in 1998.",
+    "The material was distributed to all members of the public.", "The author of the book lives in Spain.",
+    "Open source of the river and free use of the water were in the terms of the sale.",
+]
+
+
+def test_notices_that_the_model_has_not_seen(make_docs):
+    model = licenses.train()
+    told = {t for ts in (*licenses.TEMPLATES.values(), licenses.OTHER, licenses.ORDINARY) for t in ts}
+    assert not told & {*UNSEEN, *PLAIN}
+    found = licenses.scan_licenses(make_docs(list(enumerate(UNSEEN + PLAIN))), model)
+    python_free(found)
+    got = {r["doc_id"]: r["family"] for r in found.collect()}
+    assert sorted(got) == list(range(len(UNSEEN)))
+    named = {i: f for i, f in got.items() if f != "unknown"}
+    assert set(named.values()) <= {"mit", "cc-by-sa"} and got[9] == got[11] == "unknown"
+
+
 WRAPPED = {
     "gpl-3.0": """This program is free software: you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by
@@ -215,9 +251,9 @@ def spans_by_hand(model, text):
                     after += line
                 ends = [own[e][-k:] + after[: n - k] for n in (2, 3) for k in range(1, n) if len(own[e]) >= k and len(after) >= n - k]
                 across = {" ".join(end) for end in ends}
-                family = model.families[int(logits.argmax())]
-                grams = [licenses.ngrams(t) for t in licenses.TEMPLATES[family]]
-                sure = max(len(held & set(g)) / len(g) for g in grams) >= licenses.CONFIRM
+                family = model.family_of(logits)
+                grams = [licenses.ngrams(t) for t in licenses.TEMPLATES.get(family, [])]
+                sure = max([0, *(len(held & set(g)) / len(g) for g in grams)]) >= licenses.CONFIRM
                 sure = sure and agrees(family, runs_of(words), across, later)
                 judged.append((s, e, family if sure else "unknown", sure))
     inner = [a for a in judged if not any(a != b and a[2] == b[2] and a[0] <= b[0] and b[1] <= a[1] for b in judged)]

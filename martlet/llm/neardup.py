@@ -44,6 +44,8 @@ from martlet.session import scratch_path
 
 #: Orders, values from the start of one to that of the next, and the least and most values that rows of a region share.
 TREES, STEP, MIN_DEPTH, MAX_DEPTH = 24, 6, 4, 16
+#: Bytes that are kept of a MinHash value; four of them are as good as a hash of all of their bits.
+VALUE = 2
 #: Rows beyond which a region is taken deeper, and rows on either side of a cut that are compared.
 REGION_ROWS, NEIGHBOURS = 1_000, 16
 #: Bytes of a sketch, and the share of equal ones below which a pair is taken not to be similar: 5 deviations under 0.8.
@@ -79,7 +81,7 @@ def _signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataF
                 first.append(int(own.sum().astype(np.int64)))
                 second.append(int(mix(own ^ salt).sum().astype(np.int64)))
                 best = minhash(own)
-                signatures.append(best.astype(">u4").tobytes())
+                signatures.append((best & np.uint32(0xFFFF)).astype(">u2").tobytes())
                 sketches.append(best[:SKETCH].astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (counts, first, second)], *[pa.array(x, pa.binary()) for x in (signatures, sketches)]],
@@ -131,8 +133,8 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 def _forest(nodes: DataFrame) -> DataFrame:
     """One row for each node and order, in ranges sorted by order and label: ``MAX_DEPTH`` MinHash values from the order's first on."""
     trees = nodes.select("node", "signature", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    ring = F.expr(f"concat(signature, substring(signature, 1, {4 * MAX_DEPTH}))")
-    label = F.substring(ring, F.col("tree") * (4 * STEP) + 1, F.lit(4 * MAX_DEPTH))
+    ring = F.expr(f"concat(signature, substring(signature, 1, {VALUE * MAX_DEPTH}))")
+    label = F.substring(ring, F.col("tree") * (VALUE * STEP) + 1, F.lit(VALUE * MAX_DEPTH))
     rows = trees.select("tree", label.alias("label"), "node", "sketch")
     return rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
 
@@ -181,7 +183,7 @@ def _edges(tree: np.ndarray, labels: np.ndarray, ids: np.ndarray, sketches: np.n
 
 
 def _columns(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    labels = np.frombuffer(b"".join(rows["label"].to_pylist()), ">u4").reshape(len(rows), MAX_DEPTH)
+    labels = np.frombuffer(b"".join(rows["label"].to_pylist()), f">u{VALUE}").reshape(len(rows), MAX_DEPTH)
     return rows["tree"].to_numpy(), labels, rows["node"].to_numpy(), _stacked(rows["sketch"].to_pylist())
 
 
@@ -216,7 +218,7 @@ def _candidates(nodes: DataFrame) -> DataFrame:
             held = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
             # The last stretch may go on in the next batch.
             tree, label = held["tree"].chunk(0), held["label"].chunk(0)
-            prefix = pc.binary_slice(label, 0, 4 * MIN_DEPTH)
+            prefix = pc.binary_slice(label, 0, VALUE * MIN_DEPTH)
             same = pc.and_(pc.equal(prefix, prefix[-1]), pc.equal(tree, tree[-1]))
             whole = len(held) - int(pc.sum(same).as_py())
             if whole:

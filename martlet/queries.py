@@ -867,6 +867,9 @@ def mart_row_counts(x: Lake) -> DataFrame:
 
 
 # ---------------------------------------------------------------- the daily run
+#
+# The four ``refresh_*`` queries read the tables of the same two runs, which the first of them to be called in a session makes: only
+# its time is that of the runs.
 
 
 @query

@@ -25,6 +25,8 @@ class Table(NamedTuple):
     defaults: dict = {}
     unique: tuple[str, ...] = ()
     partition: str | None = None
+    #: Columns that rows are sorted by inside a file, so that a reader of few of their values skips most pages.
+    cluster: tuple[str, ...] = ()
 
 
 # Column names, types, limits and defaults of the data model.
@@ -63,7 +65,7 @@ TABLES: dict[str, Table] = {
         total_amount decimal(10,2)!, discount_amount decimal(10,2), final_amount decimal(10,2), order_date date!,
         order_time string!, order_timestamp timestamp_ntz!, status string(20)!, payment_method string(50),
         promo_code string(20), order_hour int, order_day_of_week string(10), is_weekend boolean,
-        is_discounted boolean""", {"discount_amount": 0}, partition="order_month"),
+        is_discounted boolean""", {"discount_amount": 0}, partition="order_month", cluster=("product_id", "customer_id")),
     "silver_customers": Table("silver", ("customer_id",), """
         customer_id string(50)!, full_name string(255)!, email string(255)!, phone string(20), city string(100),
         state string(100), country string(50), signup_date date!, loyalty_tier string(20),
@@ -115,7 +117,7 @@ TABLES: dict[str, Table] = {
         order_date date, customer_id string(50), product_id int, promo_code string(20),
         n_orders bigint, n_completed bigint, n_pending bigint, n_cancelled bigint, n_coded bigint, n_valued bigint,
         items bigint, units bigint, revenue decimal(20,2), listed decimal(31,2), discount decimal(20,2),
-        first_timestamp timestamp_ntz, first_order_id string(50)""", partition="order_month"),
+        first_timestamp timestamp_ntz, first_order_id string(50)""", partition="order_month", cluster=("product_id", "customer_id")),
     "customer_days": Table("lattice", ("order_date", "customer_id"), """
         order_date date, customer_id string(50), promo_code string(20),
         n_orders bigint, n_completed bigint, n_pending bigint, n_cancelled bigint, n_coded bigint, n_valued bigint,

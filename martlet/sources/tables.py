@@ -98,9 +98,15 @@ class Tables:
         shaped = conform(df, table, partition_by)
         if partition_by:  # AQE packs small partitions into one task and splits large ones
             shaped = shaped.hint("rebalance", *partition_by)
+        cluster = schemas.TABLES[table].cluster
+        if cluster:
+            shaped = shaped.sortWithinPartitions(*partition_by, *cluster)
         rows = Observation()
         counted = shaped.observe(rows, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        writer = counted.write.mode("overwrite").partitionBy(*partition_by)
+        for column in cluster:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(target)
         return rows.get["n"]
 
     def loads(self, table: str) -> list[str]:

@@ -148,6 +148,36 @@ def test_only_touched_months_are_rewritten(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(order_month" in plan
 
 
+def test_few_products_are_few_pages(spark, tmp_path):
+    """Rows of a month lie in the order of products and customers: a scan of one product opens its month and reads its pages."""
+    n, month = 400_000, dt.date(2001, 7, 1)
+    rows = spark.range(n).select(
+        F.concat(F.lit("o"), "id").alias("order_id"), F.concat(F.lit("c"), F.xxhash64("id") % 5000).alias("customer_id"),
+        (F.abs(F.xxhash64("id", F.lit(1))) % 400).cast("int").alias("product_id"),
+        F.when(F.col("id") % 2 == 0, F.lit(month)).otherwise(F.lit(dt.date(2001, 6, 1))).alias("order_month"),
+    )
+    tables = Tables(spark, str(tmp_path))
+    tables.overwrite("silver_orders", rows)
+    stored = tables.read("silver_orders").select("order_id", "product_id", "order_month")
+
+    def scanned(df):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            execution = df._jdf.queryExecution()
+            execution.toRdd().count()
+            scan = execution.executedPlan().collectLeaves().apply(0).metrics()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        return scan.apply("numFiles").value(), scan.apply("numOutputRows").value()
+
+    files, all_rows = scanned(stored)
+    some_files, some_rows = scanned(stored.filter((F.col("product_id") == 17) & (F.col("order_month") == F.lit(month))))
+    assert all_rows == n and some_files <= files // 2 and some_rows <= n // 8
+    assert stored.filter((F.col("product_id") == 17) & (F.col("order_month") == F.lit(month))).count() == rows.filter(
+        (F.col("product_id") == 17) & (F.col("order_month") == F.lit(month))
+    ).count()
+
+
 def test_closed_periods_are_written_once(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     spec = {"reason": price_reason, **PRODUCT_HISTORY}

@@ -136,7 +136,9 @@ def _forest(nodes: DataFrame) -> DataFrame:
     ring = F.expr(f"concat(signature, substring(signature, 1, {VALUE * MAX_DEPTH}))")
     label = F.substring(ring, F.col("tree") * (VALUE * STEP) + 1, F.lit(VALUE * MAX_DEPTH))
     rows = trees.select("tree", label.alias("label"), "node", "sketch")
-    return rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
+    # A range holds rows of one order, or of two where one order ends in it.
+    ranges = max(TREES, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartitionByRange(ranges, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
 
 
 def shared_prefixes(tree: np.ndarray, labels: np.ndarray) -> np.ndarray:

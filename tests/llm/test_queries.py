@@ -65,7 +65,7 @@ def components(docs, size):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if re.match(r"op\d+_", n))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -80,6 +80,14 @@ def way_up(tree: list[list[str]], at: int) -> list[tuple[str, str]]:
     return way
 
 
+def fold_up(leaf: str, way: list[tuple[str, str]]) -> list[str]:
+    """``leaf`` and its ancestors, recomputed from it and the siblings on its ``way`` up."""
+    nodes = [leaf]
+    for left, right in way:
+        nodes.append(digest(left + nodes[-1] + right))
+    return nodes
+
+
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"merkle-{name}")
     df.write.parquet(path)
@@ -220,7 +228,8 @@ def versions(manifest: Manifest, id_col: str = "doc_id") -> DataFrame:
     """Every leaf with its proof and, where it changed, the nodes that its version copies.
 
     ``id_col``, ``leaf``, ``subroot``, ``root``, ``proof_sha256`` (of all siblings on the way to the root, level by level, left to right)
-    and ``copied``: the digests from the changed leaf up to the version's root, null for an unchanged leaf.
+    ``copied``: the digests from the changed leaf up to the version's root, null for an unchanged leaf; and ``folded_root``: the root
+    that the leaf as it is now, changed or not, and the siblings give.
     """
 
     def fold(own: pa.Table, handed: pa.Table) -> pa.Table:
@@ -229,22 +238,22 @@ def versions(manifest: Manifest, id_col: str = "doc_id") -> DataFrame:
         leaves = own["digest"].to_pylist()
         tree = levels_above(leaves, min(ROUND_LEVELS, height(own["n"][0].as_py())))
         upper = [(step["left"], step["right"]) for step in row["path"]]
-        proofs, copies = [], []
+        proofs, copies, folded = [], [], []
         for i, changed in enumerate(own["changed"].to_pylist()):
             way = way_up(tree, i) + upper
             proofs.append(digest("".join(left + right for left, right in way)))
-            copied = None
-            if changed is not None:
-                copied = [changed]
-                for left, right in way:
-                    copied.append(digest(left + copied[-1] + right))
-            copies.append(copied)
-        columns = [own["id"], own["digest"], pa.array([row["subroot"]] * len(leaves)), pa.array(proofs), pa.array(copies, pa.list_(pa.string()))]
-        return pa.table(columns, names=["id", "leaf", "subroot", "proof_sha256", "copied"])
+            ancestors = fold_up(leaves[i] if changed is None else changed, way)
+            copies.append(None if changed is None else ancestors)
+            folded.append(ancestors[-1])
+        columns = [
+            own["id"], own["digest"], pa.array([row["subroot"]] * len(leaves)), pa.array(proofs), pa.array(copies, pa.list_(pa.string())),
+            pa.array(folded, pa.string()),
+        ]
+        return pa.table(columns, names=["id", "leaf", "subroot", "proof_sha256", "copied", "folded_root"])
 
     above = _stored(_above_leaf_blocks(manifest.rounds, manifest.tops), "above")
     id_type = manifest.leaves.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, leaf string, subroot string, proof_sha256 string, copied array<string>"
+    schema = f"id {id_type}, leaf string, subroot string, proof_sha256 string, copied array<string>, folded_root string"
     own = manifest.leaves.select("t", "index", "id", "digest", "changed", "n")
     found = _by_block(own).cogroup(above.groupBy("t", "block")).applyInArrow(fold, schema)
-    return found.select(F.col("id").alias(id_col), "leaf", "subroot", F.lit(manifest.root).alias("root"), "proof_sha256", "copied")
+    return found.select(F.col("id").alias(id_col), "leaf", "subroot", F.lit(manifest.root).alias("root"), "proof_sha256", "copied", "folded_root")

@@ -119,10 +119,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = merkle.leaf_digest([*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], lowered])
     fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     found = merkle.versions(merkle.build(docs, leaf, F.when(fifth, tampered)))
-    folded = F.coalesce(F.element_at("copied", -1), F.col("root"))
-    return found.select(
-        "doc_id", "leaf", "subroot", "root", "proof_sha256", folded.alias("folded_root"), (folded == F.col("root")).alias("verified")
-    )
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", verified)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

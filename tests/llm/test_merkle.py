@@ -1,3 +1,4 @@
+import dataclasses
 import hashlib
 import random
 
@@ -104,3 +105,15 @@ def test_nodes_and_copies(spark):
 def test_empty_table(spark):
     manifest, found = judged(spark, [])
     assert found == [] and manifest.root is None
+
+
+def test_every_leaf_is_folded(spark):
+    """Unchanged leaves are recomputed up to the root as well: where a sibling is not what it was, they do not verify."""
+    rows = [(i, "a", "en", i, f"t{i}") for i in range(40)] + [(i, "b", "en", i, f"t{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    manifest = merkle.build(docs, merkle.leaf_digest([F.col(c) for c in FIELDS]))
+    assert merkle.versions(manifest).filter("folded_root = root").count() == 43
+    third = (F.col("id") == 3) & (F.col("n") == 40)
+    spoiled = manifest.leaves.withColumn("digest", F.when(third, sha("other")).otherwise(F.col("digest")))
+    found = merkle.versions(dataclasses.replace(manifest, leaves=spoiled)).groupBy("subroot", F.expr("folded_root = root")).count()
+    assert sorted((r[1], r[2]) for r in found.collect()) == [(False, 40), (True, 3)]

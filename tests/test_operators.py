@@ -12,7 +12,7 @@ from martlet.functions.numeric import exact_avg, pct
 from martlet.functions.ordering import largest_first
 from martlet.operators.amounts import order_amounts
 from martlet.operators.history import scd2_apply, scd2_as_of, scd2_changes
-from martlet.operators.joins import dyadic_blocks, interval_join, vs_previous_day
+from martlet.operators.joins import calendar_pieces, dyadic_blocks, interval_join, vs_previous_day
 from martlet.operators.latest import latest_per_key
 from martlet.operators.merge import insert_ignore, merge_subset
 from martlet.operators.quality import gate, require_keys, ri_coverage, unique_on
@@ -241,6 +241,46 @@ def test_dyadic_blocks_cover_each_day_once(spark):
         assert sorted(covered[i]) == [start + dt.timedelta(k) for k in range(a, b + 1)]
 
 
+def test_calendar_pieces_cover_each_day_once(spark):
+    rng = random.Random(3)
+    start = dt.date(1969, 11, 25)
+    spans = [(a, a + n) for a, n in ((rng.randrange(70), rng.choice([-1, 0, 5, 30, 91, 92, 93, 120, 400])) for _ in range(90))]
+    rows_ = [(i, start + dt.timedelta(a), start + dt.timedelta(b)) for i, (a, b) in enumerate(spans)]
+    found = spark.createDataFrame(rows_, "i int, s date, e date").withColumn("p", F.explode(calendar_pieces(F.col("s"), F.col("e"))))
+    epoch, covered, months = dt.date(1970, 1, 1), {i: [] for i in range(90)}, 0
+    for r in found.collect():
+        day = epoch + dt.timedelta((r["p"] >> 1) - (1 << 21))
+        after = day + dt.timedelta(1)
+        if r["p"] % 2:
+            months += 1
+            assert day.day == 1
+            after = (day + dt.timedelta(31)).replace(day=1)
+        covered[r["i"]] += [day + dt.timedelta(k) for k in range((after - day).days)]
+    assert months > 0
+    for i, (a, b) in enumerate(spans):
+        assert sorted(covered[i]) == [start + dt.timedelta(k) for k in range(a, b + 1)]
+
+
+def test_interval_join_spreads_a_month_and_meets_only_matches(spark):
+    """One code in one month is dealt over tasks by day, and no pair is made that a condition drops again."""
+    start = dt.date(2001, 7, 1)
+    dim = spark.createDataFrame([(f"c{i}", "X", start + dt.timedelta(i), start + dt.timedelta(i + 2)) for i in range(28)], "id string, promo string, s date, e date")
+    used = spark.createDataFrame([("X", start + dt.timedelta(i % 31), i) for i in range(310)], "promo string, d date, n int")
+    names = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, ("-1", "false")):
+            spark.conf.set(name, value)
+        matched = interval_join(used, dim, "promo", "d", "s", "e")
+        assert matched.count() == 28 * 3 * 10
+        assert matched.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+        joins = [line for line in matched._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+        assert len(joins) == 1 and ">=" not in joins[0] and "<=" not in joins[0]
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
 def test_gap_in_the_calendar_has_no_previous_day(spark):
     days = spark.createDataFrame(
         [(DAY, 5, "a"), (DAY + dt.timedelta(1), 7, None), (DAY + dt.timedelta(3), 9, "c")], "d date, v int, note string"

@@ -1,5 +1,6 @@
 """What stays on disk: shuffled files, stored steps, and rows that need not move."""
 
+import datetime as dt
 import os
 import time
 
@@ -8,6 +9,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from martlet import schemas
+from martlet.operators.joins import interval_join
 from martlet.plans import cells
 from martlet.queries import Lake, _stored
 from martlet.queries import lake as shared_lake
@@ -128,3 +130,16 @@ def test_marts_find_first_orders_before_they_look_for_customers(lake, monkeypatc
     names = schemas.column_names("silver_orders")
     kept, made = tables.read("silver_orders").select(*names), lake.clean_orders.select(*names)
     assert kept.exceptAll(made).isEmpty() and made.exceptAll(kept).isEmpty() and not kept.isEmpty()
+
+
+def test_interval_join_leaves_out_days_of_no_interval(spark):
+    day = dt.date(2001, 7, 1)
+    schema = "id string, promo string, s date, e date"
+    spans = [("a", "X", day, day + dt.timedelta(2)), ("b", "X", day + dt.timedelta(200), day + dt.timedelta(100)), ("c", "X", day, None)]
+    used = spark.createDataFrame([("X", day + dt.timedelta(i - 3), i) for i in range(300)], "promo string, d date, n int")
+    matched = interval_join(used, spark.createDataFrame(spans, schema), "promo", "d", "s", "e")
+    assert sorted((r["id"], r["n"]) for r in matched.collect()) == [("a", 3), ("a", 4), ("a", 5)]
+    text = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert "2001-07-01" in text and "2001-07-03" in text
+    none = interval_join(used, spark.createDataFrame(spans[1:], schema), "promo", "d", "s", "e")
+    assert none.columns == matched.columns and none.count() == 0
